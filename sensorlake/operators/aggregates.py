@@ -51,13 +51,11 @@ def dataset_profile(df: DataFrame, time_col: str = "time", top: int = 15) -> Dat
     Three aggregates: totals, rows per measurement, top data_keys. Each is
     a hash aggregate with partial combine; nothing is collected.
     """
-    totals = df.agg(F.count(F.lit(1)).alias("rows"), F.min(time_col).alias("tmin"), F.max(time_col).alias("tmax"))
-    t = totals.select(F.explode(F.array(
-        F.struct(F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("key"),
-                 F.col("rows").cast("string").alias("value")),
-        F.struct(F.lit("time_min"), F.lit(None).cast("string"), F.col("tmin").cast("string")),
-        F.struct(F.lit("time_max"), F.lit(None).cast("string"), F.col("tmax").cast("string")),
-    )).alias("r")).select("r.*")
+    totals = df.agg(F.count(F.lit(1)).cast("string").alias("rows"),
+                    F.min(time_col).cast("string").alias("time_min"),
+                    F.max(time_col).cast("string").alias("time_max"))
+    t = (totals.unpivot([], ["rows", "time_min", "time_max"], "metric", "value")
+               .select("metric", F.lit(None).cast("string").alias("key"), "value"))
     meas = (df.filter(F.col("measurement").isNotNull()).groupBy("measurement").count()
               .select(F.lit("measurement_rows").alias("metric"), F.col("measurement").alias("key"),
                       F.col("count").cast("string").alias("value")))

@@ -74,3 +74,22 @@ def head_tail(lines: DataFrame, n: int, file_col: str = "file", order_cols: Sequ
     tail = lines.withColumn("rn", F.row_number().over(desc)).filter(F.col("rn") <= n).withColumn("part", F.lit("tail"))
     return head.unionByName(tail)
 
+
+
+def global_row_number(df: DataFrame, order: Sequence[Column | str], col: str = "row_no") -> DataFrame:
+    """1-based position of each row in a total order, without a single-partition window.
+
+    Range-partitioned sort, then per-partition row counts (one row per
+    partition, so the broadcast is bounded by the partition count) turned
+    into offsets; position = partition offset + rank inside the partition.
+    The order should be total (add tie-breakers), so a recomputed partition
+    yields the same positions.
+    """
+    from pyspark.sql import Window
+    ords = [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order]
+    s = df.orderBy(*ords).withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    out = s.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
+    return out.withColumn(col, F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1).drop("_pid", "_mid", "_off", "_m0")
