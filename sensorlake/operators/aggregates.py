@@ -66,17 +66,17 @@ def dataset_profile(df: DataFrame, time_col: str = "time", top: int = 15) -> Dat
 
 
 def freshness(df: DataFrame, col: str, as_of, warn_after_days: int = 365,
-              error_after_days: int | None = None) -> DataFrame:
+              error_after_days: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Newest load time, its age in seconds, and pass/warn/error.
 
     An empty source reports year 0001, which is always stale.
     """
     newest = F.coalesce(F.max(F.col(col).cast("timestamp_ntz")), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
-    out = df.agg(newest.alias("max_loaded_at"))
+    out = df.groupBy(*by).agg(newest.alias("max_loaded_at"))
     age = (F.unix_micros(ts_literal(as_of).cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 1e6
     status = F.when(F.lit(error_after_days is not None) & (age > F.lit((error_after_days or 0) * 86400)), "error") \
         .when(age > F.lit(warn_after_days * 86400), "warn").otherwise("pass")
-    return out.select("max_loaded_at", age.alias("age_seconds"), status.alias("status"))
+    return out.select(*by, "max_loaded_at", age.alias("age_seconds"), status.alias("status"))
 
 
 def multi_grain(df: DataFrame, grains: Sequence[str] = ("hour", "day", "week", "month"),
