@@ -89,16 +89,20 @@ def star_join(fct: DataFrame, dims: Sequence[tuple[DataFrame, str]],
     return out
 
 
-def as_at(fct: DataFrame, dim: DataFrame, key: str, time_col: str = "time",
-          from_col: str = "effective_from", to_col: str = "effective_to") -> DataFrame:
-    """The dimension version valid at the reading's time.
+def as_at(fct: DataFrame, dim: DataFrame, key: Sequence[str], time_col: str = "time",
+          from_col: str = "effective_from", to_col: str = "effective_to", attrs: Sequence[str] | None = None,
+          bucket: str = "year") -> DataFrame:
+    """The dimension version valid at each reading's time (inner).
 
-    Equi-join on the natural key first (no nested loop), then the interval
-    test ``from <= t < to`` (open end = current version).
+    An as-of join on the natural key (latest ``from <= t``) followed by the
+    ``t < to`` test; no reading x version pairs are formed.
     """
-    cond = ((fct[key] == dim[key]) & (dim[from_col] <= fct[time_col])
-            & (dim[to_col].isNull() | (fct[time_col] < dim[to_col])))
-    return fct.join(dim, cond, "inner").drop(dim[key])
+    from sensorlake.operators.windows import asof_join
+    key = list(key)
+    attrs = list(attrs) if attrs is not None else [c for c in dim.columns if c not in key]
+    cols = list(dict.fromkeys([from_col, to_col, *attrs]))
+    out = asof_join(fct, dim, key, time_col, from_col, cols, bucket=bucket)
+    return out.filter(F.col(from_col).isNotNull() & (F.col(to_col).isNull() | (F.col(time_col) < F.col(to_col))))
 
 
 def orphans(fct: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -108,20 +112,16 @@ def orphans(fct: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None
 
 
 def latest_period_asof(requested: DataFrame, available: DataFrame, period_col: str = "period",
-                       by: Sequence[str] = ()) -> DataFrame:
-    """For each requested period, the latest available period <= it.
-
-    Union + ``last(ignorenulls)`` over the period order: no non-equi join.
-    ``available`` is first reduced to distinct periods, so the window runs
-    over periods, not readings.
-    """
+                       by: Sequence[str] = (), bucket: str = "year") -> DataFrame:
+    """For each requested period, the latest available period <= it
+    (NULL when there is none). ``available`` is reduced to distinct periods
+    first; the lookup is an as-of join (no non-equi join)."""
+    from sensorlake.operators.windows import asof_join
     by = list(by)
-    req = requested.select(*by, F.col(period_col).alias("_p"), F.lit(True).alias("_req"),
-                           F.lit(None).cast(requested.schema[period_col].dataType).alias("_found"))
-    av = (available.select(*by, F.col(period_col).alias("_p")).distinct()
-          .select(*by, "_p", F.lit(False).alias("_req"), F.col("_p").alias("_found")))
-    from pyspark.sql import Window
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(F.col("_p"), F.col("_req"))
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = req.unionByName(av).withColumn("resolved", F.last("_found", ignorenulls=True).over(w))
-    return both.filter("_req").select(*by, F.col("_p").alias(period_col), "resolved")
+    av = available.select(*by, F.col(period_col).alias("resolved")).distinct()
+    req = requested.select(*by, period_col)
+    if not by:
+        req, av = req.withColumn("_all", F.lit(0)), av.withColumn("_all", F.lit(0))
+    keys = by or ["_all"]
+    out = asof_join(req, av, keys, period_col, "resolved", ["resolved"], bucket=bucket)
+    return out.drop("_all") if not by else out

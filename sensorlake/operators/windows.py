@@ -77,3 +77,54 @@ def rank_for_upsert(df: DataFrame, key: Sequence[str], order: Sequence[Column |
     """
     ords = [F.desc(o) if isinstance(o, str) else o for o in order]
     return df.withColumn("write_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*ords)))
+
+
+def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col: str, out_col: str,
+                  bucket: str = "month", tie_col: str | None = None, inclusive: bool = True,
+                  descending: bool = False) -> DataFrame:
+    """Last non-NULL ``value_col`` at or before each row of the same series.
+
+    The skew-safe form of ``last(value, ignorenulls) over (partition by
+    series order by time)``: the ordered window runs per (series, bucket),
+    and rows with nothing earlier in their bucket take the newest value of
+    the nearest earlier bucket, found on a one-row-per-bucket summary.
+    ``tie_col`` orders rows with equal time (ascending; later wins).
+    ``inclusive=False`` looks strictly before the row; ``descending=True``
+    walks backwards in time (the next value instead of the previous one).
+    """
+    series = list(series)
+    b = df.withColumn("_b", trunc(time_col, bucket))
+    cols = [F.col(time_col)] + ([F.col(tie_col)] if tie_col else [])
+    order = [c.desc() for c in cols] if descending else cols
+    frame_end = Window.currentRow if inclusive else -1
+    w = Window.partitionBy(*series, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
+    inner = b.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
+    okey = F.struct(*cols)
+    pick = F.min_by if descending else F.max_by
+    summary = (b.filter(F.col(value_col).isNotNull()).groupBy(*series, "_b")
+                .agg(pick(F.col(value_col), okey).alias("_last")))
+    # every bucket of the series takes the value of the nearest bucket before it
+    border = F.desc("_b") if descending else F.asc("_b")
+    sw = Window.partitionBy(*series).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    allb = b.select(*series, "_b").distinct().join(summary, [*series, "_b"], "left")
+    allb = allb.withColumn("_carry", F.last("_last", ignorenulls=True).over(sw))
+    out = inner.join(allb.select(*series, "_b", "_carry"), [*series, "_b"], "inner")
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry"))).drop("_b", "_carry")
+
+
+def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str,
+              right_cols: Sequence[str], bucket: str = "month") -> DataFrame:
+    """Each left row gets the right row of the same key with the latest
+    ``right_time <= left_time`` (NULLs when none) -- without emitting
+    left x right pairs per key: both sides are unioned and the right row is
+    carried forward in time order (``carry_forward``)."""
+    key = list(key)
+    rcols = list(right_cols)
+    payload = F.struct(*[F.col(c) for c in rcols]).alias("_r")
+    l = left.select(*[F.col(c) for c in left.columns], F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
+                    F.lit(None).cast(right.select(payload).schema[0].dataType).alias("_r"))
+    r = right.select(*key, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), payload)
+    both = l.unionByName(r, allowMissingColumns=True)
+    carried = carry_forward(both, key, "_t", "_r", "_rc", bucket=bucket, tie_col="_side")
+    out = carried.filter(F.col("_side") == 1)
+    return out.select(*left.columns, *[F.col(f"_rc.{c}").alias(c) for c in rcols])
