@@ -34,7 +34,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sensorlake") -> SparkSession:
     """Session for tests and local runs; on a cluster use the submitted one."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

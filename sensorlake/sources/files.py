@@ -62,20 +62,31 @@ def read_lines(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     )
 
 
-def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2) -> DataFrame:
-    """Device drop files -> data lines (file, file_name, block, line_id, text).
+def logical_file_name(path_col) -> "F.Column":
+    """Base name of a file; for Spark part files inside a ``key=value``
+    directory (drops written with ``partitionBy``), the partition value."""
+    part = F.regexp_extract(path_col, r"/[^/=]+=([^/]+)/part-[^/]*$", 1)
+    return F.when(part != "", part).otherwise(basename(path_col))
 
-    The first ``header_lines`` lines of each file are dropped, the UTF-8 BOM
-    is stripped. The window is per (file, block): a block is at most one
-    file split, so the partition size is bounded whatever the file size.
+
+def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, keep_header: bool = False) -> DataFrame:
+    """Device drop files -> lines (file, file_name, block, line_id, text[, is_header]).
+
+    The first ``header_lines`` lines of each file are headers (dropped unless
+    ``keep_header``), the UTF-8 BOM is stripped. The window is per (file,
+    block): a block is at most one file split, so its size is bounded
+    whatever the file size.
     """
     from pyspark.sql import Window
     lines = read_lines(spark, path)
     w = Window.partitionBy("file", "block")
-    pos = F.col("line_id") - F.min("line_id").over(w)
-    out = lines.withColumn("_pos", pos).filter(~((F.col("block") == 0) & (F.col("_pos") < header_lines)))
-    return out.select("file", basename(F.col("file")).alias("file_name"), "block", "line_id",
-                      strip_bom(F.col("text")).alias("text"))
+    is_header = (F.col("block") == 0) & ((F.col("line_id") - F.min("line_id").over(w)) < header_lines)
+    out = lines.withColumn("is_header", is_header)
+    if not keep_header:
+        out = out.filter(~F.col("is_header"))
+    cols = ["file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
+            strip_bom(F.col("text")).alias("text")]
+    return out.select(*cols, *(["is_header"] if keep_header else []))
 
 
 def read_monthly(spark: SparkSession, path: str, required: Sequence[str] = PUBLIC_COLS) -> DataFrame:
