@@ -89,22 +89,33 @@ def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, kee
     return out.select(*cols, *(["is_header"] if keep_header else []))
 
 
-def read_monthly(spark: SparkSession, path: str, required: Sequence[str] = PUBLIC_COLS) -> DataFrame:
-    """Monthly hourly exports `{additive,nonadditive}_YYYY-MM.hourly.csv`.
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
-    Missing required columns raise; unparseable time/value become NULL and
-    stay (quirk K7). No matching file -> empty typed frame.
+
+def read_monthly(spark: SparkSession, path: str, required: Sequence[str] = PUBLIC_COLS,
+                 layout: str = "named") -> DataFrame:
+    """Monthly hourly exports.
+
+    ``layout='named'``: files `{additive,nonadditive}_YYYY-MM.hourly.csv`
+    anywhere under ``path``; ``layout='partitioned'``: the
+    ``measurement=/year_month=`` directories written by ``write_monthly``
+    (partition filters on them prune whole months). Missing required
+    columns raise; unparseable time/value become NULL and stay (quirk K7).
+    No matching file -> empty typed frame.
     """
-    glob = "{additive,nonadditive}_[0-9][0-9][0-9][0-9]-[0-9][0-9].hourly.csv"
+    reader = spark.read.option("header", True).option("timestampNTZFormat", TS_TEXT)
+    if layout == "named":
+        reader = reader.option("pathGlobFilter", "{additive,nonadditive}_[0-9][0-9][0-9][0-9]-[0-9][0-9].hourly.csv") \
+                       .option("recursiveFileLookup", True)
     try:
-        df = spark.read.option("header", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).csv(path)
+        df = reader.csv(path)
     except Exception as e:  # no file matched: Spark cannot infer a schema
         if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], PUBLIC)
         raise
     require_columns(df, required, path)
-    return df.select(lenient_ts("time").alias("time"), "location", "source", "measurement", "data_key",
-                     lenient_double("data_value").alias("data_value"))
+    return df.select(lenient_ts(F.col("time").cast("string")).alias("time"), "location", "source", "measurement",
+                     "data_key", lenient_double(F.col("data_value").cast("string")).alias("data_value"))
 
 
 def read_annotated(spark: SparkSession, path: str) -> DataFrame:
@@ -146,7 +157,7 @@ def months_to_process(df: DataFrame, time_col: str = "time") -> DataFrame:
 def read_per_location(spark: SparkSession, paths: Sequence[str] | str, pattern: str = r"([^/_.]+)\.csv$") -> DataFrame:
     """Files of one shape, the location taken from each file name."""
     df = spark.read.option("header", True).csv(list(paths) if not isinstance(paths, str) else paths)
-    return df.withColumn("location", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+    return df.withColumn("location", F.regexp_extract(logical_file_name(F.col("_metadata.file_path")), pattern, 1))
 
 
 def read_public(spark: SparkSession, path: str) -> DataFrame:

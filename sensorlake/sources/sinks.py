@@ -13,6 +13,8 @@ from sensorlake.functions.time import year_month
 from sensorlake.operators.ordering import public_order
 from sensorlake.schemas import PUBLIC_COLS
 
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
 
 def write_fact(df: DataFrame, root: str, version: str | None = None) -> str:
     """Write a new version of the fact table under ``root/version=...``.
@@ -42,7 +44,7 @@ def write_monthly(df: DataFrame, path: str, fmt: str = "parquet", time_col: str
     w = (out.repartition("measurement", "year_month").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("measurement", "year_month"))
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("timestampNTZFormat", TS_TEXT).csv(path)
     else:
         w.parquet(path)
 
@@ -56,7 +58,8 @@ def write_public(df: DataFrame, out_dir: str, sort: bool = True) -> dict:
     data = public_order(df.select(PUBLIC_COLS)) if sort else df.select(PUBLIC_COLS)
     csv_path = f"{out_dir.rstrip('/')}/public_csv"
     pq_path = f"{out_dir.rstrip('/')}/public_parquet"
-    data.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(csv_path)
+    (data.write.mode("overwrite").option("header", True).option("compression", "gzip")
+         .option("timestampNTZFormat", TS_TEXT).csv(csv_path))
     written = {"csv": csv_path}
     try:
         data.write.mode("overwrite").parquet(pq_path)
