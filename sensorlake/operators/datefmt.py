@@ -35,6 +35,8 @@ def split_fields(lines: DataFrame) -> DataFrame:
     date_t = f.getItem(0)
     time_t = F.try_element_at(f, F.lit(2))
     valid = valid_line(date_t, time_t)
+    if "is_header" in lines.columns:        # header lines never count as data
+        valid = valid & ~F.col("is_header")
     t = F.split(time_t, ":")
 
     def part(e: Column) -> Column:
@@ -52,48 +54,105 @@ def split_fields(lines: DataFrame) -> DataFrame:
     )
 
 
-def _prev_last(df: DataFrame, value_col: str, out_col: str) -> DataFrame:
-    """Last non-NULL ``value_col`` on an earlier line of the same file."""
-    w = Window.partitionBy("file", "block").orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
-    inner = df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    summary = (df.groupBy("file", "block")
-                 .agg(F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), F.col("line_id"))).alias("_blast")))
-    bw = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_carry", F.last("_blast", ignorenulls=True).over(bw)).drop("_blast")
-    out = inner.join(summary, ["file", "block"], "inner")
-    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry"))).drop("_carry")
+def _with_readings(fields: DataFrame) -> DataFrame:
+    """ts_mdy / ts_dmy: the line's timestamp number under each reading, NULL
+    when the line is invalid or the date impossible under that reading."""
+    v = F.col("valid")
+    return (fields.withColumn("ts_mdy", F.when(v & valid_day(F.col("p2"), F.col("p1")),
+                                               ts_num("y", "p1", "p2", "hh", "mi", "ss")))
+                  .withColumn("ts_dmy", F.when(v & valid_day(F.col("p1"), F.col("p2")),
+                                               ts_num("y", "p2", "p1", "hh", "mi", "ss"))))
+
+
+def _in_block_window():
+    return Window.partitionBy("file", "block").orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _blocks_window():
+    return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _in_block(x: DataFrame) -> DataFrame:
+    """One ordered window per (file, block): previous valid timestamp of each reading."""
+    w = _in_block_window()
+    return (x.withColumn("_pm", F.last("ts_mdy", ignorenulls=True).over(w))
+             .withColumn("_pd", F.last("ts_dmy", ignorenulls=True).over(w)))
+
+
+def _first_last(col: str) -> list[Column]:
+    key = F.when(F.col(col).isNotNull(), F.col("line_id"))
+    return [F.min_by(F.col(col), key).alias(f"_first_{col}"), F.max_by(F.col(col), key).alias(f"_last_{col}")]
+
+
+def _carry(blocks: DataFrame) -> DataFrame:
+    """Per block: last valid timestamp of the nearest earlier block (per reading)."""
+    w = _blocks_window()
+    return (blocks.withColumn("_carry_mdy", F.last("_last_ts_mdy", ignorenulls=True).over(w))
+                  .withColumn("_carry_dmy", F.last("_last_ts_dmy", ignorenulls=True).over(w)))
 
 
 def order_breaks(fields: DataFrame) -> DataFrame:
     """Per line, whether its timestamp read as MDY / DMY is lower than the
     previous line that was a valid MDY / DMY date (the two readings are
-    tracked apart; an invalid line does not reset them)."""
-    x = fields.withColumn("ts_mdy", F.when(F.col("valid") & valid_day(F.col("p2"), F.col("p1")),
-                                           ts_num("y", "p1", "p2", "hh", "mi", "ss"))) \
-              .withColumn("ts_dmy", F.when(F.col("valid") & valid_day(F.col("p1"), F.col("p2")),
-                                           ts_num("y", "p2", "p1", "hh", "mi", "ss")))
-    x = _prev_last(x, "ts_mdy", "prev_mdy")
-    x = _prev_last(x, "ts_dmy", "prev_dmy")
+    tracked apart; an invalid line does not reset them).
+
+    Inside a block the previous value comes from the ordered window; the
+    first line of a block compares with the last value of the earlier
+    blocks (per-block summary, joined on the window's own partitioning).
+    """
+    x = _in_block(_with_readings(fields))
+    blocks = _carry(x.groupBy("file", "block").agg(*_first_last("ts_mdy"), *_first_last("ts_dmy")))
+    x = x.join(blocks.select("file", "block", "_carry_mdy", "_carry_dmy"), ["file", "block"], "inner")
+    x = x.withColumn("prev_mdy", F.coalesce("_pm", "_carry_mdy")).withColumn("prev_dmy", F.coalesce("_pd", "_carry_dmy"))
     return (x.withColumn("break_mdy", F.coalesce(F.col("ts_mdy") < F.col("prev_mdy"), F.lit(False)))
-             .withColumn("break_dmy", F.coalesce(F.col("ts_dmy") < F.col("prev_dmy"), F.lit(False))))
+             .withColumn("break_dmy", F.coalesce(F.col("ts_dmy") < F.col("prev_dmy"), F.lit(False)))
+             .drop("_pm", "_pd", "_carry_mdy", "_carry_dmy"))
+
+
+def _bits(c: Column, lo: int) -> Column:
+    """One bit per two-digit value (two 64-bit words cover 0..99)."""
+    inside = c.between(lo, lo + 62)
+    return F.when(inside, F.pow(F.lit(2.0), c - lo).cast("long"))   # exact: powers of two below 2^63
 
 
 def date_evidence(lines: DataFrame) -> DataFrame:
     """A06 (+W02): per file -- data lines, valid lines, distinct first/second
-    parts, DMY/MDY hints, order breaks in each reading, last valid line."""
-    b = order_breaks(split_fields(lines))
+    parts, DMY/MDY hints, order breaks in each reading, last valid line.
+
+    A parallel prefix over blocks: one ordered window per (file, block)
+    yields the breaks inside each block; each block is summarised (counts,
+    bitmasks of the day/month parts seen, first/last timestamp of each
+    reading, last valid line); the few rows per file are then combined --
+    including the breaks at block starts -- without moving any line again.
+    """
+    x = _in_block(_with_readings(split_fields(lines)))
     v = F.col("valid")
-    pos = F.struct("block", "line_id")
-    return b.groupBy("file", "file_name").agg(
-        F.count(F.lit(1)).alias("n_lines"),
+    p1, p2 = F.col("p1"), F.col("p2")
+    data = ~F.col("is_header") if "is_header" in lines.columns else F.lit(True)
+    blocks = x.groupBy("file", "file_name", "block").agg(
+        count_if(data).alias("n_lines"),
         count_if(v).alias("n_valid"),
-        F.countDistinct(F.when(v, F.col("p1"))).alias("uniq_p1"),
-        F.countDistinct(F.when(v, F.col("p2"))).alias("uniq_p2"),
-        count_if(v & (F.col("p1") > 12) & (F.col("p2") <= 12)).alias("hint_dmy"),
-        count_if(v & (F.col("p2") > 12) & (F.col("p1") <= 12)).alias("hint_mdy"),
-        count_if(F.col("break_dmy")).alias("breaks_dmy"),
-        count_if(F.col("break_mdy")).alias("breaks_mdy"),
-        F.max_by(F.struct("p1", "p2", "y"), F.when(v, pos)).alias("last"),
+        F.bit_or(_bits(p1, 0)).alias("m1a"), F.bit_or(_bits(p1, 63)).alias("m1b"),
+        F.bit_or(_bits(p2, 0)).alias("m2a"), F.bit_or(_bits(p2, 63)).alias("m2b"),
+        count_if(v & (p1 > 12) & (p2 <= 12)).alias("hint_dmy"),
+        count_if(v & (p2 > 12) & (p1 <= 12)).alias("hint_mdy"),
+        count_if(F.col("ts_dmy") < F.col("_pd")).alias("in_dmy"),
+        count_if(F.col("ts_mdy") < F.col("_pm")).alias("in_mdy"),
+        *_first_last("ts_mdy"), *_first_last("ts_dmy"),
+        F.max_by(F.struct("p1", "p2", "y"), F.when(v, F.col("line_id"))).alias("_last_line"),
+    )
+    blocks = _carry(blocks)
+    pops = [F.bit_count(F.coalesce(F.bit_or(c), F.lit(0).cast("long"))) for c in ("m1a", "m1b", "m2a", "m2b")]
+    return blocks.groupBy("file", "file_name").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.sum("n_valid").alias("n_valid"),
+        (pops[0] + pops[1]).cast("long").alias("uniq_p1"),
+        (pops[2] + pops[3]).cast("long").alias("uniq_p2"),
+        F.sum("hint_dmy").alias("hint_dmy"),
+        F.sum("hint_mdy").alias("hint_mdy"),
+        (F.sum("in_dmy") + count_if(F.col("_first_ts_dmy") < F.col("_carry_dmy"))).alias("breaks_dmy"),
+        (F.sum("in_mdy") + count_if(F.col("_first_ts_mdy") < F.col("_carry_mdy"))).alias("breaks_mdy"),
+        F.max_by(F.col("_last_line"), F.when(F.col("_last_line").isNotNull(), F.col("block"))).alias("last"),
     )
 
 
@@ -158,11 +217,7 @@ def detect_date_format(lines: DataFrame, today, strict: bool = True, default: st
     ``lines`` must include header lines (``read_sensor_drops(keep_header=True)``)
     so that files with no data line are still listed (rule ``empty``).
     """
-    data = lines.filter(~F.col("is_header")) if "is_header" in lines.columns else lines
-    ev = date_evidence(data)
-    files = lines.select("file", "file_name").distinct()
-    ev = files.join(ev, ["file", "file_name"], "left").fillna(0, subset=[
-        "n_lines", "n_valid", "uniq_p1", "uniq_p2", "hint_dmy", "hint_mdy", "breaks_dmy", "breaks_mdy"])
+    ev = date_evidence(lines)
     ev = ev.withColumn("sensor", sensor_id(F.col("file_name")))
     out = decide(ev, today, strict, default, force)
     return out.select("file", "file_name", "sensor", "fmt", "rule", "n_lines", "n_valid", "uniq_p1", "uniq_p2",

@@ -31,7 +31,23 @@ FAR_TODAY = "2030-01-01"
 TOKENS = ["", "-", "NA", "n/a", " NULL "]
 
 
-def render_drops(spark, d) -> str:
+_RENDERED: dict = {}
+
+
+def render_drops(spark, d, fresh: bool = False) -> str:
+    """Render once per Spark application and table directory (the files are
+    derived, immutable data); ``fresh`` renders a private copy (streams that
+    archive their input need one)."""
+    key = (spark.sparkContext.applicationId, d)
+    if not fresh and key in _RENDERED:
+        return _RENDERED[key]
+    path = _render_drops(spark, d)
+    if not fresh:
+        _RENDERED[key] = path
+    return path
+
+
+def _render_drops(spark, d) -> str:
     ev = table(spark, d, "events")
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     hex4 = F.upper(F.lpad(F.hex(uid), 4, "0"))

@@ -117,7 +117,7 @@ def q_late_data(spark, d):
     "(rh IS NULL OR regexp_matches(rh, '^-?[0-9]+([.][0-9]+)?$'))"))
 def q_stream_drops(spark, d):
     """New drop files, 40 per micro-batch, archived after processing."""
-    src = render_drops(spark, d)
+    src = render_drops(spark, d, fresh=True)
     out = scratch_path(spark, "stream_drops_out")
     s = st.stream_drops(spark, src, archive_dir=scratch_path(spark, "drops_archive"), max_files=40)
     st.run_available_now(s, _ckpt(spark, "drops"), foreach_batch=st.drops_batch_writer(out, "2024-01-31"))

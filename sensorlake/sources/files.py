@@ -69,19 +69,24 @@ def logical_file_name(path_col) -> "F.Column":
     return F.when(part != "", part).otherwise(basename(path_col))
 
 
+MAX_BROADCAST_FILES = 1_000_000
+
+
 def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, keep_header: bool = False) -> DataFrame:
     """Device drop files -> lines (file, file_name, block, line_id, text[, is_header]).
 
     The first ``header_lines`` lines of each file are headers (dropped unless
-    ``keep_header``), the UTF-8 BOM is stripped. The window is per (file,
-    block): a block is at most one file split, so its size is bounded
-    whatever the file size.
+    ``keep_header``), the UTF-8 BOM is stripped. Headers are found without
+    moving the lines: the first line id of each file (one row per file,
+    partial aggregation) is joined back -- broadcast while the file count is
+    within a proven bound.
     """
-    from pyspark.sql import Window
+    from sensorlake.operators.util import bounded_broadcast
     lines = read_lines(spark, path)
-    w = Window.partitionBy("file", "block")
-    is_header = (F.col("block") == 0) & ((F.col("line_id") - F.min("line_id").over(w)) < header_lines)
-    out = lines.withColumn("is_header", is_header)
+    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line_id").alias("_first"))
+    out = lines.join(bounded_broadcast(first, MAX_BROADCAST_FILES), "file", "left")
+    is_header = F.coalesce((F.col("block") == 0) & ((F.col("line_id") - F.col("_first")) < header_lines), F.lit(False))
+    out = out.withColumn("is_header", is_header).drop("_first")
     if not keep_header:
         out = out.filter(~F.col("is_header"))
     cols = ["file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
