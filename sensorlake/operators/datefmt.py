@@ -253,12 +253,15 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     bad = F.coalesce(bad_num, F.lit(False)) | F.col("Datetime").isNull()
     reason = F.when(F.col("month") > 12, "month_gt_12").when(F.col("Datetime").isNull(), "bad_timestamp") \
         .when(bad_num, "non_numeric")
-    if on_bad == "fail":
-        x = x.withColumn("_ok", F.assert_true(~bad, F.lit("bad drop line (non-numeric or impossible date)"))).drop("_ok")
     cols = ["Datetime", F.col("temp").cast("double").alias("Temperature_Celsius"),
             F.col("rh").cast("double").alias("Relative_Humidity(%)"), "Location"]
-    good = x.filter(~bad).select(*cols)
     quarantine = x.filter(bad).select("file", "line_id", "text", reason.alias("reason"))
+    if on_bad == "fail":
+        # the assertion is the only predicate, so it is evaluated on every row
+        # (NULL when it holds); a bad row fails the job
+        good = x.filter(F.assert_true(~bad, F.lit("bad drop line (non-numeric or impossible date)")).isNull())
+        return good.select(*cols), quarantine.limit(0)
+    good = x.filter(~bad).select(*cols)
     return good, quarantine
 
 

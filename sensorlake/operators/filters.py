@@ -66,7 +66,7 @@ def require_numeric(df: DataFrame, cols: Sequence[str], mode: str = "quarantine"
     for c in cols:
         bad = bad | (F.col(f"`{c}`").isNotNull() & ~is_numeric(F.col(f"`{c}`")))
     if mode == "fail":
-        return df.withColumn("_ok", F.assert_true(~bad, F.lit("non-numeric measure"))).drop("_ok")
+        return df.filter(F.assert_true(~bad, F.lit("non-numeric measure")).isNull())
     if mode == "quarantine":
         flagged = df.withColumn("_bad", bad)
         return flagged.filter(~F.col("_bad")).drop("_bad"), flagged.filter(F.col("_bad")).drop("_bad")
@@ -86,7 +86,7 @@ def month_guard(df: DataFrame, month_col: str = "month", mode: str = "fail"):
     """a parsed month > 12 fails the run (``fail``) or is split off."""
     bad = F.col(month_col) > 12
     if mode == "fail":
-        return df.withColumn("_ok", F.assert_true(~bad, F.lit("month > 12 in parsed output"))).drop("_ok")
+        return df.filter(F.assert_true(~F.coalesce(bad, F.lit(False)), F.lit("month > 12 in parsed output")).isNull())
     flagged = df.withColumn("_bad", F.coalesce(bad, F.lit(False)))
     return flagged.filter(~F.col("_bad")).drop("_bad"), flagged.filter(F.col("_bad")).drop("_bad")
 
