@@ -25,4 +25,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the catalog modules fills the registry.
-    from sensorlake.plans import catalog_agg, catalog_core, catalog_drops, catalog_io, catalog_model, catalog_quality, catalog_stream  # noqa: F401
+    from sensorlake.plans import (catalog_agg, catalog_core, catalog_drops, catalog_funcs, catalog_io,  # noqa: F401
+                                 catalog_model, catalog_quality, catalog_stream)
