@@ -91,7 +91,7 @@ def star_join(fct: DataFrame, dims: Sequence[tuple[DataFrame, str]],
 
 def as_at(fct: DataFrame, dim: DataFrame, key: Sequence[str], time_col: str = "time",
           from_col: str = "effective_from", to_col: str = "effective_to", attrs: Sequence[str] | None = None,
-          bucket: str = "year") -> DataFrame:
+          bucket: str = "year", cut_lineage: bool = False) -> DataFrame:
     """The dimension version valid at each reading's time (inner).
 
     An as-of join on the natural key (latest ``from <= t``) followed by the
@@ -101,7 +101,7 @@ def as_at(fct: DataFrame, dim: DataFrame, key: Sequence[str], time_col: str = "t
     key = list(key)
     attrs = list(attrs) if attrs is not None else [c for c in dim.columns if c not in key]
     cols = list(dict.fromkeys([from_col, to_col, *attrs]))
-    out = asof_join(fct, dim, key, time_col, from_col, cols, bucket=bucket)
+    out = asof_join(fct, dim, key, time_col, from_col, cols, bucket=bucket, cut_lineage=cut_lineage)
     return out.filter(F.col(from_col).isNotNull() & (F.col(to_col).isNull() | (F.col(time_col) < F.col(to_col))))
 
 

@@ -60,7 +60,7 @@ def fct_sensor_readings(staged: DataFrame, dims: Sequence[tuple[DataFrame, Seque
 
 
 def scd2(changes: DataFrame, key: Sequence[str], attrs: Sequence[str], time_col: str = "time",
-         bucket: str = "year") -> DataFrame:
+         bucket: str = "year", cut_lineage: bool = True) -> DataFrame:
     """effective_from / effective_to intervals per key; consecutive
     observations with unchanged attributes collapse into one version.
 
@@ -73,11 +73,11 @@ def scd2(changes: DataFrame, key: Sequence[str], attrs: Sequence[str], time_col:
     a = F.struct(*[F.col(c) for c in attrs])
     x = (changes.select(*key, F.col(time_col).alias("_t"), a.alias("_a"))
                 .groupBy(*key, "_t").agg(F.max_by("_a", F.to_json("_a")).alias("_a")))
-    prev = carry_forward(x, key, "_t", "_a", "_prev", bucket=bucket, inclusive=False)
+    prev = carry_forward(x, key, "_t", "_a", "_prev", bucket=bucket, inclusive=False, cut_lineage=cut_lineage)
     starts = prev.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_a"))).select(*key, "_t", "_a")
     # end of a version = start of the next one, carried backwards in time
     nxt = carry_forward(starts.withColumn("_tv", F.col("_t")), key, "_t", "_tv", "effective_to",
-                        bucket=bucket, inclusive=False, descending=True)
+                        bucket=bucket, inclusive=False, descending=True, cut_lineage=cut_lineage)
     return nxt.select(*key, *[F.col(f"_a.{c}").alias(c) for c in attrs], F.col("_t").alias("effective_from"),
                       "effective_to", F.col("effective_to").isNull().alias("is_current"))
 

@@ -81,7 +81,7 @@ def rank_for_upsert(df: DataFrame, key: Sequence[str], order: Sequence[Column |
 
 def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col: str, out_col: str,
                   bucket: str = "month", tie_col: str | None = None, inclusive: bool = True,
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, cut_lineage: bool = False) -> DataFrame:
     """Last non-NULL ``value_col`` at or before each row of the same series.
 
     The skew-safe form of ``last(value, ignorenulls) over (partition by
@@ -91,6 +91,8 @@ def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col
     ``tie_col`` orders rows with equal time (ascending; later wins).
     ``inclusive=False`` looks strictly before the row; ``descending=True``
     walks backwards in time (the next value instead of the previous one).
+    ``cut_lineage`` materialises the windowed frame once (checkpoint) so that
+    an expensive input is not recomputed by the summary branch.
     """
     series = list(series)
     b = df.withColumn("_b", trunc(time_col, bucket))
@@ -99,21 +101,26 @@ def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*series, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     inner = b.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    okey = F.struct(*cols)
+    if cut_lineage:
+        from sensorlake.session import materialize
+        inner = materialize(inner)
+    # One summary row per (series, bucket), taken from the windowed frame itself:
+    # it is already hash-partitioned by (series, bucket), so the aggregate and
+    # the join back add no exchange of the large side.
+    okey = F.struct(*cols) if tie_col else F.col(time_col)   # primitive key keeps the hash aggregate
     pick = F.min_by if descending else F.max_by
-    summary = (b.filter(F.col(value_col).isNotNull()).groupBy(*series, "_b")
-                .agg(pick(F.col(value_col), okey).alias("_last")))
-    # every bucket of the series takes the value of the nearest bucket before it
+    summary = inner.groupBy(*series, "_b").agg(
+        pick(F.col(value_col), F.when(F.col(value_col).isNotNull(), okey)).alias("_last"))
+    # every bucket takes the value of the nearest bucket before it
     border = F.desc("_b") if descending else F.asc("_b")
     sw = Window.partitionBy(*series).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    allb = b.select(*series, "_b").distinct().join(summary, [*series, "_b"], "left")
-    allb = allb.withColumn("_carry", F.last("_last", ignorenulls=True).over(sw))
-    out = inner.join(allb.select(*series, "_b", "_carry"), [*series, "_b"], "inner")
+    summary = summary.withColumn("_carry", F.last("_last", ignorenulls=True).over(sw)).drop("_last")
+    out = inner.join(summary, [*series, "_b"], "inner")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry"))).drop("_b", "_carry")
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str,
-              right_cols: Sequence[str], bucket: str = "month") -> DataFrame:
+              right_cols: Sequence[str], bucket: str = "month", cut_lineage: bool = False) -> DataFrame:
     """Each left row gets the right row of the same key with the latest
     ``right_time <= left_time`` (NULLs when none) -- without emitting
     left x right pairs per key: both sides are unioned and the right row is
@@ -125,6 +132,6 @@ def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time:
                     F.lit(None).cast(right.select(payload).schema[0].dataType).alias("_r"))
     r = right.select(*key, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), payload)
     both = l.unionByName(r, allowMissingColumns=True)
-    carried = carry_forward(both, key, "_t", "_r", "_rc", bucket=bucket, tie_col="_side")
+    carried = carry_forward(both, key, "_t", "_r", "_rc", bucket=bucket, tie_col="_side", cut_lineage=cut_lineage)
     out = carried.filter(F.col("_side") == 1)
     return out.select(*left.columns, *[F.col(f"_rc.{c}").alias(c) for c in rcols])

@@ -65,3 +65,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/sensorlake-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Cut the lineage of a frame that several branches of a plan read.
+
+    Writes it once to the shared checkpoint folder (``spark.checkpoint.dir``,
+    survives executor loss) and returns a frame backed by those files; the
+    physical partitioning is kept, so later joins/aggregations on the same
+    keys add no exchange.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    # persisted first, or writing the checkpoint would compute the frame a second time
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
