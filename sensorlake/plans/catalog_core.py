@@ -18,8 +18,8 @@ from sensorlake.plans.tables import AS_OF, table
 # The wide export is lineitem: `date` + one text column per signal.
 SIGNALS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # Signal map seed: l_tax is left out on purpose (unmapped signal).
-SIGNAL_MAP = [("l_quantity", "sm2_01", "qty"), ("l_extendedprice", "sm2_02", "price"),
-              ("l_discount", "sm2_03", "discount")]
+SIGNAL_MAP = [("l_quantity", "unit_01", "qty"), ("l_extendedprice", "unit_02", "price"),
+              ("l_discount", "unit_03", "discount")]
 SIGNAL_MAP_SQL = ("(SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in SIGNAL_MAP)
                   + ") AS m(data_key_original, location, data_key))")
 HISTORY_MONTHS = 24
@@ -179,7 +179,7 @@ def q_retain_months(spark, d):
 
 
 # Source-parameter rows as in the sources seed: the latest start wins.
-SOURCES = [("fact.csv", "Atrea", 4), ("fact.csv", "Atrea-old", 9), ("other.csv", "X", 40)]
+SOURCES = [("fact.csv", "Vent", 4), ("fact.csv", "Vent-old", 9), ("other.csv", "X", 40)]
 
 
 @register("retain_months_params", "SELECT * FROM " + ORDERS_TS_SQL + " t WHERE time >= "
@@ -287,10 +287,10 @@ def q_rename_values(spark, d):
 
 
 @register("attach_source", "SELECT o.o_orderkey, o.o_orderpriority AS file_nm, s.source FROM orders o JOIN "
-          "(SELECT * FROM (VALUES ('1-URGENT', 'Atrea'), ('2-HIGH', 'ThermoPro'), ('3-MEDIUM', 'ThermoPro')) "
+          "(SELECT * FROM (VALUES ('1-URGENT', 'Vent'), ('2-HIGH', 'Logger'), ('3-MEDIUM', 'Logger')) "
           "AS t(file_nm, source)) s ON o.o_orderpriority = s.file_nm")
 def q_attach_source(spark, d):
-    ms = spark.createDataFrame([("1-URGENT", "Atrea", 4), ("2-HIGH", "ThermoPro", 2), ("3-MEDIUM", "ThermoPro", 2)],
+    ms = spark.createDataFrame([("1-URGENT", "Vent", 4), ("2-HIGH", "Logger", 2), ("3-MEDIUM", "Logger", 2)],
                                "file_nm string, source_nm string, history int")
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("file_nm"))
     return jn.attach_source(o, ms)

@@ -2,7 +2,7 @@
 user, read back and run through date-format detection and parsing.
 
 Rendering (Spark, written under the shared checkpoint folder):
-* file ``ThermoPro_<HEX4 of user_id>_export.csv``; users with
+* file ``Logger_<HEX4 of user_id>_export.csv``; users with
   ``user_id % 50 = 7`` get a name without a sensor id;
 * two header lines, then the user's events in time order; events with
   ``event_id % 31 = 0`` are appended at the end (late lines, order breaks);
@@ -52,7 +52,7 @@ def _render_drops(spark, d) -> str:
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     hex4 = F.upper(F.lpad(F.hex(uid), 4, "0"))
     drop = F.when(uid % 50 == 7, F.concat(F.lit("Sensor_u"), uid.cast("string"), F.lit("_export.csv"))) \
-        .otherwise(F.concat(F.lit("ThermoPro_"), hex4, F.lit("_export.csv")))
+        .otherwise(F.concat(F.lit("Logger_"), hex4, F.lit("_export.csv")))
     date_t = F.when(uid % 2 == 0, F.date_format(ts, "dd/MM/yyyy")).otherwise(F.date_format(ts, "MM/dd/yyyy"))
     time_t = F.when(eid % 3 == 0, F.date_format(ts, "H:mm")).otherwise(F.date_format(ts, "H:mm:ss"))
     hundredths = F.round(F.col("value") * 100).cast("long")
@@ -65,7 +65,7 @@ def _render_drops(spark, d) -> str:
                      eid.alias("k3"), F.concat(body, crlf).alias("value"), uid)
     users = ev.select("user_id").distinct()
     heads = users.select(drop.alias("drop"), F.explode(F.array(
-        F.struct(F.lit(0).alias("k3"), F.lit("ThermoPro export v1").alias("value")),
+        F.struct(F.lit(0).alias("k3"), F.lit("Logger export v1").alias("value")),
         F.struct(F.lit(1).alias("k3"), F.lit("Date,Time,Temperature_Celsius,Relative_Humidity(%)").alias("value")))).alias("h"),
         "user_id").select("drop", F.lit(0).alias("k1"), F.lit(None).cast("timestamp_ntz").alias("k2"),
                           F.col("h.k3").cast("long").alias("k3"), F.concat(F.col("h.value"), crlf).alias("value"), "user_id")
@@ -77,7 +77,7 @@ def _render_drops(spark, d) -> str:
 
 SRC_SQL = """(SELECT user_id, event_id, ts, value,
   CASE WHEN user_id % 50 = 7 THEN 'Sensor_u' || CAST(user_id AS VARCHAR) || '_export.csv'
-       ELSE 'ThermoPro_' || printf('%04X', user_id) || '_export.csv' END AS file_name,
+       ELSE 'Logger_' || printf('%04X', user_id) || '_export.csv' END AS file_name,
   CASE WHEN user_id % 50 = 7 THEN NULL ELSE printf('%04X', user_id) END AS sensor,
   CASE WHEN user_id % 2 = 0 THEN 'DMY' ELSE 'MDY' END AS true_fmt,
   event_id % 29 <> 0 AS valid,

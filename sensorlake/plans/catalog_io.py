@@ -41,8 +41,8 @@ def write_csv(df, path, **opts):
 
 # ---------------------------------------------------------------- wide export and fact files
 # Signal columns are written under export-style names (spaces, '/', '|', degree sign).
-EXPORT_NAMES = {"l_quantity": "KOT1/VZT 01 | qty (°C)", "l_extendedprice": "KOT1/VZT 02 | price (°C)",
-                "l_discount": "KOT1/VZT 03 | discount (°C)", "l_tax": "KOT1/Teplota venkovní (°C)"}
+EXPORT_NAMES = {"l_quantity": "AHU/unit 01 | qty (°C)", "l_extendedprice": "AHU/unit 02 | price (°C)",
+                "l_discount": "AHU/unit 03 | discount (°C)", "l_tax": "AHU/outdoor temperature (°C)"}
 
 
 def render_wide(spark, d):
@@ -264,6 +264,8 @@ def q_write_multi_grain(spark, d):
 
 
 # ---------------------------------------------------------------- per-location files, registry, landing, JSON
+# Measure columns of the archived per-location export files
+# (outdoor, intake, exhaust, supply, in that order in the files).
 PER_LOC = {"l_quantity": "venkov", "l_extendedprice": "sani", "l_discount": "odvod", "l_tax": "privod"}
 
 

@@ -56,11 +56,11 @@ def test_reload_exports_later_file_wins_and_skips_empty(spark, tmpdir_path):
 
 def test_seed_row_order_and_rename_last_wins(spark, tmpdir_path):
     from sensorlake.operators.joins import rename_values
-    write(f"{tmpdir_path}/location_map.csv", "from,to\nSM2_01,1NP-S1\nSM2_01,1NP-S9\nSM2_02,2NP-S2\n")
+    write(f"{tmpdir_path}/location_map.csv", "from,to\nU_01,1NP-S1\nU_01,1NP-S9\nU_02,2NP-S2\n")
     m = src.read_seed(spark, f"{tmpdir_path}/location_map.csv", "location_map")
-    df = spark.createDataFrame([("SM2_01",), ("SM2_02",), ("sm2_05",)], "location string")
+    df = spark.createDataFrame([("U_01",), ("U_02",), ("u_05",)], "location string")
     got = sorted(r[0] for r in rename_values(df, m, order_col="_row").collect())
-    assert got == ["1NP-S9", "2NP-S2", "sm2_05"]
+    assert got == ["1NP-S9", "2NP-S2", "u_05"]
 
 
 def test_write_monthly_rewrites_only_present_months(spark, tmpdir_path):
