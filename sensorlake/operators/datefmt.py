@@ -79,6 +79,15 @@ def _in_block(x: DataFrame) -> DataFrame:
              .withColumn("_pd", F.last("ts_dmy", ignorenulls=True).over(w)))
 
 
+def _positions(lines: DataFrame, header_lines: int) -> DataFrame:
+    """Header flags from the line position inside block 0 (same window spec
+    as the evidence pass, so no extra exchange)."""
+    if "is_header" in lines.columns:
+        return lines
+    pos = F.row_number().over(Window.partitionBy("file", "block").orderBy("line_id")) - 1
+    return lines.withColumn("is_header", (F.col("block") == 0) & (pos < header_lines))
+
+
 def _first_last(col: str) -> list[Column]:
     key = F.when(F.col(col).isNotNull(), F.col("line_id"))
     return [F.min_by(F.col(col), key).alias(f"_first_{col}"), F.max_by(F.col(col), key).alias(f"_last_{col}")]
@@ -115,7 +124,7 @@ def _bits(c: Column, lo: int) -> Column:
     return F.when(inside, F.pow(F.lit(2.0), c - lo).cast("long"))   # exact: powers of two below 2^63
 
 
-def date_evidence(lines: DataFrame) -> DataFrame:
+def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
     """A06 (+W02): per file -- data lines, valid lines, distinct first/second
     parts, DMY/MDY hints, order breaks in each reading, last valid line.
 
@@ -125,10 +134,10 @@ def date_evidence(lines: DataFrame) -> DataFrame:
     reading, last valid line); the few rows per file are then combined --
     including the breaks at block starts -- without moving any line again.
     """
-    x = _in_block(_with_readings(split_fields(lines)))
+    x = _in_block(_with_readings(split_fields(_positions(lines, header_lines))))
     v = F.col("valid")
     p1, p2 = F.col("p1"), F.col("p2")
-    data = ~F.col("is_header") if "is_header" in lines.columns else F.lit(True)
+    data = ~F.col("is_header")
     blocks = x.groupBy("file", "file_name", "block").agg(
         count_if(data).alias("n_lines"),
         count_if(v).alias("n_valid"),
@@ -140,6 +149,7 @@ def date_evidence(lines: DataFrame) -> DataFrame:
         count_if(F.col("ts_mdy") < F.col("_pm")).alias("in_mdy"),
         *_first_last("ts_mdy"), *_first_last("ts_dmy"),
         F.max_by(F.struct("p1", "p2", "y"), F.when(v, F.col("line_id"))).alias("_last_line"),
+        F.min("line_id").alias("_first_id"),
     )
     blocks = _carry(blocks)
     pops = [F.bit_count(F.coalesce(F.bit_or(c), F.lit(0).cast("long"))) for c in ("m1a", "m1b", "m2a", "m2b")]
@@ -153,6 +163,7 @@ def date_evidence(lines: DataFrame) -> DataFrame:
         (F.sum("in_dmy") + count_if(F.col("_first_ts_dmy") < F.col("_carry_dmy"))).alias("breaks_dmy"),
         (F.sum("in_mdy") + count_if(F.col("_first_ts_mdy") < F.col("_carry_mdy"))).alias("breaks_mdy"),
         F.max_by(F.col("_last_line"), F.when(F.col("_last_line").isNotNull(), F.col("block"))).alias("last"),
+        F.min(F.when(F.col("block") == 0, F.col("_first_id"))).alias("first_line_id"),
     )
 
 
@@ -211,18 +222,21 @@ def decide(evidence: DataFrame, today: _dt.date | str, strict: bool = True, defa
 
 
 def detect_date_format(lines: DataFrame, today, strict: bool = True, default: str = "DMY",
-                       force: str | None = None) -> DataFrame:
+                       force: str | None = None, header_lines: int = 2) -> DataFrame:
     """One decision row per file: (file, file_name, sensor, fmt, rule, evidence...).
 
-    ``lines`` must include header lines (``read_sensor_drops(keep_header=True)``)
-    so that files with no data line are still listed (rule ``empty``).
+    ``lines`` must include the header lines (``drop_lines`` or
+    ``read_sensor_drops(keep_header=True)``) so that files with no data line
+    are still listed (rule ``empty``). ``first_line_id`` lets ``parse_drops``
+    skip the headers without another pass over the text.
     """
-    ev = date_evidence(lines)
+    ev = date_evidence(lines, header_lines)
     ev = ev.withColumn("sensor", sensor_id(F.col("file_name")))
     out = decide(ev, today, strict, default, force)
     return out.select("file", "file_name", "sensor", "fmt", "rule", "n_lines", "n_valid", "uniq_p1", "uniq_p2",
                       "hint_dmy", "hint_mdy", "breaks_dmy", "breaks_mdy",
-                      F.col("last.p1").alias("last_p1"), F.col("last.p2").alias("last_p2"), F.col("last.y").alias("last_y"))
+                      F.col("last.p1").alias("last_p1"), F.col("last.p2").alias("last_p2"), F.col("last.y").alias("last_y"),
+                      "first_line_id")
 
 
 def _tokens(lines: DataFrame) -> DataFrame:
@@ -233,7 +247,7 @@ def _tokens(lines: DataFrame) -> DataFrame:
              .withColumn("had_both", F.col("temp").isNull() & F.col("rh").isNull()))
 
 
-def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine"):
+def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine", header_lines: int = 2):
     """Valid lines -> (Datetime, Temperature_Celsius, Relative_Humidity(%), Location).
 
     Day/month follow the file's decided format; null tokens become NULL;
@@ -242,8 +256,14 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     fail the job with ``on_bad='fail'``). Files whose format is not
     DMY/MDY are not parsed. Returns (good, quarantine).
     """
-    fmt = decisions.filter(F.col("fmt").isin(*FORMATS)).select("file", "fmt", F.col("sensor").alias("Location"))
-    x = _tokens(lines).join(bounded_broadcast(fmt, MAX_BROADCAST_FILES), "file")
+    fmt = decisions.filter(F.col("fmt").isin(*FORMATS)).select("file", "fmt", F.col("sensor").alias("Location"),
+                                                              "first_line_id")
+    x = lines.join(bounded_broadcast(fmt, MAX_BROADCAST_FILES), "file")
+    if "is_header" in x.columns:
+        x = x.filter(~F.col("is_header")).drop("is_header")
+    else:   # headers: the first lines of block 0, located by the detection pass
+        x = x.filter(~((F.col("block") == 0) & (F.col("line_id") - F.col("first_line_id") < header_lines)))
+    x = _tokens(x)
     dmy = F.col("fmt") == "DMY"
     day = F.when(dmy, F.col("p1")).otherwise(F.col("p2"))
     month = F.when(dmy, F.col("p2")).otherwise(F.col("p1"))
@@ -283,10 +303,14 @@ def sensor_health(lines: DataFrame) -> DataFrame:
 
 def merge_drops(spark, path: str, today, strict: bool = True, default: str = "DMY", force: str | None = None,
                 on_bad: str = "quarantine"):
-    """Entry 2 front half: drops -> merged indoor table (+ decisions, quarantine)."""
-    from sensorlake.sources.files import read_sensor_drops
-    lines = read_sensor_drops(spark, path, keep_header=True)
+    """Entry 2 front half: drops -> merged indoor table (+ decisions, quarantine).
+
+    Two passes over the text: detection (one shuffle of the lines), then
+    parsing (lines joined with the broadcast per-file decisions, no shuffle).
+    """
+    from sensorlake.sources.files import drop_lines
+    lines = drop_lines(spark, path)
     decisions = detect_date_format(lines, today, strict, default, force)
-    good, quarantine = parse_drops(lines.filter(~F.col("is_header")).drop("is_header"), decisions, on_bad)
+    good, quarantine = parse_drops(lines, decisions, on_bad)
     return good, decisions, quarantine
 

@@ -38,11 +38,10 @@ def map_sensors(df: DataFrame, mapping_indoor: DataFrame, sensor_col: str = "Loc
 def with_scalar(df: DataFrame, params: DataFrame) -> DataFrame:
     """Attach a one-row parameter frame to every row.
 
-    The parameter frame is reduced to exactly one row first (an aggregate
-    without grouping), so the broadcast is proven to be one row.
+    Each parameter becomes an uncorrelated scalar subquery (evaluated once,
+    reduced with ``max`` so it is provably one value); no join is planned.
     """
-    one = params.agg(*[F.max(c).alias(c) for c in params.columns])
-    return df.crossJoin(F.broadcast(one))
+    return df.withColumns({c: params.select(F.max(c)).scalar() for c in params.columns})
 
 
 def rename_values(df: DataFrame, mapping: DataFrame, col: str = "location", from_col: str = "from",

@@ -24,7 +24,7 @@ from sensorlake.operators.ordering import head_tail
 from sensorlake.plans.registry import register
 from sensorlake.plans.tables import table
 from sensorlake.session import scratch_path
-from sensorlake.sources.files import read_sensor_drops
+from sensorlake.sources.files import drop_lines, read_sensor_drops
 
 TODAY = "2024-01-31"
 FAR_TODAY = "2030-01-01"
@@ -186,7 +186,7 @@ def q_sensor_id_from_file(spark, d):
 @register("date_evidence", drops_sql("SELECT file_name, n_lines, n_valid, uniq_p1, uniq_p2, hint_dmy, hint_mdy, "
                                      "breaks_dmy, breaks_mdy, last_p1, last_p2, last_y FROM ev"))
 def q_date_evidence(spark, d):
-    ev = dfm.date_evidence(_lines(spark, d))
+    ev = dfm.date_evidence(_lines(spark, d), header_lines=0)    # headers already removed by the reader
     return ev.select("file_name", "n_lines", "n_valid", "uniq_p1", "uniq_p2", "hint_dmy", "hint_mdy", "breaks_dmy",
                      "breaks_mdy", F.col("last.p1").alias("last_p1"), F.col("last.p2").alias("last_p2"),
                      F.col("last.y").alias("last_y"))
@@ -216,12 +216,13 @@ def q_head_tail(spark, d):
 
 @register("detect_date_format", drops_sql("SELECT " + DEC_COLS + " FROM dec"))
 def q_detect_date_format(spark, d):
-    return dfm.detect_date_format(_lines(spark, d, keep_header=True), TODAY).drop("file")
+    return dfm.detect_date_format(drop_lines(spark, render_drops(spark, d)), TODAY).drop("file", "first_line_id")
 
 
 @register("detect_date_format_fallback", drops_sql("SELECT " + DEC_COLS + " FROM dec", today=FAR_TODAY, strict=False))
 def q_detect_date_format_fallback(spark, d):
-    return dfm.detect_date_format(_lines(spark, d, keep_header=True), FAR_TODAY, strict=False).drop("file")
+    lines = read_sensor_drops(spark, render_drops(spark, d), keep_header=True)   # header flags given up front
+    return dfm.detect_date_format(lines, FAR_TODAY, strict=False).drop("file", "first_line_id")
 
 
 PARSED_SQL = ("(SELECT s.*, d.fmt, CASE WHEN d.fmt = 'DMY' THEN s.p2 ELSE s.p1 END AS month, "
@@ -239,9 +240,9 @@ def _tok_sql(c):
     "(temp IS NULL OR regexp_matches(temp, '^-?[0-9]+([.][0-9]+)?$')) AND "
     "(rh IS NULL OR regexp_matches(rh, '^-?[0-9]+([.][0-9]+)?$')) AND " + vday("day", "month")))
 def q_parse_drops(spark, d):
-    lines = _lines(spark, d, keep_header=True)
+    lines = drop_lines(spark, render_drops(spark, d))
     dec = dfm.detect_date_format(lines, TODAY)
-    good, _ = dfm.parse_drops(lines.filter("NOT is_header").drop("is_header"), dec)
+    good, _ = dfm.parse_drops(lines, dec)
     return good
 
 
@@ -250,9 +251,9 @@ def q_parse_drops(spark, d):
     "((temp IS NULL OR regexp_matches(temp, '^-?[0-9]+([.][0-9]+)?$')) AND "
     "(rh IS NULL OR regexp_matches(rh, '^-?[0-9]+([.][0-9]+)?$')))"))
 def q_require_numeric(spark, d):
-    lines = _lines(spark, d, keep_header=True)
+    lines = drop_lines(spark, render_drops(spark, d))
     dec = dfm.detect_date_format(lines, TODAY)
-    _, bad = dfm.parse_drops(lines.filter("NOT is_header").drop("is_header"), dec)
+    _, bad = dfm.parse_drops(lines, dec)
     return bad.join(lines.select("file", "file_name").distinct(), "file").select("file_name", "text", "reason")
 
 
@@ -260,9 +261,9 @@ def q_require_numeric(spark, d):
     "SELECT file_name, text FROM (SELECT s.*, s.p1 AS month FROM src s JOIN dec d USING (file_name) WHERE s.valid AND "
     "d.fmt IN ('DMY', 'MDY') AND NOT (s.temp IS NULL AND s.rh IS NULL)) p WHERE month > 12", force="MDY"))
 def q_month_guard(spark, d):
-    lines = _lines(spark, d, keep_header=True)
+    lines = drop_lines(spark, render_drops(spark, d))
     dec = dfm.detect_date_format(lines, TODAY, force="MDY")
-    _, bad = dfm.parse_drops(lines.filter("NOT is_header").drop("is_header"), dec)
+    _, bad = dfm.parse_drops(lines, dec)
     return (bad.filter(F.col("reason") == "month_gt_12").join(lines.select("file", "file_name").distinct(), "file")
                .select("file_name", "text"))
 

@@ -357,9 +357,7 @@ def q_schema_diff(spark, d):
     "o_orderdate, 'old', 'temp_indoor', o_totalprice FROM orders) f WHERE time >= TIMESTAMP '2023-12-01'"))
 def q_indoor_facts(spark, d):
     """Entry 2: drops -> detect -> parse -> sensor map -> facts -> merge history -> retain."""
-    lines = read_sensor_drops(spark, render_drops(spark, d), keep_header=True)
-    dec = dfm.detect_date_format(lines, "2024-01-31")
-    merged, _ = dfm.parse_drops(lines.filter("NOT is_header").drop("is_header"), dec)
+    merged, _, _ = dfm.merge_drops(spark, render_drops(spark, d), "2024-01-31")
     ev = table(spark, d, "events").select("user_id").distinct()
     mapping = ev.select(F.upper(F.lpad(F.hex("user_id"), 4, "0")).alias("sensor"),
                         F.concat((F.col("user_id") % 5 + 1).cast("string"), F.lit("NP-S"),

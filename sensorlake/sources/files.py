@@ -72,6 +72,15 @@ def logical_file_name(path_col) -> "F.Column":
 MAX_BROADCAST_FILES = 1_000_000
 
 
+def drop_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Device drop files as positioned lines (file, file_name, block, line_id,
+    text), BOM stripped, headers not yet identified: the detection pass
+    finds them inside its own window (no extra read of the text)."""
+    lines = read_lines(spark, path)
+    return lines.select("file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
+                        strip_bom(F.col("text")).alias("text"))
+
+
 def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, keep_header: bool = False) -> DataFrame:
     """Device drop files -> lines (file, file_name, block, line_id, text[, is_header]).
 

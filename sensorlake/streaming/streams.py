@@ -60,20 +60,14 @@ def drops_batch_writer(out_path: str, today, strict: bool = True, default: str =
     """foreachBatch body for T01: each micro-batch holds whole files, so the
     batch detection and parsing (D01/D02) run on it unchanged."""
     def run(batch: DataFrame, epoch: int) -> None:
-        from pyspark.sql import Window
-
         from sensorlake.functions.text import strip_bom
         from sensorlake.operators.datefmt import detect_date_format, parse_drops
         from sensorlake.sources.files import logical_file_name
-        lines = batch.withColumn("line_id", F.monotonically_increasing_id()) \
-                     .withColumn("text", F.regexp_replace("value", "\r$", ""))
-        w = Window.partitionBy("file", "block")
-        lines = lines.withColumn("is_header", (F.col("block") == 0)
-                                 & ((F.col("line_id") - F.min("line_id").over(w)) < header_lines))
-        lines = lines.select("file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
-                             strip_bom(F.col("text")).alias("text"), "is_header")
-        dec = detect_date_format(lines, today, strict, default)
-        good, _ = parse_drops(lines.filter(~F.col("is_header")).drop("is_header"), dec)
+        lines = batch.select("file", logical_file_name(F.col("file")).alias("file_name"), "block",
+                             F.monotonically_increasing_id().alias("line_id"),
+                             strip_bom(F.regexp_replace("value", "\r$", "")).alias("text"))
+        dec = detect_date_format(lines, today, strict, default, header_lines=header_lines)
+        good, _ = parse_drops(lines, dec, header_lines=header_lines)
         good.withColumn("_batch", F.lit(epoch)).write.mode("append").parquet(out_path)
     return run
 
