@@ -26,19 +26,28 @@ def retention_start(history, as_of=None) -> Column:
 
 
 def retain_months(df: DataFrame, history, as_of=None, col: str = "time",
-                  params: DataFrame | None = None) -> DataFrame:
+                  params: DataFrame | None = None, lazy_bound: bool = False) -> DataFrame:
     """keep ``col >= month_start(as_of) - (history-1) months``.
 
     ``history`` is an int, or pass ``params`` (rows with a ``history`` column,
     e.g. the sources seed filtered to one file); the latest start among them
-    wins and no row gives a NULL bound, hence an empty result. The bound is an
-    uncorrelated scalar subquery, so it still reaches the Parquet scan.
+    wins and no row gives a NULL bound, hence an empty result.
+
+    With ``params`` the bound is one aggregated value of a configuration
+    table, resolved on the driver so that it reaches the Parquet scan as a
+    pushed filter (row-group skipping on time). ``lazy_bound=True`` keeps it
+    as an uncorrelated scalar subquery instead (evaluated once at run time,
+    applied as a scan data filter).
     """
     if params is not None:
-        bound = params.select(F.max(retention_start(F.col("history"), as_of)).alias("start_ts")).scalar()
-    else:
-        bound = retention_start(history, as_of)
-    return df.filter(F.col(col) >= bound)
+        start = params.select(F.max(retention_start(F.col("history"), as_of)).alias("start_ts"))
+        if lazy_bound:
+            return df.filter(F.col(col) >= start.scalar())
+        value = start.first()[0]
+        if value is None:
+            return df.filter(F.lit(False))
+        return df.filter(F.col(col) >= ts_literal(value))
+    return df.filter(F.col(col) >= retention_start(history, as_of))
 
 
 def for_measurement(df: DataFrame, m: str, col: str = "measurement") -> DataFrame:
