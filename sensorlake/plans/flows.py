@@ -38,7 +38,11 @@ def ventilation_fact(wide: DataFrame, mapping: DataFrame, old_fact: DataFrame, h
     cols = mapped_columns(mapping) if prune_unmapped else None
     if cols is not None:
         cols = [c for c in cols if c in wide.columns and c != date_col]
-    narrow = wide_to_narrow(all_to_string(wide), ids=[date_col], columns=cols)
+    values = cols if cols is not None else [c for c in wide.columns if c != date_col]
+    # One unpivot needs one value type: text when the signals disagree (as a
+    # CSV export always does), otherwise the typed columns go through as they are.
+    same_type = len({wide.schema[c].dataType for c in values}) <= 1
+    narrow = wide_to_narrow(wide if same_type else all_to_string(wide), ids=[date_col], columns=cols)
     facts = map_signals(narrow, mapping, time_col=date_col).withColumn("time", strict_ts("time"))
     merged = merge_history(facts.select(FACT_COLS), old_fact, value_type=value_type)
     return retain_months(merged, history, as_of, params=params)
