@@ -68,7 +68,10 @@ def drops_batch_writer(out_path: str, today, strict: bool = True, default: str =
                              strip_bom(F.regexp_replace("value", "\r$", "")).alias("text"))
         dec = detect_date_format(lines, today, strict, default, header_lines=header_lines)
         good, _ = parse_drops(lines, dec, header_lines=header_lines)
-        good.withColumn("_batch", F.lit(epoch)).write.mode("append").parquet(out_path)
+        # one partition per micro-batch, overwritten on a retry: a re-executed
+        # batch (foreachBatch is at-least-once) cannot duplicate rows
+        (good.withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out_path))
     return run
 
 
@@ -95,7 +98,8 @@ def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], ti
     """foreachBatch body for T04: the batch is merged with the month
     partitions it touches (read with partition pruning) and only those
     months are rewritten (dynamic partition overwrite). The merged result is
-    checkpointed to cut the read-then-overwrite lineage."""
+    checkpointed to cut the read-then-overwrite lineage. Idempotent: a
+    re-executed batch upserts the same rows again and yields the same months."""
     def run(batch: DataFrame, epoch: int) -> None:
         b = batch.withColumn("year_month", year_month(time_col))
         spark = b.sparkSession
@@ -108,9 +112,9 @@ def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], ti
             old = existing.join(F.broadcast(touched), list(partition_cols), "left_semi") \
                 if len(partition_cols) else existing
             merged = upsert(old.select(b.columns), b, [*key], order)
-            from sensorlake.session import checkpoint_dir
-            checkpoint_dir(spark)
-            merged = merged.checkpoint()
+            # the months are read and then overwritten: materialise first
+            from sensorlake.session import materialize
+            merged = materialize(merged)
         else:
             merged = upsert(b, None, [*key], order)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

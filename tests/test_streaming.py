@@ -63,3 +63,14 @@ def test_session_spans(spark):
                          path=out, mode="append")
     got = sorted((str(r["session_start"]), r["n"]) for r in spark.read.parquet(out).collect())
     assert got == [("2024-01-01 00:05:00", 3), ("2024-01-01 10:05:00", 2)]   # the last session is still open
+
+
+def test_batch_writers_are_idempotent_on_retry(spark):
+    """foreachBatch is at-least-once: running the same epoch twice must not change the result."""
+    out = scratch_path(spark, "t_idem")
+    batch = spark.createDataFrame(rows(range(0, 5)), SCHEMA)
+    w = st.upsert_months_writer(out, ["time", "measurement", "location", "source", "data_key"], ["data_value"])
+    w(batch, 0)
+    first = sorted(map(tuple, spark.read.parquet(out).collect()))
+    w(batch, 0)
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == first
