@@ -43,22 +43,35 @@ def future_rows(df: DataFrame, as_of, col: str = "time") -> DataFrame:
     return df.filter(F.col(col) > ts_literal(as_of))
 
 
-def null_ratio(df: DataFrame, cols: Sequence[str], threshold: float = 0.05, by: Sequence[str] = ()) -> DataFrame:
-    """Q08: per column (and group) NULL count, total, ratio and pass/fail -- one aggregate."""
+def _per_group(value, by: Sequence[str], default):
+    """A threshold as a Column: a scalar, or {group value: threshold} on the first ``by`` column."""
+    if isinstance(value, Mapping):
+        m = F.create_map(*[x for k, v in value.items() for x in (F.lit(k), F.lit(v))])
+        return F.coalesce(m[F.col(by[0])], F.lit(default))
+    return F.lit(value)
+
+
+def null_ratio(df: DataFrame, cols: Sequence[str], threshold: float | Mapping = 0.05, by: Sequence[str] = (),
+               default_threshold: float = 0.05) -> DataFrame:
+    """Q08: per column (and group) NULL count, total, ratio and pass/fail -- one aggregate.
+
+    ``threshold`` may be a map keyed by the first ``by`` column (e.g. a
+    per-source limit: 5 % for one source, 2 % for another)."""
     aggs = [F.count(F.lit(1)).alias("_total")] + [count_if(F.col(c).isNull()).alias(c) for c in cols]
     wide = df.groupBy(*by).agg(*aggs)
     long = wide.unpivot([*by, "_total"], list(cols), "column", "null_count")
     ratio = F.when(F.col("_total") > 0, F.col("null_count") / F.col("_total")).otherwise(F.lit(0.0))
+    limit = _per_group(threshold, by, default_threshold)
     return long.select(*by, "column", "null_count", F.col("_total").alias("total"), ratio.alias("null_ratio"),
-                       F.when(ratio > threshold, "fail").otherwise("pass").alias("status"))
+                       F.when(ratio > limit, "fail").otherwise("pass").alias("status"))
 
 
-def row_count_between(df: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Q09: one row: count and pass/fail against [lo, hi]."""
-    n = F.count(F.lit(1))
-    return df.agg(n.alias("row_count")).select(
-        "row_count", F.lit(lo).alias("min_rows"), F.lit(hi).alias("max_rows"),
-        F.when(F.col("row_count").between(lo, hi), "pass").otherwise("fail").alias("status"))
+def row_count_between(df: DataFrame, lo: int | Mapping, hi: int | Mapping, by: Sequence[str] = ()) -> DataFrame:
+    """Q09: row count (per group) and pass/fail against [lo, hi] (scalars or per-group maps)."""
+    out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+    lo_c, hi_c = _per_group(lo, by, 0), _per_group(hi, by, 1 << 62)
+    return out.select(*by, "row_count", lo_c.alias("min_rows"), hi_c.alias("max_rows"),
+                      F.when(F.col("row_count").between(lo_c, hi_c), "pass").otherwise("fail").alias("status"))
 
 
 def value_between(df: DataFrame, col: str, lo, hi) -> DataFrame:

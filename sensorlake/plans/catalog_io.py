@@ -258,11 +258,38 @@ def q_read_public(spark, d):
     "round(stddev_samp(data_value), 6) AS std, count(data_value) AS n FROM readings GROUP BY 2, location, data_key"))
 def q_write_multi_grain(spark, d):
     r = readings(spark, d)
-    frames = {"raw": r, "hourly": resample(r), "monthly": multi_grain(r, ["month"], ["location", "data_key"])}
+    from sensorlake.operators.aggregates import hierarchy_rollup
+    frames = {"raw": r, "hourly": resample(r), "monthly": multi_grain(r, ["month"], ["location", "data_key"]),
+              "hierarchy": hierarchy_rollup(r.withColumn("floor", F.left("location", F.lit(3))),
+                                            ["source", "floor", "location"])}
     paths = snk.write_multi_grain(frames, scratch_path(spark, "grains"))
     return spark.read.parquet(paths["monthly"]).withColumn("std", F.round("std", 6))
 
 
+# ---------------------------------------------------------------- source by originating file
+FILE_OF = [("1-URGENT", "fact.csv"), ("2-HIGH", "fact_indoor_humidity.csv"), ("3-MEDIUM", "fact_indoor_temperature.csv")]
+SOURCES_SEED = [("fact.csv", "Vent", 4), ("fact_indoor_humidity.csv", "Logger", 2),
+                ("fact_indoor_temperature.csv", "Logger", 2)]
+
+
+@register("attach_source_files", "SELECT o_orderkey, o_totalprice, CASE o_orderpriority WHEN '1-URGENT' THEN 'Vent' "
+          "ELSE 'Logger' END AS source FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')")
+def q_attach_source_files(spark, d):
+    """Facts exported to several files; each row takes the source of its file
+    (files missing from the sources seed drop out)."""
+    from sensorlake.operators.joins import attach_source
+    o = table(spark, d, "orders")
+    fname = F.coalesce(*[F.when(F.col("o_orderpriority") == p, F.lit(f)) for p, f in FILE_OF], F.lit("other.csv"))
+    path = scratch_path(spark, "fact_files")
+    (o.select(fname.alias("f"), "o_orderkey", "o_totalprice").write.option("header", True).partitionBy("f").csv(path))
+    df = spark.read.option("header", True).csv(path).drop("f")
+    df = df.withColumn("file_nm", src.logical_file_name(F.col("_metadata.file_path")))
+    seed = spark.createDataFrame(SOURCES_SEED, "file_nm string, source_nm string, history int")
+    out = attach_source(df, seed)
+    return out.select(F.col("o_orderkey").cast("long").alias("o_orderkey"),
+                      F.col("o_totalprice").cast("double").alias("o_totalprice"), "source")
+
+
 # ---------------------------------------------------------------- per-location files, registry, landing, JSON
 # Measure columns of the archived per-location export files
 # (outdoor, intake, exhaust, supply, in that order in the files).

@@ -65,12 +65,32 @@ def q_row_count_between(spark, d):
     return qa.row_count_between(readings(spark, d), 100, 100000)
 
 
+@register("row_count_between_sources", _w(
+    "SELECT source, count(*) AS row_count, CASE source WHEN 'A' THEN 100 WHEN 'B' THEN 50 END AS min_rows, "
+    "CASE source WHEN 'A' THEN 100000 WHEN 'B' THEN 2000 END AS max_rows, CASE WHEN count(*) BETWEEN CASE source WHEN "
+    "'A' THEN 100 WHEN 'B' THEN 50 END AND CASE source WHEN 'A' THEN 100000 WHEN 'B' THEN 2000 END THEN 'pass' ELSE "
+    "'fail' END AS status FROM readings GROUP BY source"))
+def q_row_count_between_sources(spark, d):
+    """Per-source expected volumes (one source's upper bound is exceeded)."""
+    return qa.row_count_between(readings(spark, d), {"A": 100, "B": 50}, {"A": 100000, "B": 2000}, by=["source"])
+
+
 @register("value_between", _w("SELECT * FROM readings WHERE data_value IS NOT NULL AND NOT (data_value BETWEEN 100 "
                               "AND 9000)", nulls=True))
 def q_value_between(spark, d):
     return qa.value_between(readings(spark, d, nulls=True), "data_value", 100, 9000)
 
 
+@register("null_ratio_sources", _w(
+    "SELECT source, 'data_value' AS column, count(*) FILTER (WHERE data_value IS NULL) AS null_count, count(*) AS total, "
+    "count(*) FILTER (WHERE data_value IS NULL) / count(*) AS null_ratio, CASE WHEN count(*) FILTER (WHERE data_value "
+    "IS NULL) / count(*) > CASE source WHEN 'A' THEN 0.05 WHEN 'B' THEN 0.07 END THEN 'fail' ELSE 'pass' END AS status "
+    "FROM readings GROUP BY source", nulls=True))
+def q_null_ratio_sources(spark, d):
+    """Per-source NULL limits (5 % and 7 %)."""
+    return qa.null_ratio(readings(spark, d, nulls=True), ["data_value"], {"A": 0.05, "B": 0.07}, by=["source"])
+
+
 @register("row_count_reconcile", _w("SELECT s.n AS source_rows, l.n AS landed_rows, l.n - s.n AS diff, CASE WHEN "
                                     "l.n = s.n THEN 'pass' ELSE 'fail' END AS status FROM (SELECT count(*) AS n FROM "
                                     "events) s, (SELECT count(*) AS n FROM readings) l"))
