@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions.text import floor_code
+from sensorlake.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "location") -> DataFrame:
@@ -92,8 +93,14 @@ def path(h: DataFrame, pairs: DataFrame) -> DataFrame:
                        F.col("_m.up_b").alias("up_b"), (F.col("_m.up_a") + F.col("_m.up_b")).alias("hops"))
 
 
-def readings_with_hierarchy(df: DataFrame, h: DataFrame, node_col: str = "node") -> DataFrame:
-    """Readings joined to every ancestor of their node (one row per reading and level)."""
-    anc = closure(h).select(F.col("descendant").alias(node_col), "ancestor", "depth")
+def readings_with_hierarchy(df: DataFrame, h: DataFrame, node_col: str = "node",
+                            max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Readings joined to every ancestor of their node (one row per reading and level).
+
+    The closure (nodes x depth rows, typed with the ancestor's kind) is the
+    side that gets broadcast when its size bound holds, so a sensor with a
+    huge share of the readings does not skew a shuffle join.
+    """
     names = h.select(F.col("id").alias("ancestor"), F.col("type").alias("ancestor_type"))
-    return df.join(anc, node_col).join(names, "ancestor")
+    anc = closure(h).select(F.col("descendant").alias(node_col), "ancestor", "depth").join(names, "ancestor")
+    return df.join(bounded_broadcast(anc, max_broadcast_rows), node_col)
