@@ -22,13 +22,21 @@ def resample(df: DataFrame, every: str = "1 hour", label: str = "end", series: S
     computed in the same partial/final hash aggregate and the right one is
     picked per group. NULL values are not points; empty windows are not
     emitted. ``label`` = ``end`` (window stop) or ``start``. ``drop_last``
-    reproduces the exclusive stop at the newest point of each measurement.
+    reproduces an export whose range stops (exclusive) at the newest point of
+    each measurement: that point is dropped and the last window ends there.
     """
     pts = df.filter(F.col(time_col).isNotNull() & F.col(value_col).isNotNull())
+    v = F.col(value_col)
     if drop_last:
+        # parity with an exclusive range stop at the newest point: that point is
+        # lost and the last window is clipped to the stop (its end label too)
         newest = pts.groupBy(measurement_col).agg(F.max(time_col).alias("_newest"))
-        pts = pts.join(newest, measurement_col).filter(F.col(time_col) < F.col("_newest")).drop("_newest")
-    v = F.col(value_col)
+        pts = pts.join(newest, measurement_col).filter(F.col(time_col) < F.col("_newest"))
+        out = pts.groupBy(F.window(time_col, every).alias("_w"), *series).agg(
+            F.when(F.col(measurement_col) == "additive", F.sum(v)).otherwise(F.avg(v)).alias(value_col),
+            F.max("_newest").alias("_stop"))
+        t = F.least(F.col("_w.end"), F.col("_stop")) if label == "end" else F.col(f"_w.{label}")
+        return out.select(t.alias(time_col), *series, value_col)
     out = pts.groupBy(F.window(time_col, every).alias("_w"), *series).agg(
         F.when(F.col(measurement_col) == "additive", F.sum(v)).otherwise(F.avg(v)).alias(value_col))
     return out.select(F.col(f"_w.{label}").alias(time_col), *series, value_col)

@@ -38,7 +38,8 @@ def q_resample_start(spark, d):
 
 
 @register("resample_drop_last", _w(
-    "SELECT date_trunc('hour', r.time) + INTERVAL 1 HOUR AS time, " + ", ".join(f"r.{c}" for c in SERIES.split(", "))
+    "SELECT least(date_trunc('hour', r.time) + INTERVAL 1 HOUR, max(n.newest)) AS time, "
+    + ", ".join(f"r.{c}" for c in SERIES.split(", "))
     + ", CASE WHEN r.measurement = 'additive' THEN sum(r.data_value) ELSE avg(r.data_value) END AS data_value "
     "FROM readings r JOIN (SELECT measurement, max(time) AS newest FROM readings WHERE data_value IS NOT NULL "
     "GROUP BY measurement) n ON r.measurement = n.measurement WHERE r.time < n.newest AND r.data_value IS NOT NULL "

@@ -109,7 +109,8 @@ def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], ti
             existing = None
         if existing is not None:
             touched = b.select(*partition_cols).distinct()
-            old = existing.join(F.broadcast(touched), list(partition_cols), "left_semi") \
+            from sensorlake.operators.util import bounded_broadcast
+            old = existing.join(bounded_broadcast(touched, 100_000), list(partition_cols), "left_semi") \
                 if len(partition_cols) else existing
             merged = upsert(old.select(b.columns), b, [*key], order)
             # the months are read and then overwritten: materialise first
