@@ -38,6 +38,23 @@ def stage(df: DataFrame, m: Mapping, as_of=None) -> DataFrame:
     return out.filter(cond)
 
 
+def stage_from_table(frames: Mapping[str, DataFrame], mappings: DataFrame, as_of=None,
+                     id_col: str = "datasource_id") -> DataFrame:
+    """M01 over a mapping table: one staged frame per datasource row, unioned.
+
+    The mapping table is configuration (one row per datasource), read on the
+    driver; datasources without a frame are skipped."""
+    rows = mappings.limit(10_000).collect()
+    staged = [stage(frames[r[id_col]], r.asDict(), as_of).withColumn(id_col, F.lit(r[id_col]))
+              for r in rows if r[id_col] in frames]
+    if not staged:
+        raise ValueError("no datasource of the mapping table has input")
+    out = staged[0]
+    for f in staged[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def dim(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[str] = (), key_col: str = "key") -> DataFrame:
     """Distinct natural keys (+ attributes) with a deterministic surrogate key."""
     nk = list(natural_key)

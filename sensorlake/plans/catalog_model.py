@@ -91,6 +91,25 @@ def q_stage(spark, d):
     return st.stage(table(spark, d, "orders"), STAGE_ROW, as_of=AS_OF)
 
 
+MAPPING_ROWS = [
+    ("ds_orders", "o_orderdate", "o_custkey", "o_orderpriority", "o_totalprice", "orders", 1000.0, 400000.0, 24, None),
+    ("ds_lineitem", "l_shipdate", "", "l_returnflag", "l_quantity", "lineitem", 1.0, 40.0, 12, "warehouse"),
+]
+
+
+@register("stage_from_table", "SELECT *, 'ds_orders' AS datasource_id FROM " + STAGE_SQL + " s UNION ALL "
+          "SELECT l_shipdate, 'warehouse', l_returnflag, l_quantity, 'lineitem', 'ds_lineitem' FROM lineitem WHERE "
+          f"l_shipdate IS NOT NULL AND l_quantity BETWEEN 1 AND 40 AND l_shipdate >= date_trunc('month', TIMESTAMP "
+          f"'{AS_OF}') - INTERVAL 11 MONTH AND l_shipdate <= TIMESTAMP '{AS_OF}'")
+def q_stage_from_table(spark, d):
+    """Templated staging driven by a mapping table (one row per datasource)."""
+    m = spark.createDataFrame(MAPPING_ROWS, "datasource_id string, timestamp_column string, location_column string, "
+                                           "measurement_column string, value_column string, source_name string, "
+                                           "value_min double, value_max double, retention_months int, location string")
+    frames = {"ds_orders": table(spark, d, "orders"), "ds_lineitem": table(spark, d, "lineitem")}
+    return st.stage_from_table(frames, m, as_of=AS_OF)
+
+
 @register("dim", _w("SELECT location, max(source) AS source FROM readings GROUP BY location"))
 def q_dim(spark, d):
     return st.dim(readings(spark, d), ["location"], ["source"]).drop("key")

@@ -53,7 +53,12 @@ def read_lines(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     inside a task. No file is ever forced into a single row or task.
     """
     reader = spark.read.option("recursiveFileLookup", recursive).option("lineSep", "\n")
-    raw = reader.text(path)
+    try:
+        raw = reader.text(path)
+    except Exception as e:   # no input at all -> an empty line table, same schema
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "file string, block long, line_id long, text string")
     return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

@@ -82,3 +82,28 @@ def test_write_fact_versions(spark, tmpdir_path):
     snk.write_fact(a.withColumn("data_value", F.lit(2.0)), tmpdir_path, "v2")
     assert [r["data_value"] for r in snk.read_fact_version(spark, tmpdir_path).collect()] == [2.0]
     assert [r["data_value"] for r in snk.read_fact_version(spark, tmpdir_path, "v1").collect()] == [1.0]
+
+
+def test_no_drop_files_gives_an_empty_table(spark, tmpdir_path):
+    from sensorlake.operators.datefmt import merge_drops
+    good, dec, bad = merge_drops(spark, f"{tmpdir_path}/does-not-exist", "2024-01-31")
+    assert good.count() == 0 and dec.count() == 0 and bad.count() == 0
+    assert good.columns == ["Datetime", "Temperature_Celsius", "Relative_Humidity(%)", "Location"]
+
+
+def test_stage_from_mapping_table(spark):
+    import datetime as dt
+    from sensorlake.operators.star import stage_from_table
+    a = spark.createDataFrame([(dt.datetime(2024, 1, 5), "L1", "t", 21.0), (dt.datetime(2024, 1, 6), "L1", "t", 99.0)],
+                              "ts timestamp_ntz, loc string, kind string, v double")
+    b = spark.createDataFrame([("2024-01-07 00:00:00", "h", 40.0)], "stamp string, kind string, val double")
+    m = spark.createDataFrame([
+        ("ds_a", "ts", "loc", "kind", "v", "A", -10.0, 50.0, 0, None),
+        ("ds_b", "stamp", "", "kind", "val", "B", 0.0, 100.0, 0, "roof"),
+        ("ds_c", "x", "", "x", "x", "C", 0.0, 1.0, 0, None),
+    ], "datasource_id string, timestamp_column string, location_column string, measurement_column string, "
+       "value_column string, source_name string, value_min double, value_max double, retention_months int, "
+       "location string")
+    out = sorted(tuple(r) for r in stage_from_table({"ds_a": a, "ds_b": b}, m).select(
+        "datasource_id", "location", "data_key", "data_value").collect())
+    assert out == [("ds_a", "L1", "t", 21.0), ("ds_b", "roof", "h", 40.0)]
