@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -157,7 +156,3 @@ def envelope(df: DataFrame, grain: str = "day", line_cols: Sequence[str] = ("loc
     v = F.col(value_col)
     return df.groupBy(trunc(time_col, grain).alias("period"), *lines).agg(
         F.max(v).alias("max_value"), F.avg(v).alias("avg_value"), F.min(v).alias("min_value"))
-
-
-def as_of_now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -124,7 +123,3 @@ def months_filter(df: DataFrame, months, col: str = "time", month_col: str | Non
         return df.withColumn("_ym", key).join(
             months.select(F.col("year_month").alias("_ym")), "_ym", "left_semi").drop("_ym")
     return df.filter(key.isin(list(months)))
-
-
-def as_of_default() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

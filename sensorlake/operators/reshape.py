@@ -40,6 +40,7 @@ def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
+# Column names of the time-series point format (to and from the warehouse names).
 TO_POINT = {"time": "_time", "data_key": "quantity", "data_value": "_value"}
 FROM_POINT = {"_time": "time", "quantity": "data_key", "_value": "data_value", "_measurement": "measurement"}
 

@@ -21,7 +21,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_RO
         return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def columns_of(df: DataFrame) -> list[str]:
-    return list(df.columns)

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorlake.functions.text import decimal_comma
-from sensorlake.functions.time import rfc3339
 from sensorlake.operators import datefmt as dfm
 from sensorlake.operators import merge as mg
 from sensorlake.operators import reshape as rs
@@ -21,7 +20,6 @@ from sensorlake.plans.tables import AS_OF, READINGS_SQL, readings, sql_with, tab
 from sensorlake.session import scratch_path
 from sensorlake.sources import files as src
 from sensorlake.sources import sinks as snk
-from sensorlake.sources.files import read_sensor_drops
 
 CSV_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 R = READINGS_SQL

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorlake.operators import quality as qa
 from sensorlake.plans.catalog_drops import PARSED_SQL, drops_sql, render_drops
 from sensorlake.plans.registry import register
-from sensorlake.plans.tables import READINGS_NULLS_SQL, READINGS_SQL, readings, sql_with, table
+from sensorlake.plans.tables import READINGS_NULLS_SQL, READINGS_SQL, sql_with, table
 from sensorlake.session import scratch_path
 from sensorlake.streaming import streams as st
 

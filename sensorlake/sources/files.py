@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from sensorlake.functions.text import basename, strip_bom
 from sensorlake.functions.time import kelvin_to_c, lenient_double, lenient_ts
 from sensorlake.operators.merge import upsert
+from sensorlake.operators.reshape import FROM_POINT
 from sensorlake.schemas import FACT, PUBLIC, PUBLIC_COLS, REGISTRY, SEEDS, SERIES_KEY, WEATHER
 
 
@@ -141,8 +142,7 @@ def read_annotated(spark: SparkSession, path: str) -> DataFrame:
     """Annotated CSV: `#` lines are comments; repeated header rows drop
     out because their time does not parse."""
     df = spark.read.option("header", True).option("comment", "#").csv(path)
-    df = df.withColumnsRenamed({"_time": "time", "_value": "data_value", "_measurement": "measurement",
-                                "quantity": "data_key"})
+    df = df.withColumnsRenamed(FROM_POINT)
     out = df.select(lenient_ts("time").alias("time"), *[F.col(c) for c in SERIES_KEY if c in df.columns],
                     lenient_double("data_value").alias("data_value"))
     return out.filter(F.col("time").isNotNull())
@@ -154,8 +154,7 @@ def reload_exports(spark: SparkSession, path: str, base: DataFrame | None = None
     df = (spark.read.option("header", True).option("comment", "#").option("recursiveFileLookup", True)
           .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("pathGlobFilter", "*.csv")
           .csv(path))
-    df = df.withColumnsRenamed({"_time": "time", "_value": "data_value", "_measurement": "measurement",
-                                "quantity": "data_key"})
+    df = df.withColumnsRenamed(FROM_POINT)
     pts = df.select(lenient_ts("time").alias("time"), *[F.col(c) for c in SERIES_KEY],
                     lenient_double("data_value").alias("data_value"),
                     F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"))

@@ -4,7 +4,6 @@ import datetime as dt
 import decimal
 import json
 import math
-import os
 
 import duckdb
 import pytest
