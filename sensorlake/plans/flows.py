@@ -64,3 +64,75 @@ def tag_points(facts: DataFrame, source: str, additive_keys=()) -> DataFrame:
     m = F.when(F.col("data_key").isin(list(additive_keys)), "additive").otherwise("nonadditive") \
         if additive_keys else F.lit("nonadditive")
     return facts.withColumn("source", F.lit(source)).withColumn("measurement", m)
+
+
+def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str | None, fact_root: str,
+              indoor_root: str, points_root: str, public_dir: str, as_of, today,
+              additive_keys=(), every: str = "1 hour") -> dict:
+    """The whole daily run as Spark jobs, from raw inputs to the public dataset.
+
+    1. wide export -> ventilation facts, merged with the newest fact version,
+       retained by the sources seed, written as a new version;
+    2. device drops -> detected day/month order -> parsed -> sensor map ->
+       temperature/humidity facts, merged and retained the same way;
+    3. facts tagged with their source -> upserted into month-partitioned
+       points (only touched months rewritten) -> hourly windows -> public
+       names -> public CSV + Parquet, plus the dataset profile.
+    Returns the written paths and the small report frames (decisions,
+    quarantine, profile).
+    """
+    from pyspark.sql import functions as F
+
+    from sensorlake.operators.aggregates import dataset_profile
+    from sensorlake.operators.datefmt import merge_drops
+    from sensorlake.operators.joins import map_sensors
+    from sensorlake.operators.reshape import measure_columns_to_facts
+    from sensorlake.schemas import FACT, SEEDS
+    from sensorlake.sources.files import read_seed, read_wide
+    from sensorlake.sources.sinks import read_fact_version, write_fact, write_public
+    from sensorlake.streaming.streams import upsert_months
+
+    seeds = {n: read_seed(spark, f"{seeds_dir.rstrip('/')}/{n}.csv", n) for n in SEEDS}
+    sources = seeds["mapping_sources"]
+
+    def previous(root):
+        try:
+            return read_fact_version(spark, root)
+        except Exception:   # first run: no version yet
+            return spark.createDataFrame([], FACT)
+
+    def params(file_nm):
+        return sources.filter(F.col("file_nm") == file_nm)
+
+    out = {"reports": {}}
+    facts = []
+    if wide_path:
+        vent = ventilation_fact(read_wide(spark, wide_path), seeds["mapping"], previous(fact_root),
+                                as_of=as_of, params=params("fact.csv"))
+        out["fact_version"] = write_fact(vent, fact_root)
+        facts.append(("fact.csv", read_fact_version(spark, fact_root)))
+    if drops_path:
+        merged, decisions, quarantine = merge_drops(spark, drops_path, today)
+        mapped = map_sensors(merged, seeds["mapping_indoor"], "Location")
+        indoor = measure_columns_to_facts(mapped, {"Temperature_Celsius": "temp_indoor",
+                                                   "Relative_Humidity(%)": "humidity_indoor"},
+                                          time_col="Datetime", location_col="location")
+        indoor = merge_history(indoor, previous(indoor_root))
+        indoor = retain_months(indoor, None, as_of, params=params("fact_indoor_temperature.csv"))
+        out["indoor_version"] = write_fact(indoor, indoor_root)
+        facts.append(("fact_indoor_temperature.csv", read_fact_version(spark, indoor_root)))
+        out["reports"].update(decisions=decisions, quarantine=quarantine)
+    if not facts:
+        return out
+    src_name = {r["file_nm"]: r["source_nm"] for r in sources.limit(10_000).collect()}
+    points = None
+    for file_nm, f in facts:
+        p = tag_points(f, src_name.get(file_nm, file_nm), additive_keys)
+        points = p if points is None else points.unionByName(p)
+    points = points.select(*PUBLIC_COLS)
+    upsert_months(points, points_root, ["time", *SERIES_KEY], ["data_value"])
+    stored = spark.read.parquet(points_root).select(*PUBLIC_COLS)
+    public = publish(stored, seeds["location_map"], every=every, order_col="_row")
+    out["public"] = write_public(public, public_dir, sort=False)
+    out["reports"]["profile"] = dataset_profile(spark.read.parquet(out["public"]["parquet"]))
+    return out

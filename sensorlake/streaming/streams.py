@@ -93,6 +93,13 @@ def stream_dedupe(df: DataFrame, key: Sequence[str], delay: str = "1 hour", time
 
 
 # ---------------------------------------------------------------- T04
+def upsert_months(batch: DataFrame, path: str, key: Sequence[str], order: Sequence[str], time_col: str = "time",
+                  partition_cols: Sequence[str] = ("measurement", "year_month")) -> None:
+    """U06 into a month-partitioned table: merge ``batch`` with the months it
+    touches and rewrite only those months (batch or micro-batch)."""
+    upsert_months_writer(path, key, order, time_col, partition_cols)(batch, 0)
+
+
 def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], time_col: str = "time",
                          partition_cols: Sequence[str] = ("measurement", "year_month")) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for T04: the batch is merged with the month
