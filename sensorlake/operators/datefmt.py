@@ -19,7 +19,7 @@ from sensorlake.functions.quality import count_if
 from sensorlake.functions.text import is_numeric, null_tokens, sensor_id
 from sensorlake.functions.time import build_ts, ts_num, valid_day, ymd_num
 from sensorlake.operators.filters import valid_line
-from sensorlake.operators.util import bounded_broadcast
+from sensorlake.operators.util import broadcast_per_file
 
 FORMATS = ("DMY", "MDY")
 MAX_BROADCAST_FILES = 500_000
@@ -258,7 +258,7 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     """
     fmt = decisions.filter(F.col("fmt").isin(*FORMATS)).select("file", "fmt", F.col("sensor").alias("Location"),
                                                               "first_line_id")
-    x = lines.join(bounded_broadcast(fmt, MAX_BROADCAST_FILES), "file")
+    x = lines.join(broadcast_per_file(fmt, lines, MAX_BROADCAST_FILES), "file")
     if "is_header" in x.columns:
         x = x.filter(~F.col("is_header")).drop("is_header")
     else:   # headers: the first lines of block 0, located by the detection pass

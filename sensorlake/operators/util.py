@@ -9,15 +9,36 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                      materialize_first: bool = False) -> DataFrame:
     """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
 
     The proof is a ``limit(max_rows + 1).count()`` job, which stops reading as
     soon as the bound is exceeded. Beyond the bound the plain frame is
     returned and the planner (AQE on runtime sizes) picks a shuffle join.
     ``max_rows=None`` skips the check and leaves the choice to AQE.
+    ``materialize_first`` stores a derived side (e.g. one row per input
+    file computed from all lines) in the checkpoint folder before the
+    check, so the proof and the join do not each recompute it.
     """
     if max_rows is None:
         return df
+    if materialize_first:
+        from sensorlake.session import materialize
+        df = materialize(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_per_file(side: DataFrame, source: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a table that has at most one row per input file of ``source``.
+
+    The bound is the file listing the driver already holds
+    (``source.inputFiles()``), so no job runs to prove it. Beyond the bound
+    (or when the listing is unavailable) the planner decides at runtime.
+    """
+    try:
+        n_files = len(source.inputFiles())
+    except Exception:
+        return side
+    return F.broadcast(side) if n_files <= max_rows else side

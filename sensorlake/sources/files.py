@@ -96,10 +96,10 @@ def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, kee
     partial aggregation) is joined back -- broadcast while the file count is
     within a proven bound.
     """
-    from sensorlake.operators.util import bounded_broadcast
+    from sensorlake.operators.util import broadcast_per_file
     lines = read_lines(spark, path)
     first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line_id").alias("_first"))
-    out = lines.join(bounded_broadcast(first, MAX_BROADCAST_FILES), "file", "left")
+    out = lines.join(broadcast_per_file(first, lines, MAX_BROADCAST_FILES), "file", "left")
     is_header = F.coalesce((F.col("block") == 0) & ((F.col("line_id") - F.col("_first")) < header_lines), F.lit(False))
     out = out.withColumn("is_header", is_header).drop("_first")
     if not keep_header:
