@@ -142,12 +142,13 @@ def q_head_per_series(spark, d):
 
 
 @register("neighbours", _w(
-    "SELECT source, period, lag(period) OVER (PARTITION BY source ORDER BY period) AS prev_period, "
-    "lead(period) OVER (PARTITION BY source ORDER BY period) AS next_period FROM (SELECT DISTINCT source, "
-    "date_trunc('day', time) AS period FROM readings WHERE data_key = 'purchase') x"))
+    "SELECT location, data_key, period, lag(period) OVER (PARTITION BY location, data_key ORDER BY period) AS "
+    "prev_period, lead(period) OVER (PARTITION BY location, data_key ORDER BY period) AS next_period FROM (SELECT "
+    "DISTINCT location, data_key, date_trunc('day', time) AS period FROM readings) x"))
 def q_neighbours(spark, d):
-    r = readings(spark, d).filter(F.col("data_key") == "purchase").withColumn("period", trunc("time", "day"))
-    return wn.neighbours(r, "period", by=["source"])
+    """Previous/next day with data for every chart line (location x metric)."""
+    r = readings(spark, d).withColumn("period", trunc("time", "day"))
+    return wn.neighbours(r, "period", by=["location", "data_key"])
 
 
 DAILY_SQL = ("(SELECT CAST(time AS DATE) AS day, source, location, count(*) AS row_count FROM readings "
