@@ -148,12 +148,15 @@ def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
         count_if(F.col("ts_dmy") < F.col("_pd")).alias("in_dmy"),
         count_if(F.col("ts_mdy") < F.col("_pm")).alias("in_mdy"),
         *_first_last("ts_mdy"), *_first_last("ts_dmy"),
-        F.max_by(F.struct("p1", "p2", "y"), F.when(v, F.col("line_id"))).alias("_last_line"),
+        # last valid line's parts packed in one long (p1, p2 < 100, y < 10000):
+        # primitive buffers keep this a hash aggregate
+        F.max_by(F.col("p1") * 1000000 + F.col("p2") * 10000 + F.col("y"), F.when(v, F.col("line_id")))
+         .alias("_last_line"),
         F.min("line_id").alias("_first_id"),
     )
     blocks = _carry(blocks)
     pops = [F.bit_count(F.coalesce(F.bit_or(c), F.lit(0).cast("long"))) for c in ("m1a", "m1b", "m2a", "m2b")]
-    return blocks.groupBy("file", "file_name").agg(
+    out = blocks.groupBy("file", "file_name").agg(
         F.sum("n_lines").alias("n_lines"),
         F.sum("n_valid").alias("n_valid"),
         (pops[0] + pops[1]).cast("long").alias("uniq_p1"),
@@ -162,9 +165,14 @@ def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
         F.sum("hint_mdy").alias("hint_mdy"),
         (F.sum("in_dmy") + count_if(F.col("_first_ts_dmy") < F.col("_carry_dmy"))).alias("breaks_dmy"),
         (F.sum("in_mdy") + count_if(F.col("_first_ts_mdy") < F.col("_carry_mdy"))).alias("breaks_mdy"),
-        F.max_by(F.col("_last_line"), F.when(F.col("_last_line").isNotNull(), F.col("block"))).alias("last"),
+        F.max_by(F.col("_last_line"), F.when(F.col("_last_line").isNotNull(), F.col("block"))).alias("_last"),
         F.min(F.when(F.col("block") == 0, F.col("_first_id"))).alias("first_line_id"),
     )
+    code = F.col("_last")
+    last = F.when(code.isNotNull(), F.struct((code / 1000000).cast("int").alias("p1"),
+                                             ((code / 10000) % 100).cast("int").alias("p2"),
+                                             (code % 10000).cast("int").alias("y")))
+    return out.withColumn("last", last).drop("_last")
 
 
 def last_valid_line(lines: DataFrame) -> DataFrame:
