@@ -6,6 +6,12 @@ Input is the line table of ``sources.files.read_sensor_drops``:
 ever sorted whole in one task; the state a block needs from the blocks
 before it (the previous valid timestamp) comes from a one-row-per-block
 summary. Everything else is grouped aggregation with partial combine.
+
+Invariant: ``line_id`` (and ``first_line_id`` in the decisions) are
+positions within the file splits of one read. ``parse_drops`` should get
+decisions derived lazily from the same ``lines`` frame, so both sides are
+planned together and see identical splits -- also when tasks are retried
+or the cluster resizes between jobs.
 """
 
 from __future__ import annotations
