@@ -12,9 +12,13 @@ from sensorlake.functions.time import ts_literal, trunc
 from sensorlake.schemas import SERIES_KEY
 
 
+AGG_FUNCS = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count,
+             "last": None}
+
+
 def resample(df: DataFrame, every: str = "1 hour", label: str = "end", series: Sequence[str] = SERIES_KEY,
              time_col: str = "time", value_col: str = "data_value", measurement_col: str = "measurement",
-             drop_last: bool = False) -> DataFrame:
+             drop_last: bool = False, fn: str | None = None) -> DataFrame:
     """Tumbling windows per series; additive -> sum, others -> mean.
 
     One pass: the measurement class is a grouping column, so both sums are
@@ -23,9 +27,14 @@ def resample(df: DataFrame, every: str = "1 hour", label: str = "end", series: S
     emitted. ``label`` = ``end`` (window stop) or ``start``. ``drop_last``
     reproduces an export whose range stops (exclusive) at the newest point of
     each measurement: that point is dropped and the last window ends there.
+    ``fn`` (sum, mean, min, max, count, last) overrides the per-class choice.
     """
     pts = df.filter(F.col(time_col).isNotNull() & F.col(value_col).isNotNull())
     v = F.col(value_col)
+    if fn is not None:
+        agg = F.max_by(v, F.col(time_col)) if fn == "last" else AGG_FUNCS[fn](v)
+        out = pts.groupBy(F.window(time_col, every).alias("_w"), *series).agg(agg.cast("double").alias(value_col))
+        return out.select(F.col(f"_w.{label}").alias(time_col), *series, value_col)
     if drop_last:
         # parity with an exclusive range stop at the newest point: that point is
         # lost and the last window is clipped to the stop (its end label too)

@@ -82,8 +82,11 @@ def siblings_of(h: DataFrame, nodes: DataFrame) -> DataFrame:
                                                                                    "sibling")
 
 
-def path(h: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Path between node pairs (columns a, b) through their lowest common ancestor."""
+def path(h: DataFrame, pairs: DataFrame | str, b: str | None = None) -> DataFrame:
+    """Path between node pairs (columns a, b) through their lowest common
+    ancestor; ``path(h, "a_id", "b_id")`` asks for one pair."""
+    if isinstance(pairs, str):
+        pairs = h.sparkSession.createDataFrame([(pairs, b)], "a string, b string")
     c = closure(h)
     ca = c.select(F.col("descendant").alias("a"), "ancestor", F.col("depth").alias("up_a"))
     cb = c.select(F.col("descendant").alias("b"), "ancestor", F.col("depth").alias("up_b"))

@@ -145,3 +145,24 @@ def test_global_row_number_is_sorted_position(spark):
     out = od.global_row_number(df, ["a", "b"]).collect()
     want = {r: i + 1 for i, r in enumerate(sorted(rows))}
     assert {(r["a"], r["b"]): r["row_no"] for r in out} == want
+
+
+def test_resample_explicit_fn(spark):
+    rows = [(BASE + dt.timedelta(minutes=m), "nonadditive", "L", "A", "k", float(m)) for m in (5, 20, 50, 70)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, measurement string, location string, source string, "
+                                     "data_key string, data_value double")
+    got = {str(r["time"]): r["data_value"] for r in ag.resample(df, "1 hour", fn="max").collect()}
+    assert got == {"2024-01-01 01:00:00": 50.0, "2024-01-01 02:00:00": 70.0}
+    last = {str(r["time"]): r["data_value"] for r in ag.resample(df, "1 hour", fn="last", label="start").collect()}
+    assert last == {"2024-01-01 00:00:00": 50.0, "2024-01-01 01:00:00": 70.0}
+
+
+def test_path_between_two_nodes(spark):
+    from sensorlake.operators.hierarchy import path
+    h = spark.createDataFrame([("B", None, "building", "B", 0), ("F1", "B", "floor", "1NP", 1),
+                               ("F2", "B", "floor", "2NP", 1), ("Z1", "F1", "zone", "S1", 2),
+                               ("Z2", "F2", "zone", "S2", 2), ("Z3", "F1", "zone", "S3", 2)],
+                              "id string, parent_id string, type string, name string, level int")
+    r = path(h, "Z1", "Z2").first()
+    assert (r["lca"], r["hops"]) == ("B", 4)
+    assert path(h, "Z1", "Z3").first()["lca"] == "F1"
