@@ -90,7 +90,7 @@ def star_join(fct: DataFrame, dims: Sequence[tuple[DataFrame, str]],
 
 def as_at(fct: DataFrame, dim: DataFrame, key: Sequence[str], time_col: str = "time",
           from_col: str = "effective_from", to_col: str = "effective_to", attrs: Sequence[str] | None = None,
-          bucket: str = "year", cut_lineage: bool = False) -> DataFrame:
+          bucket: str = "day", cut_lineage: bool = False) -> DataFrame:
     """The dimension version valid at each reading's time (inner).
 
     An as-of join on the natural key (latest ``from <= t``) followed by the

@@ -77,7 +77,7 @@ def fct_sensor_readings(staged: DataFrame, dims: Sequence[tuple[DataFrame, Seque
 
 
 def scd2(changes: DataFrame, key: Sequence[str], attrs: Sequence[str], time_col: str = "time",
-         bucket: str = "year", cut_lineage: bool = True) -> DataFrame:
+         bucket: str = "month", cut_lineage: bool = True) -> DataFrame:
     """effective_from / effective_to intervals per key; consecutive
     observations with unchanged attributes collapse into one version.
 

@@ -120,7 +120,7 @@ def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str,
-              right_cols: Sequence[str], bucket: str = "month", cut_lineage: bool = False) -> DataFrame:
+              right_cols: Sequence[str], bucket: str = "day", cut_lineage: bool = False) -> DataFrame:
     """Each left row gets the right row of the same key with the latest
     ``right_time <= left_time`` (NULLs when none) -- without emitting
     left x right pairs per key: both sides are unioned and the right row is
