@@ -70,13 +70,29 @@ def volume_drop(metrics: DataFrame, count_col: str = "row_count", by: Sequence[s
     return m.filter(F.col(count_col) < F.col("prev_count") * F.lit(ratio))
 
 
-def rank_for_upsert(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Rank rows of a key, newest first (rank 1 = winner).
-
+def rank_for_upsert(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: str | None = "day") -> DataFrame:
+    """Rank rows of a key, newest first (rank 1 = winner); ``order`` are
+    column names, compared descending.
+
+    When the first order column is a time, the rank is computed without
+    sorting a whole key in one task: rows are ranked inside (key, time
+    bucket) and shifted by the number of rows of the key's later buckets,
+    taken from a one-row-per-bucket summary of the same windowed frame.
     For keeping only winners prefer ``merge.upsert`` (aggregate form).
     """
-    ords = [F.desc(o) if isinstance(o, str) else o for o in order]
-    return df.withColumn("write_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*ords)))
+    from pyspark.sql import types as T
+    key, order = list(key), list(order)
+    ords = [F.desc(o) for o in order]
+    first_type = df.schema[order[0]].dataType if order else None
+    if not bucket or not isinstance(first_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df.withColumn("write_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*ords)))
+    b = df.withColumn("_b", trunc(order[0], bucket))
+    inner = b.withColumn("_r", F.row_number().over(Window.partitionBy(*key, "_b").orderBy(*ords)))
+    summary = inner.groupBy(*key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    later = Window.partitionBy(*key).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("_before", F.coalesce(F.sum("_n").over(later), F.lit(0)))
+    out = inner.join(summary.select(*key, "_b", "_before"), [*key, "_b"], "inner")
+    return out.withColumn("write_rank", (F.col("_r") + F.col("_before")).cast("int")).drop("_b", "_r", "_before")
 
 
 def carry_forward(df: DataFrame, series: Sequence[str], time_col: str, value_col: str, out_col: str,

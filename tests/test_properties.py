@@ -166,3 +166,17 @@ def test_path_between_two_nodes(spark):
     r = path(h, "Z1", "Z2").first()
     assert (r["lca"], r["hops"]) == ("B", 4)
     assert path(h, "Z1", "Z3").first()["lca"] == "F1"
+
+
+@pytest.mark.parametrize("bucket", [None, "day", "hour"])
+def test_rank_for_upsert_matches_plain_window(spark, bucket):
+    rng = random.Random(12)
+    rows = [(f"k{rng.randint(0, 2)}", BASE + dt.timedelta(minutes=rng.randint(0, 5 * 24 * 60)), rng.randint(0, 9), i)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v int, i int")
+    got = {r["i"]: r["write_rank"] for r in wn.rank_for_upsert(df, ["k"], ["t", "v", "i"], bucket=bucket).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        for n, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2], r[3]), reverse=True)):
+            want[r[3]] = n + 1
+    assert got == want
