@@ -100,31 +100,48 @@ def upsert_months(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     upsert_months_writer(path, key, order, time_col, partition_cols)(batch, 0)
 
 
+MAX_TOUCHED_PARTITIONS = 100_000
+
+
 def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], time_col: str = "time",
                          partition_cols: Sequence[str] = ("measurement", "year_month")) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for T04: the batch is merged with the month
-    partitions it touches (read with partition pruning) and only those
-    months are rewritten (dynamic partition overwrite). The merged result is
-    checkpointed to cut the read-then-overwrite lineage. Idempotent: a
-    re-executed batch upserts the same rows again and yields the same months."""
+    partitions it touches and only those months are rewritten (dynamic
+    partition overwrite).
+
+    The touched partitions are a short list (measurements x months of one
+    batch, checked against a bound) turned into a partition filter, so only
+    those directories are listed and read. The merged months go to a staging
+    table in the shared checkpoint folder first -- the overwrite then reads
+    the staging copy, never the files it replaces. Idempotent: a re-executed
+    batch upserts the same rows again and yields the same months.
+    """
     def run(batch: DataFrame, epoch: int) -> None:
+        from sensorlake.session import scratch_path
         b = batch.withColumn("year_month", year_month(time_col))
         spark = b.sparkSession
         try:
             existing = spark.read.parquet(path)
-        except Exception:
+        except Exception:   # first batch: nothing stored yet
             existing = None
-        if existing is not None:
-            touched = b.select(*partition_cols).distinct()
-            from sensorlake.operators.util import bounded_broadcast
-            old = existing.join(bounded_broadcast(touched, 100_000), list(partition_cols), "left_semi") \
-                if len(partition_cols) else existing
-            merged = upsert(old.select(b.columns), b, [*key], order)
-            # the months are read and then overwritten: materialise first
-            from sensorlake.session import materialize
-            merged = materialize(merged)
-        else:
+        if existing is None:
             merged = upsert(b, None, [*key], order)
+        else:
+            touched = b.select(*partition_cols).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+            if len(touched) > MAX_TOUCHED_PARTITIONS:      # huge batch: let a semi-join prune instead
+                old = existing.join(b.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+            else:
+                cond = F.lit(False)
+                for t in touched:
+                    one = F.lit(True)
+                    for c in partition_cols:
+                        one = one & (F.col(c) == t[c])
+                    cond = cond | one
+                old = existing.filter(cond)
+            merged = upsert(old.select(b.columns), b, [*key], order)
+            staging = scratch_path(spark, "upsert-staging")
+            merged.write.parquet(staging)
+            merged = spark.read.parquet(staging)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*partition_cols).parquet(path))
     return run
