@@ -135,8 +135,8 @@ def q_public_order(spark, d):
 
 
 @register("head_per_series", _w(
-    "SELECT *, row_number() OVER (PARTITION BY " + SERIES + " ORDER BY time, data_value) AS rn FROM readings "
-    "QUALIFY rn <= 3"))
+    "SELECT *, CAST(row_number() OVER (PARTITION BY " + SERIES + " ORDER BY time, data_value) AS INTEGER) AS rn "
+    "FROM readings QUALIFY rn <= 3"))
 def q_head_per_series(spark, d):
     return wn.head_per_series(readings(spark, d), 3)
 

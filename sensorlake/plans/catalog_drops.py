@@ -121,9 +121,9 @@ EV_SQL = """(SELECT file_name, any_value(sensor) AS sensor, count(*) AS n_lines,
   count(*) FILTER (WHERE valid AND p1 > 12 AND p2 <= 12) AS hint_dmy,
   count(*) FILTER (WHERE valid AND p2 > 12 AND p1 <= 12) AS hint_mdy,
   count(*) FILTER (WHERE break_dmy) AS breaks_dmy, count(*) FILTER (WHERE break_mdy) AS breaks_mdy,
-  arg_max(p1, (k1, ts, event_id)) FILTER (WHERE valid) AS last_p1,
-  arg_max(p2, (k1, ts, event_id)) FILTER (WHERE valid) AS last_p2,
-  arg_max(y, (k1, ts, event_id)) FILTER (WHERE valid) AS last_y
+  CAST(arg_max(p1, (k1, ts, event_id)) FILTER (WHERE valid) AS INTEGER) AS last_p1,
+  CAST(arg_max(p2, (k1, ts, event_id)) FILTER (WHERE valid) AS INTEGER) AS last_p2,
+  CAST(arg_max(y, (k1, ts, event_id)) FILTER (WHERE valid) AS INTEGER) AS last_y
 FROM brk GROUP BY file_name)"""
 
 
@@ -205,10 +205,10 @@ def q_last_valid_line(spark, d):
 
 
 @register("head_tail", drops_sql(
-    "SELECT file_name, text, rn, part FROM (SELECT file_name, text, row_number() OVER (PARTITION BY file_name ORDER BY "
-    "k1, ts, event_id) AS rn, 'head' AS part FROM src) a WHERE rn <= 3 UNION ALL SELECT file_name, text, rn, part FROM "
-    "(SELECT file_name, text, row_number() OVER (PARTITION BY file_name ORDER BY k1 DESC, ts DESC, event_id DESC) AS rn, "
-    "'tail' AS part FROM src) b WHERE rn <= 3"))
+    "SELECT file_name, text, rn, part FROM (SELECT file_name, text, CAST(row_number() OVER (PARTITION BY file_name "
+    "ORDER BY k1, ts, event_id) AS INTEGER) AS rn, 'head' AS part FROM src) a WHERE rn <= 3 UNION ALL SELECT file_name, "
+    "text, rn, part FROM (SELECT file_name, text, CAST(row_number() OVER (PARTITION BY file_name ORDER BY k1 DESC, "
+    "ts DESC, event_id DESC) AS INTEGER) AS rn, 'tail' AS part FROM src) b WHERE rn <= 3"))
 def q_head_tail(spark, d):
     return head_tail(_lines(spark, d), 3, file_col="file", order_cols=["block", "line_id"]).select(
         "file_name", "text", "rn", "part")

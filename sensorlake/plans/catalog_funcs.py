@@ -118,9 +118,9 @@ def q_valid_lines(spark, d):
     return split_fields(lines).filter("valid").select("file_name", "text")
 
 
-@register("rank_for_upsert", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, row_number() OVER (PARTITION "
-          "BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC, l_quantity DESC, l_discount DESC, "
-          "l_tax DESC) AS write_rank FROM lineitem")
+@register("rank_for_upsert", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(row_number() OVER "
+          "(PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC, l_quantity DESC, "
+          "l_discount DESC, l_tax DESC) AS INTEGER) AS write_rank FROM lineitem")
 def q_rank_for_upsert(spark, d):
     li = table(spark, d, "lineitem")
     out = wn.rank_for_upsert(li, ["l_orderkey", "l_linenumber"],

@@ -41,9 +41,10 @@ def q_levels(spark, d):
 
 # Floors from nation names are not NP/PP codes; the floor codes come from readings.
 @register("floor_order", _w(
-    "SELECT floor, row_number() OVER (ORDER BY CASE WHEN right(floor, 2) = 'NP' THEN 0 ELSE 1 END, CASE WHEN "
+    "SELECT floor, CAST(row_number() OVER (ORDER BY CASE WHEN right(floor, 2) = 'NP' THEN 0 ELSE 1 END, CASE WHEN "
     "right(floor, 2) = 'NP' THEN -COALESCE(TRY_CAST(left(floor, length(floor) - 2) AS INTEGER), 0) ELSE "
-    "COALESCE(TRY_CAST(left(floor, length(floor) - 2) AS INTEGER), 0) END, floor) AS floor_rank FROM (SELECT DISTINCT "
+    "COALESCE(TRY_CAST(left(floor, length(floor) - 2) AS INTEGER), 0) END, floor) AS INTEGER) AS floor_rank FROM "
+    "(SELECT DISTINCT "
     "left(loc, 3) AS floor FROM (SELECT location AS loc FROM readings UNION ALL SELECT replace(location, 'NP', 'PP') "
     "FROM readings) u WHERE left(loc, 3) LIKE '%NP%' OR left(loc, 3) LIKE '%PP%') f"))
 def q_floor_order(spark, d):

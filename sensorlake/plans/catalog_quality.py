@@ -67,7 +67,7 @@ def q_row_count_between(spark, d):
 
 @register("row_count_between_sources", _w(
     "SELECT source, count(*) AS row_count, CASE source WHEN 'A' THEN 100 WHEN 'B' THEN 50 END AS min_rows, "
-    "CASE source WHEN 'A' THEN 100000 WHEN 'B' THEN 2000 END AS max_rows, CASE WHEN count(*) BETWEEN CASE source WHEN "
+    "CAST(CASE source WHEN 'A' THEN 100000 WHEN 'B' THEN 2000 END AS BIGINT) AS max_rows, CASE WHEN count(*) BETWEEN CASE source WHEN "
     "'A' THEN 100 WHEN 'B' THEN 50 END AND CASE source WHEN 'A' THEN 100000 WHEN 'B' THEN 2000 END THEN 'pass' ELSE "
     "'fail' END AS status FROM readings GROUP BY source"))
 def q_row_count_between_sources(spark, d):
