@@ -53,6 +53,11 @@ def test_entry_runs(spark):
     assert set(df.columns) == {"time", "measurement", "location", "source", "data_key", "data_value"}
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+                 "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP", "DateType()": "DATE",
+                 "DecimalType(18,3)": "DECIMAL(18,3)"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -60,5 +65,8 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(ORACLE[name])
     dcols, drows = [d[0] for d in res.description], res.fetchall()
     assert sorted(scols) == sorted(dcols)
+    dtypes = dict(zip(duck.sql(ORACLE[name]).columns, map(str, duck.sql(ORACLE[name]).types)))
+    stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    assert stypes == dtypes
     assert len(srows) == len(drows)
     assert _rows(scols, srows) == _rows(dcols, drows)
