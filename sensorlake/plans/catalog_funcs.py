@@ -15,8 +15,8 @@ from sensorlake.sources.files import read_sensor_drops, require_columns
 
 
 @register("text_functions", "SELECT c_custkey, upper(trim(c_mktsegment)) AS upper_trim, replace(CAST(c_acctbal AS "
-          "VARCHAR), '.', ',') AS comma_text, CAST(replace(replace(CAST(c_acctbal AS VARCHAR), '.', ','), ',', '.') AS "
-          "DECIMAL(18,3)) AS decimal_comma, right(c_name, 4) AS level_suffix, left(c_name, 8) AS level_prefix, "
+          "VARCHAR), '.', ',') AS comma_text, CAST(CAST(replace(replace(CAST(c_acctbal AS VARCHAR), '.', ','), ',', '.') "
+          "AS DECIMAL(18,3)) AS DOUBLE) AS decimal_comma, right(c_name, 4) AS level_suffix, left(c_name, 8) AS level_prefix, "
           "split_part(c_name, '#', 2) AS after_sep, CASE WHEN starts_with(c_name, 'Customer') THEN substr(c_name, 9) "
           "ELSE c_name END AS after_pref, TRY_CAST(right(c_name, 1) AS INTEGER) AS section, left(c_name, 3) AS floor, "
           "CASE WHEN left(c_name, 3) LIKE '%NP%' THEN 'NP' WHEN left(c_name, 3) LIKE '%PP%' THEN 'PP' END AS "
@@ -26,7 +26,7 @@ def q_text_functions(spark, d):
     name = F.col("c_name")
     comma = F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(","))
     return c.select("c_custkey", X.upper_trim("c_mktsegment").alias("upper_trim"), comma.alias("comma_text"),
-                    X.decimal_comma(comma).alias("decimal_comma"), X.level(name, "suffix", 4).alias("level_suffix"),
+                    X.decimal_comma(comma).cast("double").alias("decimal_comma"), X.level(name, "suffix", 4).alias("level_suffix"),
                     X.level(name, "prefix", 8).alias("level_prefix"), X.after(name, "#").alias("after_sep"),
                     X.after_prefix(name, "Customer").alias("after_pref"), X.section(name).alias("section"),
                     X.floor_code(name).alias("floor"), X.floor_class(name).alias("floor_class"))

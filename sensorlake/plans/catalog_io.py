@@ -296,7 +296,7 @@ PER_LOC = {"l_quantity": "venkov", "l_extendedprice": "sani", "l_discount": "odv
 
 @register("read_per_location", " UNION ALL ".join(
     f"SELECT CAST(l_shipdate AS DATE) AS time, 'loc' || CAST(l_suppkey % 9 + 1 AS VARCHAR) AS location, '{k}' AS data_key, "
-    f"CAST({c} AS DECIMAL(18,3)) AS data_value FROM lineitem" for c, k in PER_LOC.items()))
+    f"CAST(CAST({c} AS DECIMAL(18,3)) AS DOUBLE) AS data_value FROM lineitem" for c, k in PER_LOC.items()))
 def q_read_per_location(spark, d):
     li = table(spark, d, "lineitem")
     # archived per-location exports: decimal comma, one file per location
@@ -308,8 +308,9 @@ def q_read_per_location(spark, d):
     out.write.option("header", True).partitionBy("f").csv(path)
     df = src.read_per_location(spark, path)
     narrow = rs.stack_columns(df, {k: k for k in PER_LOC.values()}, ids=["Date", "location"])
+    # decimal(18,3) from the operator; compared as double (engines hand decimals out differently)
     return narrow.select(F.col("Date").cast("date").alias("time"), "location", "data_key",
-                         decimal_comma("data_value").alias("data_value"))
+                         decimal_comma("data_value").cast("double").alias("data_value"))
 
 
 @register("read_registered",
