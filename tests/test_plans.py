@@ -73,3 +73,9 @@ def test_no_pairwise_joins(spark, name):
     plan = plan_of(Q[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_retention_passes_unpivot_join_union_to_both_scans(spark):
+    plan = plan_of(Q["ventilation_fact"](spark, SF_SMALL)).replace(" ", "")
+    assert "GreaterThanOrEqual(l_shipdate,1999-09-01" in plan       # wide side, below the unpivot
+    assert "GreaterThanOrEqual(o_orderdate,1999-09-01" in plan      # history side, below the distinct
