@@ -81,6 +81,7 @@ def require_numeric(df: DataFrame, cols: Sequence[str], mode: str = "quarantine"
     raise ValueError(mode)
 
 
+# A drop line's date is `NN/NN/NNNN`, its time `H:MM` or `H:MM:SS`.
 DATE_TEXT = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
 TIME_TEXT = r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"
 

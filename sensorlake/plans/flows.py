@@ -1,4 +1,5 @@
-"""The reference's three chains, each one Spark plan (survey section 3)."""
+"""The three warehouse chains (wide export -> facts, device drops -> facts,
+facts -> public dataset), each one Spark plan, plus the whole daily job."""
 
 from __future__ import annotations
 
