@@ -36,16 +36,17 @@ def signal_map(spark):
 
 
 def old_fact(spark, d):
+    # previous fact table: order totals in hundredths (exact means, see tables.readings)
     o = table(spark, d, "orders")
     return o.select(F.col("o_orderdate").alias("time"), F.lit("orders").alias("location"),
-                    F.lit("price").alias("data_key"), F.col("o_totalprice").alias("data_value"))
+                    F.lit("price").alias("data_key"), F.round(F.col("o_totalprice") * 100).alias("data_value"))
 
 
 WIDE_SQL = "(SELECT l_shipdate AS date, " + ", ".join(f"round({c} * 100) AS {c}" for c in SIGNALS) + " FROM lineitem)"
 WIDE_TEXT_SQL = ("(SELECT CAST(l_shipdate AS VARCHAR) AS date, "
                  + ", ".join(f"CAST(round({c} * 100) AS VARCHAR) AS {c}" for c in SIGNALS) + " FROM lineitem)")
 OLD_FACT_SQL = ("(SELECT o_orderdate AS time, 'orders' AS location, 'price' AS data_key, "
-                "o_totalprice AS data_value FROM orders)")
+                "round(o_totalprice * 100) AS data_value FROM orders)")
 NARROW_SQL = ("(SELECT * FROM (UNPIVOT " + WIDE_TEXT_SQL + " ON " + ", ".join(SIGNALS)
               + " INTO NAME data_key_original VALUE data_value))")
 MAPPED_SQL = ("(SELECT CAST(n.date AS TIMESTAMP) AS time, m.location, m.data_key, "
