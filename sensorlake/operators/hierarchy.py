@@ -16,8 +16,13 @@ from sensorlake.functions.text import floor_code
 from sensorlake.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
-def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "location") -> DataFrame:
-    """Building -> floor -> zone from location codes (`1NP-S1`: floor `1NP`)."""
+def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "location",
+                             sensor_col: str | None = None) -> DataFrame:
+    """Building -> floor -> zone (-> sensor) from location codes (`1NP-S1`: floor `1NP`).
+
+    With ``sensor_col`` (e.g. the indoor sensor map: sensor, location) every
+    distinct sensor becomes a leaf under its zone.
+    """
     locs = df.select(F.col(location_col).alias("zone")).filter(F.col("zone").isNotNull()).distinct()
     floors = locs.select(floor_code("zone").alias("floor")).distinct()
     root = df.sparkSession.createDataFrame([(building, None, "building", building, 0)],
@@ -27,7 +32,15 @@ def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "
     zn = locs.select(F.concat_ws("/", F.lit(building), floor_code("zone"), "zone").alias("id"),
                      F.concat_ws("/", F.lit(building), floor_code("zone")).alias("parent_id"),
                      F.lit("zone").alias("type"), F.col("zone").alias("name"), F.lit(2).alias("level"))
-    return root.unionByName(fl).unionByName(zn)
+    out = root.unionByName(fl).unionByName(zn)
+    if sensor_col:
+        zone_id = F.concat_ws("/", F.lit(building), floor_code(location_col), F.col(location_col))
+        sn = (df.filter(F.col(sensor_col).isNotNull() & F.col(location_col).isNotNull())
+                .select(F.col(sensor_col).alias("_s"), zone_id.alias("parent_id")).distinct()
+                .select(F.concat_ws("/", "parent_id", "_s").alias("id"), "parent_id", F.lit("sensor").alias("type"),
+                        F.col("_s").alias("name"), F.lit(3).alias("level")))
+        out = out.unionByName(sn)
+    return out
 
 
 def closure(h: DataFrame) -> DataFrame:

@@ -180,3 +180,16 @@ def test_rank_for_upsert_matches_plain_window(spark, bucket):
         for n, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2], r[3]), reverse=True)):
             want[r[3]] = n + 1
     assert got == want
+
+
+def test_hierarchy_with_sensors_and_closure(spark):
+    from sensorlake.operators.hierarchy import ancestors, hierarchy_from_locations, siblings
+    m = spark.createDataFrame([("00A1", "1NP-S1"), ("00B2", "1NP-S1"), ("00C3", "2NP-S4")], "sensor string, location string")
+    h = hierarchy_from_locations(m, "B1", sensor_col="sensor")
+    assert sorted(r["type"] for r in h.collect()) == ["building", "floor", "floor", "sensor", "sensor", "sensor",
+                                                       "zone", "zone"]
+    anc = {(r["descendant"], r["ancestor"], r["depth"]) for r in ancestors(h, ["B1/1NP/1NP-S1/00A1"]).collect()}
+    assert anc == {("B1/1NP/1NP-S1/00A1", "B1/1NP/1NP-S1", 1), ("B1/1NP/1NP-S1/00A1", "B1/1NP", 2),
+                   ("B1/1NP/1NP-S1/00A1", "B1", 3)}
+    sib = {r["id"]: r["n_siblings"] for r in siblings(h).collect()}
+    assert sib["B1/1NP/1NP-S1/00A1"] == 1 and sib["B1/2NP/2NP-S4/00C3"] == 0 and sib["B1"] == 0
