@@ -30,7 +30,7 @@ def mapped_columns(mapping: DataFrame, key: str = "data_key_original") -> list[s
 
 def ventilation_fact(wide: DataFrame, mapping: DataFrame, old_fact: DataFrame, history: int | None = None,
                      as_of=None, params: DataFrame | None = None, date_col: str = "date",
-                     value_type: str = "double", prune_unmapped: bool = True) -> DataFrame:
+                     value_type: str = "double", prune_unmapped: bool = True, incremental: bool = False) -> DataFrame:
     """Entry 1: wide export -> narrow facts, mapped, merged with history, retained.
 
     read_wide -> all_to_string -> wide_to_narrow -> map_signals ->
@@ -45,7 +45,7 @@ def ventilation_fact(wide: DataFrame, mapping: DataFrame, old_fact: DataFrame, h
     same_type = len({wide.schema[c].dataType for c in values}) <= 1
     narrow = wide_to_narrow(wide if same_type else all_to_string(wide), ids=[date_col], columns=cols)
     facts = map_signals(narrow, mapping, time_col=date_col).withColumn("time", strict_ts("time"))
-    merged = merge_history(facts.select(FACT_COLS), old_fact, value_type=value_type)
+    merged = merge_history(facts.select(FACT_COLS), old_fact, value_type=value_type, incremental=incremental)
     return retain_months(merged, history, as_of, params=params)
 
 
@@ -109,7 +109,7 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
     facts = []
     if wide_path:
         vent = ventilation_fact(read_wide(spark, wide_path), seeds["mapping"], previous(fact_root),
-                                as_of=as_of, params=params("fact.csv"))
+                                as_of=as_of, params=params("fact.csv"), incremental=True)
         out["fact_version"] = write_fact(vent, fact_root)
         facts.append(("fact.csv", read_fact_version(spark, fact_root)))
     if drops_path:
@@ -118,7 +118,7 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
         indoor = measure_columns_to_facts(mapped, {"Temperature_Celsius": "temp_indoor",
                                                    "Relative_Humidity(%)": "humidity_indoor"},
                                           time_col="Datetime", location_col="location")
-        indoor = merge_history(indoor, previous(indoor_root))
+        indoor = merge_history(indoor, previous(indoor_root), incremental=True)
         indoor = retain_months(indoor, None, as_of, params=params("fact_indoor_temperature.csv"))
         out["indoor_version"] = write_fact(indoor, indoor_root)
         facts.append(("fact_indoor_temperature.csv", read_fact_version(spark, indoor_root)))

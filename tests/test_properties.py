@@ -193,3 +193,19 @@ def test_hierarchy_with_sensors_and_closure(spark):
                    ("B1/1NP/1NP-S1/00A1", "B1", 3)}
     sib = {r["id"]: r["n_siblings"] for r in siblings(h).collect()}
     assert sib["B1/1NP/1NP-S1/00A1"] == 1 and sib["B1/2NP/2NP-S4/00C3"] == 0 and sib["B1"] == 0
+
+
+def test_incremental_merge_equals_union_distinct(spark):
+    rng = random.Random(13)
+    def facts(n):
+        return [(BASE + dt.timedelta(hours=rng.randint(0, 50)), rng.choice(["L1", "L2", None]), "k",
+                 rng.choice([1.0, 2.0, None])) for _ in range(n)]
+    schema = "time timestamp_ntz, location string, data_key string, data_value double"
+    old = mg.merge_history(spark.createDataFrame(facts(150), schema), spark.createDataFrame([], schema))  # distinct
+    new = spark.createDataFrame(facts(80), schema)
+    full = sorted(map(tuple, mg.merge_history(new, old).collect()), key=str)
+    inc_df = mg.merge_history(new, old, incremental=True)
+    inc = sorted(map(tuple, inc_df.collect()), key=str)
+    assert inc == full
+    plan = inc_df._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
