@@ -50,3 +50,20 @@ def test_daily_job_end_to_end(spark, tmpdir_path):
                       as_of="2024-03-15 00:00:00", today="2024-03-15")
     pub2 = spark.read.parquet(again["public"]["parquet"])
     assert sorted(map(tuple, pub2.collect())) == sorted(map(tuple, pub.collect()))
+
+
+def test_command_line_runs_the_daily_job(spark, tmpdir_path, capsys):
+    from sensorlake.__main__ import main
+    seeds = f"{tmpdir_path}/seeds"
+    write(f"{seeds}/mapping.csv", "data_key_original,location,data_key\nAHU/t (°C),unit_01,temp_intake\n")
+    write(f"{seeds}/mapping_indoor.csv", "sensor,location\n00A1,Z1\n")
+    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nfact.csv,Vent,4\nfact_indoor_temperature.csv,Logger,2\n")
+    write(f"{seeds}/location_map.csv", "from,to\nZ1,1NP-S1\n")
+    write(f"{tmpdir_path}/wide/a.csv", "date,AHU/t (°C)\n2024-03-01 10:15:00,21.5\n")
+    write(f"{tmpdir_path}/drops/Logger_00A1_.csv", "h\nh\n01/03/2024,10:05,20.0,40\n02/03/2024,10:05,21.0,41\n")
+    rc = main(["daily", "--seeds", seeds, "--wide", f"{tmpdir_path}/wide", "--drops", f"{tmpdir_path}/drops",
+               "--warehouse", f"{tmpdir_path}/wh", "--public", f"{tmpdir_path}/pub", "--as-of", "2024-03-15 00:00:00",
+               "--today", "2024-03-15"])
+    assert rc == 0
+    assert "constant_part" in capsys.readouterr().out
+    assert spark.read.parquet(f"{tmpdir_path}/pub/public_parquet").count() == 5
