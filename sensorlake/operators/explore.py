@@ -43,3 +43,16 @@ def with_levels(df: DataFrame, location_col: str = "location") -> DataFrame:
     """All location levels of a row as columns."""
     loc = F.col(location_col)
     return df.withColumns({"section": section(loc), "floor": floor_code(loc), "floor_class": floor_class(loc)})
+
+
+def explore(df: DataFrame, metrics: Sequence[str], sections: Sequence[int], sources: Mapping[str, bool | Sequence[str]],
+            grain: str = "day", global_metrics: Sequence[str] = (), aggregate_location_keys: Sequence[str] = (),
+            source_priority: Mapping[str, int] | None = None, metric_order: Mapping[str, int] | None = None) -> DataFrame:
+    """The explorer's data path: facets (F10) -> max/avg/min per period and
+    chart line (A09; listed metrics merge all locations into one line) ->
+    display ranks of the lines (O06). One scan, one aggregate."""
+    from sensorlake.operators.aggregates import envelope
+    from sensorlake.operators.ordering import display_order
+    f = facet_filter(df, metrics, sections, sources, global_metrics)
+    env = envelope(f, grain, line_cols=("source", "location", "data_key"), aggregate_location_keys=aggregate_location_keys)
+    return display_order(env, source_priority or {}, metric_order or {})

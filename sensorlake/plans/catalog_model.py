@@ -77,6 +77,21 @@ def q_latest_period_asof(spark, d):
                                  "period", by=["location"])
 
 
+@register("explore", _w(
+    "SELECT date_trunc('month', time) AS period, source, CASE WHEN data_key = 'view' THEN '*' ELSE location END AS "
+    "location, data_key, max(data_value) AS max_value, avg(data_value) AS avg_value, min(data_value) AS min_value, "
+    "COALESCE(CASE source WHEN 'A' THEN 1 WHEN 'B' THEN 2 END, 1073741824) AS source_rank, COALESCE(CASE data_key "
+    "WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 END, 1073741824) AS "
+    "metric_rank FROM readings WHERE data_key IN ('purchase', 'view', 'click') AND (data_key IN ('view') OR "
+    "TRY_CAST(right(location, 1) AS INTEGER) IN (1, 2, 3, 4, 5)) AND (source = 'A' OR (source = 'B' AND "
+    "left(location, 3) IN ('2NP', '3NP', '5NP'))) GROUP BY 1, 2, 3, data_key", nulls=True))
+def q_explore(spark, d):
+    """Monthly max/avg/min lines for a facet selection (the explorer's query)."""
+    return ex.explore(readings(spark, d, nulls=True), ["purchase", "view", "click"], [1, 2, 3, 4, 5],
+                      {"A": True, "B": ["2NP", "3NP", "5NP"]}, grain="month", global_metrics=["view"],
+                      aggregate_location_keys=["view"], source_priority=SOURCE_PRIORITY, metric_order=METRIC_ORDER)
+
+
 # ---------------------------------------------------------------- star schema
 STAGE_ROW = {"timestamp_column": "o_orderdate", "location_column": "o_custkey", "measurement_column": "o_orderpriority",
              "value_column": "o_totalprice", "source_name": "orders", "value_min": 1000, "value_max": 400000,
