@@ -1,8 +1,8 @@
 """Building hierarchy as an adjacency list.
 
-Transitive closure uses Spark SQL's recursive CTE; the closure has one row
-per (ancestor, descendant) pair along a path, i.e. nodes x depth rows --
-never all pairs of a level.
+The transitive closure is built level by level with joins (a tree of depth L
+takes L joins); it has one row per (ancestor, descendant) pair along a path,
+i.e. nodes x depth rows -- never all pairs of a level.
 """
 
 from __future__ import annotations
@@ -43,16 +43,38 @@ def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "
     return out
 
 
-def closure(h: DataFrame) -> DataFrame:
-    """(ancestor, descendant, depth, path) for every node and each of its ancestors (itself at depth 0)."""
-    spark = h.sparkSession
-    return spark.sql(
-        """WITH RECURSIVE c(ancestor, descendant, depth, path) AS (
-             SELECT id, id, 0, CAST(name AS STRING) FROM {h}
-             UNION ALL
-             SELECT c.ancestor, n.id, c.depth + 1, concat(c.path, '/', n.name)
-             FROM c JOIN {h} AS n ON n.parent_id = c.descendant)
-           SELECT * FROM c""", h=h.select("id", "parent_id", "name"))
+MAX_DEPTH = 64
+
+
+def closure(h: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """(ancestor, descendant, depth, path) for every node and each of its ancestors (itself at depth 0).
+
+    Built level by level: each step joins the current frontier (pairs whose
+    descendant is at distance k) to the children of its descendants. A tree
+    of depth L takes L joins and L tiny emptiness checks; the result has
+    nodes x depth rows, with no recursion row limit. A cycle (no empty
+    frontier within ``max_depth`` steps) raises.
+    """
+    nodes = h.select("id", "parent_id", F.col("name").cast("string").alias("name"))
+    children = nodes.filter(F.col("parent_id").isNotNull()).select(
+        F.col("id").alias("_child"), F.col("parent_id").alias("_parent"), F.col("name").alias("_name"))
+    frontier = nodes.select(F.col("id").alias("ancestor"), F.col("id").alias("descendant"),
+                            F.lit(0).alias("depth"), F.col("name").alias("path"))
+    levels = [frontier]
+    for _ in range(max_depth):
+        nxt = (frontier.join(children, F.col("descendant") == F.col("_parent"))
+                       .select("ancestor", F.col("_child").alias("descendant"), (F.col("depth") + 1).alias("depth"),
+                               F.concat(F.col("path"), F.lit("/"), F.col("_name")).alias("path")))
+        if nxt.limit(1).count() == 0:
+            break
+        levels.append(nxt)
+        frontier = nxt
+    else:
+        raise ValueError(f"hierarchy deeper than {max_depth} levels or cyclic")
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
 
 
 def descendants(h: DataFrame, roots: DataFrame | Sequence[str] | None = None) -> DataFrame:

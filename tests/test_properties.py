@@ -209,3 +209,17 @@ def test_incremental_merge_equals_union_distinct(spark):
     assert inc == full
     plan = inc_df._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_closure_deep_chain_and_cycle(spark):
+    from sensorlake.operators.hierarchy import closure
+    chain = [(f"n{i}", f"n{i - 1}" if i else None, "node", f"N{i}", i) for i in range(12)]
+    h = spark.createDataFrame(chain, "id string, parent_id string, type string, name string, level int")
+    c = closure(h)
+    assert c.count() == sum(i + 1 for i in range(12))
+    top = c.filter("ancestor = 'n0' AND descendant = 'n11'").first()
+    assert top["depth"] == 11 and top["path"] == "/".join(f"N{i}" for i in range(12))
+    cyc = spark.createDataFrame([("a", "b", "x", "A", 0), ("b", "a", "x", "B", 0)],
+                                "id string, parent_id string, type string, name string, level int")
+    with pytest.raises(ValueError):
+        closure(cyc, max_depth=8)
