@@ -28,7 +28,7 @@ from sensorlake.operators.filters import valid_line
 from sensorlake.operators.util import broadcast_per_file
 
 FORMATS = ("DMY", "MDY")
-MAX_BROADCAST_FILES = 500_000
+MAX_BROADCAST_FILES = 100_000   # one small row per file: a few MB broadcast at most
 
 
 def split_fields(lines: DataFrame) -> DataFrame:

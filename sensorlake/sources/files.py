@@ -75,7 +75,7 @@ def logical_file_name(path_col) -> "F.Column":
     return F.when(part != "", part).otherwise(basename(path_col))
 
 
-MAX_BROADCAST_FILES = 1_000_000
+MAX_BROADCAST_FILES = 100_000   # one small row per file: a few MB broadcast at most
 
 
 def drop_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -100,7 +100,7 @@ def upsert_months(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     upsert_months_writer(path, key, order, time_col, partition_cols)(batch, 0)
 
 
-MAX_TOUCHED_PARTITIONS = 100_000
+MAX_TOUCHED_PARTITIONS = 10_000
 
 
 def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], time_col: str = "time",
