@@ -38,7 +38,7 @@ def render_drops(spark, d, fresh: bool = False) -> str:
     """Render once per Spark application and table directory (the files are
     derived, immutable data); ``fresh`` renders a private copy (streams that
     archive their input need one)."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.conf.get("spark.app.id", "app"), d)
     if not fresh and key in _RENDERED:
         return _RENDERED[key]
     path = _render_drops(spark, d)

@@ -54,11 +54,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:   # Spark Connect: no SparkContext, the conf is all there is
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:
+        pass
     return path
 
 
