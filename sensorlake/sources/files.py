@@ -150,20 +150,23 @@ def read_annotated(spark: SparkSession, path: str) -> DataFrame:
 
 def reload_exports(spark: SparkSession, path: str, base: DataFrame | None = None) -> DataFrame:
     """Every earlier export under ``path`` (recursive), bad or empty files
-    skipped, then upserted: re-import is idempotent, later files win."""
+    skipped, then upserted: re-import is idempotent; later files, and later
+    lines inside a file, win."""
     df = (spark.read.option("header", True).option("comment", "#").option("recursiveFileLookup", True)
           .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("pathGlobFilter", "*.csv")
           .csv(path))
     df = df.withColumnsRenamed(FROM_POINT)
     pts = df.select(lenient_ts("time").alias("time"), *[F.col(c) for c in SERIES_KEY],
                     lenient_double("data_value").alias("data_value"),
-                    F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"))
+                    F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"),
+                    F.monotonically_increasing_id().alias("_line"))   # grows with the line position in a file
     pts = pts.filter(F.col("time").isNotNull())
     key = ["time", *SERIES_KEY]
     if base is not None:
-        pts = base.select(*key, "data_value", F.lit("").alias("_file"),
-                          F.lit(None).cast("timestamp").alias("_mtime")).unionByName(pts)
-    return upsert(pts, None, key, order=["_mtime", "_file", "data_value"]).drop("_file", "_mtime")
+        pts = base.select(*key, "data_value", F.lit("").alias("_file"), F.lit(None).cast("timestamp").alias("_mtime"),
+                          F.lit(None).cast("long").alias("_line")).unionByName(pts)
+    # write order: file modification time, then file, then line -- the last write wins
+    return upsert(pts, None, key, order=["_mtime", "_file", "_line"]).drop("_file", "_mtime", "_line")
 
 
 def months_to_process(df: DataFrame, time_col: str = "time") -> DataFrame:

@@ -107,3 +107,11 @@ def test_stage_from_mapping_table(spark):
     out = sorted(tuple(r) for r in stage_from_table({"ds_a": a, "ds_b": b}, m).select(
         "datasource_id", "location", "data_key", "data_value").collect())
     assert out == [("ds_a", "L1", "t", 21.0), ("ds_b", "roof", "h", 40.0)]
+
+
+def test_reload_exports_later_line_wins_inside_a_file(spark, tmpdir_path):
+    hdr = "_time,_measurement,location,source,quantity,_value\n"
+    write(f"{tmpdir_path}/x/a.csv", hdr + "2024-01-01T00:00:00Z,nonadditive,L,A,t,9\n"
+                                       "2024-01-01T00:00:00Z,nonadditive,L,A,t,3\n")
+    rows = src.reload_exports(spark, f"{tmpdir_path}/x").collect()
+    assert [r["data_value"] for r in rows] == [3.0]
