@@ -79,3 +79,24 @@ def test_retention_passes_unpivot_join_union_to_both_scans(spark):
     plan = plan_of(Q["ventilation_fact"](spark, SF_SMALL)).replace(" ", "")
     assert "GreaterThanOrEqual(l_shipdate,1999-09-01" in plan       # wide side, below the unpivot
     assert "GreaterThanOrEqual(o_orderdate,1999-09-01" in plan      # history side, below the distinct
+
+
+def test_broadcast_only_within_a_proven_bound(spark):
+    from pyspark.sql import functions as F
+
+    from sensorlake.operators.util import bounded_broadcast, broadcast_per_file
+    big = spark.range(0, 5000).withColumn("k", F.col("id") % 100)
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # only explicit hints may broadcast
+    try:
+        hinted = plan_of(big.join(bounded_broadcast(small, 100), "k"))
+        assert "BroadcastHashJoin" in hinted
+        over = plan_of(big.join(bounded_broadcast(small, 10), "k"))     # bound not proven -> no hint
+        assert "BroadcastHashJoin" not in over
+        from sensorlake.plans.tables import table
+        ev = table(spark, SF_SMALL, "events")
+        per_file = ev.groupBy("event_type").count()
+        assert "BroadcastHashJoin" in plan_of(ev.join(broadcast_per_file(per_file, ev, 10), "event_type"))
+        assert "BroadcastHashJoin" not in plan_of(ev.join(broadcast_per_file(per_file, ev, 0), "event_type"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
