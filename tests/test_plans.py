@@ -100,3 +100,14 @@ def test_broadcast_only_within_a_proven_bound(spark):
         assert "BroadcastHashJoin" not in plan_of(ev.join(broadcast_per_file(per_file, ev, 0), "event_type"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["gaps", "scd2", "as_at", "rank_for_upsert"])
+def test_ordered_windows_are_bucketed(spark, name):
+    """No ordered window is partitioned by the series key alone: every
+    row-level window also carries the time bucket (or the file block)."""
+    import re
+    plan = plan_of(Q[name](spark, SF_SMALL))
+    specs = re.findall(r"windowspecdefinition\(([^)]*?)(?:ASC|DESC)", plan)
+    row_level = [s for s in specs if "_b" in s or "block" in s]
+    assert row_level, specs
