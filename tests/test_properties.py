@@ -223,3 +223,13 @@ def test_closure_deep_chain_and_cycle(spark):
                                 "id string, parent_id string, type string, name string, level int")
     with pytest.raises(ValueError):
         closure(cyc, max_depth=8)
+
+
+def test_siblings_of_requested_nodes_only(spark):
+    from sensorlake.operators.hierarchy import siblings_of
+    h = spark.createDataFrame([("B", None, "b", "B", 0), ("F1", "B", "f", "1NP", 1), ("F2", "B", "f", "2NP", 1),
+                               ("F3", "B", "f", "3NP", 1), ("Z1", "F1", "z", "S1", 2)],
+                              "id string, parent_id string, type string, name string, level int")
+    req = spark.createDataFrame([("F2",), ("Z1",)], "id string")
+    got = sorted((r["node"], r["sibling"]) for r in siblings_of(h, req).collect())
+    assert got == [("F2", "F1"), ("F2", "F3")]
