@@ -26,6 +26,16 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def col(name: str):
+    """A column by its exact name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def text_key(text: str):
+    """Hash that, with its id, names a row's content."""
+    return F.xxhash64(F.coalesce(col(text), F.lit("")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm._util import staged, table
+from sensorlake.llm._util import col, staged, table, text_key
 
 K = 3
 #: Diagonals this close belong to one span; a span must cover this share of its template.
@@ -90,8 +90,8 @@ def positions(spark: SparkSession, templates) -> DataFrame:
 
 def votes(docs: DataFrame, templates, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per text (id, key): a row with its number of words (t null), and one per k-gram match (t, p, at)."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("key"),
+    body = F.coalesce(col(text), F.lit(""))
+    rows = docs.select(col(id_col).alias("id"), text_key(text).alias("key"),
                        F.array_remove(F.split(_lower(body), SEPARATORS, -1), "").alias("w"))
     n = F.size("w")
     rows = rows.select("id", "key", "w", n.cast("long").alias("n_words"), F.explode(F.sequence(F.lit(-1), F.greatest(n - K, F.lit(-1)))).alias("at"))

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm._util import staged, table, words_of
+from sensorlake.llm._util import col, staged, table, words_of
 
 
 @dataclass(frozen=True)
@@ -75,10 +75,10 @@ def _repeated_positions(grams: Column) -> Column:
 
 def measured(docs: DataFrame, text: str = "text", keep: str = "doc") -> DataFrame:
     """The input row as a struct named ``keep``, with the measurements beside it."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n", -1), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
     counted = "[#*$%&|<>]"
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias(keep), words_of(F.col(text)).alias("words"),
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias(keep), words_of(col(text)).alias("words"),
                        lines.alias("lines"), F.regexp_count(body, F.lit(counted)).alias("n_symbols"),
                        (F.octet_length(body) - F.octet_length(F.replace(body, F.lit("!"), F.lit("")))).alias("n_exclaims"))
     n = F.size("words")

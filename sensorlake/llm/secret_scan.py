@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm._util import bound_batches, slices, staged, table, text_buffer
+from sensorlake.llm._util import bound_batches, col, slices, staged, table, text_buffer, text_key
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("token", "random")
@@ -81,9 +81,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_col:
          owner_col: str = "doc_id") -> DataFrame:
     """One row per text: id, key (hash of the text), repo, owner and its candidate spans."""
     bound_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key"),
-                         F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"),
-                         F.col(text).alias("text"))
+    source = docs.select(col(id_col).alias("id"), text_key(text).alias("key"),
+                         col(repo_col).cast("string").alias("repo"), col(owner_col).cast("string").alias("owner"),
+                         col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     spans = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("vstart", pa.int64()),
                                 ("vhash", pa.int64())]))
@@ -131,18 +131,18 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_c
     """``docs`` with its columns; the values of all secrets are replaced by ``mark``."""
     spans = secrets(docs, id_col, text, repo_col, owner_col).where(F.size("spans") > 0).dropDuplicates(["id", "key"])
     spans = spans.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-    own = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = own.join(spans, own[id_col].eqNullSafe(spans["__id"]) & (own["__own"] == spans["__key"]), "left")
+    joined = docs.join(spans, docs[f"`{id_col}`"].eqNullSafe(spans["__id"]) & (text_key(text) == spans["__key"]), "left")
+    body = col(text)
     # value ranges in order, overlapping ones merged into the first by skipping what is already covered
     cut = F.aggregate(
         F.sort_array(F.transform("__spans", lambda s: F.struct(s["vstart"].alias("a"), s["end"].alias("b")))),
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, s: F.when(s["a"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["b"]).alias("at")))
-        .otherwise(F.struct(F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["a"] - acc["at"]).cast("int")),
+        .otherwise(F.struct(F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), (s["a"] - acc["at"]).cast("int")),
                                      F.lit(mark)).alias("out"), s["b"].alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(F.col(text)))))
-    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut)
-    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+        lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
+    clean = F.when(F.col("__spans").isNull(), body).otherwise(cut)
+    return joined.select(*[clean.alias(c) if c == text else col(c) for c in docs.columns])
 
 
 def _joined(spans):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm._util import bound_batches, staged, table
+from sensorlake.llm._util import bound_batches, col, staged, table, text_key
 
 SEED = 42
 BITS = 64
@@ -60,17 +60,17 @@ def fingerprint_of(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) per row; fp is the fingerprint as a signed long."""
+    """(id, key, fp) per row: key is the hash of the text, fp its fingerprint as a signed long."""
     bound_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    source = docs.select(col(id_col).alias("id"), text_key(text).alias("key"), col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
     def each(batches):
         for batch in batches:
             fps = np.array([fingerprint_of(t, shingle_words) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(fps.view(np.int64))], ["id", "key", "fp"])
 
-    return source.mapInArrow(each, f"id {kind}, fp long")
+    return source.mapInArrow(each, f"id {kind}, key long, fp long")
 
 
 def _flips(fp, segments: int):
@@ -141,17 +141,40 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS, segments: int = 4) -> DataFrame:
-    """(id, fp, component): component is the smallest id reachable through links, the row's own included."""
+    """(id, key, fp, component, root): component is the smallest id reachable through links, the row's own included.
+
+    ``root`` is a fingerprint of the component and names it even if no id does.
+    """
     marked = staged(fingerprints(docs, id_col, text, shingle_words), "fingerprints")
     prints = staged(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct-fingerprints")
     found = components(links(prints, max_bits, segments))
     member = prints.join(found, prints.fp == found.node).select("fp", "root", "first_id")
     named = member.groupBy("root").agg(F.min("first_id").alias("component"))
-    linked = member.join(named, "root").select(F.col("fp").alias("linked_fp"), "component")
+    linked = member.join(named, "root").select(F.col("fp").alias("linked_fp"), "component", "root")
     owner = (prints.join(linked, prints.fp == linked.linked_fp, "left")
-             .select(F.col("fp").alias("own_fp"), F.coalesce("component", "first_id").alias("component")))
+             .select(F.col("fp").alias("own_fp"), F.coalesce("component", "first_id").alias("component"),
+                     F.coalesce("root", "fp").alias("root")))
     # a fingerprint shared by a third of all rows is one row of owner; Spark splits such a join's large side
-    return (marked.join(owner, marked.fp == owner.own_fp, "left").select("id", "fp", "component"))
+    return marked.join(owner, marked.fp == owner.own_fp).select("id", "key", "fp", "component", "root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that stay when each near-duplicate component keeps its smallest id (nulls last)."""
+    rows = near_duplicates(docs, id_col, text, **how).groupBy("root", "id", "key").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key", "n"))
+    stay = staged(rows.groupBy("root").agg(first.alias("r")).select(
+        F.col("r.id").alias("__id"), F.col("r.key").alias("__key"), F.col("r.n").alias("__n")), "survivors")
+
+    def chosen(of: DataFrame) -> DataFrame:
+        same = docs[f"`{id_col}`"].eqNullSafe(of["__id"]) & (text_key(text) == of["__key"])
+        return docs.join(of, same, "left_semi")
+
+    out = chosen(stay.where("__n = 1"))
+    repeated = stay.where("__n > 1")
+    if repeated.isEmpty():
+        return out
+    # the same row several times: one is taken
+    return out.union(chosen(repeated).withColumn("__key", text_key(text)).dropDuplicates([id_col, "__key"]).drop("__key"))
 
 
 def op6_simhash_near_dedup(spark, sf_dir):

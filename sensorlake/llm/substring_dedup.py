@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm._util import bound_batches, slices, staged, table, text_buffer, word_bounds
+from sensorlake.llm._util import bound_batches, col, slices, staged, table, text_buffer, text_key, word_bounds
 
 MIN_WORDS, ANCHOR_WORDS = 50, 10
 _M = (1 << 64) - 1
@@ -130,8 +130,7 @@ def _lists(values: np.ndarray, offsets: np.ndarray, kind) -> pa.ListArray:
 def blocks(docs: DataFrame, id_col: str, text: str, size: int, k: int) -> DataFrame:
     """One row per document: id, key (hash of its text), n_words, sha256 of its words, and lists of its blocks."""
     bound_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-        "key", F.xxhash64("text"))
+    source = docs.select(col(id_col).alias("id"), text_key(text).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
     def each(batches):
@@ -224,8 +223,7 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words
     factors = judged.where("factor").select("id", "key", "at", "n")
     edges = judged.where("NOT factor").join(mixed_up, "anchor", "left_semi").select("id", "key", "at", "n")
     lists = [F.collect_list("at").alias("at"), F.collect_list("n").alias("n")]     # never more than a document's words
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-        "key", F.xxhash64("text"))
+    texts = docs.select(col(id_col).alias("id"), text_key(text).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
     per_doc = (factors.withColumn("edge", F.lit(False)).union(edges.withColumn("edge", F.lit(True)))
                .groupBy("id", "key").agg(
                    F.collect_list(F.when(~F.col("edge"), F.struct("at", "n"))).alias("factors"),
@@ -247,9 +245,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     """``docs`` with its columns; texts that lose words are their kept words joined by one space."""
     _, removed = parse(docs, id_col, text, min_words)
     cut = removed.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("kept").alias("__kept"))
-    own = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = own.join(cut, (own[id_col] == cut["__id"]) & (own["__own"] == cut["__key"]), "left")
-    return joined.select(*[F.coalesce("__kept", text).alias(c) if c == text else F.col(c) for c in docs.columns])
+    joined = docs.join(cut, (docs[f"`{id_col}`"] == cut["__id"]) & (text_key(text) == cut["__key"]), "left")
+    return joined.select(*[F.coalesce("__kept", col(c)).alias(c) if c == text else col(c) for c in docs.columns])
 
 
 def op5_substring_dedup(spark, sf_dir):
