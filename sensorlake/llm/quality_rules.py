@@ -87,8 +87,10 @@ def measured(docs: DataFrame, text: str = "text", keep: str = "doc") -> DataFram
     rows = rows.select(keep, n.alias("n_words"), F.length(F.array_join("words", "")).alias("word_chars"), "n_symbols",
                        (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
                        F.size("lines").alias("n_lines"), "n_exclaims", grams.alias("grams"))
-    return rows.select(keep, *[F.col(c).cast("long").alias(c) for c in MEASURES if c != "n_repeat_words"],
-                       _repeated_positions(F.col("grams")).cast("long").alias("n_repeat_words"))
+    found = F.struct(*[(_repeated_positions(F.col("grams")) if c == "n_repeat_words" else F.col(c)).cast("long").alias(c)
+                       for c in MEASURES])
+    # a generator of one row: a filter on measurements is not pushed below it, where it would evaluate them again
+    return rows.select(keep, F.inline(F.array(found)))
 
 
 def ledger(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, keep: str = "doc") -> DataFrame:
