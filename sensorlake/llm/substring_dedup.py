@@ -210,14 +210,15 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words
             .select("id", "key", F.col("b.begin").alias("at"), F.col("b.length").alias("n"), F.col("b.anchor").alias("anchor"),
                     F.col("b.content").alias("content")))
     # anchors of two documents at least: partial aggregates take a frequent anchor apart before the shuffle
-    shared = (runs.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .where("low < high").select("anchor"))
+    # aggregates are written before they are joined, so the join's large side is a plain exchange that Spark can split
+    shared = staged(runs.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                    .where("low < high").select("anchor"), "shared-anchors")
     runs = staged(runs.join(shared, "anchor", "left_semi"), "shared-blocks")
-    variants = runs.groupBy("anchor", "content", "n").agg(F.min("id").alias("first_id"))
+    variants = staged(runs.groupBy("anchor", "content", "n").agg(F.min("id").alias("first_id")), "block-contents")
     # more than one content under an anchor: a factor boundary
-    mixed_up = (variants.groupBy("anchor").agg(F.min("content").alias("c0"), F.max("content").alias("c1"),
-                                               F.min("n").alias("n0"), F.max("n").alias("n1"))
-                .where("c0 <> c1 OR n0 <> n1").select("anchor"))
+    mixed_up = staged(variants.groupBy("anchor").agg(F.min("content").alias("c0"), F.max("content").alias("c1"),
+                                                     F.min("n").alias("n0"), F.max("n").alias("n1"))
+                      .where("c0 <> c1 OR n0 <> n1").select("anchor"), "boundary-anchors")
     judged = staged(runs.join(variants, ["anchor", "content", "n"]).select(
         "id", "key", "at", "n", "anchor", (F.col("first_id") < F.col("id")).alias("factor")), "judged-blocks")
     factors = judged.where("factor").select("id", "key", "at", "n")
@@ -231,7 +232,8 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words
     touched = staged(texts.join(per_doc, ["id", "key"]).dropDuplicates(["id", "key"]), "touched-documents")
     windows = staged(_windows(touched.where(F.size("edges") > 0).select(
         "id", "key", "text", F.col("edges.at").alias("at"), F.col("edges.n").alias("n")), min_words), "boundary-windows")
-    known = windows.groupBy("w1", "w2").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    known = staged(windows.groupBy("w1", "w2").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"),
+                   "repeated-windows")
     repeated = (windows.join(known, ["w1", "w2"]).where("low < id").groupBy("id", "key").agg(
         F.collect_list(F.struct(F.col("start").alias("at"), F.lit(1).cast("long").alias("n"))).alias("more")))
     spans = touched.join(repeated, ["id", "key"], "left").select(
