@@ -151,9 +151,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     member = prints.join(found, prints.fp == found.node).select("fp", "root", "first_id")
     named = member.groupBy("root").agg(F.min("first_id").alias("component"))
     linked = member.join(named, "root").select(F.col("fp").alias("linked_fp"), "component", "root")
-    owner = (prints.join(linked, prints.fp == linked.linked_fp, "left")
-             .select(F.col("fp").alias("own_fp"), F.coalesce("component", "first_id").alias("component"),
-                     F.coalesce("root", "fp").alias("root")))
+    owner = staged(prints.join(linked, prints.fp == linked.linked_fp, "left")
+                   .select(F.col("fp").alias("own_fp"), F.coalesce("component", "first_id").alias("component"),
+                           F.coalesce("root", "fp").alias("root")), "fingerprint-components")
     # a fingerprint shared by a third of all rows is one row of owner; Spark splits such a join's large side
     return marked.join(owner, marked.fp == owner.own_fp).select("id", "key", "fp", "component", "root")
 
