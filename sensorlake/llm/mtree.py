@@ -144,42 +144,66 @@ class Page:
         for child, group in zip(children, groups):
             self._grow(child, group, center)
 
-    def search(self, ids: np.ndarray, query: np.ndarray, own: int, k: int, floor: float, most: int):
-        """Up to k (score, id) with the highest scores of at least ``floor``; and how many distances were computed."""
-        q2 = float(query @ query)
-        q = np.append(query, 0.0)
-        top: list[tuple[float, int]] = []               # smallest first; -id makes the larger id the worse
+    def search(self, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray, most: int):
+        """Best-first over the nodes for a block of queries: (query, id, score) with at most k rows of at least its floor for each.
+
+        A node waits with the queries that may still need it, by the lowest of their bounds; every query has a reach of its own,
+        the distance beyond which nothing can enter its result.
+        """
+        n = len(queries)
+        q2 = np.einsum("ij,ij->i", queries, queries)
+        lifted = np.concatenate([queries, np.zeros((n, 1))], axis=1)
         slack = 0.5 + 1e-9 * (q2 + most)                # scores are integers
-        reach = np.inf if floor == -np.inf else np.sqrt(max(q2 + most - 2 * (floor - slack), 0.0))
-        computed = 1
-        d0 = float(_distances(self.points[self.center[:1]], q)[0])
-        heap = [(max(d0 - self.radius[0], 0.0), 0, d0)]
+
+        def reach_of(score):
+            return np.where(np.isneginf(score), np.inf, np.sqrt(np.maximum(q2 + most - 2 * (np.maximum(score, -2.0 ** 60) - slack), 0)))
+
+        def away(who, rows):
+            x, y = lifted[who], self.points[rows]
+            return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0))
+
+        # distances from squares: their rounding error, as a distance, widens every comparison
+        blur = 1e-6 * (1 + np.sqrt(q2 + most))
+        top, held = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        reach = reach_of(floors) + blur
+        everyone = np.arange(n)
+        d0 = away(everyone, self.center[:1])[:, 0]
+        low = np.maximum(d0 - self.radius[0], 0)
+        heap = [(float(low.min()), 0, everyone, d0, low)]
         while heap:
-            low, node, d = heapq.heappop(heap)
-            if low > reach:
-                break
+            _, node, who, d, low = heapq.heappop(heap)
+            stay = low <= reach[who]
+            who, d = who[stay], d[stay]
+            if not len(who):
+                continue
             a, b = self.first[node], self.last[node]
             if self.leaf[node]:
-                rows = self.order[a:b][np.abs(d - self.entry[a:b]) <= reach]
-                rows = rows[ids[rows] != own]
-                computed += len(rows)
-                scores = self.x[rows] @ query
-                for s, i in zip(scores.tolist(), ids[rows].tolist()):
-                    if len(top) < k:
-                        heapq.heappush(top, (s, -i))
-                    elif (s, -i) > top[0]:
-                        heapq.heapreplace(top, (s, -i))
-                if len(top) == k:
-                    reach = min(reach, np.sqrt(max(q2 + most - 2 * (top[0][0] - slack), 0.0)))
+                near = np.abs(d[:, None] - self.entry[None, a:b]) <= reach[who][:, None]    # stored distances alone
+                some = near.any(axis=0)
+                rows = self.order[a:b][some]
+                if not len(rows):
+                    continue
+                scores = queries[who] @ self.x[rows].T
+                scores[~near[:, some] | (ids[rows][None] == own[who][:, None])] = -np.inf
+                both = np.concatenate([top[who], scores], axis=1)
+                names = np.concatenate([held[who], np.broadcast_to(ids[rows], scores.shape)], axis=1)
+                best = np.lexsort((names, -both), axis=1)[:, :k]
+                top[who], held[who] = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
+                reach = np.minimum(reach, reach_of(top[:, -1]) + blur)
             else:
                 children = np.arange(a, b)
-                children = children[np.abs(d - self.parent[a:b]) - self.radius[a:b] <= reach]
-                computed += len(children)
-                to = _distances(self.points[self.center[children]], q)
-                for c, t in zip(children.tolist(), to.tolist()):
-                    if t - self.radius[c] <= reach:
-                        heapq.heappush(heap, (max(t - self.radius[c], 0.0), c, t))
-        return [(int(s), -i) for s, i in top if s >= floor], computed
+                near = np.abs(d[:, None] - self.parent[None, a:b]) - self.radius[None, a:b] <= reach[who][:, None]
+                some = near.any(axis=0)
+                children, near = children[some], near[:, some]
+                to = away(who, self.center[children])
+                bound = np.maximum(to - self.radius[children][None], 0)
+                near &= bound <= reach[who][:, None]
+                for j, c in enumerate(children.tolist()):
+                    at = np.flatnonzero(near[:, j])
+                    if len(at):
+                        heapq.heappush(heap, (float(bound[at, j].min()), c, who[at], to[at, j], bound[at, j]))
+        good = np.isfinite(top) & (top >= floors[:, None])
+        return np.nonzero(good)[0], held[good], top[good].astype(np.int64)
 
 
 def _assigned(rows: DataFrame, pivots: np.ndarray, dims: int, most: int) -> DataFrame:
@@ -268,14 +292,9 @@ def _searched(pages: DataFrame, wanted: DataFrame, salts: int, dims: int, most:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1).to_pylist()[0]
                 ids, page = _load(one, dims, most)
-                qids, found, scores = [], [], []
-                for qid, q, floor in zip(one["qids"], _matrix(one["qvs"], dims), one["floors"]):
-                    best, _ = page.search(ids, q, qid, k, floor, most)
-                    qids += [qid] * len(best)
-                    scores += [s for s, _ in best]
-                    found += [i for _, i in best]
-                yield pa.RecordBatch.from_arrays([pa.array(qids, pa.int64()), pa.array(found, pa.int64()), pa.array(scores, pa.int64())],
-                                                 ["qid", "id", "score"])
+                qids = np.array(one["qids"], np.int64)
+                who, found, scores = page.search(ids, _matrix(one["qvs"], dims), qids, k, np.array(one["floors"], np.float64), most)
+                yield pa.RecordBatch.from_arrays([pa.array(qids[who]), pa.array(found), pa.array(scores)], ["qid", "id", "score"])
 
     return met.mapInArrow(search, "qid long, id long, score long")
 
