@@ -125,20 +125,14 @@ class Page:
             self.order.extend(rows[by].tolist())
             self.entry.extend(d[by].tolist())
             return
-        # routing objects far from each other, then every row to the nearest
-        near, chosen = d.copy(), []
-        owner = np.zeros(len(rows), np.int64)
-        best = np.full(len(rows), np.inf)
-        for k in range(FANOUT):
-            pick = int(np.argmax(near))
-            if near[pick] == 0 and chosen:
-                break
-            chosen.append(pick)
-            to = _distances(points[rows], points[rows[pick]])
-            owner = np.where(to < best, k, owner)
-            best = np.minimum(best, to)
+        # this node's object and others far from all before, then every row to the nearest: two groups at least
+        near, owner, chosen = d.copy(), np.zeros(len(rows), np.int64), 1
+        while chosen < FANOUT and near.max() > 0:
+            to = _distances(points[rows], points[rows[int(np.argmax(near))]])
+            owner = np.where(to < near, chosen, owner)
             near = np.minimum(near, to)
-        groups = [g for g in (rows[owner == k] for k in range(len(chosen))) if len(g)]
+            chosen += 1
+        groups = [g for g in (rows[owner == k] for k in range(chosen)) if len(g)]
         children = [self._node() for _ in groups]
         self.leaf[node], self.first[node], self.last[node] = False, children[0], children[-1] + 1
         for child, group in zip(children, groups):
