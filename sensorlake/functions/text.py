@@ -92,7 +92,7 @@ def after(c, sep: str) -> Column:
 
 
 def after_prefix(c, prefix: str) -> Column:
-    return F.when(col_(c).startswith(prefix), F.substring(col_(c), len(prefix) + 1, 1 << 20)).otherwise(col_(c))
+    return F.when(col_(c).startswith(prefix), F.substring(col_(c), F.lit(len(prefix) + 1), F.length(col_(c)))).otherwise(col_(c))
 
 
 def section(c) -> Column:

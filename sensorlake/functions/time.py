@@ -74,13 +74,19 @@ def rfc3339(c) -> Column:
 
 
 def lenient_ts(c) -> Column:
-    """Text -> TIMESTAMP_NTZ or NULL (ISO forms, optional `T`, optional trailing `Z`)."""
-    text = F.regexp_replace(F.trim(col_(c).cast("string")), r"(Z|[+-]00:?00)$", "")
-    return text.try_cast("timestamp_ntz")
+    """Text -> TIMESTAMP_NTZ or NULL (ISO forms, optional `T`); text with an offset is converted to UTC."""
+    text = F.trim(col_(c).cast("string"))
+    offset = r"(:\d\d[^+-]*)([+-]\d\d):?(\d\d)$"
+    zoned = F.regexp_replace(text, offset, "$1$2:$3").try_cast("timestamp")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), zoned.cast("timestamp_ntz"))
+    return F.when(text.rlike(offset), utc).otherwise(F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz"))
 
 
 def lenient_double(c) -> Column:
-    return F.trim(col_(c).cast("string")).try_cast("double")
+    """Text -> DOUBLE or NULL; type suffixes (`1d`) are no numbers."""
+    text = F.trim(col_(c).cast("string"))
+    number = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
+    return F.when(text.rlike(number), text.try_cast("double"))
 
 
 def strict_ts(c) -> Column:

@@ -7,11 +7,11 @@ ever sorted whole in one task; the state a block needs from the blocks
 before it (the previous valid timestamp) comes from a one-row-per-block
 summary. Everything else is grouped aggregation with partial combine.
 
-Invariant: ``line_id`` (and ``first_line_id`` in the decisions) are
-positions within the file splits of one read. ``parse_drops`` should get
-decisions derived lazily from the same ``lines`` frame, so both sides are
-planned together and see identical splits -- also when tasks are retried
-or the cluster resizes between jobs.
+``line_id`` orders lines within one scan only: another scan of the same
+files may be split differently, so ids never cross scans. Detection tells
+per file how many header lines look like data (``header_valid``, nearly
+always 0: then the line rule F08 alone removes the header); only files
+where some do are numbered again, inside the parsing scan.
 """
 
 from __future__ import annotations
@@ -25,10 +25,8 @@ from sensorlake.functions.quality import count_if
 from sensorlake.functions.text import is_numeric, null_tokens, sensor_id
 from sensorlake.functions.time import build_ts, ts_num, valid_day, ymd_num
 from sensorlake.operators.filters import valid_line
-from sensorlake.operators.util import broadcast_per_file
 
 FORMATS = ("DMY", "MDY")
-MAX_BROADCAST_FILES = 100_000   # one small row per file: a few MB broadcast at most
 
 
 def split_fields(lines: DataFrame) -> DataFrame:
@@ -85,15 +83,30 @@ def _in_block(x: DataFrame) -> DataFrame:
              .withColumn("_pd", F.last("ts_dmy", ignorenulls=True).over(w)))
 
 
-def _positions(lines: DataFrame, header_lines: int) -> DataFrame:
-    """Header flags from the line position inside block 0 (same window spec
-    as the evidence pass, so no extra exchange)."""
+def _header_flags(lines: DataFrame, header_lines: int) -> DataFrame:
+    """Header flags from the line position inside block 0."""
     if "is_header" in lines.columns:
         return lines
     pos = F.row_number().over(Window.partitionBy("file", "block").orderBy("line_id")) - 1
     return lines.withColumn("is_header", (F.col("block") == 0) & (pos < header_lines))
 
 
+PARTS = ("p1", "p2", "y", "hh", "mi", "ss")
+
+
+def _positions(lines: DataFrame, header_lines: int) -> DataFrame:
+    """Fields of each line without its text, with header flags: what is shuffled
+    to the ordered windows is the file, the position and the small parts."""
+    given = ["is_header"] if "is_header" in lines.columns else []
+    fields = split_fields(lines.drop("is_header")) if not given else split_fields(
+        lines.withColumn("_header", F.col("is_header")).drop("is_header")).withColumnRenamed("_header", "is_header")
+    fields = fields.select("file", "file_name", "block", "line_id", "valid", *PARTS, *given)
+    x = _header_flags(fields, header_lines)
+    x = x.withColumn("header_valid", F.col("valid") & F.col("is_header")).withColumn("valid", F.col("valid") & ~F.col("is_header"))
+    return x.select("file", "file_name", "block", "line_id", "is_header", "valid", "header_valid",
+                    *[F.when(F.col("valid"), F.col(c)).alias(c) for c in PARTS])
+
+
 def _first_last(col: str) -> list[Column]:
     key = F.when(F.col(col).isNotNull(), F.col("line_id"))
     return [F.min_by(F.col(col), key).alias(f"_first_{col}"), F.max_by(F.col(col), key).alias(f"_last_{col}")]
@@ -140,7 +153,7 @@ def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
     reading, last valid line); the few rows per file are then combined --
     including the breaks at block starts -- without moving any line again.
     """
-    x = _in_block(_with_readings(split_fields(_positions(lines, header_lines))))
+    x = _in_block(_with_readings(_positions(lines, header_lines)))
     v = F.col("valid")
     p1, p2 = F.col("p1"), F.col("p2")
     data = ~F.col("is_header")
@@ -158,7 +171,7 @@ def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
         # primitive buffers keep this a hash aggregate
         F.max_by(F.col("p1") * 1000000 + F.col("p2") * 10000 + F.col("y"), F.when(v, F.col("line_id")))
          .alias("_last_line"),
-        F.min("line_id").alias("_first_id"),
+        count_if(F.col("header_valid")).alias("header_valid"),
     )
     blocks = _carry(blocks)
     pops = [F.bit_count(F.coalesce(F.bit_or(c), F.lit(0).cast("long"))) for c in ("m1a", "m1b", "m2a", "m2b")]
@@ -172,7 +185,7 @@ def date_evidence(lines: DataFrame, header_lines: int = 2) -> DataFrame:
         (F.sum("in_dmy") + count_if(F.col("_first_ts_dmy") < F.col("_carry_dmy"))).alias("breaks_dmy"),
         (F.sum("in_mdy") + count_if(F.col("_first_ts_mdy") < F.col("_carry_mdy"))).alias("breaks_mdy"),
         F.max_by(F.col("_last_line"), F.when(F.col("_last_line").isNotNull(), F.col("block"))).alias("_last"),
-        F.min(F.when(F.col("block") == 0, F.col("_first_id"))).alias("first_line_id"),
+        F.sum("header_valid").alias("header_valid"),
     )
     code = F.col("_last")
     last = F.when(code.isNotNull(), F.struct((code / 1000000).cast("int").alias("p1"),
@@ -241,8 +254,8 @@ def detect_date_format(lines: DataFrame, today, strict: bool = True, default: st
 
     ``lines`` must include the header lines (``drop_lines`` or
     ``read_sensor_drops(keep_header=True)``) so that files with no data line
-    are still listed (rule ``empty``). ``first_line_id`` lets ``parse_drops``
-    skip the headers without another pass over the text.
+    are still listed (rule ``empty``). ``header_valid`` counts header lines
+    that pass the line rule, which ``parse_drops`` must find by position.
     """
     ev = date_evidence(lines, header_lines)
     ev = ev.withColumn("sensor", sensor_id(F.col("file_name")))
@@ -250,7 +263,7 @@ def detect_date_format(lines: DataFrame, today, strict: bool = True, default: st
     return out.select("file", "file_name", "sensor", "fmt", "rule", "n_lines", "n_valid", "uniq_p1", "uniq_p2",
                       "hint_dmy", "hint_mdy", "breaks_dmy", "breaks_mdy",
                       F.col("last.p1").alias("last_p1"), F.col("last.p2").alias("last_p2"), F.col("last.y").alias("last_y"),
-                      "first_line_id")
+                      "header_valid")
 
 
 def _tokens(lines: DataFrame) -> DataFrame:
@@ -270,13 +283,20 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     fail the job with ``on_bad='fail'``). Files whose format is not
     DMY/MDY are not parsed. Returns (good, quarantine).
     """
-    fmt = decisions.filter(F.col("fmt").isin(*FORMATS)).select("file", "fmt", F.col("sensor").alias("Location"),
-                                                              "first_line_id")
-    x = lines.join(broadcast_per_file(fmt, lines, MAX_BROADCAST_FILES), "file")
-    if "is_header" in x.columns:
-        x = x.filter(~F.col("is_header")).drop("is_header")
-    else:   # headers: the first lines of block 0, located by the detection pass
-        x = x.filter(~((F.col("block") == 0) & (F.col("line_id") - F.col("first_line_id") < header_lines)))
+    from sensorlake.session import scratch_path
+    spark = lines.sparkSession
+    path = scratch_path(spark, "drop-decisions")        # one row per file, read by several branches
+    decisions.filter(F.col("fmt").isin(*FORMATS)).select(
+        "file", "fmt", F.col("sensor").alias("Location"), "header_valid").write.parquet(path)
+    fmt = spark.read.parquet(path)
+    if "is_header" in lines.columns:
+        x = lines.join(fmt, "file").filter(~F.col("is_header")).drop("is_header")
+    else:
+        # F08 removes the headers, unless they look like data
+        x = lines.join(fmt.filter(F.col("header_valid") == 0), "file")
+        odd = fmt.filter(F.col("header_valid") > 0)
+        if not odd.isEmpty():
+            x = x.unionByName(_header_flags(lines.join(odd, "file"), header_lines).filter(~F.col("is_header")).drop("is_header"))
     x = _tokens(x)
     dmy = F.col("fmt") == "DMY"
     day = F.when(dmy, F.col("p1")).otherwise(F.col("p2"))

@@ -43,17 +43,15 @@ def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "
     return out
 
 
-MAX_DEPTH = 64
-
-
-def closure(h: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure(h: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(ancestor, descendant, depth, path) for every node and each of its ancestors (itself at depth 0).
 
     Built level by level: each step joins the current frontier (pairs whose
     descendant is at distance k) to the children of its descendants. A tree
     of depth L takes L joins and L tiny emptiness checks; the result has
-    nodes x depth rows, with no recursion row limit. A cycle (no empty
-    frontier within ``max_depth`` steps) raises.
+    nodes x depth rows, with no recursion row limit. A cycle (a node
+    that is its own ancestor) raises, as does a tree deeper than
+    ``max_depth`` if that is given.
     """
     nodes = h.select("id", "parent_id", F.col("name").cast("string").alias("name"))
     children = nodes.filter(F.col("parent_id").isNotNull()).select(
@@ -61,16 +59,17 @@ def closure(h: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     frontier = nodes.select(F.col("id").alias("ancestor"), F.col("id").alias("descendant"),
                             F.lit(0).alias("depth"), F.col("name").alias("path"))
     levels = [frontier]
-    for _ in range(max_depth):
+    while True:
         nxt = (frontier.join(children, F.col("descendant") == F.col("_parent"))
                        .select("ancestor", F.col("_child").alias("descendant"), (F.col("depth") + 1).alias("depth"),
                                F.concat(F.col("path"), F.lit("/"), F.col("_name")).alias("path")))
-        if nxt.limit(1).count() == 0:
+        state = nxt.agg(F.count("*").alias("n"), F.max(F.col("ancestor") == F.col("descendant")).alias("loop")).first()
+        if not state["n"]:
             break
+        if state["loop"] or (max_depth is not None and len(levels) > max_depth):
+            raise ValueError(f"hierarchy cyclic or deeper than {max_depth} levels")
         levels.append(nxt)
         frontier = nxt
-    else:
-        raise ValueError(f"hierarchy deeper than {max_depth} levels or cyclic")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -19,7 +19,7 @@ def _conformed(df: DataFrame, cols: Sequence[str], types: Mapping[str, str] | No
 
 def merge_history(new: DataFrame, old: DataFrame, cols: Sequence[str] = FACT_COLS,
                   value_type: str = "double", value_col: str = "data_value", incremental: bool = False,
-                  max_new_rows: int = 5_000_000) -> DataFrame:
+                  time_col: str = "time") -> DataFrame:
     """UNION DISTINCT of new facts and the previous fact table.
 
     Both sides are cast to one value type *before* the union (quirk K1):
@@ -28,28 +28,20 @@ def merge_history(new: DataFrame, old: DataFrame, cols: Sequence[str] = FACT_COL
     aggregate with map-side partial dedup.
 
     ``incremental=True`` is for a history that is this operator's own earlier
-    output (already distinct): the history is not re-shuffled; the new facts
-    (a load, proven at most ``max_new_rows``) are broadcast, history rows
-    equal to one of them are found with a null-safe semi-join while the
-    history is scanned, and only new rows not stored yet are appended.
-    Beyond the bound it falls back to the full distinct.
+    output (already distinct): only the months the load touches are
+    deduplicated with it, all other months pass through without a shuffle.
+    The result does not depend on the size of either side.
     """
-    from sensorlake.operators.util import bounded_broadcast
     types = {value_col: value_type}
     n = _conformed(new, cols, types)
     o = _conformed(old, cols, types)
-    if incremental:
-        n = n.distinct()
-        nb = bounded_broadcast(n, max_new_rows)
-        if nb is not n:      # proven small: broadcast probe, no shuffle of the history
-            hist = o.alias("h")
-            probe = nb.alias("n")
-            cond = [F.col(f"h.`{c}`").eqNullSafe(F.col(f"n.`{c}`")) for c in cols]
-            stored = hist.join(probe, cond, "left_semi")
-            cond2 = [F.col(f"n.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in cols]
-            added = n.alias("n").join(F.broadcast(stored.alias("s")), cond2, "left_anti")
-            return o.unionByName(added.select(*cols))
-    return n.unionByName(o).distinct()
+    if not incremental:
+        return n.unionByName(o).distinct()
+    month = F.coalesce(F.date_format(time_col, "yyyy-MM"), F.lit(""))      # facts without a time are a month of their own
+    touched = n.select(month.alias("_touched")).distinct()
+    same = month == F.col("_touched")
+    again = n.unionByName(o.join(touched, same, "left_semi")).distinct()
+    return again.unionByName(o.join(touched, same, "left_anti"))
 
 
 def concat(frames: Sequence[DataFrame]) -> DataFrame:

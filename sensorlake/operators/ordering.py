@@ -62,7 +62,8 @@ def display_order(df: DataFrame, source_priority: Mapping[str, int], metric_orde
     mo = F.create_map(*[x for k, v in metric_order.items() for x in (F.lit(k), F.lit(v))])
     big = F.lit(1 << 30)
     return (df.withColumn("source_rank", F.coalesce(sp[F.col(source_col)], big))
-              .withColumn("metric_rank", F.coalesce(mo[F.col(metric_col)], big)))
+              .withColumn("metric_rank", F.coalesce(mo[F.col(metric_col)], big))
+              .orderBy("source_rank", "metric_rank", source_col, metric_col))
 
 
 def head_tail(lines: DataFrame, n: int, file_col: str = "file", order_cols: Sequence[str] = ("line_no",)) -> DataFrame:
@@ -79,15 +80,17 @@ def head_tail(lines: DataFrame, n: int, file_col: str = "file", order_cols: Sequ
 def global_row_number(df: DataFrame, order: Sequence[Column | str], col: str = "row_no") -> DataFrame:
     """1-based position of each row in a total order, without a single-partition window.
 
-    Range-partitioned sort, then per-partition row counts (one row per
-    partition, so the broadcast is bounded by the partition count) turned
-    into offsets; position = partition offset + rank inside the partition.
-    The order should be total (add tie-breakers), so a recomputed partition
-    yields the same positions.
+    Range-partitioned sort, written once to the shared checkpoint folder:
+    counts and rows must come from one sort, as two would sample different
+    bounds. Per-partition row counts (one row per partition) become
+    offsets; position = partition offset + rank inside the partition.
     """
     from pyspark.sql import Window
+
+    from sensorlake.session import materialize
     ords = [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order]
     s = df.orderBy(*ords).withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    s = materialize(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))

@@ -44,7 +44,7 @@ def stage_from_table(frames: Mapping[str, DataFrame], mappings: DataFrame, as_of
 
     The mapping table is configuration (one row per datasource), read on the
     driver; datasources without a frame are skipped."""
-    rows = mappings.limit(10_000).collect()
+    rows = mappings.collect()
     staged = [stage(frames[r[id_col]], r.asDict(), as_of).withColumn(id_col, F.lit(r[id_col]))
               for r in rows if r[id_col] in frames]
     if not staged:

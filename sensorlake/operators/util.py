@@ -28,17 +28,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_RO
         df = materialize(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_per_file(side: DataFrame, source: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a table that has at most one row per input file of ``source``.
-
-    The bound is the file listing the driver already holds
-    (``source.inputFiles()``), so no job runs to prove it. Beyond the bound
-    (or when the listing is unavailable) the planner decides at runtime.
-    """
-    try:
-        n_files = len(source.inputFiles())
-    except Exception:
-        return side
-    return F.broadcast(side) if n_files <= max_rows else side

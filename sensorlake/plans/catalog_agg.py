@@ -10,7 +10,7 @@ from sensorlake.operators import aggregates as ag
 from sensorlake.operators import ordering as od
 from sensorlake.operators import windows as wn
 from sensorlake.plans.registry import register
-from sensorlake.plans.tables import READINGS_NULLS_SQL, READINGS_SQL, readings, sql_with
+from sensorlake.plans.tables import READINGS_NULLS_SQL, READINGS_SQL, readings, sql_with, table
 
 R = READINGS_SQL
 RN = READINGS_NULLS_SQL
@@ -134,6 +134,13 @@ def q_public_order(spark, d):
     return od.global_row_number(r, [*od.PUBLIC_SORT, "data_value", "measurement"])
 
 
+@register("row_number_payload", "SELECT event_id, user_id, event_type, value, row_number() OVER (ORDER BY event_id) AS row_no FROM events")
+def q_row_number_payload(spark, d):
+    """Numbers of a frame with columns outside its sort key."""
+    ev = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    return od.global_row_number(ev, ["event_id"])
+
+
 @register("head_per_series", _w(
     "SELECT *, CAST(row_number() OVER (PARTITION BY " + SERIES + " ORDER BY time, data_value) AS INTEGER) AS rn "
     "FROM readings QUALIFY rn <= 3"))

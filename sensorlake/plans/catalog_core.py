@@ -314,14 +314,25 @@ def q_merge_history(spark, d):
 
 @register("merge_history_incremental", "SELECT * FROM " + MAPPED_SQL + " a UNION SELECT * FROM " + OLD_FACT_SQL + " b")
 def q_merge_history_incremental(spark, d):
-    """The daily form: the stored history is already distinct, so only the new
-    facts are probed against it (broadcast) and the missing ones appended."""
+    """The daily form: the stored history is already distinct, so only the months
+    of the new facts are deduplicated with it."""
     narrow = rs.wide_to_narrow(rs.all_to_string(wide(spark, d)), ids=["date"])
     facts = jn.map_signals(narrow, signal_map(spark)).withColumn("time", strict_ts("time"))
     history = mg.merge_history(old_fact(spark, d), old_fact(spark, d).limit(0))   # a stored, distinct history
     return mg.merge_history(facts, history, incremental=True)
 
 
+@register("merge_history_overlap", "SELECT DISTINCT * FROM " + MAPPED_SQL + " a")
+def q_merge_history_overlap(spark, d):
+    """Old and new facts share half of their rows, and the new ones come twice."""
+    narrow = rs.wide_to_narrow(rs.all_to_string(wide(spark, d)), ids=["date"])
+    facts = jn.map_signals(narrow, signal_map(spark)).withColumn("time", strict_ts("time"))
+    split = F.coalesce(F.dayofmonth("time"), F.lit(0))
+    new = facts.filter(split <= 20)
+    history = facts.filter(split > 10).distinct()
+    return mg.merge_history(new.unionByName(new), history, incremental=True)
+
+
 @register("concat", "SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS o_orderstatus FROM orders WHERE o_orderstatus = 'F' "
           "UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
 def q_concat(spark, d):

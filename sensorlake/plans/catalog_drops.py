@@ -216,13 +216,13 @@ def q_head_tail(spark, d):
 
 @register("detect_date_format", drops_sql("SELECT " + DEC_COLS + " FROM dec"))
 def q_detect_date_format(spark, d):
-    return dfm.detect_date_format(drop_lines(spark, render_drops(spark, d)), TODAY).drop("file", "first_line_id")
+    return dfm.detect_date_format(drop_lines(spark, render_drops(spark, d)), TODAY).drop("file", "header_valid")
 
 
 @register("detect_date_format_fallback", drops_sql("SELECT " + DEC_COLS + " FROM dec", today=FAR_TODAY, strict=False))
 def q_detect_date_format_fallback(spark, d):
     lines = read_sensor_drops(spark, render_drops(spark, d), keep_header=True)   # header flags given up front
-    return dfm.detect_date_format(lines, FAR_TODAY, strict=False).drop("file", "first_line_id")
+    return dfm.detect_date_format(lines, FAR_TODAY, strict=False).drop("file", "header_valid")
 
 
 PARSED_SQL = ("(SELECT s.*, d.fmt, CASE WHEN d.fmt = 'DMY' THEN s.p2 ELSE s.p1 END AS month, "

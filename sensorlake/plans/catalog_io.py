@@ -145,8 +145,9 @@ def q_reload_exports(spark, d):
                    F.col("data_key").alias("quantity"), F.col("data_value").alias("_value"))
     write_csv(pts, f"{root}/2024/export1")
     corr = r.filter("data_key = 'purchase'").withColumn("data_value", F.col("data_value") + 1)
-    write_csv(corr.select(rfc3339_us("time").alias("_time"), F.col("measurement").alias("_measurement"), "location",
-                          "source", F.col("data_key").alias("quantity"), F.col("data_value").alias("_value")),
+    # the later export has its columns in another order
+    write_csv(corr.select(F.col("data_value").alias("_value"), "source", F.col("data_key").alias("quantity"), "location",
+                          rfc3339_us("time").alias("_time"), F.col("measurement").alias("_measurement")),
               f"{root}/2024/export2")
     return src.reload_exports(spark, root).select("time", "measurement", "location", "source", "data_key", "data_value")
 
@@ -205,6 +206,29 @@ def q_read_monthly(spark, d):
     return src.read_monthly(spark, _monthly_roundtrip(spark, d, "csv"), layout="partitioned")
 
 
+@register("read_monthly_named", _w("SELECT time, location, source, measurement, data_key, data_value FROM readings"))
+def q_read_monthly_named(spark, d):
+    """Files `{class}_YYYY-MM.hourly.csv`; the two classes have their columns in different orders."""
+    root = scratch_path(spark, "monthly-named")
+    r = readings(spark, d).withColumn("time_text", rfc3339_us("time")).withColumn("ym", F.date_format("time", "yyyy-MM"))
+    one = ["time", "location", "source", "measurement", "data_key", "data_value"]
+    for kind, order in (("additive", one), ("nonadditive", one[::-1])):
+        rows = r.filter(F.col("measurement") == kind).withColumn("time", F.col("time_text"))
+        rows.repartition("ym").select(*order, "ym").write.option("header", True).partitionBy("ym").csv(f"{root}/{kind}")
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for kind in ("additive", "nonadditive"):
+        for month in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")):
+            name = month.getPath().getName()
+            if not name.startswith("ym="):
+                continue
+            for part in fs.listStatus(month.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(month.getPath(), f"{kind}_{name[3:]}.hourly.csv"))
+    return src.read_monthly(spark, root, layout="named")
+
+
 # ---------------------------------------------------------------- public dataset
 LOCATION_MAP = [("1NP-S1", "Z-01"), ("2NP-S2", "Z-02"), ("3NP-S3", "Z-03"), ("1NP-S1", "Z-11")]
 LOCMAP_SQL = "(SELECT * FROM (VALUES ('1NP-S1', 'Z-11'), ('2NP-S2', 'Z-02'), ('3NP-S3', 'Z-03')) AS m(f, t))"
@@ -265,13 +289,12 @@ def q_write_multi_grain(spark, d):
 
 
 # ---------------------------------------------------------------- source by originating file
-FILE_OF = [("1-URGENT", "fact.csv"), ("2-HIGH", "fact_indoor_humidity.csv"), ("3-MEDIUM", "fact_indoor_temperature.csv")]
-SOURCES_SEED = [("fact.csv", "Vent", 4), ("fact_indoor_humidity.csv", "Logger", 2),
-                ("fact_indoor_temperature.csv", "Logger", 2)]
+FILE_OF = [("1-URGENT", "urgent.csv"), ("2-HIGH", "high.csv"), ("3-MEDIUM", "medium.csv")]
+SOURCES_SEED = [("medium.csv", "Backlog", 9), ("urgent.csv", "Rush", 5), ("high.csv", "Rush", 7)]
 
 
-@register("attach_source_files", "SELECT o_orderkey, o_totalprice, CASE o_orderpriority WHEN '1-URGENT' THEN 'Vent' "
-          "ELSE 'Logger' END AS source FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')")
+@register("attach_source_files", "SELECT o_orderkey, o_totalprice, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'Backlog' "
+          "ELSE 'Rush' END AS source FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')")
 def q_attach_source_files(spark, d):
     """Facts exported to several files; each row takes the source of its file
     (files missing from the sources seed drop out)."""

@@ -130,7 +130,7 @@ ORDER_POINTS = ("(SELECT 'orders' AS source, strftime(o_orderdate, '%Y-%m') AS y
 
 @register("changed_months", "SELECT * FROM " + ORDER_POINTS.format(w="") + " c WHERE NOT EXISTS (SELECT 1 FROM "
           + ORDER_POINTS.format(w="WHERE o_orderstatus <> 'P'") + " s WHERE s.source = c.source AND s.year_month = "
-          "c.year_month AND s.row_count = c.row_count)")
+          "c.year_month AND s.row_count >= c.row_count)")
 def q_changed_months(spark, d):
     o = table(spark, d, "orders").select(F.lit("orders").alias("source"), F.col("o_orderdate").alias("time"),
                                          "o_orderstatus")
@@ -139,6 +139,15 @@ def q_changed_months(spark, d):
     return st.changed_months(current, state, marker="row_count")
 
 
+@register("changed_months_loaded", "SELECT * FROM " + ORDER_POINTS.format(w="") + " c WHERE NOT EXISTS (SELECT 1 FROM "
+          + ORDER_POINTS.format(w="WHERE o_orderkey % 3 <> 0") + " s WHERE s.source = c.source AND s.year_month = "
+          "c.year_month AND s.max_loaded_at >= c.max_loaded_at)")
+def q_changed_months_loaded(spark, d):
+    """The freshness marker: months whose newest point is later than recorded."""
+    o = table(spark, d, "orders").select("o_orderkey", F.lit("orders").alias("source"), F.col("o_orderdate").alias("time"))
+    return st.changed_months(st.month_markers(o), st.month_markers(o.filter("o_orderkey % 3 <> 0")))
+
+
 ALERT_RULES = [("value_between", "data_value IS NOT NULL AND NOT (data_value BETWEEN 100 AND 9000)"),
                ("null_value", "data_value IS NULL")]
 

@@ -3,6 +3,9 @@ facts -> public dataset), each one Spark plan, plus the whole daily job."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,17 +18,9 @@ from sensorlake.operators.ordering import public_order
 from sensorlake.operators.reshape import all_to_string, conform, wide_to_narrow
 from sensorlake.schemas import FACT_COLS, PUBLIC_COLS, SERIES_KEY
 
-MAX_MAPPED_COLUMNS = 10_000
-
-
-def mapped_columns(mapping: DataFrame, key: str = "data_key_original") -> list[str] | None:
-    """Signal names of a (seed-sized) mapping, read on the driver.
-
-    Returns None when the mapping is larger than MAX_MAPPED_COLUMNS; the
-    unpivot then expands every column and the join does the filtering.
-    """
-    rows = mapping.select(key).distinct().limit(MAX_MAPPED_COLUMNS + 1).collect()
-    return None if len(rows) > MAX_MAPPED_COLUMNS else [r[0] for r in rows]
+def mapped_columns(mapping: DataFrame, key: str = "data_key_original") -> list[str]:
+    """Signal names of a mapping, read on the driver: column names, so metadata."""
+    return [r[0] for r in mapping.select(key).distinct().collect()]
 
 
 def ventilation_fact(wide: DataFrame, mapping: DataFrame, old_fact: DataFrame, history: int | None = None,
@@ -36,9 +31,9 @@ def ventilation_fact(wide: DataFrame, mapping: DataFrame, old_fact: DataFrame, h
     read_wide -> all_to_string -> wide_to_narrow -> map_signals ->
     drop_null_time -> merge_history -> retain_months.
     """
-    cols = mapped_columns(mapping) if prune_unmapped else None
-    if cols is not None:
-        cols = [c for c in cols if c in wide.columns and c != date_col]
+    cols = None
+    if prune_unmapped:
+        cols = [c for c in mapped_columns(mapping) if c in wide.columns and c != date_col]
     values = cols if cols is not None else [c for c in wide.columns if c != date_col]
     # One unpivot needs one value type: text when the signals disagree (as a
     # CSV export always does), otherwise the typed columns go through as they are.
@@ -69,7 +64,8 @@ def tag_points(facts: DataFrame, source: str, additive_keys=()) -> DataFrame:
 
 def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str | None, fact_root: str,
               indoor_root: str, points_root: str, public_dir: str, as_of, today,
-              additive_keys=(), every: str = "1 hour") -> dict:
+              additive_keys=(), every: str = "1 hour", wide_file: str = "ventilation.csv",
+              indoor_files: Mapping[str, str] | None = None) -> dict:
     """The whole daily run as Spark jobs, from raw inputs to the public dataset.
 
     1. wide export -> ventilation facts, merged with the newest fact version,
@@ -79,6 +75,9 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
     3. facts tagged with their source -> upserted into month-partitioned
        points (only touched months rewritten) -> hourly windows -> public
        names -> public CSV + Parquet, plus the dataset profile.
+    ``wide_file`` and ``indoor_files`` (data_key -> file) are the ``file_nm``
+    entries of the sources seed that give each fact its source name and
+    its own retention.
     Returns the written paths and the small report frames (decisions,
     quarantine, profile).
     """
@@ -90,17 +89,18 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
     from sensorlake.operators.reshape import measure_columns_to_facts
     from sensorlake.schemas import FACT, SEEDS
     from sensorlake.sources.files import read_seed, read_wide
-    from sensorlake.sources.sinks import read_fact_version, write_fact, write_public
+    from sensorlake.sources.sinks import newest_version, read_fact_version, write_fact, write_public
     from sensorlake.streaming.streams import upsert_months
 
     seeds = {n: read_seed(spark, f"{seeds_dir.rstrip('/')}/{n}.csv", n) for n in SEEDS}
     sources = seeds["mapping_sources"]
 
+    indoor_files = dict(indoor_files or {"temp_indoor": "temperature.csv", "humidity_indoor": "humidity.csv"})
+
     def previous(root):
-        try:
-            return read_fact_version(spark, root)
-        except Exception:   # first run: no version yet
+        if newest_version(spark, root) is None:     # first run
             return spark.createDataFrame([], FACT)
+        return read_fact_version(spark, root)
 
     def params(file_nm):
         return sources.filter(F.col("file_nm") == file_nm)
@@ -109,9 +109,9 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
     facts = []
     if wide_path:
         vent = ventilation_fact(read_wide(spark, wide_path), seeds["mapping"], previous(fact_root),
-                                as_of=as_of, params=params("fact.csv"), incremental=True)
+                                as_of=as_of, params=params(wide_file), incremental=True)
         out["fact_version"] = write_fact(vent, fact_root)
-        facts.append(("fact.csv", read_fact_version(spark, fact_root)))
+        facts.append((wide_file, read_fact_version(spark, fact_root)))
     if drops_path:
         merged, decisions, quarantine = merge_drops(spark, drops_path, today)
         mapped = map_sensors(merged, seeds["mapping_indoor"], "Location")
@@ -119,13 +119,15 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
                                                    "Relative_Humidity(%)": "humidity_indoor"},
                                           time_col="Datetime", location_col="location")
         indoor = merge_history(indoor, previous(indoor_root), incremental=True)
-        indoor = retain_months(indoor, None, as_of, params=params("fact_indoor_temperature.csv"))
-        out["indoor_version"] = write_fact(indoor, indoor_root)
-        facts.append(("fact_indoor_temperature.csv", read_fact_version(spark, indoor_root)))
+        kept = [retain_months(indoor.filter(F.col("data_key") == key), None, as_of, params=params(file_nm))
+                for key, file_nm in indoor_files.items()]
+        out["indoor_version"] = write_fact(functools.reduce(DataFrame.unionByName, kept), indoor_root)
+        stored_indoor = read_fact_version(spark, indoor_root)
+        facts += [(file_nm, stored_indoor.filter(F.col("data_key") == key)) for key, file_nm in indoor_files.items()]
         out["reports"].update(decisions=decisions, quarantine=quarantine)
     if not facts:
         return out
-    src_name = {r["file_nm"]: r["source_nm"] for r in sources.limit(10_000).collect()}
+    src_name = {r["file_nm"]: r["source_nm"] for r in sources.collect()}
     points = None
     for file_nm, f in facts:
         p = tag_points(f, src_name.get(file_nm, file_nm), additive_keys)

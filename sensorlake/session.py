@@ -50,7 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a path every executor
-    sees). Only when it is unset -- local tests -- a folder is made here.
+    sees), else this raises. Only a local master without it -- tests -- gets
+    a folder made here.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -59,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:   # Spark Connect: no SparkContext, the conf is all there is
             path = None
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

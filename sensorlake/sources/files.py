@@ -3,7 +3,9 @@ driver from file headers/metadata, never from collected data."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +30,59 @@ def require_columns(df: DataFrame, cols: Sequence[str], where: str = "input") ->
     return df
 
 
+def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequence[str] = (), comment: str | None = None,
+                sep: str = ",", glob: str | None = None, recursive: bool = False, rename: Mapping[str, str] | None = None,
+                skip_corrupt: bool = False) -> DataFrame:
+    """CSV files with a header each, columns as text, bound by name file by file.
+
+    Spark applies one header to all files of a read, so files are grouped by
+    their own header line first (a scan that keeps one line per file). One
+    header: one read of the path. Several: each group is read with its own
+    header and all are united by name. A file without a ``required`` column
+    (after ``rename``) raises with its path. File paths reach the driver only
+    if headers differ. ``_file``, ``_mtime`` and ``_line`` tell where a row
+    comes from.
+    """
+    def reader():
+        r = spark.read.option("recursiveFileLookup", recursive)
+        if skip_corrupt:
+            r = r.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+        return r.option("pathGlobFilter", glob) if glob else r
+
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = reader().text(paths).select("value", F.col("_metadata.file_path").alias("file"),
+                                        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    lines = lines.filter((F.col("block") == 0) & (F.trim("value") != ""))
+    if comment:
+        lines = lines.filter(~F.col("value").startswith(comment))
+    first = lines.groupBy("file").agg(F.regexp_replace(F.min_by("value", "id"), "\r$", "").alias("header"))
+    groups = first.groupBy("header").agg(F.count("*").alias("n"), F.min("file").alias("file")).orderBy("header").collect()
+    frames = []
+    for g in groups:
+        names = next(csv.reader([g["header"].removeprefix("\ufeff")], delimiter=sep))
+        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)])
+        r = reader().schema(schema).option("header", True).option("sep", sep)
+        r = r.option("comment", comment) if comment else r
+        own = paths if len(groups) == 1 else [x["file"] for x in first.filter(F.col("header") == g["header"]).select("file").collect()]
+        df = r.csv(own)
+        df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"),
+                       F.monotonically_increasing_id().alias("_line"))
+        df = df.withColumnsRenamed(dict(rename)) if rename else df
+        require_columns(df, required, g["file"])
+        frames.append(df)
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in required]
+                                                      + [T.StructField("_file", T.StringType()), T.StructField("_mtime", T.TimestampType()),
+                                                         T.StructField("_line", T.LongType())]))
+    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+ORIGIN = ("_file", "_mtime", "_line")
+
+
 def read_wide(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with header; every column as text; column set discovered at read."""
-    return spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
+    """CSV with header; every column as text, bound by name per file; column set discovered at read."""
+    return csv_by_name(spark, path, sep=sep).drop(*ORIGIN)
 
 
 def read_fact(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -75,9 +127,6 @@ def logical_file_name(path_col) -> "F.Column":
     return F.when(part != "", part).otherwise(basename(path_col))
 
 
-MAX_BROADCAST_FILES = 100_000   # one small row per file: a few MB broadcast at most
-
-
 def drop_lines(spark: SparkSession, path: str) -> DataFrame:
     """Device drop files as positioned lines (file, file_name, block, line_id,
     text), BOM stripped, headers not yet identified: the detection pass
@@ -91,17 +140,15 @@ def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, kee
     """Device drop files -> lines (file, file_name, block, line_id, text[, is_header]).
 
     The first ``header_lines`` lines of each file are headers (dropped unless
-    ``keep_header``), the UTF-8 BOM is stripped. Headers are found without
-    moving the lines: the first line id of each file (one row per file,
-    partial aggregation) is joined back -- broadcast while the file count is
-    within a proven bound.
+    ``keep_header``), the UTF-8 BOM is stripped. Headers are found by the
+    position inside the first block of the same scan (ids of two scans are
+    not comparable); parsing whole runs goes through ``drop_lines``, which
+    moves no text.
     """
-    from sensorlake.operators.util import broadcast_per_file
+    from pyspark.sql import Window
     lines = read_lines(spark, path)
-    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line_id").alias("_first"))
-    out = lines.join(broadcast_per_file(first, lines, MAX_BROADCAST_FILES), "file", "left")
-    is_header = F.coalesce((F.col("block") == 0) & ((F.col("line_id") - F.col("_first")) < header_lines), F.lit(False))
-    out = out.withColumn("is_header", is_header).drop("_first")
+    pos = F.row_number().over(Window.partitionBy("file", "block").orderBy("line_id"))
+    out = lines.withColumn("is_header", (F.col("block") == 0) & (pos <= header_lines))
     if not keep_header:
         out = out.filter(~F.col("is_header"))
     cols = ["file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
@@ -123,17 +170,16 @@ def read_monthly(spark: SparkSession, path: str, required: Sequence[str] = PUBLI
     columns raise; unparseable time/value become NULL and stay (quirk K7).
     No matching file -> empty typed frame.
     """
-    reader = spark.read.option("header", True).option("timestampNTZFormat", TS_TEXT)
-    if layout == "named":
-        reader = reader.option("pathGlobFilter", "{additive,nonadditive}_[0-9][0-9][0-9][0-9]-[0-9][0-9].hourly.csv") \
-                       .option("recursiveFileLookup", True)
     try:
-        df = reader.csv(path)
+        if layout == "named":
+            df = csv_by_name(spark, path, required, recursive=True,
+                             glob="{additive,nonadditive}_[0-9][0-9][0-9][0-9]-[0-9][0-9].hourly.csv")
+        else:
+            df = require_columns(spark.read.option("header", True).option("timestampNTZFormat", TS_TEXT).csv(path), required, path)
     except Exception as e:  # no file matched: Spark cannot infer a schema
         if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], PUBLIC)
         raise
-    require_columns(df, required, path)
     return df.select(lenient_ts(F.col("time").cast("string")).alias("time"), "location", "source", "measurement",
                      "data_key", lenient_double(F.col("data_value").cast("string")).alias("data_value"))
 
@@ -141,8 +187,7 @@ def read_monthly(spark: SparkSession, path: str, required: Sequence[str] = PUBLI
 def read_annotated(spark: SparkSession, path: str) -> DataFrame:
     """Annotated CSV: `#` lines are comments; repeated header rows drop
     out because their time does not parse."""
-    df = spark.read.option("header", True).option("comment", "#").csv(path)
-    df = df.withColumnsRenamed(FROM_POINT)
+    df = csv_by_name(spark, path, comment="#", rename=FROM_POINT)
     out = df.select(lenient_ts("time").alias("time"), *[F.col(c) for c in SERIES_KEY if c in df.columns],
                     lenient_double("data_value").alias("data_value"))
     return out.filter(F.col("time").isNotNull())
@@ -152,14 +197,9 @@ def reload_exports(spark: SparkSession, path: str, base: DataFrame | None = None
     """Every earlier export under ``path`` (recursive), bad or empty files
     skipped, then upserted: re-import is idempotent; later files, and later
     lines inside a file, win."""
-    df = (spark.read.option("header", True).option("comment", "#").option("recursiveFileLookup", True)
-          .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("pathGlobFilter", "*.csv")
-          .csv(path))
-    df = df.withColumnsRenamed(FROM_POINT)
+    df = csv_by_name(spark, path, comment="#", rename=FROM_POINT, recursive=True, glob="*.csv", skip_corrupt=True)
     pts = df.select(lenient_ts("time").alias("time"), *[F.col(c) for c in SERIES_KEY],
-                    lenient_double("data_value").alias("data_value"),
-                    F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"),
-                    F.monotonically_increasing_id().alias("_line"))   # grows with the line position in a file
+                    lenient_double("data_value").alias("data_value"), "_file", "_mtime", "_line")   # _line grows inside a file
     pts = pts.filter(F.col("time").isNotNull())
     key = ["time", *SERIES_KEY]
     if base is not None:
@@ -177,8 +217,8 @@ def months_to_process(df: DataFrame, time_col: str = "time") -> DataFrame:
 
 def read_per_location(spark: SparkSession, paths: Sequence[str] | str, pattern: str = r"([^/_.]+)\.csv$") -> DataFrame:
     """Files of one shape, the location taken from each file name."""
-    df = spark.read.option("header", True).csv(list(paths) if not isinstance(paths, str) else paths)
-    return df.withColumn("location", F.regexp_extract(logical_file_name(F.col("_metadata.file_path")), pattern, 1))
+    df = csv_by_name(spark, paths)
+    return df.withColumn("location", F.regexp_extract(logical_file_name(F.col("_file")), pattern, 1)).drop(*ORIGIN)
 
 
 def read_public(spark: SparkSession, path: str) -> DataFrame:
@@ -195,18 +235,21 @@ def read_registered(spark: SparkSession, registry: DataFrame, base_path: str = "
     of datasources), so it is read on the driver; each source is validated
     against its required columns, tagged, and all are unioned by name.
     """
-    rows = registry.filter(F.col("status") == "active").limit(10_000).collect()
+    rows = registry.filter(F.col("status") == "active").collect()
     frames = []
     for r in rows:
         path = f"{base_path.rstrip('/')}/{r['file_pattern']}" if base_path else r["file_pattern"]
+        req = [c.strip() for c in (r["required_columns"] or "").split(",") if c.strip()]
         try:
-            df = spark.read.option("header", True).csv(path)
+            df = csv_by_name(spark, path, req)
+        except MissingColumns as e:
+            raise MissingColumns(f"datasource {r['datasource_id']}: {e}") from e
         except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
             raise FileNotFoundError(f"datasource {r['datasource_id']}: no files for {path}") from e
-        req = [c.strip() for c in (r["required_columns"] or "").split(",") if c.strip()]
-        require_columns(df, req, f"datasource {r['datasource_id']}")
-        frames.append(df.withColumn("datasource_id", F.lit(r["datasource_id"]))
-                        .withColumn("_source_file", F.col("_metadata.file_path")))
+        frames.append(df.withColumn("datasource_id", F.lit(r["datasource_id"])).withColumnRenamed("_file", "_source_file")
+                        .drop("_mtime", "_line"))
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField("datasource_id", T.StringType())]))
     out = frames[0]

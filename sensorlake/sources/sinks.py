@@ -24,17 +24,34 @@ def write_fact(df: DataFrame, root: str, version: str | None = None) -> str:
     partition; readers take the newest (``read_fact_version``).
     """
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(root)
+    base = root.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{base}/version={version}")
+    # the marker comes last: a run that dies before it leaves no version for readers
+    df.sparkSession.createDataFrame([(version,)], "done string").write.mode("append").parquet(f"{base}/_versions")
     return version
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if nothing was ever written there. Any other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def newest_version(spark: SparkSession, root: str) -> str | None:
+    done = stored(spark, f"{root.rstrip('/')}/_versions")
+    return None if done is None else done.agg(F.max("done").alias("v")).first()["v"]
+
+
 def read_fact_version(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """Newest (or the named) fact version; the version filter prunes partitions."""
-    df = spark.read.parquet(root)
+    """Newest finished (or the named) fact version."""
+    version = version or newest_version(spark, root)
     if version is None:
-        newest = df.select(F.max("version")).scalar()
-        return df.filter(F.col("version") == newest).drop("version")
-    return df.filter(F.col("version") == version).drop("version")
+        raise FileNotFoundError(f"no finished fact version under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/version={version}")
 
 
 def write_monthly(df: DataFrame, path: str, fmt: str = "parquet", time_col: str = "time") -> None:

@@ -7,6 +7,7 @@ no shift) before the watermark and back afterwards.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,17 +62,21 @@ def drops_batch_writer(out_path: str, today, strict: bool = True, default: str =
     batch detection and parsing (D01/D02) run on it unchanged."""
     def run(batch: DataFrame, epoch: int) -> None:
         from sensorlake.functions.text import strip_bom
-        from sensorlake.operators.datefmt import detect_date_format, parse_drops
+        from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops
         from sensorlake.sources.files import logical_file_name
         lines = batch.select("file", logical_file_name(F.col("file")).alias("file_name"), "block",
                              F.monotonically_increasing_id().alias("line_id"),
                              strip_bom(F.regexp_replace("value", "\r$", "")).alias("text"))
         dec = detect_date_format(lines, today, strict, default, header_lines=header_lines)
-        good, _ = parse_drops(lines, dec, header_lines=header_lines)
+        good, quarantine = parse_drops(lines, dec, header_lines=header_lines)
+        undecided = dec.filter(~F.col("fmt").isin(*FORMATS))
         # one partition per micro-batch, overwritten on a retry: a re-executed
-        # batch (foreachBatch is at-least-once) cannot duplicate rows
-        (good.withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out_path))
+        # batch (foreachBatch is at-least-once) cannot duplicate rows; lines and
+        # files that were not parsed are kept beside the output
+        base = out_path.rstrip("/")
+        for frame, path in ((good, base), (quarantine, f"{base}_quarantine"), (undecided, f"{base}_undecided")):
+            (frame.withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path))
     return run
 
 
@@ -100,44 +105,35 @@ def upsert_months(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     upsert_months_writer(path, key, order, time_col, partition_cols)(batch, 0)
 
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
 def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], time_col: str = "time",
                          partition_cols: Sequence[str] = ("measurement", "year_month")) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for T04: the batch is merged with the month
     partitions it touches and only those months are rewritten (dynamic
     partition overwrite).
 
-    The touched partitions are a short list (measurements x months of one
-    batch, checked against a bound) turned into a partition filter, so only
-    those directories are listed and read. The merged months go to a staging
+    The touched partitions (measurements x months of one batch) become a
+    partition filter, null-safe, so only those directories are listed and
+    read. The merged months go to a staging
     table in the shared checkpoint folder first -- the overwrite then reads
     the staging copy, never the files it replaces. Idempotent: a re-executed
     batch upserts the same rows again and yields the same months.
     """
     def run(batch: DataFrame, epoch: int) -> None:
         from sensorlake.session import scratch_path
+        from sensorlake.sources.sinks import stored
         b = batch.withColumn("year_month", year_month(time_col))
         spark = b.sparkSession
-        try:
-            existing = spark.read.parquet(path)
-        except Exception:   # first batch: nothing stored yet
-            existing = None
+        existing = stored(spark, path)
         if existing is None:
             merged = upsert(b, None, [*key], order)
         else:
-            touched = b.select(*partition_cols).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-            if len(touched) > MAX_TOUCHED_PARTITIONS:      # huge batch: let a semi-join prune instead
-                old = existing.join(b.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
-            else:
-                cond = F.lit(False)
-                for t in touched:
-                    one = F.lit(True)
-                    for c in partition_cols:
-                        one = one & (F.col(c) == t[c])
-                    cond = cond | one
-                old = existing.filter(cond)
+            cond = F.lit(False)
+            for t in b.select(*partition_cols).distinct().collect():       # partition values, not rows
+                one = F.lit(True)
+                for c in partition_cols:
+                    one = one & F.col(c).eqNullSafe(F.lit(t[c]))
+                cond = cond | one
+            old = existing.filter(cond)
             merged = upsert(old.select(b.columns), b, [*key], order)
             staging = scratch_path(spark, "upsert-staging")
             merged.write.parquet(staging)
@@ -159,8 +155,11 @@ def late_data(df: DataFrame, start, time_col: str = "time", delay: str | None =
 # ---------------------------------------------------------------- T06
 def changed_months(current: DataFrame, state: DataFrame, key: Sequence[str] = ("source", "year_month"),
                    marker: str = "max_loaded_at") -> DataFrame:
-    """Groups that are new or fresher than recorded in the state table."""
-    return current.join(state.select(*key, marker), [*key, marker], "left_anti")
+    """Groups that are new or fresher than recorded in the state table (null keys are keys too)."""
+    c, s = current.alias("c"), state.select(*key, marker).alias("s")
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key])
+    fresh = F.coalesce(F.col(f"s.{marker}") >= F.col(f"c.{marker}"), F.col(f"c.{marker}").isNull())
+    return c.join(s, same & fresh, "left_anti")
 
 
 def month_markers(df: DataFrame, by: Sequence[str] = ("source",), time_col: str = "time",

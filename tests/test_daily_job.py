@@ -15,10 +15,10 @@ def test_daily_job_end_to_end(spark, tmpdir_path):
     seeds = f"{tmpdir_path}/seeds"
     write(f"{seeds}/mapping.csv", "data_key_original,location,data_key\n"
                                   "AHU/unit 01 | intake (°C),unit_01,temp_intake\nAHU/outdoor (°C),unit_01,temp_ambient\n")
-    write(f"{seeds}/mapping_indoor.csv", "sensor,location\n00A1,U_01_L1_01\n00B2,U_01_L1_01\n")
-    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nfact.csv,Vent,4\n"
-                                          "fact_indoor_humidity.csv,Logger,2\nfact_indoor_temperature.csv,Logger,2\n")
-    write(f"{seeds}/location_map.csv", "from,to\nU_01_L1_01,1NP-S1\n")
+    write(f"{seeds}/mapping_indoor.csv", "sensor,location\n00A1,room_3\n00B2,room_3\n")
+    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nhumidity.csv,Cellar,7\n"
+                                          "temperature.csv,Attic,3\nventilation.csv,Airway,6\n")
+    write(f"{seeds}/location_map.csv", "from,to\nroom_3,2NP-S4\n")
     write(f"{tmpdir_path}/wide/merged.csv",
           "date,AHU/unit 01 | intake (°C),AHU/outdoor (°C),AHU/unmapped (°C)\n"
           "2024-03-01 10:15:00,21.5,3.0,9\n2024-03-01 10:45:00,22.5,,9\n,1,1,1\n2023-01-01 00:00:00,5,5,5\n")
@@ -34,9 +34,9 @@ def test_daily_job_end_to_end(spark, tmpdir_path):
     assert rows[("2024-03-01 11:00:00", "unit_01", "temp_intake")] == 22.0       # hourly mean of 21.5 and 22.5
     assert rows[("2024-03-01 11:00:00", "unit_01", "temp_ambient")] == 3.0
     # both sensors sit on one location: DMY 20.0 at 10:05 and MDY 22.0 at 10:20 share the window
-    assert rows[("2024-03-01 11:00:00", "1NP-S1", "temp_indoor")] == 21.0
-    assert rows[("2024-03-01 11:00:00", "1NP-S1", "humidity_indoor")] == 40.0
-    assert rows[("2024-03-02 11:00:00", "1NP-S1", "temp_indoor")] == 21.0       # MDY file, same location
+    assert rows[("2024-03-01 11:00:00", "2NP-S4", "temp_indoor")] == 21.0
+    assert rows[("2024-03-01 11:00:00", "2NP-S4", "humidity_indoor")] == 40.0
+    assert rows[("2024-03-02 11:00:00", "2NP-S4", "temp_indoor")] == 21.0       # MDY file, same location
     assert not any(k[0].startswith("2023") for k in rows)                       # before the retention start
     assert not any("unmapped" in k[2] for k in rows)
     decisions = {r["file_name"]: r["fmt"] for r in out["reports"]["decisions"].collect()}
@@ -57,7 +57,7 @@ def test_command_line_runs_the_daily_job(spark, tmpdir_path, capsys):
     seeds = f"{tmpdir_path}/seeds"
     write(f"{seeds}/mapping.csv", "data_key_original,location,data_key\nAHU/t (°C),unit_01,temp_intake\n")
     write(f"{seeds}/mapping_indoor.csv", "sensor,location\n00A1,Z1\n")
-    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nfact.csv,Vent,4\nfact_indoor_temperature.csv,Logger,2\n")
+    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nventilation.csv,Airway,6\ntemperature.csv,Attic,3\nhumidity.csv,Cellar,7\n")
     write(f"{seeds}/location_map.csv", "from,to\nZ1,1NP-S1\n")
     write(f"{tmpdir_path}/wide/a.csv", "date,AHU/t (°C)\n2024-03-01 10:15:00,21.5\n")
     write(f"{tmpdir_path}/drops/Logger_00A1_.csv", "h\nh\n01/03/2024,10:05,20.0,40\n02/03/2024,10:05,21.0,41\n")
