@@ -1,10 +1,6 @@
-import os
-import random
-import sys
-
-import pytest
+"""Rows with every odd case, and columns whose names the operators use themselves."""
 
-sys.path.insert(0, os.path.dirname(__file__))
+import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           # columns whose names the operators use themselves
@@ -28,17 +24,3 @@ def edge_rows():
     rows = [(i, t, ("en", "de", "fr", None)[i % 4], f"src{i % 3}", len(t or "")) for i, t in enumerate(texts)]
     rows += [rows[4], rows[14], (None, base, "en", None, 3), (None, None, None, None, None)]
     return [r + (7, 7, 7, 7, "w", "k", 7, "l", "s", "ab") for r in rows]
-
-
-@pytest.fixture(scope="session")
-def edges(spark):
-    return spark.createDataFrame(edge_rows(), SCHEMA)
-
-
-@pytest.fixture(scope="session")
-def edge_dir(edges, tmp_path_factory):
-    """The edge rows, and an empty table, as documents."""
-    top = tmp_path_factory.mktemp("tables")
-    edges.repartition(3).write.parquet(f"{top}/edge/documents.parquet")
-    edges.limit(0).write.parquet(f"{top}/empty/documents.parquet")
-    return str(top)

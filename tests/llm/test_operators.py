@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
-from conftest import edge_rows, sentences
+from edge import SCHEMA, edge_rows, sentences
 
 import corpus_pipeline
 from sensorlake.llm import bpe, language_id, license_scan, mtree, packing, quality_rules, secret_scan, simhash, substring_dedup, url_filter
@@ -16,6 +16,20 @@ SF = "/root/testdata/sf0.001"
 EDGE = [(r[0], r[1]) for r in edge_rows()]
 
 
+@pytest.fixture(scope="session")
+def edges(spark):
+    return spark.createDataFrame(edge_rows(), SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def edge_dir(edges, tmp_path_factory):
+    """The edge rows, and an empty table, as documents."""
+    top = tmp_path_factory.mktemp("tables")
+    edges.repartition(3).write.parquet(f"{top}/edge/documents.parquet")
+    edges.limit(0).write.parquet(f"{top}/empty/documents.parquet")
+    return str(top)
+
+
 def given(where, edge_dir):
     if where == "edge":
         return f"{edge_dir}/edge", EDGE
