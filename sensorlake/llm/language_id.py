@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from sensorlake.llm._util import bound_batches, slices, table, text_buffer
 
 DIMENSIONS, SYMBOLS, SEED = 1024, 128, 7
+#: Trigrams bundled at a time: bounds a task's memory whatever the text holds.
+BUNDLE_TRIGRAMS = 4096
 UNKNOWN = "und"
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -79,6 +81,21 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, owner[middle - 1]
 
 
+def bundles(codes: np.ndarray, owner: np.ndarray, n_texts: int, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Sum of the trigram vectors of each text, ``BUNDLE_TRIGRAMS`` different trigrams at a time."""
+    out = np.zeros((n_texts, dimensions), np.float32)
+    seen, column = np.unique(codes, return_inverse=True)
+    cells, n = np.unique(column * n_texts + owner, return_counts=True)
+    column, owner = np.divmod(cells, n_texts)
+    for a in range(0, len(seen), BUNDLE_TRIGRAMS):
+        part = seen[a:a + BUNDLE_TRIGRAMS]
+        lo, hi = np.searchsorted(column, (a, a + len(part)))
+        counts = np.zeros((n_texts, len(part)), np.float32)
+        counts[owner[lo:hi], column[lo:hi] - a] = n[lo:hi]
+        out += counts @ trigram_vectors(part, dimensions).astype(np.float32)
+    return out
+
+
 def _text_slices(batch: pa.RecordBatch, most: int):
     _, offsets = text_buffer(batch.column("text"))
     for a, b in slices(offsets, most):
@@ -140,11 +157,7 @@ def classify(docs: DataFrame, model: dict[str, np.ndarray], text: str = "text",
                 codes, owner = trigrams(texts)
                 best, score = np.full(len(texts), -1), np.zeros(len(texts))
                 if len(codes) and names:
-                    seen, column = np.unique(codes, return_inverse=True)
-                    cells, n = np.unique(owner * len(seen) + column, return_counts=True)
-                    counts = np.zeros((len(texts), len(seen)), np.float32)
-                    counts.ravel()[cells] = n
-                    bundle = counts @ trigram_vectors(seen, dimensions).astype(np.float32)
+                    bundle = bundles(codes, owner, len(texts), dimensions)
                     norm = np.linalg.norm(bundle, axis=1)
                     cosine = (bundle @ matrix) / np.where(norm > 0, norm, 1)[:, None]
                     has = np.bincount(owner, minlength=len(texts)) > 0
