@@ -21,8 +21,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +58,26 @@ def _looks_random(value: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= 4.0
 
 
+def _apart(more: list[tuple], found: list[tuple]) -> list[tuple]:
+    """Those of ``more`` that overlap nothing in ``found``."""
+    if not more or not found:
+        return more
+    begins, ends = zip(*sorted((f[1], f[2]) for f in found))
+    reach = list(accumulate(ends, max))         # furthest end of the spans up to each one
+    before = [bisect_left(begins, c[2]) for c in more]
+    return [c for c, i in zip(more, before) if not i or reach[i - 1] <= c[1]]
+
+
+def _masked(text: str, starts, ends, mark: str) -> str:
+    """``text`` with every range replaced by ``mark``; a range that starts inside an earlier one joins it."""
+    out, at = [], 0
+    for a, b in sorted(zip(starts, ends)):
+        if a >= at:
+            out += (text[at:a], mark)
+        at = max(at, b)
+    return "".join((*out, text[at:]))
+
+
 def candidates(text: str) -> list[tuple[int, int, int, int, str]]:
     """(kind, start, end, value start, value) of every candidate; added kinds never overlap base ones."""
     found = []
@@ -64,13 +87,9 @@ def candidates(text: str) -> list[tuple[int, int, int, int, str]]:
     if "AKIA" in text:
         found += [(1, m.start(), m.end(), m.start(), m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
     found += [(2, m.start(), m.end(), m.start(), m[0]) for m in _HEX.finditer(text)]
-    more = []
     if any(k in text for k in _MARKS):
-        more += [(3, m.start(), m.end(), m.start(), m[0]) for m in _TOKEN.finditer(text)]
-    more += [(4, m.start(), m.end(), m.start(), m[0]) for m in _RANDOM.finditer(text) if _looks_random(m[0])]
-    for c in more:
-        if not any(c[1] < f[2] and f[1] < c[2] for f in found):
-            found.append(c)
+        found += _apart([(3, m.start(), m.end(), m.start(), m[0]) for m in _TOKEN.finditer(text)], found)
+    found += _apart([(4, m.start(), m.end(), m.start(), m[0]) for m in _RANDOM.finditer(text) if _looks_random(m[0])], found)
     return sorted(found, key=lambda c: (c[1], c[0]))
 
 
@@ -129,18 +148,18 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_co
 def redacted(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_col: str = "source",
              owner_col: str = "doc_id", mark: str = "[secret]") -> DataFrame:
     """``docs`` with its columns; the values of all secrets are replaced by ``mark``."""
+    bound_batches(docs.sparkSession)
     spans = secrets(docs, id_col, text, repo_col, owner_col).where(F.size("spans") > 0).dropDuplicates(["id", "key"])
     spans = spans.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"))
     joined = docs.join(spans, docs[f"`{id_col}`"].eqNullSafe(spans["__id"]) & (text_key(text) == spans["__key"]), "left")
     body = col(text)
-    # value ranges in order, overlapping ones merged into the first by skipping what is already covered
-    cut = F.aggregate(
-        F.sort_array(F.transform("__spans", lambda s: F.struct(s["vstart"].alias("a"), s["end"].alias("b")))),
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.when(s["a"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["b"]).alias("at")))
-        .otherwise(F.struct(F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), (s["a"] - acc["at"]).cast("int")),
-                                     F.lit(mark)).alias("out"), s["b"].alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
+
+    @F.pandas_udf("string")
+    def masked(t: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else _masked(x, a, b, mark) for x, a, b in zip(t, starts, ends)], dtype=object)
+
+    # texts without secrets stay in the JVM: null is sent in their place
+    cut = masked(F.when(F.col("__spans").isNotNull(), body), F.col("__spans.vstart"), F.col("__spans.end"))
     clean = F.when(F.col("__spans").isNull(), body).otherwise(cut)
     return joined.select(*[clean.alias(c) if c == text else col(c) for c in docs.columns])
 
