@@ -145,6 +145,16 @@ def test_redaction(spark, edges):
     assert ordered(r["text"] for r in got.collect()) == ordered(None if t is None else brute.redact(t) for _, t in EDGE)
 
 
+def test_overlaps_and_masks():
+    draw = random.Random(5)
+    for _ in range(300):
+        spans = [(a, a + draw.randint(1, 9)) for a in sorted(draw.sample(range(60), 6))]
+        found, more = [(0, *s) for s in spans[::2]], [(4, *s) for s in spans[1::2]]
+        assert secret_scan._apart(more, found) == [c for c in more if not any(c[1] < f[2] and f[1] < c[2] for f in found)]
+    assert secret_scan._masked("abcdefghij", [4, 1, 2], [5, 3, 6], "*") == "a*ghij"
+    assert secret_scan._masked("", [], [], "*") == ""
+
+
 @pytest.mark.parametrize("where", ["edge", "sf"])
 def test_licenses(spark, edge_dir, where):
     path, rows = given(where, edge_dir)
@@ -168,6 +178,16 @@ def test_language(spark, edge_dir):
     assert [got[i]["lang_pred"] for i in (0, 1, 2, 13, 22)] == ["und"] * 5 and got[3]["lang_pred"] in ("en", "de", "fr")
 
 
+def test_bundles_in_parts_are_the_whole_sum(monkeypatch):
+    texts = [sentences(40, 1), "", "où été 日本語 " * 5, "a"]
+    codes, owner = language_id.trigrams(texts)
+    whole = np.zeros((len(texts), 64), np.float32)
+    np.add.at(whole, owner, language_id.trigram_vectors(codes, 64).astype(np.float32))
+    for most in (1, 7, 4096):
+        monkeypatch.setattr(language_id, "BUNDLE_TRIGRAMS", most)
+        assert (language_id.bundles(codes, owner, len(texts), 64) == whole).all()
+
+
 def test_trigram_vectors_bind_permuted_letters():
     v = language_id.letter_vectors(64)
     got = language_id.trigram_vectors(np.array([1 << 14 | 2 << 7 | 3]), 64)[0]
