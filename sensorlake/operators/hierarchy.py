@@ -7,6 +7,7 @@ i.e. nodes x depth rows -- never all pairs of a level.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.text import floor_code
 from sensorlake.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from sensorlake.session import materialize
 
 
 def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "location",
@@ -43,57 +45,80 @@ def hierarchy_from_locations(df: DataFrame, building: str, location_col: str = "
     return out
 
 
-def closure(h: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """(ancestor, descendant, depth, path) for every node and each of its ancestors (itself at depth 0).
+def _walk(frontier: DataFrame, edges: DataFrame, down: bool, max_depth: int | None) -> DataFrame:
+    """Every level from ``frontier`` (ancestor, descendant, depth, path) along ``edges`` (_from, _to, _name).
 
-    Built level by level: each step joins the current frontier (pairs whose
-    descendant is at distance k) to the children of its descendants. A tree
-    of depth L takes L joins and L tiny emptiness checks; the result has
-    nodes x depth rows, with no recursion row limit. A cycle (a node
-    that is its own ancestor) raises, as does a tree deeper than
-    ``max_depth`` if that is given.
+    Each level is computed once and written to the checkpoint folder. A
+    node that comes up twice on one trail is a cycle and raises.
     """
-    nodes = h.select("id", "parent_id", F.col("name").cast("string").alias("name"))
-    children = nodes.filter(F.col("parent_id").isNotNull()).select(
-        F.col("id").alias("_child"), F.col("parent_id").alias("_parent"), F.col("name").alias("_name"))
-    frontier = nodes.select(F.col("id").alias("ancestor"), F.col("id").alias("descendant"),
-                            F.lit(0).alias("depth"), F.col("name").alias("path"))
+    end = "descendant" if down else "ancestor"
+    frontier = materialize(frontier.withColumn("_trail", F.array(end)))
     levels = [frontier]
     while True:
-        nxt = (frontier.join(children, F.col("descendant") == F.col("_parent"))
-                       .select("ancestor", F.col("_child").alias("descendant"), (F.col("depth") + 1).alias("depth"),
-                               F.concat(F.col("path"), F.lit("/"), F.col("_name")).alias("path")))
-        state = nxt.agg(F.count("*").alias("n"), F.max(F.col("ancestor") == F.col("descendant")).alias("loop")).first()
+        names = ("path", "_name") if down else ("_name", "path")
+        step = frontier.join(edges, F.col(end) == F.col("_from")).select(
+            *[F.col("_to").alias(c) if c == end else F.col(c) for c in ("ancestor", "descendant")],
+            (F.col("depth") + 1).alias("depth"), F.concat(F.col(names[0]), F.lit("/"), F.col(names[1])).alias("path"),
+            F.concat("_trail", F.array("_to")).alias("_trail"), F.array_contains("_trail", F.col("_to")).alias("_loop"))
+        step = materialize(step)
+        state = step.agg(F.count("*").alias("n"), F.max("_loop").alias("loop")).first()
         if not state["n"]:
             break
         if state["loop"] or (max_depth is not None and len(levels) > max_depth):
             raise ValueError(f"hierarchy cyclic or deeper than {max_depth} levels")
-        levels.append(nxt)
-        frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+        frontier = step.drop("_loop")
+        levels.append(frontier)
+    return functools.reduce(DataFrame.unionByName, levels).drop("_trail")
+
+
+def _chosen(nodes: DataFrame, ids: DataFrame | Sequence[str] | None) -> DataFrame:
+    if ids is None:
+        return nodes
+    if isinstance(ids, DataFrame):
+        return nodes.join(ids.select(F.col(ids.columns[0]).alias("id")), "id", "left_semi")
+    return nodes.filter(F.col("id").isin(list(ids)))
+
+
+def _start(nodes: DataFrame) -> DataFrame:
+    return nodes.select(F.col("id").alias("ancestor"), F.col("id").alias("descendant"), F.lit(0).alias("depth"),
+                        F.col("name").alias("path"))
+
+
+def _nodes(h: DataFrame) -> DataFrame:
+    return h.select("id", "parent_id", F.col("name").cast("string").alias("name"))
+
+
+def closure(h: DataFrame, max_depth: int | None = None, roots: DataFrame | Sequence[str] | None = None) -> DataFrame:
+    """(ancestor, descendant, depth, path) for every node and each of its ancestors (itself at depth 0).
+
+    Built level by level: each step joins the current frontier (pairs whose
+    descendant is at distance k) to the children of its descendants. A tree
+    of depth L takes L joins; the result has nodes x depth rows, with no
+    recursion row limit. With ``roots`` the walk starts from those nodes
+    only. A cycle raises, as does a tree deeper than ``max_depth`` if given.
+    """
+    nodes = _nodes(h)
+    children = nodes.filter(F.col("parent_id").isNotNull()).select(
+        F.col("parent_id").alias("_from"), F.col("id").alias("_to"), F.col("name").alias("_name"))
+    return _walk(_start(_chosen(nodes, roots)), children, True, max_depth)
+
+
+def upward(h: DataFrame, ids: DataFrame | Sequence[str], max_depth: int | None = None) -> DataFrame:
+    """The rows of ``closure`` whose descendant is one of ``ids``, found by walking up from them."""
+    nodes = _nodes(h)
+    above = nodes.select(F.col("id").alias("_to"), F.col("name").alias("_name"))
+    parents = nodes.filter(F.col("parent_id").isNotNull()).select(F.col("id").alias("_from"), F.col("parent_id").alias("_to"))
+    return _walk(_start(_chosen(nodes, ids)), parents.join(above, "_to"), False, max_depth)
 
 
 def descendants(h: DataFrame, roots: DataFrame | Sequence[str] | None = None) -> DataFrame:
-    """Nodes under each root (depth >= 1) with depth and path."""
-    c = closure(h).filter(F.col("depth") >= 1)
-    if roots is None:
-        return c
-    if isinstance(roots, DataFrame):
-        return c.join(roots.select(F.col(roots.columns[0]).alias("ancestor")), "ancestor", "left_semi")
-    return c.filter(F.col("ancestor").isin(list(roots)))
+    """Nodes under each root (depth >= 1) with depth and path; only what lies under the roots is visited."""
+    return closure(h, roots=roots).filter(F.col("depth") >= 1)
 
 
 def ancestors(h: DataFrame, nodes: DataFrame | Sequence[str] | None = None) -> DataFrame:
-    """Ancestors of each node (depth >= 1 = hops up)."""
-    c = closure(h).filter(F.col("depth") >= 1)
-    if nodes is None:
-        return c
-    if isinstance(nodes, DataFrame):
-        return c.join(nodes.select(F.col(nodes.columns[0]).alias("descendant")), "descendant", "left_semi")
-    return c.filter(F.col("descendant").isin(list(nodes)))
+    """Ancestors of each node (depth >= 1 = hops up); only the way up from the nodes is visited."""
+    return (closure(h) if nodes is None else upward(h, nodes)).filter(F.col("depth") >= 1)
 
 
 def siblings(h: DataFrame) -> DataFrame:
@@ -121,7 +146,7 @@ def path(h: DataFrame, pairs: DataFrame | str, b: str | None = None) -> DataFram
     ancestor; ``path(h, "a_id", "b_id")`` asks for one pair."""
     if isinstance(pairs, str):
         pairs = h.sparkSession.createDataFrame([(pairs, b)], "a string, b string")
-    c = closure(h)
+    c = materialize(upward(h, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
     ca = c.select(F.col("descendant").alias("a"), "ancestor", F.col("depth").alias("up_a"))
     cb = c.select(F.col("descendant").alias("b"), "ancestor", F.col("depth").alias("up_b"))
     j = pairs.select("a", "b").join(ca, "a").join(cb, ["b", "ancestor"])
