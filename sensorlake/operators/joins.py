@@ -12,7 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from sensorlake.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast, proven_small
+from sensorlake.session import materialize
+
+#: Versions of a key that ``as_at`` looks through for each reading; a longer history goes through the as-of join.
+MAX_VERSIONS = 64
 
 
 def map_signals(df: DataFrame, mapping: DataFrame, key: str = "data_key_original",
@@ -90,16 +94,30 @@ def star_join(fct: DataFrame, dims: Sequence[tuple[DataFrame, str]],
 
 def as_at(fct: DataFrame, dim: DataFrame, key: Sequence[str], time_col: str = "time",
           from_col: str = "effective_from", to_col: str = "effective_to", attrs: Sequence[str] | None = None,
-          bucket: str = "day", cut_lineage: bool = False) -> DataFrame:
+          bucket: str = "day", cut_lineage: bool = False,
+          max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The dimension version valid at each reading's time (inner).
 
-    An as-of join on the natural key (latest ``from <= t``) followed by the
-    ``t < to`` test; no reading x version pairs are formed.
+    The latest version with ``from <= t``, followed by the ``t < to`` test.
+    A dimension proven small, with at most ``MAX_VERSIONS`` versions of a
+    key, is broadcast as one list of versions per key and the readings are
+    not shuffled. Any other goes through an as-of join on the natural key.
+    Neither forms reading x version pairs; results are the same.
     """
     from sensorlake.operators.windows import asof_join
     key = list(key)
     attrs = list(attrs) if attrs is not None else [c for c in dim.columns if c not in key]
     cols = list(dict.fromkeys([from_col, to_col, *attrs]))
+    if max_broadcast_rows is not None:
+        dim = materialize(dim.select(*key, *cols))
+        most = dim.groupBy(*key).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+        if most <= MAX_VERSIONS and proven_small(dim, max_broadcast_rows):
+            lists = dim.groupBy(*key).agg(F.collect_list(F.struct(*cols)).alias("_versions"))
+            own = [c for c in fct.columns if c not in cols]
+            hit = fct.join(F.broadcast(lists), key, "inner").withColumn(
+                "_v", F.array_max(F.filter("_versions", lambda v: v[from_col] <= F.col(time_col))))
+            hit = hit.filter(F.col(f"_v.{to_col}").isNull() | (F.col(time_col) < F.col(f"_v.{to_col}")))
+            return hit.filter(F.col("_v").isNotNull()).select(*own, *[F.col(f"_v.{c}").alias(c) for c in cols])
     out = asof_join(fct, dim, key, time_col, from_col, cols, bucket=bucket, cut_lineage=cut_lineage)
     return out.filter(F.col(from_col).isNotNull() & (F.col(to_col).isNull() | (F.col(time_col) < F.col(to_col))))
 

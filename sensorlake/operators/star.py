@@ -82,14 +82,14 @@ def scd2(changes: DataFrame, key: Sequence[str], attrs: Sequence[str], time_col:
     observations with unchanged attributes collapse into one version.
 
     Several observations of one key at the same instant: the greatest
-    attribute set (by its JSON text) is taken. Both neighbour lookups use
+    attribute set (field by field) is taken. Both neighbour lookups use
     ``carry_forward`` (bucketed windows plus a per-bucket carry), so a key
     with a very long history is never sorted in one task.
     """
     key = list(key)
     a = F.struct(*[F.col(c) for c in attrs])
     x = (changes.select(*key, F.col(time_col).alias("_t"), a.alias("_a"))
-                .groupBy(*key, "_t").agg(F.max_by("_a", F.to_json("_a")).alias("_a")))
+                .groupBy(*key, "_t").agg(F.max("_a").alias("_a")))
     prev = carry_forward(x, key, "_t", "_a", "_prev", bucket=bucket, inclusive=False, cut_lineage=cut_lineage)
     starts = prev.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_a"))).select(*key, "_t", "_a")
     # end of a version = start of the next one, carried backwards in time

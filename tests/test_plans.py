@@ -98,12 +98,27 @@ def test_broadcast_only_within_a_proven_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", ["gaps", "scd2", "as_at", "rank_for_upsert"])
+@pytest.mark.parametrize("name", ["gaps", "scd2", "rank_for_upsert"])
 def test_ordered_windows_are_bucketed(spark, name):
     """No ordered window is partitioned by the series key alone: every
     row-level window also carries the time bucket (or the file block)."""
+    check_bucketed(plan_of(Q[name](spark, SF_SMALL)))
+
+
+def check_bucketed(plan):
     import re
-    plan = plan_of(Q[name](spark, SF_SMALL))
     specs = re.findall(r"windowspecdefinition\(([^)]*?)(?:ASC|DESC)", plan)
     row_level = [s for s in specs if "_b" in s or "block" in s]
     assert row_level, specs
+
+
+def test_as_at_small_dimension_leaves_readings_in_place_and_large_one_is_bucketed(spark):
+    from sensorlake.operators.joins import as_at
+    fct = spark.range(1000).selectExpr("id % 7 AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(id % 90) AS time")
+    dim = spark.range(21).selectExpr("id % 7 AS k", "timestamp_ntz'2024-01-10' + make_dt_interval(id) AS effective_from",
+                                     "IF(id < 14, timestamp_ntz'2024-01-10' + make_dt_interval(id + 7), NULL) AS effective_to", "id AS a")
+    small, large = as_at(fct, dim, ["k"]), as_at(fct, dim, ["k"], max_broadcast_rows=None)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    plan = plan_of(small)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    check_bucketed(plan_of(large))

@@ -223,6 +223,20 @@ def test_closure_deep_chain_and_cycle(spark):
         closure(cyc, max_depth=8)
 
 
+def test_walk_up_meets_a_cycle_and_agrees_with_the_closure(spark):
+    from sensorlake.operators.hierarchy import ancestors, closure, descendants
+    rows = [("r", None, "r"), ("a", "r", "a"), ("b", "a", "b"), ("c", "a", "c"), ("x", "missing", "x"), ("y", "x", "y")]
+    h = spark.createDataFrame(rows, "id string, parent_id string, name string")
+    whole = [tuple(r) for r in closure(h).where("depth >= 1").collect()]
+    for ids in (["b"], ["b", "y", "none"], []):
+        assert sorted(map(tuple, ancestors(h, ids).collect())) == sorted(r for r in whole if r[1] in ids)
+        assert sorted(map(tuple, descendants(h, ids).collect())) == sorted(r for r in whole if r[0] in ids)
+    # reached from outside, the cycle holds no start
+    cyc = spark.createDataFrame([("s", "p", "s"), ("p", "q", "p"), ("q", "p", "q")], "id string, parent_id string, name string")
+    with pytest.raises(ValueError):
+        ancestors(cyc, ["s"])
+
+
 def test_siblings_of_requested_nodes_only(spark):
     from sensorlake.operators.hierarchy import siblings_of
     h = spark.createDataFrame([("B", None, "b", "B", 0), ("F1", "B", "f", "1NP", 1), ("F2", "B", "f", "2NP", 1),
