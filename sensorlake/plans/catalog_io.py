@@ -5,6 +5,8 @@ end-to-end flows."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from sensorlake.functions.text import decimal_comma
@@ -275,17 +277,42 @@ def q_read_public(spark, d):
     return src.read_public(spark, out["parquet"])
 
 
-@register("write_multi_grain", _w(
-    "SELECT 'month' AS grain, date_trunc('month', time) AS period, location, data_key, avg(data_value) AS mean, "
-    "round(stddev_samp(data_value), 6) AS std, count(data_value) AS n FROM readings GROUP BY 2, location, data_key"))
-def q_write_multi_grain(spark, d):
-    r = readings(spark, d)
+MONTH_GRAIN_SQL = ("SELECT 'month' AS grain, date_trunc('month', time) AS period, location, data_key, avg(data_value) AS mean, "
+                   "round(stddev_samp(data_value), 6) AS std, count(data_value) AS n FROM readings GROUP BY 2, location, data_key")
+
+
+def _grain_tables(spark, d) -> dict:
     from sensorlake.operators.aggregates import hierarchy_rollup
-    frames = {"raw": r, "hourly": resample(r), "monthly": multi_grain(r, ["month"], ["location", "data_key"]),
-              "hierarchy": hierarchy_rollup(r.withColumn("floor", F.left("location", F.lit(3))),
-                                            ["source", "floor", "location"])}
-    paths = snk.write_multi_grain(frames, scratch_path(spark, "grains"))
-    return spark.read.parquet(paths["monthly"]).withColumn("std", F.round("std", 6))
+    tables = {"raw": lambda r: r, "hourly": resample, "monthly": lambda r: multi_grain(r, ["month"], ["location", "data_key"]),
+              "hierarchy": lambda r: hierarchy_rollup(r.withColumn("floor", F.left("location", F.lit(3))),
+                                                      ["source", "floor", "location"])}
+    return snk.write_multi_grain(tables, scratch_path(spark, "grains"), source=readings(spark, d))
+
+
+@register("write_multi_grain", _w(MONTH_GRAIN_SQL))
+def q_write_multi_grain(spark, d):
+    return spark.read.parquet(_grain_tables(spark, d)["monthly"]).withColumn("std", F.round("std", 6))
+
+
+@register("write_multi_grain_all", _w(
+    "SELECT 'raw' AS grain, time, source, location, data_key, data_value AS value, 1 AS n FROM readings UNION ALL "
+    "SELECT 'hourly', time, source, location, data_key, data_value, 1 FROM (SELECT date_trunc('hour', time) + INTERVAL 1 HOUR "
+    "AS time, measurement, location, source, data_key, CASE WHEN measurement = 'additive' THEN sum(data_value) ELSE "
+    "avg(data_value) END AS data_value FROM readings WHERE data_value IS NOT NULL GROUP BY date_trunc('hour', time), measurement, "
+    "location, source, data_key) h UNION ALL SELECT 'monthly', period, NULL, location, data_key, mean, n FROM ("
+    + MONTH_GRAIN_SQL + ") m UNION ALL SELECT 'hierarchy', NULL, source, location, floor, avg(data_value), count(data_value) "
+    "FROM (SELECT *, left(location, 3) AS floor FROM readings) f GROUP BY ROLLUP (source, floor, location)"))
+def q_write_multi_grain_all(spark, d):
+    """All four tables, read back."""
+    paths = _grain_tables(spark, d)
+    null, one = F.lit(None).cast("string"), F.lit(1).cast("long").alias("n")
+    shape = {"raw": ["time", "source", "location", "data_key", F.col("data_value").alias("value"), one],
+             "hourly": ["time", "source", "location", "data_key", F.col("data_value").alias("value"), one],
+             "monthly": [F.col("period").alias("time"), null.alias("source"), "location", "data_key", F.col("mean").alias("value"), "n"],
+             "hierarchy": [F.lit(None).cast("timestamp_ntz").alias("time"), "source", "location", F.col("floor").alias("data_key"),
+                           F.col("avg_value").alias("value"), "n"]}
+    parts = [spark.read.parquet(paths[k]).select(F.lit(k).alias("grain"), *v) for k, v in shape.items()]
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
 
 
 # ---------------------------------------------------------------- source by originating file
@@ -367,11 +394,14 @@ def q_land(spark, d):
     return src.land(df, "2024-02-01 06:00:00").drop("_source_file")
 
 
-@register("land_counts", _w("SELECT count(*) AS row_count FROM readings"))
+@register("land_counts", _w("SELECT location, count(*) AS row_count FROM readings GROUP BY location"))
 def q_land_counts(spark, d):
-    path = write_csv(readings(spark, d), scratch_path(spark, "landing"))
-    landed = src.land(spark.read.option("header", True).csv(path), "2024-02-01 06:00:00")
-    return src.land_counts(landed).agg(F.sum("row_count").alias("row_count"))
+    """Rows per landed file; the files are written one per location, which names them."""
+    path = scratch_path(spark, "landing")
+    r = readings(spark, d)
+    (r.withColumn("folder", F.col("location")).repartition("folder").write.option("header", True).partitionBy("folder").csv(path))
+    counts = src.land_counts(src.land(spark.read.option("header", True).csv(path), "2024-02-01 06:00:00"))
+    return counts.select(F.regexp_extract("_source_file", "folder=([^/]+)/", 1).alias("location"), "row_count")
 
 
 @register("read_json_source", _w(

@@ -126,9 +126,13 @@ def q_stage_from_table(spark, d):
     return st.stage_from_table(frames, m, as_of=AS_OF)
 
 
-@register("dim", _w("SELECT location, max(source) AS source FROM readings GROUP BY location"))
+@register("dim", _w("SELECT location, max(source) AS source, true AS one_key FROM readings GROUP BY location"))
 def q_dim(spark, d):
-    return st.dim(readings(spark, d), ["location"], ["source"]).drop("key")
+    """The surrogate key is checked for being the only one of its natural key and the other way round."""
+    from pyspark.sql import Window
+    keyed = st.dim(readings(spark, d), ["location"], ["source"])
+    one = (F.count("*").over(Window.partitionBy("key")) == 1) & (F.count("*").over(Window.partitionBy("location")) == 1)
+    return keyed.withColumn("one_key", F.col("key").isNotNull() & one).drop("key")
 
 
 def _readings_star(spark, d):
@@ -147,10 +151,13 @@ FLAGS_SQL = " + ".join(f"CASE WHEN {c} THEN {1 << k} ELSE 0 END" for k, c in enu
     f"time > TIMESTAMP '{AS_OF_EVENTS}'"]))
 
 
-@register("fct_sensor_readings", _w("SELECT *, " + FLAGS_SQL + " AS quality_flags, CAST(time AS DATE) AS date FROM readings",
-                                    nulls=True))
+@register("fct_sensor_readings", _w("SELECT *, " + FLAGS_SQL + " AS quality_flags, CAST(time AS DATE) AS date, location AS "
+                                    "location_of_key, data_key AS data_key_of_key FROM readings", nulls=True))
 def q_fct_sensor_readings(spark, d):
-    f, _, _ = _readings_star(spark, d)
+    """The keys of the fact are looked up in their dimensions again."""
+    f, dloc, dkey = _readings_star(spark, d)
+    f = f.join(dloc.select("location_key", F.col("location").alias("location_of_key")), "location_key", "left")
+    f = f.join(dkey.select("data_key_key", F.col("data_key").alias("data_key_of_key")), "data_key_key", "left")
     return f.drop("location_key", "data_key_key")
 
 
@@ -241,6 +248,14 @@ def q_siblings(spark, d):
     return hy.siblings(tpch_hierarchy(spark, d))
 
 
+@register("siblings_of", "WITH h AS (" + H_SQL + ") SELECT a.id AS node, a.parent_id, b.id AS sibling FROM h a JOIN h b ON "
+          "a.parent_id = b.parent_id AND a.id <> b.id WHERE a.level = 1")
+def q_siblings_of(spark, d):
+    """The sibling lists of all nations."""
+    h = tpch_hierarchy(spark, d)
+    return hy.siblings_of(h, h.filter("level = 1").select("id"))
+
+
 PAIRS_SQL = ("(SELECT 'C' || CAST(min(c_custkey) AS VARCHAR) AS a, 'C' || CAST(max(c_custkey) AS VARCHAR) AS b FROM "
              "customer GROUP BY c_nationkey UNION SELECT 'C' || CAST(min(c_custkey) AS VARCHAR), 'C' || "
              "CAST(max(c_custkey) AS VARCHAR) FROM customer)")

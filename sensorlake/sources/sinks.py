@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import warnings
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions.time import year_month
 from sensorlake.operators.ordering import public_order
 from sensorlake.schemas import PUBLIC_COLS
+from sensorlake.session import materialize
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
@@ -56,9 +57,13 @@ def read_fact_version(spark: SparkSession, root: str, version: str | None = None
 
 def write_monthly(df: DataFrame, path: str, fmt: str = "parquet", time_col: str = "time") -> None:
     """One output per (measurement, YYYY-MM); only months present are
-    rewritten (dynamic partition overwrite)."""
+    rewritten (dynamic partition overwrite).
+
+    The rebalance hint gathers a month's rows, and lets Spark split a month
+    that is larger than the advisory partition size over several tasks.
+    """
     out = df.withColumn("year_month", year_month(time_col))
-    w = (out.repartition("measurement", "year_month").write.mode("overwrite")
+    w = (out.hint("rebalance", "measurement", "year_month").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("measurement", "year_month"))
     if fmt == "csv":
         w.option("header", True).option("timestampNTZFormat", TS_TEXT).csv(path)
@@ -71,8 +76,9 @@ write_raw_monthly = write_monthly
 
 def write_public(df: DataFrame, out_dir: str, sort: bool = True) -> dict:
     """Sorted public table as gzip CSV and Parquet; a Parquet failure is
-    only a warning (the CSV is the primary product)."""
-    data = public_order(df.select(PUBLIC_COLS)) if sort else df.select(PUBLIC_COLS)
+    only a warning (the CSV is the primary product). The table is computed
+    once and both are written from the stored result."""
+    data = materialize(public_order(df.select(PUBLIC_COLS)) if sort else df.select(PUBLIC_COLS))
     csv_path = f"{out_dir.rstrip('/')}/public_csv"
     pq_path = f"{out_dir.rstrip('/')}/public_parquet"
     (data.write.mode("overwrite").option("header", True).option("compression", "gzip")
@@ -86,11 +92,18 @@ def write_public(df: DataFrame, out_dir: str, sort: bool = True) -> dict:
     return written
 
 
-def write_multi_grain(frames: Mapping[str, DataFrame], out_dir: str) -> dict:
-    """A set of Parquet tables (raw / hourly / monthly / hierarchy...)."""
+def write_multi_grain(frames: Mapping[str, DataFrame | Callable[[DataFrame], DataFrame]], out_dir: str,
+                      source: DataFrame | None = None) -> dict:
+    """A set of Parquet tables (raw / hourly / monthly / hierarchy...).
+
+    With ``source`` a table may be given as a function of it; the source is
+    then computed once for all tables.
+    """
+    if source is not None:
+        source = materialize(source)
     paths = {}
     for name, df in frames.items():
         p = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(p)
+        (df(source) if callable(df) else df).write.mode("overwrite").parquet(p)
         paths[name] = p
     return paths
