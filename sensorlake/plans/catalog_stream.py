@@ -6,6 +6,8 @@ windows/sessions the final watermark has closed)."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from sensorlake.operators import quality as qa
@@ -23,17 +25,35 @@ def _w(sql, nulls=False):
     return sql_with(sql, readings=RN if nulls else R)
 
 
-def render_events(spark, d, files: int = 4, copies: int = 1) -> str:
-    ev = table(spark, d, "events")
-    path = scratch_path(spark, "events_stream")
-    for c in range(copies):
-        ev.repartitionByRange(files, "ts").write.parquet(f"{path}/copy{c}")
-    return path
-
+def render_events(spark, d, files: int = 4, copies: int = 1, late: bool = False) -> str:
+    """``files`` files, each a range of time, with modification times in that order, which is the order a stream reads them in.
 
-def stream_readings(spark, d, files=4, copies=1, nulls=False, max_files=1):
+    Copies of a range follow it directly; ``late`` sends the first day once more at the end.
+    """
+    ev = table(spark, d, "events")
+    root = scratch_path(spark, "events_stream")
+    paths = [f"{root}/copy{c}" for c in range(copies)]
+    for path in paths:
+        ev.repartitionByRange(files, "ts").write.parquet(path)
+    if late:
+        first_day = ev.select((F.min("ts") + F.expr("INTERVAL 1 DAY")).alias("until"))
+        paths.append(f"{root}/late")
+        ev.filter(F.col("ts") < first_day.scalar()).coalesce(1).write.parquet(paths[-1])
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    first = int(time.time() * 1000) - 3_600_000
+    for c, path in enumerate(paths):
+        for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+            name = f.getPath().getName()
+            if name.startswith("part-"):
+                part = files if path.endswith("/late") else int(name.split("-")[1])
+                fs.setTimes(f.getPath(), first + 1000 * (part * len(paths) + c), -1)
+    return root
+
+
+def stream_readings(spark, d, files=4, copies=1, nulls=False, max_files=1, late=False):
     """readings view over a file stream of events."""
-    path = render_events(spark, d, files, copies)
+    path = render_events(spark, d, files, copies, late)
     schema = table(spark, d, "events").schema
     ev = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
           .option("maxFilesPerTrigger", max_files).parquet(path))
@@ -63,7 +83,7 @@ KEY = ["time", "measurement", "location", "source", "data_key"]
 def q_stream_resample(spark, d):
     """Update mode, several micro-batches, results upserted per month partition."""
     out = scratch_path(spark, "stream_resample")
-    s = st.stream_resample(stream_readings(spark, d, nulls=True), delay="60 days")
+    s = st.stream_resample(stream_readings(spark, d, nulls=True), delay="1 hour")
     st.run_available_now(s, _ckpt(spark, "resample"), mode="update",
                          foreach_batch=st.upsert_months_writer(out, KEY, ["data_value"]))
     return spark.read.parquet(out).select(*POINT)
@@ -72,18 +92,30 @@ def q_stream_resample(spark, d):
 @register("stream_resample_append", _w(
     "SELECT * FROM (" + RESAMPLE_SQL + ") h WHERE time <= (SELECT max(time) FROM readings) - INTERVAL 1 HOUR"))
 def q_stream_resample_append(spark, d):
-    """Append mode: a window is emitted once the watermark (max time - 1 h) passes its end."""
+    """Append mode, several batches: a window is emitted once the watermark (max time - 1 h) passes its end."""
     out = scratch_path(spark, "stream_resample_append")
-    s = st.stream_resample(stream_readings(spark, d, files=1), delay="1 hour")
+    s = st.stream_resample(stream_readings(spark, d), delay="1 hour")
     st.run_available_now(s, _ckpt(spark, "resample_append"), path=out, mode="append")
     return spark.read.parquet(out).select(*POINT)
 
 
+@register("stream_resample_late", _w(
+    "SELECT * FROM (" + RESAMPLE_SQL.replace("FROM readings", "FROM (SELECT * FROM readings UNION ALL SELECT * FROM (SELECT * "
+    "FROM readings WHERE time < (SELECT min(time) FROM readings) + INTERVAL 1 DAY) sent_again WHERE time >= (SELECT max(time) "
+    "FROM readings) - INTERVAL 1 HOUR) r") + ") h WHERE time <= (SELECT max(time) FROM readings) - INTERVAL 1 HOUR"))
+def q_stream_resample_late(spark, d):
+    """The first day arrives once more after everything else: its rows are behind the watermark and dropped."""
+    out = scratch_path(spark, "stream_resample_late")
+    s = st.stream_resample(stream_readings(spark, d, late=True), delay="1 hour")
+    st.run_available_now(s, _ckpt(spark, "resample_late"), path=out, mode="append")
+    return spark.read.parquet(out).select(*POINT)
+
+
 @register("stream_dedupe", _w("SELECT DISTINCT * FROM readings"))
 def q_stream_dedupe(spark, d):
-    """Every file imported twice; the second copy is dropped."""
+    """Every file imported twice, in batches of its own; the second copy is dropped, and old state is evicted on the way."""
     out = scratch_path(spark, "stream_dedupe")
-    s = st.stream_dedupe(stream_readings(spark, d, copies=2, max_files=2), POINT, delay="60 days")
+    s = st.stream_dedupe(stream_readings(spark, d, copies=2), POINT, delay="20 days")
     st.run_available_now(s, _ckpt(spark, "dedupe"), path=out, mode="append")
     return spark.read.parquet(out).select(*POINT)
 
@@ -171,6 +203,6 @@ def q_stream_alerts(spark, d):
     "max(time) + INTERVAL 2 HOUR <= (SELECT max(time) FROM readings) - INTERVAL 1 HOUR"))
 def q_stream_sessions(spark, d):
     out = scratch_path(spark, "sessions")
-    s = st.stream_sessions(stream_readings(spark, d, files=1), gap="2 hours", delay="1 hour")
+    s = st.stream_sessions(stream_readings(spark, d), gap="2 hours", delay="1 hour")
     st.run_available_now(s, _ckpt(spark, "sessions"), path=out, mode="append")
     return spark.read.parquet(out)
