@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from sensorlake.llm._util import bound_batches, slices, staged, table, text_buffer
 
 CAPACITY, END_ID = 2048, 0
-#: Words whose ids a worker remembers before it starts anew.
+#: Words whose ids a worker remembers in each of two generations; words in use move on to the next one.
 MEMO_WORDS = 400_000
 
 # Letters and numbers below U+0250, as the tokenizer's own pattern classifies them.
@@ -53,6 +53,7 @@ class WordTokenizer:
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True     # their strings in a text are ordinary text
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.lib.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)     # tokens that end a word
         for token, i in vocabulary.items():
@@ -62,7 +63,7 @@ class WordTokenizer:
     def _raw(encoding) -> bytes:
         return np.array(encoding.ids, "<u4").tobytes()
 
-    def _learn(self, new: list[str], together: int = 16) -> None:
+    def _learn(self, new: list[str], together: int = 64) -> None:
         """Words are encoded several to a call, parted by blanks, and told apart by the tokens that end a word."""
         if not new:
             return
@@ -80,12 +81,15 @@ class WordTokenizer:
         """Little-endian 32-bit ids of each text."""
         split = [None if _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
         if len(self.memo) > MEMO_WORDS:
-            self.memo = {}
-        memo = self.memo
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
         seen: set[str] = set()
         for words in split:
             seen.update(words or ())
-        self._learn([w for w in seen if w not in memo])
+        missing = seen - memo.keys()
+        known = missing & older.keys()
+        memo.update((w, older[w]) for w in known)
+        self._learn(list(missing - known))
         look = memo.__getitem__
         return [self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0]) if words is None
                 else b"".join(map(look, words)) for t, words in zip(texts, split)]

@@ -145,6 +145,15 @@ def test_redaction(spark, edges):
     assert ordered(r["text"] for r in got.collect()) == ordered(None if t is None else brute.redact(t) for _, t in EDGE)
 
 
+def test_word_ids_survive_a_change_of_generation(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 20)
+    tokenizer = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    texts = [sentences(30, i % 5) + " don't stop 12, now!" for i in range(20)]
+    whole = tokenizer.lib.encode_batch(texts, add_special_tokens=False)
+    for a in range(0, 20, 3):
+        assert tokenizer.encode(texts[a:a + 3]) == [tokenizer._raw(e) for e in whole[a:a + 3]]
+
+
 def test_overlaps_and_masks():
     draw = random.Random(5)
     for _ in range(300):
