@@ -9,14 +9,16 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.time import strict_ts
+from sensorlake.functions.time import strict_ts, year_month
 from sensorlake.operators.aggregates import resample
 from sensorlake.operators.filters import retain_months
 from sensorlake.operators.joins import map_signals, rename_values
 from sensorlake.operators.merge import merge_history, upsert
 from sensorlake.operators.ordering import public_order
 from sensorlake.operators.reshape import all_to_string, conform, wide_to_narrow
+from sensorlake.operators.util import bounded_broadcast
 from sensorlake.schemas import FACT_COLS, PUBLIC_COLS, SERIES_KEY
+from sensorlake.session import materialize
 
 def mapped_columns(mapping: DataFrame, key: str = "data_key_original") -> list[str]:
     """Signal names of a mapping, read on the driver: column names, so metadata."""
@@ -62,6 +64,23 @@ def tag_points(facts: DataFrame, source: str, additive_keys=()) -> DataFrame:
     return facts.withColumn("source", F.lit(source)).withColumn("measurement", m)
 
 
+def changed_points(points: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Points of the (source, month) groups that differ from ``state``, and the markers to keep as the next state.
+
+    A marker is a group's row count and content checksum, so a group counts
+    as changed exactly if its rows do (up to a collision of 64-bit hashes).
+    """
+    group = ["source", "year_month"]
+    points = points.withColumn("year_month", year_month("time"))
+    markers = materialize(points.groupBy(*group).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*PUBLIC_COLS)).alias("content")))
+    if state is None:
+        return points.drop("year_month"), markers
+    same = functools.reduce(lambda a, b: a & b, [markers[c].eqNullSafe(state[c]) for c in markers.columns])
+    changed = materialize(markers.join(state, same, "left_anti").select(*group))
+    picked = functools.reduce(lambda a, b: a & b, [points[c].eqNullSafe(changed[c]) for c in group])
+    return points.join(bounded_broadcast(changed), picked, "left_semi").drop("year_month"), markers
+
+
 def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str | None, fact_root: str,
               indoor_root: str, points_root: str, public_dir: str, as_of, today,
               additive_keys=(), every: str = "1 hour", wide_file: str = "ventilation.csv",
@@ -90,6 +109,7 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
     from sensorlake.schemas import FACT, SEEDS
     from sensorlake.sources.files import read_seed, read_wide
     from sensorlake.sources.sinks import newest_version, read_fact_version, write_fact, write_public
+    from sensorlake.sources.sinks import stored as stored_table
     from sensorlake.streaming.streams import upsert_months
 
     seeds = {n: read_seed(spark, f"{seeds_dir.rstrip('/')}/{n}.csv", n) for n in SEEDS}
@@ -133,7 +153,10 @@ def daily_job(spark, *, seeds_dir: str, wide_path: str | None, drops_path: str |
         p = tag_points(f, src_name.get(file_nm, file_nm), additive_keys)
         points = p if points is None else points.unionByName(p)
     points = points.select(*PUBLIC_COLS)
-    upsert_months(points, points_root, ["time", *SERIES_KEY], ["data_value"])
+    fresh, markers = changed_points(points, stored_table(spark, f"{points_root.rstrip('/')}/_markers"))
+    upsert_months(fresh, points_root, ["time", *SERIES_KEY], ["data_value"])
+    # last: a run that dies before it takes these months again
+    markers.write.mode("overwrite").parquet(f"{points_root.rstrip('/')}/_markers")
     stored = spark.read.parquet(points_root).select(*PUBLIC_COLS)
     public = publish(stored, seeds["location_map"], every=every, order_col="_row")
     out["public"] = write_public(public, public_dir, sort=False)

@@ -67,3 +67,28 @@ def test_command_line_runs_the_daily_job(spark, tmpdir_path, capsys):
     assert rc == 0
     assert "constant_part" in capsys.readouterr().out
     assert spark.read.parquet(f"{tmpdir_path}/pub/public_parquet").count() == 5
+
+
+def test_a_run_with_one_new_month_rewrites_that_month_only(spark, tmpdir_path):
+    import glob
+    seeds = f"{tmpdir_path}/seeds"
+    write(f"{seeds}/mapping.csv", "data_key_original,location,data_key\nAHU/t (°C),unit_01,temp_intake\n")
+    write(f"{seeds}/mapping_indoor.csv", "sensor,location\n00A1,Z1\n")
+    write(f"{seeds}/mapping_sources.csv", "file_nm,source_nm,history\nventilation.csv,Airway,6\n")
+    write(f"{seeds}/location_map.csv", "from,to\nZ1,1NP-S1\n")
+    write(f"{tmpdir_path}/wide/a.csv", "date,AHU/t (°C)\n2024-01-01 10:15:00,21.5\n2024-02-01 10:15:00,22.5\n")
+
+    def run():
+        out = daily_job(spark, seeds_dir=seeds, wide_path=f"{tmpdir_path}/wide", drops_path=None, fact_root=f"{tmpdir_path}/fact",
+                        indoor_root=f"{tmpdir_path}/indoor", points_root=f"{tmpdir_path}/points", public_dir=f"{tmpdir_path}/public",
+                        as_of="2024-03-15 00:00:00", today="2024-03-15")
+        parts = glob.glob(f"{tmpdir_path}/points/measurement=*/year_month=*/part-*")
+        return set(parts), spark.read.parquet(out["public"]["parquet"]).count()
+
+    first, n = run()
+    assert n == 2 and {p.split("year_month=")[1][:7] for p in first} == {"2024-01", "2024-02"}
+    assert run() == (first, 2)                                              # nothing new: no file is replaced
+    write(f"{tmpdir_path}/wide/b.csv", "date,AHU/t (°C)\n2024-03-01 10:15:00,23.5\n2024-02-02 10:15:00,24.5\n")
+    last, n = run()
+    kept = {p for p in first if "year_month=2024-01" in p}
+    assert n == 4 and first & last == kept and {p.split("year_month=")[1][:7] for p in last - kept} == {"2024-02", "2024-03"}
