@@ -1,8 +1,8 @@
 """Command line: ``python -m sensorlake daily --seeds DIR --wide DIR --drops DIR --warehouse DIR --public DIR``.
 
 Runs ``plans.flows.daily_job`` on the active (or a new) Spark session and
-prints the per-file date-order decisions, the quarantine count and the
-dataset profile. Submit with spark-submit on a cluster.
+writes the per-file date-order decisions and the dataset profile under the
+warehouse and prints their first rows and the quarantine count. Submit with spark-submit on a cluster.
 """
 
 from __future__ import annotations
@@ -37,11 +37,20 @@ def main(argv=None) -> int:
                     today=args.today or now.date().isoformat(),
                     additive_keys=[k for k in args.additive.split(",") if k])
     rep = out.get("reports", {})
+
+    def preview(name: str, report, rows: int = 100) -> None:
+        """The report is written whole; its first rows are printed, with the number of the others."""
+        path = f"{root}/reports/{name}"
+        report.write.mode("overwrite").parquet(path)
+        written = spark.read.parquet(path)
+        written.show(rows, truncate=False)
+        print(f"{name}: {path}, {max(0, written.count() - rows)} rows not shown")
+
     if "decisions" in rep:
-        rep["decisions"].select("file_name", "sensor", "fmt", "rule").show(1000, truncate=False)
+        preview("decisions", rep["decisions"].select("file_name", "sensor", "fmt", "rule"))
         print("quarantined lines:", rep["quarantine"].count())
     if "profile" in rep:
-        rep["profile"].show(100, truncate=False)
+        preview("profile", rep["profile"])
     print("public dataset:", out.get("public"))
     return 0
 

@@ -209,6 +209,16 @@ def reload_exports(spark: SparkSession, path: str, base: DataFrame | None = None
     return upsert(pts, None, key, order=["_mtime", "_file", "_line"]).drop("_file", "_mtime", "_line")
 
 
+def damaged_exports(spark: SparkSession, path: str) -> DataFrame:
+    """Files of ``reload_exports`` that give no row at all: (file, length). Empty ones and those that cannot be read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+             .select(F.col("_metadata.file_path").alias("file"), "length"))      # contents are not read
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("ignoreCorruptFiles", True)
+             .option("ignoreMissingFiles", True).text(path).filter(F.trim("value") != "")
+             .select(F.col("_metadata.file_path").alias("file")).distinct())
+    return files.join(lines, "file", "left_anti")
+
+
 def months_to_process(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Sorted distinct `YYYY-MM` of the input (one small aggregate)."""
     return (df.filter(F.col(time_col).isNotNull()).select(F.date_format(time_col, "yyyy-MM").alias("year_month"))
