@@ -210,7 +210,10 @@ def reload_exports(spark: SparkSession, path: str, base: DataFrame | None = None
 
 
 def damaged_exports(spark: SparkSession, path: str) -> DataFrame:
-    """Files of ``reload_exports`` that give no row at all: (file, length). Empty ones and those that cannot be read."""
+    """Files that hold bytes but give ``reload_exports`` no line: (file, length); unreadable or blank.
+
+    Files of length 0 hold nothing to miss, and Spark's readers leave them out.
+    """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
              .select(F.col("_metadata.file_path").alias("file"), "length"))      # contents are not read
     lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("ignoreCorruptFiles", True)

@@ -50,10 +50,11 @@ def test_reload_exports_later_file_wins_and_skips_empty(spark, tmpdir_path):
     write(f"{tmpdir_path}/2024/a.csv", hdr + "2024-01-01T00:00:00Z,nonadditive,L,A,t,1\n")
     write(f"{tmpdir_path}/2024/b.csv", hdr + "2024-01-01T00:00:00Z,nonadditive,L,A,t,2\n")
     write(f"{tmpdir_path}/2024/empty.csv", "")
+    write(f"{tmpdir_path}/2024/blank.csv", "\n \n")
     rows = src.reload_exports(spark, tmpdir_path).collect()
     assert [r["data_value"] for r in rows] == [2.0]
     bad = src.damaged_exports(spark, tmpdir_path).collect()
-    assert [(r["file"].rsplit("/", 1)[1], r["length"]) for r in bad] == [("empty.csv", 0)]
+    assert [(r["file"].rsplit("/", 1)[1], r["length"]) for r in bad] == [("blank.csv", 3)]
 
 
 def test_seed_row_order_and_rename_last_wins(spark, tmpdir_path):
