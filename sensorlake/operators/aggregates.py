@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions.quality import count_if
 from sensorlake.functions.time import ts_literal, trunc
 from sensorlake.schemas import SERIES_KEY
+from sensorlake.session import materialize
 
 
 AGG_FUNCS = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count,
@@ -64,21 +65,23 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def dataset_profile(df: DataFrame, time_col: str = "time", top: int = 15) -> DataFrame:
     """One long table of (metric, key, value) describing the dataset.
 
-    Three aggregates: totals, rows per measurement, top data_keys. Each is
-    a hash aggregate with partial combine; nothing is collected.
+    One pass over the data down to a row per (measurement, data_key), which
+    is stored; totals, rows per measurement and top keys come from it.
     """
-    totals = df.agg(F.count(F.lit(1)).cast("string").alias("rows"),
-                    F.min(time_col).cast("string").alias("time_min"),
-                    F.max(time_col).cast("string").alias("time_max"))
+    base = materialize(df.groupBy("measurement", "data_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(time_col).alias("low"), F.max(time_col).alias("high")))
+    totals = base.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("string").alias("rows"), F.min("low").cast("string").alias("time_min"),
+                      F.max("high").cast("string").alias("time_max"))
     t = (totals.unpivot([], ["rows", "time_min", "time_max"], "metric", "value")
                .select("metric", F.lit(None).cast("string").alias("key"), "value"))
-    meas = (df.filter(F.col("measurement").isNotNull()).groupBy("measurement").count()
-              .select(F.lit("measurement_rows").alias("metric"), F.col("measurement").alias("key"),
-                      F.col("count").cast("string").alias("value")))
-    keys = (value_counts(df, "data_key").limit(top)
-            .select(F.lit("top_data_key").alias("metric"), F.col("data_key").alias("key"),
-                    F.col("count").cast("string").alias("value")))
-    return t.unionByName(meas).unionByName(keys)
+
+    def counts(col: str, metric: str) -> DataFrame:
+        return (base.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("key")).agg(F.sum("n").alias("n"))
+                .select(F.lit(metric).alias("metric"), "key", "n"))
+
+    keys = counts("data_key", "top_data_key").orderBy(F.desc("n"), "key").limit(top)
+    both = counts("measurement", "measurement_rows").unionByName(keys)
+    return t.unionByName(both.select("metric", "key", F.col("n").cast("string").alias("value")))
 
 
 def freshness(df: DataFrame, col: str, as_of, warn_after_days: int = 365,

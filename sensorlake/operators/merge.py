@@ -68,11 +68,15 @@ def schema_diff(spark: SparkSession, expected: T.StructType | Sequence[str], act
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows only in ``a`` or only in ``b`` (multiset), tagged with the side."""
+    """Rows only in ``a`` or only in ``b`` (multiset), tagged with the side.
+
+    One aggregate over both sides: copies in ``a`` count up, copies in ``b`` down.
+    """
     cols = a.columns
-    b = b.select(cols)
-    return (a.exceptAll(b).withColumn("side", F.lit("only_a"))
-             .unionByName(b.exceptAll(a).withColumn("side", F.lit("only_b"))))
+    signed = a.withColumn("_n", F.lit(1).cast("long")).unionByName(b.select(cols).withColumn("_n", F.lit(-1).cast("long")))
+    left = signed.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    each = left.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n"))))
+    return each.select(*[F.col(f"`{c}`") for c in cols], F.when(F.col("_n") > 0, "only_a").otherwise("only_b").alias("side"))
 
 
 def upsert(base: DataFrame, delta: DataFrame | None, key: Sequence[str], order: Sequence[str],
