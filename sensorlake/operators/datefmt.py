@@ -342,9 +342,10 @@ def merge_drops(spark, path: str, today, strict: bool = True, default: str = "DM
     Two passes over the text: detection (one shuffle of the lines), then
     parsing (lines joined with the broadcast per-file decisions, no shuffle).
     """
+    from sensorlake.session import materialize
     from sensorlake.sources.files import drop_lines
     lines = drop_lines(spark, path)
-    decisions = detect_date_format(lines, today, strict, default, force)
+    decisions = materialize(detect_date_format(lines, today, strict, default, force))      # one row per file, read twice
     good, quarantine = parse_drops(lines, decisions, on_bad)
     return good, decisions, quarantine
 

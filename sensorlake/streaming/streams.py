@@ -62,7 +62,7 @@ def drops_batch_writer(out_path: str, today, strict: bool = True, default: str =
     batch detection and parsing (D01/D02) run on it unchanged."""
     def run(batch: DataFrame, epoch: int) -> None:
         from sensorlake.functions.text import strip_bom
-        from sensorlake.session import scratch_path
+        from sensorlake.session import materialize, scratch_path
         from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops
         from sensorlake.sources.files import logical_file_name
         lines = batch.select("file", logical_file_name(F.col("file")).alias("file_name"), "block",
@@ -72,7 +72,7 @@ def drops_batch_writer(out_path: str, today, strict: bool = True, default: str =
         staging = scratch_path(lines.sparkSession, "drop-lines")
         lines.write.parquet(staging)
         lines = lines.sparkSession.read.schema(lines.schema).parquet(staging)
-        dec = detect_date_format(lines, today, strict, default, header_lines=header_lines)
+        dec = materialize(detect_date_format(lines, today, strict, default, header_lines=header_lines))    # one row per file
         good, quarantine = parse_drops(lines, dec, header_lines=header_lines)
         undecided = dec.filter(~F.col("fmt").isin(*FORMATS))
         # one partition per micro-batch, overwritten on a retry: a re-executed
