@@ -39,8 +39,10 @@ MEMO_WORDS = 400_000
 _L = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 _N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+#: Capitals up to U+024F with a lower case beyond it: words are lowered first, so these are outside as well.
+_FAR = "".join(c for c in map(chr, range(0xa1, 0x250)) if max(c.lower()) > "ɏ")
 #: Anything outside printable Latin text is left to the tokenizer library as a whole.
-_OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa1-ɏ]")
+_OTHER = re.compile(rf"[^\t-\r\x20-\x7e\xa1-ɏ]|[{_FAR}]")
 
 
 class WordTokenizer:

@@ -297,6 +297,17 @@ def test_word_tokenizer_equals_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_equals_the_library_on_every_letter():
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    lib.encode_special_tokens = True
+    own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    # capitals such as U+018F have a lower case above U+024F
+    texts = [t for c in map(chr, range(1, 0x250)) for t in (c, f"{c}liyev visited", f"AB{c}", f"x {c}'s 1{c}", f"é{c}É")]
+    for t, raw in zip(texts, own.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("where", ["edge", "sf"])
 def test_bpe(spark, edge_dir, where):
     import tiktoken
