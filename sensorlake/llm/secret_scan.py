@@ -45,17 +45,32 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 # Added kinds.
 _TOKEN = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|[rs]k_live_[A-Za-z0-9]{16,}"
                     r"|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,24}[0-9])[A-Za-z0-9+/_-]{24,}")
+_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}")
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 _MARKS = ("gh", "xox", "k_live_", "eyJ")
 
 
+# How words, names and paths go on: kind of character after kind of character, and letters of English text in percent.
+_NEXT = {"lower": {"lower": 0.78, "upper": 0.12, "digit": 0.02, "sign": 0.08}, "upper": {"lower": 0.58, "upper": 0.36, "digit": 0.02, "sign": 0.04},
+         "digit": {"lower": 0.1, "upper": 0.1, "digit": 0.55, "sign": 0.25}, "sign": {"lower": 0.55, "upper": 0.3, "digit": 0.13, "sign": 0.02}}
+_LETTERS = dict(zip("etaoinsrhldcumfpgwybvkxjqz", (12.0, 9.1, 8.1, 7.7, 7.3, 6.9, 6.3, 6.0, 5.9, 4.3, 4.0, 2.7, 2.9, 2.6, 2.3, 1.8, 2.0, 2.1, 2.1,
+                                                   1.5, 1.1, 0.9, 0.4, 0.3, 0.3, 0.2)))
+_CHARS = ({c: ("lower", p / 100) for c, p in _LETTERS.items()} | {c.upper(): ("upper", p / 100) for c, p in _LETTERS.items()}
+          | {c: ("digit", 1 / 10) for c in "0123456789"} | {c: ("sign", 1 / 4) for c in "+/_-"})
+#: Bits by which a character after another one speaks for random characters and against words.
+_BITS = {a + b: -math.log2(64 * _NEXT[_CHARS[a][0]][_CHARS[b][0]] * _CHARS[b][1]) for a in _CHARS for b in _CHARS}
+
+
 def _looks_random(value: str) -> bool:
-    """Four digits and upper and lower case at least, and four bits of entropy a character."""
-    if sum(c.isdigit() for c in value) < 4 or value.lower() == value or value.upper() == value:
+    """Upper and lower case, an entropy near that of random characters of its length (four bits suffice), and four digits
+    or characters that follow each other as random ones do rather than as in words."""
+    if value.lower() == value or value.upper() == value:
         return False
     n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= 4.0
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
+    if entropy < min(4.0, 0.77 * math.log2(n)):
+        return False
+    return entropy >= 4.0 and sum(c.isdigit() for c in value) >= 4 or sum(map(_BITS.__getitem__, map("".join, zip("-" + value, value)))) >= 0
 
 
 def _apart(more: list[tuple], found: list[tuple]) -> list[tuple]:

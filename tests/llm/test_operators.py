@@ -139,6 +139,31 @@ def test_ownership_parts_examples_from_live_values(spark):
     assert spans[1] == spans[2] == [4] and all(spans[i] == [] for i in range(3, 12))
 
 
+@pytest.mark.parametrize("n", [24, 28, 32, 40, 64, 88])
+def test_random_values_of_any_length_are_candidates(n):
+    draw = random.Random(n)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for signs in ("+/", "-_", ""):
+        chars = letters + letters.upper() + "0123456789" + signs
+        values = ["".join(draw.choices(chars, k=n)) for _ in range(2000)]
+        found = sum([c[:3] + c[4:] for c in secret_scan.candidates(f"see {v} here")] == [(4, 4, 4 + n, v)] for v in values)
+        assert found >= 0.995 * len(values)
+
+
+def test_names_and_paths_are_no_random_values():
+    for name in ("TestDataFrameToStringLineWidth", "PyGILState_GetThisThreadState", "Py_ASNATIVEBYTES_UNSIGNED_BUFFER", "AVCaptureMultiCamSession",
+                 "com/HypothesisWorks/hypothesis/pull", "test_date_index_query_with_NaT", "state-of-the-art-Technology", "Aa" * 20):
+        assert secret_scan.candidates(f"see {name} here") == []
+
+
+def test_random_values_with_late_or_few_digits_get_spans(spark):
+    late, few = "qWzRtYvKpOjHgXdSaLkZxCvBn" + "7Uq2Jw5Xk8Vb3Zp", "xQ7bVzKjWpRqLmGtYhNcXsDf"
+    docs = spark.createDataFrame([(1, f"key {late} end", "r1"), (2, f"key {few} end", "r2")], "doc_id long, text string, source string")
+    spans = {r["id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secret_scan.secrets(docs).collect()}
+    assert spans == {1: [(4, 4, 4 + len(late))], 2: [(4, 4, 4 + len(few))]}
+    assert sorted(r["text"] for r in secret_scan.redacted(docs).collect()) == ["key [secret] end"] * 2
+
+
 def test_redaction(spark, edges):
     got = secret_scan.redacted(edges)
     assert got.columns == edges.columns
