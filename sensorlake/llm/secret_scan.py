@@ -11,9 +11,10 @@ distinct owners per hash, combined before the shuffle.
 Offsets are code points, ends exclusive; a span is the whole match.
 
 Defined results: null or empty text has no spans; rows are judged one by
-one, so repeated rows repeat their result (they count as one owner); rows
-with a null repository or owner count under no repository or owner; an
-empty table gives an empty result; further columns are not looked at.
+one, so repeated rows repeat their result; rows with one text, whatever
+their ids, count as one owner unless a column names owners; rows with a
+null repository or owner count under no repository or owner; an empty
+table gives an empty result; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -112,11 +113,15 @@ _SPANS = "array<struct<kind:int,start:long,end:long,vstart:long,vhash:long>>"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_col: str = "source",
-         owner_col: str = "doc_id") -> DataFrame:
-    """One row per text: id, key (hash of the text), repo, owner and its candidate spans."""
+         owner_col: str | None = None) -> DataFrame:
+    """One row per text: id, key (hash of the text), repo, owner and its candidate spans.
+
+    Without an owner column the text is the owner, so copies of one document are one.
+    """
     bound_batches(docs.sparkSession)
     source = docs.select(col(id_col).alias("id"), text_key(text).alias("key"),
-                         col(repo_col).cast("string").alias("repo"), col(owner_col).cast("string").alias("owner"),
+                         col(repo_col).cast("string").alias("repo"),
+                         (text_key(text) if owner_col is None else col(owner_col)).cast("string").alias("owner"),
                          col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     spans = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("vstart", pa.int64()),
@@ -145,7 +150,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_col: str = "source",
-            owner_col: str = "doc_id", max_repos: int = MAX_REPOS, max_owners: int = MAX_OWNERS) -> DataFrame:
+            owner_col: str | None = None, max_repos: int = MAX_REPOS, max_owners: int = MAX_OWNERS) -> DataFrame:
     """Per text: id, key, ``spans`` (kept ones, by start and kind) and ``n_live``, spans whose value stays with few owners."""
     found = staged(scan(docs, id_col, text, repo_col, owner_col), "secret-candidates")
     live = ownership(found).where((F.col("n_repos") <= max_repos) & (F.col("n_owners") <= max_owners)).select("vhash")
@@ -161,7 +166,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_co
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo_col: str = "source",
-             owner_col: str = "doc_id", mark: str = "[secret]") -> DataFrame:
+             owner_col: str | None = None, mark: str = "[secret]") -> DataFrame:
     """``docs`` with its columns; the values of all secrets are replaced by ``mark``."""
     bound_batches(docs.sparkSession)
     spans = secrets(docs, id_col, text, repo_col, owner_col).where(F.size("spans") > 0).dropDuplicates(["id", "key"])

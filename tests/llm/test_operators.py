@@ -139,6 +139,16 @@ def test_ownership_parts_examples_from_live_values(spark):
     assert spans[1] == spans[2] == [4] and all(spans[i] == [] for i in range(3, 12))
 
 
+def test_copies_of_a_document_are_one_owner(spark):
+    live, example = "Zx9Qw3Er5Ty7Ui1Op2As4Df6", "Mn8Bv6Cx4Za2Lk1Jh3Gf5Dq7"
+    rows = [(i, f"key {live} end", "r1") for i in range(6)] + [(i, f"text {i} with {example}", "r1") for i in range(6, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = {r["id"]: [s["kind"] for s in r["spans"]] for r in secret_scan.secrets(docs).collect()}
+    assert spans == {i: [4] if i < 6 else [] for i in range(12)}
+    by_id = secret_scan.secrets(docs, owner_col="doc_id").collect()
+    assert all(r["spans"] == [] for r in by_id)
+
+
 @pytest.mark.parametrize("n", [24, 28, 32, 40, 64, 88])
 def test_random_values_of_any_length_are_candidates(n):
     draw = random.Random(n)
