@@ -4,8 +4,9 @@ Trees are fitted on labelled URLs (here: those a rule decides) with
 features of the URL's characters only: lengths, depth, digit and symbol
 ratios, entropy, parameters, and for the host's last label how often it
 is blocked among the labelled URLs. Fitting uses at most
-``TRAINING_ROWS`` labelled rows, chosen by hash of the URL; suffix
-statistics use all labelled rows.
+``TRAINING_ROWS`` labelled rows, chosen by hash of the URL, half of them
+for each class (all of a class that has fewer); suffix statistics use all
+labelled rows.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path and is judged by the trees; if the labelled URLs have one class only,
@@ -87,7 +88,10 @@ def filtered(pages: DataFrame, id_col: str = "page_id", url: str = "url", rules=
     found = staged(by_rules(parts(pages, id_col, url), rules), "urls")
     blocked = (F.col("ruled") == "block").cast("double")
     labelled = found.where("ruled IS NOT NULL")
-    totals = labelled.agg(F.count("*").alias("n"), F.coalesce(F.avg(blocked), F.lit(0.0)).alias("share")).first()
+    place = F.pmod(F.xxhash64("u", "id"), F.lit(1 << 30))
+    totals = labelled.agg(F.count("*").alias("n"), F.coalesce(F.avg(blocked), F.lit(0.0)).alias("share"),
+                          F.coalesce(F.sum(blocked), F.lit(0.0)).cast("long").alias("n_blocked"),
+                          F.min(F.when(blocked == 0, place)).alias("low_0"), F.min(F.when(blocked == 1, place)).alias("low_1")).first()
     named = lambda col: F.when(col > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     verdict = lambda col: F.coalesce("ruled", named(col)).alias("verdict")
     if totals["share"] in (0.0, 1.0):
@@ -96,16 +100,16 @@ def filtered(pages: DataFrame, id_col: str = "page_id", url: str = "url", rules=
     suffixes = (labelled.withColumn("suffix", F.element_at(F.split("host", r"\."), -1)).groupBy("suffix")
                 .agg(F.avg(blocked).alias("blocked"), F.count("*").alias("seen")))
     wide = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(features(found, suffixes, totals["share"]))
-    # a bounded sample by hash; both classes weigh the same
-    weight = F.when(F.col("label") == 1, F.lit(0.5 / totals["share"])).otherwise(F.lit(0.5 / (1 - totals["share"])))
-    # a threshold on the hash spares a global sort; all labelled rows take part while they are fewer than the bound
-    share = min(1.0, training_rows / totals["n"])
-    chosen = F.pmod(F.xxhash64("u", "id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    # a bounded sample by hash: half of it for each class, or more where the other has fewer; both classes weigh the same
+    n, some = {1: totals["n_blocked"], 0: totals["n"] - totals["n_blocked"]}, {}
+    for label in n:
+        some[label] = min(n[label], max(training_rows // 2, training_rows - n[1 - label]))
+    weight = F.when(F.col("label") == 1, F.lit(0.5 * sum(some.values()) / max(some[1], 1))).otherwise(F.lit(0.5 * sum(some.values()) / max(some[0], 1)))
+    # a threshold on the hash spares a global sort; the smallest hash of a class is always below its own
+    below = {label: max((some[label] << 30) // n[label], totals[f"low_{label}"] + 1) for label in n}
+    chosen = place < F.when(blocked == 1, F.lit(below[1])).otherwise(F.lit(below[0]))
     train = staged(wide.where(F.col("ruled").isNotNull() & chosen).withColumn("label", blocked).withColumn("weight", weight)
                    .select("features", "label", "weight"), "labelled-urls")
-    if train.select("label").distinct().count() < 2:
-        one = F.lit(float(totals["share"] > 0.5))
-        return found.select("id", "host", "path", "rule", verdict(one), one.alias("blocked_by_trees"))
     model = GBTClassifier(maxIter=rounds, maxDepth=depth, weightCol="weight", seed=7, checkpointInterval=-1).fit(train)
     judged = model.transform(wide)
     return judged.select("id", "host", "path", "rule", verdict(F.col("prediction")), F.col("prediction").alias("blocked_by_trees"))

@@ -272,6 +272,16 @@ def test_trees_learn_what_rules_do_not_say(spark):
     assert len(out) > 150 and right >= 0.95 * len(out)
 
 
+def test_trees_see_a_class_that_is_rare(spark):
+    rows = [(i, f"http://news{i}.com/{i}") for i in range(3000)] + [(5000 + i, f"http://casino-win-{i}.com/{i}") for i in range(3)]
+    rows += [(6000 + i, f"http://{'casino-win-' if i % 2 else 'news'}{i}.org/{i}") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [("allow", "com", "/")] + [("block", f"casino-win-{i}.com", "/") for i in range(3)]
+    for most in (100, 4):
+        out = url_filter.filtered(pages, rules=rules, training_rows=most, rounds=2).where("rule IS NULL").collect()
+        assert len(out) == 40 and all((r["verdict"] == "block") == ("casino" in r["host"]) for r in out)
+
+
 @pytest.mark.parametrize("where", ["edge", "sf"])
 def test_packing(spark, edge_dir, where):
     from tokenizers import Tokenizer
