@@ -13,6 +13,10 @@ place by (length, rank).
 
 Tokens never cross a shuffle: only (id, piece, length, checksum) rows do.
 
+The strings of special tokens ('<|endoftext|>') in a text are ordinary
+text and split like any other, unlike in the tokenizer's plain call: a
+document must not be able to write control tokens into a sequence.
+
 Defined results: null or empty text is one piece holding the end token;
 pieces that are equal in length are ranked by id, so ties and repeated
 rows only exchange places; an empty table gives an empty result; further

@@ -342,6 +342,13 @@ def test_word_tokenizer_equals_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_strings_of_special_tokens_are_ordinary_text():
+    own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    for t in ("see <|endoftext|> here", "<|startoftext|>", "日本 <|endoftext|>"):        # the last one goes to the library whole
+        ids = np.frombuffer(own.encode([t])[0], "<u4")
+        assert not {49406, 49407} & set(ids.tolist()) and len(ids) > 2
+
+
 def test_word_tokenizer_equals_the_library_on_every_letter():
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
