@@ -1,4 +1,11 @@
-"""Substring deduplication by relative Lempel-Ziv parsing over anchored reference blocks.
+"""Substring deduplication over anchored blocks and the windows at their boundaries.
+
+This stands in for relative Lempel-Ziv parsing: no longest factors are
+sought and none are merged. The result asked for is a union of fixed
+windows of ``min_words`` words, not a parse, and block contents and
+windows compared by hash give that union exactly, by aggregates and joins
+whose rows stay independent; extending a match over the blocks that
+follow would need the reference documents in sequence.
 
 Every document is cut into reference blocks at content-defined anchors: a
 window of ``min_words`` words belongs to its smallest (leftmost on ties)
@@ -7,12 +14,11 @@ same anchor form a block. Equal windows have equal anchors wherever they
 stand, so indexing blocks by anchor misses no repetition; about one row
 per twenty words reaches a shuffle.
 
-The parse is greedy at block level first: a block whose whole content is
-indexed for a smaller document is a factor, and adjacent factors merge.
-At factor boundaries, where an anchor is shared but block contents differ,
-the windows of one block per distinct content are looked up one by one.
-Covered words are the union of factors and boundary windows: exactly the
-words of windows that also start in a document with a smaller id.
+A block whose whole content is held by a document with a smaller id is
+covered as a whole. Where an anchor is shared but block contents differ,
+the windows of the blocks not covered so are looked up one by one.
+Covered words are the union of blocks and windows: exactly
+the words of windows that also start in a document with a smaller id.
 
 Identity is by 128 bits (two 64-bit hashes) of the words' bytes.
 
