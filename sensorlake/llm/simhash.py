@@ -1,14 +1,13 @@
-"""SimHash near-duplicates through a multi-index over fingerprint segments.
-
-A 64-bit fingerprint is cut into segments; one index per segment. For each
-fingerprint the Hamming ball of radius one within every segment is
-enumerated, and an index entry is keyed by the segment's ball point with
-the other segments unchanged. Two fingerprints differ in at most two bits
-exactly if they share such an entry (a point at most one bit from both),
-so a fetch gives matches only and a group of copies never becomes pairs:
-an entry has at most 65 fingerprints, chained one to the next. Every link
-is still verified by its complete distance. For a distance of one, entries
-of flipped fingerprints fetch unflipped ones only.
+"""SimHash near-duplicates through a radius-one neighbourhood join on whole fingerprints.
+
+An entry is a point at most one bit from a 64-bit fingerprint: itself and
+its 64 neighbours. Two fingerprints differ in at most two bits exactly if
+they share an entry, so a fetch gives matches only and a group of copies
+never becomes pairs: an entry has at most 65 fingerprints, chained one to
+the next. This stands in for a multi-index by segments, whose tables
+would fetch every pair that agrees in a segment. Every link is still
+verified by its complete distance. For a distance of one, neighbours
+fetch fingerprints only. Distances above two are an error.
 
 Copies collapse before anything is enumerated (one row per fingerprint),
 and components are found by large-star / small-star contraction over
@@ -73,34 +72,29 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return source.mapInArrow(each, f"id {kind}, key long, fp long")
 
 
-def _flips(fp, segments: int):
-    """Ball of radius one inside every segment, as the fingerprint with that segment replaced."""
-    width = BITS // segments
-    masks = []
-    for s in range(segments):
-        for b in range(width):
-            m = 1 << (s * width + b)
-            masks.append(m - (1 << 64) if m >= 1 << 63 else m)
+def _flips(fp):
+    """The 64 fingerprints that differ in one bit."""
+    masks = [1 << b if b < BITS - 1 else -1 << b for b in range(BITS)]
     return [fp.bitwiseXOR(F.lit(m).cast("long")) for m in masks]
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = 4) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Verified links (a, b) between distinct fingerprints whose closure joins all pairs within ``max_bits``.
 
     ``prints`` has one row per fingerprint in column fp.
     """
-    if max_bits not in (0, 1, 2) or BITS % segments:
-        raise ValueError("max_bits is 0, 1 or 2; segments divides 64")
+    if max_bits not in (0, 1, 2):
+        raise ValueError("max_bits is 0, 1 or 2")
     spark = prints.sparkSession
     if max_bits == 0:
         return spark.createDataFrame([], "a long, b long")
     fp = F.col("fp")
     if max_bits == 1:
-        probe = prints.select(fp.alias("a"), F.explode(F.array(*_flips(fp, segments))).alias("key"))
+        probe = prints.select(fp.alias("a"), F.explode(F.array(*_flips(fp))).alias("key"))
         near = probe.join(prints.select(fp.alias("b")), F.col("key") == F.col("b")).where("a < b")
     else:
         from pyspark.sql import Window
-        entries = prints.select(fp, F.explode(F.array(fp, *_flips(fp, segments))).alias("key"))
+        entries = prints.select(fp, F.explode(F.array(fp, *_flips(fp))).alias("key"))
         # at most 65 fingerprints lie within one bit of a key: the window is never large
         by_key = Window.partitionBy("key").orderBy("fp")
         near = entries.select(F.lag("fp").over(by_key).alias("a"), fp.alias("b")).where(F.col("a").isNotNull())
@@ -140,14 +134,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
-                    max_bits: int = MAX_BITS, segments: int = 4) -> DataFrame:
+                    max_bits: int = MAX_BITS) -> DataFrame:
     """(id, key, fp, component, root): component is the smallest id reachable through links, the row's own included.
 
     ``root`` is a fingerprint of the component and names it even if no id does.
     """
     marked = staged(fingerprints(docs, id_col, text, shingle_words), "fingerprints")
     prints = staged(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct-fingerprints")
-    found = components(links(prints, max_bits, segments))
+    found = components(links(prints, max_bits))
     member = prints.join(found, prints.fp == found.node).select("fp", "root", "first_id")
     named = member.groupBy("root").agg(F.min("first_id").alias("component"))
     linked = member.join(named, "root").select(F.col("fp").alias("linked_fp"), "component", "root")

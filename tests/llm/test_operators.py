@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 from edge import SCHEMA, edge_rows, sentences
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sensorlake.llm import bpe, language_id, license_scan, mtree, packing, quality_rules, secret_scan, simhash, substring_dedup, url_filter
@@ -99,6 +100,14 @@ def test_links_close_over_all_near_pairs(spark, bits):
     assert {f: root.get(f, f) for f in signed} == group
 
 
+def test_links_have_no_parameter_without_effect(spark):
+    import inspect
+    assert list(inspect.signature(simhash.links).parameters) == ["prints", "max_bits"]
+    assert "segments" not in inspect.signature(simhash.near_duplicates).parameters
+    near = {r[0] for r in spark.range(1).select(F.explode(F.array(*simhash._flips(F.lit(5).cast("long"))))).collect()}
+    assert {x & (1 << 64) - 1 for x in near} == {5 ^ 1 << b for b in range(64)}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
     assert {tuple(r) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(301)}
