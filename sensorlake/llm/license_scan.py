@@ -83,7 +83,10 @@ def _lower(text: Column) -> Column:
 
 
 def positions(spark: SparkSession, templates) -> DataFrame:
-    """(t, p, w0 .. w2): the k-gram at word p of template t."""
+    """(t, p, w0 .. w2): the k-gram at word p of template t; a template of fewer than K words is an error."""
+    short = [x.text for x in templates if len(template_words(x.text)) < K]
+    if short:
+        raise ValueError(f"templates need {K} words at least: {short}")
     rows = [(t, p, *w[p:p + K]) for t, w in enumerate(template_words(x.text) for x in templates) for p in range(len(w) - K + 1)]
     return spark.createDataFrame(rows, "t int, p int, w0 string, w1 string, w2 string")
 

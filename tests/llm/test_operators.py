@@ -216,6 +216,12 @@ def test_licenses(spark, edge_dir, where):
     assert all(0 <= r["score"] <= 1 and set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) | {""} for r in out)
 
 
+def test_templates_too_short_to_be_found_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "the mit license")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="mit license"):
+        license_scan.licenses(docs, phrases=(license_scan.Template("mit", "mit license", True),))
+
+
 def test_notice_with_an_inserted_word_is_one_span(spark):
     text = "foo " + license_scan.NOTICES[0].text.replace("free of charge", "wholly free of charge") + " bar"
     row = license_scan.licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
