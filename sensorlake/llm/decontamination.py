@@ -60,7 +60,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     key = s.astype(np.int64)
     for i in range(1, h):
         key <<= bits
-        key[:n - i] |= s[i:]
+        key[:max(0, n - i)] |= s[i:]
     order = np.argsort(key)
     key = key[order]
     opens = np.ones(n, bool)            # first of a run of tied suffixes
