@@ -1,8 +1,13 @@
 """Command line: ``python -m sensorlake daily --seeds DIR --wide DIR --drops DIR --warehouse DIR --public DIR``.
 
 Runs ``plans.flows.daily_job`` on the active (or a new) Spark session and
-writes the per-file date-order decisions and the dataset profile under the
-warehouse and prints their first rows and the quarantine count. Submit with spark-submit on a cluster.
+writes the per-file date-order decisions, the quality report and the dataset
+profile under the warehouse and prints their first rows and the quarantine
+count. Submit with spark-submit on a cluster.
+
+Exit status: 3 a drop file whose day/month order stays open, 4 an impossible
+date, 6 a measure that is no number (all with ``--on-bad fail``), 5 a
+failed quality gate; nothing is published then.
 """
 
 from __future__ import annotations
@@ -24,18 +29,31 @@ def main(argv=None) -> int:
     d.add_argument("--as-of", default=None, help="retention reference time (default: now, UTC)")
     d.add_argument("--today", default=None, help="date for day/month detection (default: today)")
     d.add_argument("--additive", default="", help="comma-separated data keys summed per hour (others averaged)")
+    d.add_argument("--on-bad", choices=("quarantine", "fail"), default="quarantine", help="bad drop lines and undecided files")
+    d.add_argument("--lenient", action="store_true", help="undecided drop files get the default order")
+    d.add_argument("--default-order", choices=("DMY", "MDY"), default="DMY")
+    d.add_argument("--force-order", choices=("DMY", "MDY"), default=None, help="the order of every drop file")
+    d.add_argument("--exports", help="folder of earlier exports to load where points are missing")
+    d.add_argument("--raw", help="output folder of raw points by month")
+    d.add_argument("--gate", choices=("fail", "report"), default="fail", help="what a failed quality rule does")
+    d.add_argument("--keep-versions", type=int, default=7)
     args = p.parse_args(argv)
 
-    from sensorlake.plans.flows import daily_job
+    from sensorlake.plans.flows import DropsRejected, GateFailed, daily_job
     from sensorlake.session import get_session
     spark = get_session()
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = args.warehouse.rstrip("/")
-    out = daily_job(spark, seeds_dir=args.seeds, wide_path=args.wide, drops_path=args.drops,
-                    fact_root=f"{root}/fact", indoor_root=f"{root}/indoor", points_root=f"{root}/points",
-                    public_dir=args.public, as_of=args.as_of or now.strftime("%Y-%m-%d %H:%M:%S"),
-                    today=args.today or now.date().isoformat(),
-                    additive_keys=[k for k in args.additive.split(",") if k])
+    try:
+        out = daily_job(spark, seeds_dir=args.seeds, wide_path=args.wide, drops_path=args.drops,
+                        fact_root=f"{root}/fact", indoor_root=f"{root}/indoor", points_root=f"{root}/points",
+                        public_dir=args.public, as_of=args.as_of or now.strftime("%Y-%m-%d %H:%M:%S"),
+                        today=args.today or now.date().isoformat(), additive_keys=[k for k in args.additive.split(",") if k],
+                        on_bad=args.on_bad, strict=not args.lenient, default=args.default_order, force=args.force_order,
+                        exports_path=args.exports, raw_dir=args.raw, gate_on=args.gate, keep_versions=args.keep_versions)
+    except (DropsRejected, GateFailed) as e:
+        print(f"stopped: {e}", file=sys.stderr)
+        return e.code
     rep = out.get("reports", {})
 
     def preview(name: str, report, rows: int = 100) -> None:
@@ -49,8 +67,9 @@ def main(argv=None) -> int:
     if "decisions" in rep:
         preview("decisions", rep["decisions"].select("file_name", "sensor", "fmt", "rule"))
         print("quarantined lines:", rep["quarantine"].count())
-    if "profile" in rep:
-        preview("profile", rep["profile"])
+    for name in ("quality", "freshness", "profile"):
+        if name in rep:
+            preview(name, rep[name])
     print("public dataset:", out.get("public"))
     return 0
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -98,35 +99,114 @@ def freshness(df: DataFrame, col: str, as_of, warn_after_days: int = 365,
     return out.select(*by, "max_loaded_at", age.alias("age_seconds"), status.alias("status"))
 
 
+#: The grain whose rows a coarser one is merged from; a period holds at most 24, 31 or 12 of them.
+FINER = {"day": "hour", "week": "day", "month": "day", "quarter": "month", "year": "month"}
+
+
+def _moments(df: DataFrame, by: Sequence, value_col: str) -> DataFrame:
+    """(by..., n, mean, m2): count, mean and sum of squared deviations of non-null values."""
+    v = F.col(value_col)
+    return df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"))
+
+
+def merged_moments(moments: DataFrame, by: Sequence) -> DataFrame:
+    """Moments of unions of groups, pairwise by the parallel variance formula. For few rows a group: they are folded in one list."""
+    some = F.filter(F.collect_list(F.struct("n", "mean", "m2")), lambda x: x["n"] > 0)
+
+    def add(a, b):
+        n = a["n"] + b["n"]
+        apart = b["mean"] - a["mean"]
+        both = F.struct(n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
+                        (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+        return F.when(a["n"] == 0, F.struct(b["n"].alias("n"), b["mean"].alias("mean"), b["m2"].alias("m2"))).otherwise(both)
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    x = moments.groupBy(*by).agg(F.aggregate(some, none, add).alias("_m"))
+    return x.select(*x.columns[:-1], F.col("_m.n").alias("n"), F.when(F.col("_m.n") > 0, F.col("_m.mean")).alias("mean"), F.col("_m.m2").alias("m2"))
+
+
 def multi_grain(df: DataFrame, grains: Sequence[str] = ("hour", "day", "week", "month"),
                 series: Sequence[str] = ("location", "data_key"), time_col: str = "time",
                 value_col: str = "data_value") -> DataFrame:
     """Mean / sample stddev / count at several grains, one table.
 
-    One scan: rows are expanded once per grain (Expand), then one hash
-    aggregate on (grain, period, series).
+    Readings are aggregated once, to the finest grain needed; coarser periods
+    merge the moments of the next finer ones (hour -> day -> week and month),
+    so no reading is copied per grain.
     """
-    periods = F.explode(F.array(*[F.struct(F.lit(g).alias("grain"), trunc(time_col, g).alias("period"))
-                                  for g in grains])).alias("_g")
-    x = df.select(periods, *series, value_col).select("_g.grain", "_g.period", *series, value_col)
-    return x.groupBy("grain", "period", *series).agg(
-        F.avg(value_col).alias("mean"), F.stddev_samp(value_col).alias("std"), F.count(value_col).alias("n"))
+    made: dict[str, DataFrame] = {}
+    wanted = list(grains)
+
+    def chain(g):
+        return [g] if g not in FINER else [*chain(FINER[g]), g]
+
+    # the coarsest grain all wanted ones descend from; only this one is aggregated from readings
+    common = os.path.commonprefix([chain(g) for g in wanted])
+    first = common[-1] if common else None
+
+    def at(g: str) -> DataFrame:
+        if g not in made:
+            if g == first or g not in FINER or first is None:
+                made[g] = _moments(df.select(trunc(time_col, g).alias("period"), *series, value_col), ["period", *series], value_col)
+            else:
+                made[g] = merged_moments(at(FINER[g]).withColumn("period", trunc("period", g)), ["period", *series])
+        return made[g]
+
+    out = None
+    for g in wanted:
+        x = at(g).select(F.lit(g).alias("grain"), "period", *series, "mean",
+                         F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std"), "n")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+def distinct_times(df: DataFrame, by: Sequence[str], time_col: str = "time") -> DataFrame:
+    """(by..., distinct_times): exact distinct timestamps per group, which must lie within a day.
+
+    Whole seconds are bits of mergeable bitmaps (three of 4 kB a group and
+    map task, whatever the number of rows); only times with a fraction of a
+    second are told apart one by one.
+    """
+    second = (F.hour(time_col) * 3600 + F.minute(time_col) * 60 + F.second(time_col)).cast("long")
+    whole = F.date_trunc("second", F.col(time_col)).cast("timestamp_ntz") == F.col(time_col).cast("timestamp_ntz")
+    x = df.filter(F.col(time_col).isNotNull())
+    bits = (x.filter(whole).groupBy(*by, F.bitmap_bucket_number(second + 1).alias("_bucket"))
+            .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(second + 1))).alias("k")).drop("_bucket"))
+    rest = x.filter(~whole).select(*by, time_col).distinct().groupBy(*by).agg(F.count("*").alias("k"))
+    return bits.unionByName(rest).groupBy(*by).agg(F.sum("k").alias("distinct_times"))
 
 
 def daily_quality(df: DataFrame, by: Sequence[str] = ("source", "measurement"), time_col: str = "time",
                   value_col: str = "data_value") -> DataFrame:
-    """A10: per day and group: counts, distinct timestamps, nulls, range, spread, active sensors."""
+    """A10: per day and group: counts, distinct timestamps, nulls, range, spread, active sensors.
+
+    Each figure has an aggregate of its own kind, so no reading is copied per
+    distinct count: plain statistics; the series of a day, from which
+    locations and keys are counted; and ``distinct_times``.
+    """
     v = F.col(value_col)
-    return df.groupBy(F.to_date(time_col).alias("day"), *by).agg(
+    x = df.withColumn("day", F.to_date(time_col))
+    key = ["day", *by]
+    stats = x.groupBy(*key).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.countDistinct(time_col).alias("distinct_times"),
         count_if(v.isNull()).alias("null_count"),
         F.round(F.lit(100.0) * count_if(v.isNull()) / F.count(F.lit(1)), 2).alias("null_pct"),
         F.min(v).alias("min_value"), F.max(v).alias("max_value"),
-        F.avg(v).alias("avg_value"), F.stddev_samp(v).alias("std_value"),
-        F.countDistinct("location").alias("active_locations"),
-        F.countDistinct("data_key").alias("active_keys"),
-    )
+        F.avg(v).alias("avg_value"), F.stddev_samp(v).alias("std_value"))
+    active = x.select(*key, F.col("location").alias("_location"), F.col("data_key").alias("_key")).distinct()
+    told = []
+    for c, name in (("_location", "active_locations"), ("_key", "active_keys")):
+        told.append(active.filter(F.col(c).isNotNull()).select(*key, c).distinct().groupBy(*key).agg(F.count("*").alias(name)))
+    told.append(distinct_times(x, key, time_col))
+    # united and folded rather than joined: one row a group from each side
+    names = ["row_count", "distinct_times", "null_count", "null_pct", "min_value", "max_value", "avg_value", "std_value",
+             "active_locations", "active_keys"]
+    both = stats
+    for t in told:
+        both = both.unionByName(t, allowMissingColumns=True)
+    out = both.groupBy(*key).agg(*[F.max(n).alias(n) for n in names])
+    zero = ["distinct_times", "active_locations", "active_keys"]
+    return out.withColumns({n: F.coalesce(n, F.lit(0).cast("long")) for n in zero}).select(*key, *names)
 
 
 def having_drop(agg: DataFrame, count_col: str, expected, ratio: float = 0.5) -> DataFrame:

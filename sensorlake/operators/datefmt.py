@@ -309,6 +309,10 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
         .when(bad_num, "non_numeric")
     cols = ["Datetime", F.col("temp").cast("double").alias("Temperature_Celsius"),
             F.col("rh").cast("double").alias("Relative_Humidity(%)"), "Location"]
+    if "mtime" in lines.columns:            # lines that know their origin give rows that do
+        from sensorlake.sources.files import load_seq
+        place = F.col("block") + F.col("line_id").bitwiseAND((1 << 33) - 1)
+        cols.append(load_seq(F.col("file"), F.col("mtime"), place))
     quarantine = x.filter(bad).select("file", "line_id", "text", reason.alias("reason"))
     if on_bad == "fail":
         # the assertion is the only predicate, so it is evaluated on every row
@@ -336,15 +340,17 @@ def sensor_health(lines: DataFrame) -> DataFrame:
 
 
 def merge_drops(spark, path: str, today, strict: bool = True, default: str = "DMY", force: str | None = None,
-                on_bad: str = "quarantine"):
+                on_bad: str = "quarantine", origin: bool = False):
     """Entry 2 front half: drops -> merged indoor table (+ decisions, quarantine).
 
+    ``origin`` adds ``load_seq``, the write order of each row.
+
     Two passes over the text: detection (one shuffle of the lines), then
     parsing (lines joined with the broadcast per-file decisions, no shuffle).
     """
     from sensorlake.session import materialize
     from sensorlake.sources.files import drop_lines
-    lines = drop_lines(spark, path)
+    lines = drop_lines(spark, path, origin)
     decisions = materialize(detect_date_format(lines, today, strict, default, force))      # one row per file, read twice
     good, quarantine = parse_drops(lines, decisions, on_bad)
     return good, decisions, quarantine

@@ -49,6 +49,11 @@ def retain_months(df: DataFrame, history, as_of=None, col: str = "time",
     return df.filter(F.col(col) >= retention_start(history, as_of))
 
 
+def retention_bound(params: DataFrame, as_of=None):
+    """The latest retention start among ``params`` as a value (one configuration table); None if there is no row."""
+    return params.select(F.max(retention_start(F.col("history"), as_of))).first()[0]
+
+
 def for_measurement(df: DataFrame, m: str, col: str = "measurement") -> DataFrame:
     """F03."""
     return df.filter(F.col(col) == m)

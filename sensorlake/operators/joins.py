@@ -20,14 +20,15 @@ MAX_VERSIONS = 64
 
 
 def map_signals(df: DataFrame, mapping: DataFrame, key: str = "data_key_original",
-                time_col: str = "date", max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Inner join on the original column name -> (time, location, data_key, data_value).
+                time_col: str = "date", max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                carry: Sequence[str] = ()) -> DataFrame:
+    """Inner join on the original column name -> (time, location, data_key, data_value, carried columns).
 
     Unmapped columns drop out; rows without time are dropped.
     """
     m = bounded_broadcast(mapping.select(key, "location", "data_key"), max_broadcast_rows)
     return (df.filter(F.col(time_col).isNotNull()).join(m, key, "inner")
-              .select(F.col(time_col).alias("time"), "location", "data_key", "data_value"))
+              .select(F.col(time_col).alias("time"), "location", "data_key", "data_value", *carry))
 
 
 def map_sensors(df: DataFrame, mapping_indoor: DataFrame, sensor_col: str = "Location",

@@ -44,6 +44,18 @@ def merge_history(new: DataFrame, old: DataFrame, cols: Sequence[str] = FACT_COL
     return again.unionByName(o.join(touched, same, "left_anti"))
 
 
+def merge_loads(new: DataFrame, old: DataFrame | None, cols: Sequence[str] = FACT_COLS, seq_col: str = "load_seq") -> DataFrame:
+    """U01 that keeps the write order: UNION DISTINCT of facts, each with the latest ``load_seq`` it was written with."""
+    both = new.select(*cols, seq_col) if old is None else new.select(*cols, seq_col).unionByName(old.select(*cols, seq_col))
+    return both.groupBy(*cols).agg(F.max(seq_col).alias(seq_col))
+
+
+def last_written(facts: DataFrame, key: Sequence[str] = ("time", "location", "data_key"), value_col: str = "data_value",
+                 seq_col: str = "load_seq") -> DataFrame:
+    """One row per point: the value written last. Equal write orders (one file read twice) go to the larger value."""
+    return facts.groupBy(*key).agg(F.max_by(F.struct(value_col), F.struct(seq_col, value_col)).alias("_v")).select(*key, f"_v.{value_col}")
+
+
 def concat(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by name; missing columns become NULL."""
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -71,13 +71,13 @@ def keep(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def measure_columns_to_facts(df: DataFrame, measures: Mapping[str, str], time_col: str = "Datetime",
-                             location_col: str = "Location") -> DataFrame:
-    """One measure column per fact key -> (time, location, data_key, data_value).
+                             location_col: str = "Location", carry: Sequence[str] = ()) -> DataFrame:
+    """One measure column per fact key -> (time, location, data_key, data_value, carried columns).
 
     Both facts come from one scan (one Expand); rows without time are dropped,
     NULL values are kept.
     """
-    out = stack_columns(df, measures, [time_col, location_col])
+    out = stack_columns(df, measures, [time_col, location_col, *carry])
     return (out.filter(F.col(f"`{time_col}`").isNotNull())
                .select(F.col(f"`{time_col}`").alias("time"), F.col(f"`{location_col}`").alias("location"),
-                       "data_key", F.col("data_value").cast("double").alias("data_value")))
+                       "data_key", F.col("data_value").cast("double").alias("data_value"), *carry))

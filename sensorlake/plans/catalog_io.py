@@ -5,22 +5,26 @@ end-to-end flows."""
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 
 from pyspark.sql import functions as F
 
 from sensorlake.functions.text import decimal_comma
+from sensorlake.operators import checksum
 from sensorlake.operators import datefmt as dfm
 from sensorlake.operators import merge as mg
 from sensorlake.operators import reshape as rs
 from sensorlake.operators.aggregates import multi_grain, resample
 from sensorlake.plans import catalog_core as core
+from sensorlake.plans import flows
 from sensorlake.plans.catalog_drops import PARSED_SQL, drops_sql, render_drops
 from sensorlake.plans.flows import publish, ventilation_fact
 from sensorlake.plans.registry import register
 from sensorlake.plans.tables import AS_OF, READINGS_SQL, readings, sql_with, table
 from sensorlake.session import scratch_path
 from sensorlake.sources import files as src
+from sensorlake.sources import snapshots
 from sensorlake.sources import sinks as snk
 
 CSV_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -450,3 +454,95 @@ def q_indoor_facts(spark, d):
     old = table(spark, d, "orders").select(F.col("o_orderdate").alias("time"), F.lit("old").alias("location"),
                                            F.lit("temp_indoor").alias("data_key"), F.col("o_totalprice").alias("data_value"))
     return retain_months(mg.merge_history(facts, old), 2, "2024-01-20")
+
+
+# ---------------- the daily job, month by month
+def _corrected_wide(spark, d):
+    """One row per date, so a signal has one value per file; then a later file that lowers some values and raises others."""
+    li = core.wide(spark, d)
+    first = li.filter("date IS NOT NULL").groupBy("date").agg(*[F.max(c).cast("long").alias(c) for c in core.SIGNALS])
+    day = F.dayofmonth("date")
+    move = F.when(day % 3 == 0, -100).when(day % 3 == 1, 50)
+    second = first.filter(day % 3 != 2).select("date", *[(F.col(c) + move).alias(c) for c in core.SIGNALS])
+    return first, second
+
+
+def _set_times(spark, path, millis):
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+        if f.getPath().getName().startswith("part-"):
+            fs.setTimes(f.getPath(), millis, -1)
+
+
+CORRECTIONS_SQL = " UNION ALL ".join(
+    f"SELECT l_shipdate AS time, 'nonadditive' AS measurement, '{loc}' AS location, 'Airway' AS source, '{key}' AS data_key, "
+    f"CAST(max(round({c} * 100)) + CASE day(l_shipdate) % 3 WHEN 0 THEN -100 WHEN 1 THEN 50 ELSE 0 END AS DOUBLE) AS data_value "
+    f"FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_shipdate" for c, loc, key in core.SIGNAL_MAP)
+
+
+@register("daily_corrections", CORRECTIONS_SQL)
+def q_daily_corrections(spark, d):
+    """Facts and points by month over three loads: an export, a later file that corrects it down and up, and the old file
+    alone once more (read again, it is no later write). The value written last stands in the points."""
+    root = scratch_path(spark, "corrections")
+    for i, frame in enumerate(_corrected_wide(spark, d)):
+        write_csv(rs.all_to_string(frame.withColumnsRenamed(EXPORT_NAMES)), f"{root}/in{i}")
+        _set_times(spark, f"{root}/in{i}", 1_700_000_000_000 + 60_000 * i)
+    mapping = export_signal_map(spark)
+    for paths in (["in0"], ["in0", "in1"], ["in0"]):
+        wide = src.read_wide(spark, [f"{root}/{p}" for p in paths], origin=True)
+        load = flows.mapped_facts(wide, mapping, carry=["load_seq"])
+        flows.merge_fact_months(spark, load.withColumn("data_value", F.col("data_value").cast("double")), f"{root}/fact",
+                                dt.datetime(1900, 1, 1))
+        flows.load_point_months(spark, {"Airway": f"{root}/fact"}, f"{root}/points")
+    points = snapshots.read_snapshot(spark, f"{root}/points", flows.POINT_PARTITION)
+    return points.select("time", "measurement", "location", "source", "data_key", "data_value")
+
+
+ORDER_HOURS = ("(SELECT o_orderdate AS time, 'nonadditive' AS measurement, o_orderpriority AS location, o_orderstatus AS source, "
+               "'total' AS data_key, max(round(o_totalprice * 100)) + {add} AS data_value FROM orders WHERE o_orderdate IS NOT NULL "
+               "GROUP BY o_orderdate, o_orderpriority, o_orderstatus)")
+
+
+def _order_points(spark, d):
+    o = table(spark, d, "orders").filter("o_orderdate IS NOT NULL")
+    return o.groupBy(F.col("o_orderdate").alias("time"), F.lit("nonadditive").alias("measurement"), F.col("o_orderpriority").alias("location"),
+                     F.col("o_orderstatus").alias("source"), F.lit("total").alias("data_key")).agg(
+        F.max(F.round(F.col("o_totalprice") * 100)).alias("data_value"))
+
+
+@register("publish_months", "SELECT time + INTERVAL 1 HOUR AS time, location, source, measurement, data_key, data_value FROM (SELECT "
+          "date_trunc('hour', time) AS time, location, source, measurement, data_key, avg(data_value) AS data_value FROM "
+          + ORDER_HOURS.format(add="CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'F' THEN 7 ELSE 0 END")
+          .replace("GROUP BY o_orderdate, o_orderpriority, o_orderstatus)", "GROUP BY o_orderdate, o_orderpriority, o_orderstatus) x")
+          + " GROUP BY 1, 2, 3, 4, 5) h")
+def q_publish_months(spark, d):
+    """The public dataset after two runs; the second rewrites only the months whose points were corrected."""
+    root = scratch_path(spark, "published")
+    key = ["time", "measurement", "location", "source", "data_key"]
+    points = _order_points(spark, d)
+    snapshots.upsert_snapshot(points, f"{root}/points", key, by=flows.POINT_PARTITION)
+    flows.publish_months(spark, f"{root}/points", f"{root}/public")
+    late = points.filter((F.col("time") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("source") == "F"))
+    snapshots.upsert_snapshot(late.withColumn("data_value", F.col("data_value") + 7), f"{root}/points", key, by=flows.POINT_PARTITION)
+    flows.publish_months(spark, f"{root}/points", f"{root}/public")
+    return flows.read_published(spark, f"{root}/public")
+
+
+DAYS_A = "(SELECT time, location, source, measurement, data_key, data_value FROM readings)"
+DAYS_B = ("(SELECT time, location, source, measurement, data_key, data_value FROM readings WHERE NOT (source = 'A' AND CAST(time AS DATE) = "
+          "DATE '2024-01-05' AND data_key = 'click') UNION ALL SELECT time, location, source, measurement, data_key, data_value FROM readings "
+          "WHERE source = 'B' AND CAST(time AS DATE) = DATE '2024-01-09')")
+
+
+@register("compare_days", _w(f"SELECT *, 'only_a' AS side FROM (SELECT * FROM {DAYS_A} EXCEPT ALL SELECT * FROM {DAYS_B}) x UNION ALL "
+                             f"SELECT *, 'only_b' AS side FROM (SELECT * FROM {DAYS_B} EXCEPT ALL SELECT * FROM {DAYS_A}) y"))
+def q_compare_days(spark, d):
+    """Two datasets that differ in two days (rows gone, rows twice); checksums lead to those days."""
+    cols = ["time", "location", "source", "measurement", "data_key", "data_value"]
+    a = readings(spark, d).select(*cols)
+    day = F.to_date("time")
+    gone = (F.col("source") == "A") & (day == F.lit("2024-01-05").cast("date")) & (F.col("data_key") == "click")
+    b = a.filter(~gone).unionByName(a.filter((F.col("source") == "B") & (day == F.lit("2024-01-09").cast("date"))))
+    return checksum.compare_days(a, b)

@@ -30,6 +30,21 @@ def require_columns(df: DataFrame, cols: Sequence[str], where: str = "input") ->
     return df
 
 
+def place_in_file() -> F.Column:
+    """Number that grows inside a file, over all its splits.
+
+    A task numbers the rows of its splits from 0. Splits together hold fewer
+    rows than the split size in bytes, so a split's first byte plus the
+    task's row number stays below the first byte of the next split.
+    """
+    return F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+
+
+def load_seq(file, mtime, place) -> F.Column:
+    """Write order of a row: file time, then file name, then place in the file; larger is later."""
+    return F.struct(mtime.cast("timestamp_ntz").alias("at"), basename(file).alias("file"), place.alias("place")).alias("load_seq")
+
+
 def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequence[str] = (), comment: str | None = None,
                 sep: str = ",", glob: str | None = None, recursive: bool = False, rename: Mapping[str, str] | None = None,
                 skip_corrupt: bool = False) -> DataFrame:
@@ -66,7 +81,7 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
         own = paths if len(groups) == 1 else [x["file"] for x in first.filter(F.col("header") == g["header"]).select("file").collect()]
         df = r.csv(own)
         df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"),
-                       F.monotonically_increasing_id().alias("_line"))
+                       place_in_file().alias("_line"))
         df = df.withColumnsRenamed(dict(rename)) if rename else df
         require_columns(df, required, g["file"])
         frames.append(df)
@@ -80,9 +95,15 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
 ORIGIN = ("_file", "_mtime", "_line")
 
 
-def read_wide(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with header; every column as text, bound by name per file; column set discovered at read."""
-    return csv_by_name(spark, path, sep=sep).drop(*ORIGIN)
+def read_wide(spark: SparkSession, path: str, sep: str = ",", origin: bool = False) -> DataFrame:
+    """CSV with header; every column as text, bound by name per file; column set discovered at read.
+
+    ``origin`` adds ``load_seq``, the write order of each row.
+    """
+    df = csv_by_name(spark, path, sep=sep)
+    if origin:
+        df = df.withColumn("load_seq", load_seq(F.col("_file"), F.col("_mtime"), F.col("_line")))
+    return df.drop(*ORIGIN)
 
 
 def read_fact(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -111,12 +132,13 @@ def read_lines(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     except Exception as e:   # no input at all -> an empty line table, same schema
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], "file string, block long, line_id long, text string")
+        return spark.createDataFrame([], "file string, block long, line_id long, text string, mtime timestamp")
     return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
         F.regexp_replace(F.col("value"), "\r$", "").alias("text"),
+        F.col("_metadata.file_modification_time").alias("mtime"),
     )
 
 
@@ -127,13 +149,14 @@ def logical_file_name(path_col) -> "F.Column":
     return F.when(part != "", part).otherwise(basename(path_col))
 
 
-def drop_lines(spark: SparkSession, path: str) -> DataFrame:
+def drop_lines(spark: SparkSession, path: str, origin: bool = False) -> DataFrame:
     """Device drop files as positioned lines (file, file_name, block, line_id,
     text), BOM stripped, headers not yet identified: the detection pass
-    finds them inside its own window (no extra read of the text)."""
+    finds them inside its own window (no extra read of the text).
+    ``origin`` adds ``mtime``, the file's modification time."""
     lines = read_lines(spark, path)
     return lines.select("file", logical_file_name(F.col("file")).alias("file_name"), "block", "line_id",
-                        strip_bom(F.col("text")).alias("text"))
+                        strip_bom(F.col("text")).alias("text"), *(["mtime"] if origin else []))
 
 
 def read_sensor_drops(spark: SparkSession, path: str, header_lines: int = 2, keep_header: bool = False) -> DataFrame:

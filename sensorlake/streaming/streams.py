@@ -121,7 +121,9 @@ def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], ti
     read. The merged months go to a staging
     table in the shared checkpoint folder first -- the overwrite then reads
     the staging copy, never the files it replaces. Idempotent: a re-executed
-    batch upserts the same rows again and yields the same months.
+    batch upserts the same rows again and yields the same months. Several
+    months are not replaced at once; ``sources.snapshots.snapshot_writer``
+    makes a batch visible as a whole.
     """
     def run(batch: DataFrame, epoch: int) -> None:
         from sensorlake.session import scratch_path
@@ -143,7 +145,8 @@ def upsert_months_writer(path: str, key: Sequence[str], order: Sequence[str], ti
             staging = scratch_path(spark, "upsert-staging")
             merged.write.parquet(staging)
             merged = spark.read.parquet(staging)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # the hint gathers a month's rows, so a batch does not leave a file per task in every month
+        (merged.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*partition_cols).parquet(path))
     return run
 

@@ -2,7 +2,7 @@
 
 import os
 
-from sensorlake.plans.flows import daily_job
+from sensorlake.plans.flows import daily_job, read_published
 
 
 def write(path, text):
@@ -29,7 +29,7 @@ def test_daily_job_end_to_end(spark, tmpdir_path):
                     fact_root=f"{tmpdir_path}/fact", indoor_root=f"{tmpdir_path}/indoor",
                     points_root=f"{tmpdir_path}/points", public_dir=f"{tmpdir_path}/public",
                     as_of="2024-03-15 00:00:00", today="2024-03-15")
-    pub = spark.read.parquet(out["public"]["parquet"])
+    pub = read_published(spark, f"{tmpdir_path}/public")
     rows = {(str(r["time"]), r["location"], r["data_key"]): r["data_value"] for r in pub.collect()}
     assert rows[("2024-03-01 11:00:00", "unit_01", "temp_intake")] == 22.0       # hourly mean of 21.5 and 22.5
     assert rows[("2024-03-01 11:00:00", "unit_01", "temp_ambient")] == 3.0
@@ -48,7 +48,8 @@ def test_daily_job_end_to_end(spark, tmpdir_path):
                       fact_root=f"{tmpdir_path}/fact", indoor_root=f"{tmpdir_path}/indoor",
                       points_root=f"{tmpdir_path}/points", public_dir=f"{tmpdir_path}/public2",
                       as_of="2024-03-15 00:00:00", today="2024-03-15")
-    pub2 = spark.read.parquet(again["public"]["parquet"])
+    assert again["public"]["months"] != []
+    pub2 = read_published(spark, f"{tmpdir_path}/public2")
     assert sorted(map(tuple, pub2.collect())) == sorted(map(tuple, pub.collect()))
 
 
@@ -66,7 +67,7 @@ def test_command_line_runs_the_daily_job(spark, tmpdir_path, capsys):
                "--today", "2024-03-15"])
     assert rc == 0
     assert "constant_part" in capsys.readouterr().out
-    assert spark.read.parquet(f"{tmpdir_path}/pub/public_parquet").count() == 5
+    assert read_published(spark, f"{tmpdir_path}/pub").count() == 5
 
 
 def test_a_run_with_one_new_month_rewrites_that_month_only(spark, tmpdir_path):
@@ -81,9 +82,9 @@ def test_a_run_with_one_new_month_rewrites_that_month_only(spark, tmpdir_path):
     def run():
         out = daily_job(spark, seeds_dir=seeds, wide_path=f"{tmpdir_path}/wide", drops_path=None, fact_root=f"{tmpdir_path}/fact",
                         indoor_root=f"{tmpdir_path}/indoor", points_root=f"{tmpdir_path}/points", public_dir=f"{tmpdir_path}/public",
-                        as_of="2024-03-15 00:00:00", today="2024-03-15")
-        parts = glob.glob(f"{tmpdir_path}/points/measurement=*/year_month=*/part-*")
-        return set(parts), spark.read.parquet(out["public"]["parquet"]).count()
+                        as_of="2024-03-15 00:00:00", today="2024-03-15", keep_versions=1)
+        parts = glob.glob(f"{tmpdir_path}/points/files/run=*/source=*/year_month=*/part-*")
+        return set(parts), read_published(spark, f"{tmpdir_path}/public").count()
 
     first, n = run()
     assert n == 2 and {p.split("year_month=")[1][:7] for p in first} == {"2024-01", "2024-02"}
