@@ -23,8 +23,10 @@ components take no part; shorter vectors count as padded with zeros; equal
 scores go to the smaller id; repeated rows are separate candidates, while a
 repeated query id is answered once; rows with the query's own id are never its candidates;
 fewer than k candidates are all returned; an empty table gives an empty
-result; further columns are not looked at. Scores are exact while inner
-products stay below 2^53.
+result; further columns are not looked at. Scores are exact: inner
+products are computed in doubles, which hold integers below 2^53, so a
+vector with a squared norm of 2^53 or more (components of about 90,000 and
+up) raises an error instead of giving a wrong score.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ PIVOTS, PAGE_ROWS, LEAF_ROWS, FANOUT, BLOCK_QUERIES = 64, 4096, 48, 12, 128
 #: Pages a routing vector has in one salt, on average over all.
 PAGES_PER_SALT = 16
 SCALE = 1024
+EXACT = 2.0 ** 53
 
 
 def quantized(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -57,7 +60,10 @@ def quantized(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
                 x = np.array(x, np.float64)
                 if not np.isfinite(x).all():
                     continue
-                q = np.floor(SCALE * x).astype("<i8")
+                q = np.floor(SCALE * x)
+                if float(q @ q) >= EXACT:
+                    raise OverflowError(f"vector {i}: its squared norm of {float(q @ q):.3g} is beyond exact scores (2^53)")
+                q = q.astype("<i8")
                 ids.append(i)
                 raw.append(q.tobytes())
                 norms.append(int(q @ q))

@@ -13,9 +13,8 @@ place by (length, rank).
 
 Tokens never cross a shuffle: only (id, piece, length, checksum) rows do.
 
-The strings of special tokens ('<|endoftext|>') in a text are ordinary
-text and split like any other, unlike in the tokenizer's plain call: a
-document must not be able to write control tokens into a sequence.
+The strings of special tokens ('<|endoftext|>') in a text are single ids,
+as in the tokenizer's plain call.
 
 Defined results: null or empty text is one piece holding the end token;
 pieces that are equal in length are ranked by id, so ties and repeated
@@ -57,7 +56,8 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True     # their strings in a text are ordinary text
+        # texts that hold the string of an added token go to the library whole
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values() if t.content]
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         vocabulary = self.lib.get_vocab()
@@ -85,7 +85,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [None if _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
+        split = [None if _OTHER.search(t) or any(a in t for a in self.added) else _WORD.findall(t.lower()) for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.older, self.memo = self.memo, {}
         memo, older = self.memo, self.older

@@ -20,7 +20,9 @@ the windows of the blocks not covered so are looked up one by one.
 Covered words are the union of blocks and windows: exactly
 the words of windows that also start in a document with a smaller id.
 
-Identity is by 128 bits (two 64-bit hashes) of the words' bytes.
+Identity is by 128 bits: a word has two independent 64-bit hashes (the
+halves of its XXH3-128), blocks are told apart by a polynomial of the one
+and their anchor of the other, windows by one polynomial of each.
 
 Defined results: null or empty text has no words; documents shorter than
 ``min_words`` lose nothing; rows with equal ids do not remove each other's
@@ -35,6 +37,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,28 +78,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-# Odd bases; one family for bytes in a word and several, independent ones for words in a span.
-_BYTES, _GRAM, _BLOCK, _WINDOW_1, _WINDOW_2 = (_Spans(b) for b in (
-    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
-_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+# Odd bases of independent families for words in a span.
+_GRAM, _BLOCK, _WINDOW_1, _WINDOW_2 = (_Spans(b) for b in (
+    0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+_IS_GAP = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
-def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> np.ndarray:
-    """64-bit hash of each word, worked off in pieces of about ``most`` bytes."""
-    out = np.empty(len(starts), np.uint64)
-    a = 0
-    while a < len(starts):
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + most, "right")))
-        at = starts[a]
-        out[a:b] = _BYTES(_BYTE_VALUES[flat[at:ends[b - 1]]], starts[a:b] - at, ends[a:b] - at)
-        a = b
-    return out
+def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word; every different word is hashed once."""
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=at[1:])
+    body = flat[~_IS_GAP[flat]]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body)])
+    coded = words.dictionary_encode()
+    both = np.array([divmod(xxhash.xxh3_128_intdigest(w), 1 << 64) for w in coded.dictionary.to_pylist()], np.uint64).reshape(-1, 2)
+    code = coded.indices.to_numpy()
+    return both[code, 0], both[code, 1]
 
 
-def _blocks(words: np.ndarray, first: np.ndarray, size: int, k: int):
+def _blocks(words: np.ndarray, others: np.ndarray, first: np.ndarray, size: int, k: int):
     """Blocks of consecutive documents: row, start (word in its row), windows, anchor hash, content hash.
 
-    ``first[i]`` is the number of row i's first word in ``words``.
+    ``words`` and ``others`` are the words' two hashes; ``first[i]`` is the number of row i's first word.
     """
     n = len(words)
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
@@ -125,7 +128,7 @@ def _blocks(words: np.ndarray, first: np.ndarray, size: int, k: int):
     length = np.diff(np.append(at, len(starts)))
     begin, row = starts[at], row[at]
     anchor = _GRAM(words, place[at], place[at] + k)
-    content = _BLOCK(words, begin, begin + length + size - 1)
+    content = _BLOCK(others, begin, begin + length + size - 1)
     return row, begin - first[row], length, anchor, content
 
 
@@ -145,7 +148,7 @@ def blocks(docs: DataFrame, id_col: str, text: str, size: int, k: int) -> DataFr
             for a, b in slices(offsets, 2 << 20):
                 part, own = flat[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 starts, ends, first = word_bounds(part, own)
-                row, begin, length, anchor, content = _blocks(word_hashes(part, starts, ends), first, size, k)
+                row, begin, length, anchor, content = _blocks(*word_hashes(part, starts, ends), first, size, k)
                 raw = part.tobytes()
                 sha = [hashlib.sha256(b" ".join(raw[own[i]:own[i + 1]].split())).hexdigest() for i in range(b - a)]
                 cut = np.searchsorted(row, np.arange(b - a + 1))
@@ -172,12 +175,12 @@ def _windows(rows: DataFrame, size: int) -> DataFrame:
             for i in range(batch.num_rows):
                 part = flat[offsets[i]:offsets[i + 1]]
                 starts, ends, _ = word_bounds(part, np.array([0, len(part)]))
-                words = word_hashes(part, starts, ends)
+                words, others = word_hashes(part, starts, ends)
                 s = np.unique(np.concatenate([np.arange(a, a + n) for a, n in zip(at[i], many[i])]))
                 one = pa.array(np.full(len(s), i))
                 yield pa.RecordBatch.from_arrays([
                     ids.take(one), keys.take(one), pa.array(s), pa.array(_WINDOW_1(words, s, s + size).view(np.int64)),
-                    pa.array(_WINDOW_2(words, s, s + size).view(np.int64))], ["id", "key", "start", "w1", "w2"])
+                    pa.array(_WINDOW_2(others, s, s + size).view(np.int64))], ["id", "key", "start", "w1", "w2"])
 
     return rows.mapInArrow(each, f"id {kind}, key long, start long, w1 long, w2 long")
 
@@ -229,12 +232,12 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words
         "id", "key", "at", "n", "anchor", (F.col("first_id") < F.col("id")).alias("factor")), "judged-blocks")
     factors = judged.where("factor").select("id", "key", "at", "n")
     edges = judged.where("NOT factor").join(mixed_up, "anchor", "left_semi").select("id", "key", "at", "n")
-    lists = [F.collect_list("at").alias("at"), F.collect_list("n").alias("n")]     # never more than a document's words
     texts = docs.select(col(id_col).alias("id"), text_key(text).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
     per_doc = (factors.withColumn("edge", F.lit(False)).union(edges.withColumn("edge", F.lit(True)))
                .groupBy("id", "key").agg(
-                   F.collect_list(F.when(~F.col("edge"), F.struct("at", "n"))).alias("factors"),
-                   F.collect_list(F.when(F.col("edge"), F.struct("at", "n"))).alias("edges")))
+                   # sets: a row repeated many times gathers its blocks once, so never more than a document's words
+                   F.collect_set(F.when(~F.col("edge"), F.struct("at", "n"))).alias("factors"),
+                   F.collect_set(F.when(F.col("edge"), F.struct("at", "n"))).alias("edges")))
     touched = staged(texts.join(per_doc, ["id", "key"]).dropDuplicates(["id", "key"]), "touched-documents")
     windows = staged(_windows(touched.where(F.size("edges") > 0).select(
         "id", "key", "text", F.col("edges.at").alias("at"), F.col("edges.n").alias("n")), min_words), "boundary-windows")
