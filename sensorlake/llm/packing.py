@@ -46,6 +46,7 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 _FAR = "".join(c for c in map(chr, range(0xa1, 0x250)) if max(c.lower()) > "ɏ")
 #: Anything outside printable Latin text is left to the tokenizer library as a whole.
 _OTHER = re.compile(rf"[^\t-\r\x20-\x7e\xa1-ɏ]|[{_FAR}]")
+_PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F)])
 
 
 class WordTokenizer:
@@ -85,20 +86,23 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [None if _OTHER.search(t) or any(a in t for a in self.added) else _WORD.findall(t.lower()) for t in texts]
+        # plain ASCII cannot be outside, so only the rest of a text is looked at
+        rest = [t.encode().translate(None, _PLAIN) for t in texts]
+        split = [None if r and _OTHER.search(r.decode()) or any(a in t for a in self.added) else _WORD.findall(t.lower())
+                 for t, r in zip(texts, rest)]
         if len(self.memo) > MEMO_WORDS:
             self.older, self.memo = self.memo, {}
         memo, older = self.memo, self.older
-        seen: set[str] = set()
-        for words in split:
-            seen.update(words or ())
-        missing = seen - memo.keys()
-        known = missing & older.keys()
-        memo.update((w, older[w]) for w in known)
-        self._learn(list(missing - known))
-        look = memo.__getitem__
-        return [self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0]) if words is None
-                else b"".join(map(look, words)) for t, words in zip(texts, split)]
+        found = [None if words is None else list(map(memo.get, words)) for words in split]
+        open_ = [i for i, f in enumerate(found) if f is not None and None in f]
+        if open_:
+            missing = {w for i in open_ for w, x in zip(split[i], found[i]) if x is None}
+            # asked word by word: a difference with keys() would walk through all remembered words
+            memo.update((w, older[w]) for w in missing if w in older)
+            self._learn([w for w in missing if w not in older])
+            for i in open_:
+                found[i] = map(memo.__getitem__, split[i])
+        return [self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0]) if f is None else b"".join(f) for t, f in zip(texts, found)]
 
 
 _LOADED: dict[str, WordTokenizer] = {}
