@@ -36,7 +36,7 @@ from sensorlake.llm._util import bound_batches, slices, staged, table, text_buff
 
 CAPACITY, END_ID = 2048, 0
 #: Words whose ids a worker remembers in each of two generations; words in use move on to the next one.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 
 # Letters and numbers below U+0250, as the tokenizer's own pattern classifies them.
 _L = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
@@ -101,7 +101,7 @@ class WordTokenizer:
             memo.update((w, older[w]) for w in missing if w in older)
             self._learn([w for w in missing if w not in older])
             for i in open_:
-                found[i] = map(memo.__getitem__, split[i])
+                found[i] = [memo[w] if x is None else x for w, x in zip(split[i], found[i])]
         return [self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0]) if f is None else b"".join(f) for t, f in zip(texts, found)]
 
 
