@@ -132,3 +132,29 @@ def q_rank_for_upsert(spark, d):
 def q_require_columns(spark, d):
     r = readings(spark, d)
     return require_columns(r, ["time", "location", "source", "measurement", "data_key", "data_value"], "readings")
+
+
+@register("strip_bom", "SELECT event_id, props AS text FROM events")
+def q_strip_bom(spark, d):
+    """Every third line carries a byte order mark."""
+    mark = F.when(F.col("event_id") % 3 == 0, "\ufeff").otherwise("")
+    return table(spark, d, "events").select("event_id", X.strip_bom(F.concat(mark, F.col("props"))).alias("text"))
+
+
+@register("date_parts", "SELECT event_id, CAST(day(ts) AS INTEGER) AS p1, CAST(month(ts) AS INTEGER) AS p2, CAST(year(ts) AS INTEGER) AS year, "
+          "CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute, CASE WHEN event_id % 3 = 0 THEN 0 ELSE "
+          "CAST(second(ts) AS INTEGER) END AS second FROM events")
+def q_date_parts(spark, d):
+    """Day-first dates, a third of the times without seconds."""
+    time = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "H:mm")).otherwise(F.date_format("ts", "H:mm:ss"))
+    parts = X.date_parts(F.date_format("ts", "dd/MM/yyyy"), time)
+    return table(spark, d, "events").select("event_id", parts.alias("_p")).select("event_id", "_p.*")
+
+
+@register("month_guard_split", "SELECT event_id, CAST(day(ts) AS INTEGER) AS month, day(ts) > 12 AS split_off FROM events")
+def q_month_guard_split(spark, d):
+    """Dates read in the wrong order: days that cannot be months are split off."""
+    from sensorlake.operators.filters import month_guard
+    read = table(spark, d, "events").select("event_id", F.dayofmonth("ts").alias("month"))
+    good, bad = month_guard(read, mode="split")
+    return good.withColumn("split_off", F.lit(False)).unionByName(bad.withColumn("split_off", F.lit(True)))
