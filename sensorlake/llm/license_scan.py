@@ -5,7 +5,8 @@ same k-grams in license templates. A match votes for a diagonal (text
 position minus template position); votes are aggregated by template and
 diagonal, neighbouring diagonals (a few words inserted or missing) are
 merged into spans, and a span is verified by the share of the template's
-words it covers. The join compares the words themselves, so a hash only
+words it covers and by its own length, which insertions may not stretch
+beyond ``MAX_STRETCH`` times the template's. The join compares the words themselves, so a hash only
 selects what to compare. Phrases are templates that must match whole, on
 one diagonal.
 
@@ -30,6 +31,8 @@ from sensorlake.llm._util import col, staged, table, text_key
 K = 3
 #: Diagonals this close belong to one span; a span must cover this share of its template.
 NEAR_DIAGONALS, MIN_COVERED = 4, 0.7
+#: Words of a span for each word of its template, at most.
+MAX_STRETCH = 1.5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -124,9 +127,10 @@ def spans(voted: DataFrame, templates) -> DataFrame:
         F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.array_distinct(F.flatten(F.collect_list("ps"))).alias("ps"))
     words = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.array(*[p + i for i in range(K)]))))
     merged = merged.withColumn("covered", F.size(words) / by(size)).withColumn("need", by([1.0 if x.phrase else MIN_COVERED for x in templates]))
-    return merged.select("id", "key", "t", (F.col("low") + F.array_min("ps")).alias("first"),
-                         (F.col("high") + F.array_max("ps") + K - 1).alias("last"), "covered",
-                         (F.col("covered") >= F.col("need")).alias("verified"))
+    merged = merged.withColumns({"first": F.col("low") + F.array_min("ps"), "last": F.col("high") + F.array_max("ps") + K - 1})
+    close = F.col("last") - F.col("first") + 1 <= MAX_STRETCH * by(size)
+    return merged.select("id", "key", "t", "first", "last", F.when(close, F.col("covered")).otherwise(F.lit(0.0)).alias("covered"),
+                         (close & (F.col("covered") >= F.col("need"))).alias("verified"))
 
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", phrases=PHRASES, notices=NOTICES) -> DataFrame:

@@ -498,3 +498,67 @@ def test_pipeline(spark, edge_dir, where):
     out = corpus_pipeline.run(spark, path).collect()
     want = [(i, *p) for i, t in after for p in brute.pieces(t, lib)]
     assert ordered((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == ordered(want)
+
+
+def _license_labels(spark, text):
+    return license_scan.licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+
+
+def test_a_notice_torn_apart_is_no_license(spark):
+    words = license_scan.template_words(next(x.text for x in license_scan.NOTICES if x.label == "cc-by"))
+    torn = " ".join(" ".join([*words[i:i + 3], "zz"]) for i in range(len(words) - 2))
+    got = _license_labels(spark, torn)
+    assert got["labels"] == [] and got["score"] < 0.7          # pieces of it stand in other notices as well
+    # a few words put in do not matter
+    got = _license_labels(spark, " ".join(["intro", *words[:6], "truly", *words[6:], "end"]))
+    assert "cc-by" in got["labels"] and got["score"] >= 0.7
+    assert [(r["first"], r["last"]) for r in got["spans"] if r["label"] == "cc-by"] == [(1, len(words) + 1)]
+    got = _license_labels(spark, " ".join([*words, *words]))
+    assert sum(r["label"] == "cc-by" for r in got["spans"]) == 2
+
+
+def _plain_license(text):
+    """Labels and spans by dictionaries: votes by diagonal, neighbours merged, coverage and length verified."""
+    import re
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lower(text))
+    templates = [*license_scan.PHRASES, *license_scan.NOTICES]
+    labels, spans, best = set(), [], 0.0
+    for t in templates:
+        tw = license_scan.template_words(t.text)
+        votes = {}
+        for p in range(len(tw) - 2):
+            for i in range(len(w) - 2):
+                if w[i:i + 3] == tw[p:p + 3]:
+                    votes.setdefault(i - p, set()).add(p)
+        groups, before = [], None
+        for d in sorted(votes):
+            if before is None or t.phrase or d - before > license_scan.NEAR_DIAGONALS:
+                groups.append([])
+            groups[-1].append(d)
+            before = d
+        for g in groups:
+            ps = set().union(*(votes[d] for d in g))
+            covered = len({p + k for p in ps for k in range(3)}) / len(tw)
+            first, last = g[0] + min(ps), g[-1] + max(ps) + 2
+            if last - first + 1 > license_scan.MAX_STRETCH * len(tw):
+                continue
+            best = max(best, covered)
+            if covered >= (1.0 if t.phrase else license_scan.MIN_COVERED):
+                labels.add(t.label)
+                spans.append((first, last, t.label))
+    return sorted(labels), sorted(spans), best
+
+
+def test_labels_and_spans_equal_a_plain_version(spark, edge_dir):
+    draw = random.Random(4)
+    notices = [x.text for x in license_scan.NOTICES] + [x.text for x in license_scan.PHRASES]
+    rows = [(i, t) for i, t in EDGE if i is not None and t is not None and len(t) < 3000][:22]
+    rows = [(n, t) for n, (_, t) in enumerate(rows)]
+    for n in range(60):
+        words = [x for _ in range(draw.randint(1, 3)) for x in (*sentences(draw.randint(0, 8), n).split(), *draw.choice(notices).split())]
+        rows.append((1000 + n, " ".join(x for x in words if draw.random() > 0.04 for x in ([x] if draw.random() > 0.04 else [x, "more"]))))
+    got = {r["id"]: r for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for i, t in rows:
+        labels, spans, best = _plain_license(t)
+        r = got[i]
+        assert (r["labels"], [tuple(x) for x in r["spans"] or []]) == (labels, spans) and r["score"] == pytest.approx(best)
