@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions.quality import count_if
@@ -104,25 +104,19 @@ FINER = {"day": "hour", "week": "day", "month": "day", "quarter": "month", "year
 
 
 def _moments(df: DataFrame, by: Sequence, value_col: str) -> DataFrame:
-    """(by..., n, mean, m2): count, mean and sum of squared deviations of non-null values."""
+    """(by..., n, total, m2): count, sum and sum of squared deviations of non-null values."""
     v = F.col(value_col)
-    return df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"))
+    return df.groupBy(*by).agg(F.count(v).alias("n"), F.sum(v).alias("total"), (F.var_pop(v) * F.count(v)).alias("m2"))
 
 
-def merged_moments(moments: DataFrame, by: Sequence) -> DataFrame:
-    """Moments of unions of groups, pairwise by the parallel variance formula. For few rows a group: they are folded in one list."""
-    some = F.filter(F.collect_list(F.struct("n", "mean", "m2")), lambda x: x["n"] > 0)
-
-    def add(a, b):
-        n = a["n"] + b["n"]
-        apart = b["mean"] - a["mean"]
-        both = F.struct(n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
-                        (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
-        return F.when(a["n"] == 0, F.struct(b["n"].alias("n"), b["mean"].alias("mean"), b["m2"].alias("m2"))).otherwise(both)
-
-    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    x = moments.groupBy(*by).agg(F.aggregate(some, none, add).alias("_m"))
-    return x.select(*x.columns[:-1], F.col("_m.n").alias("n"), F.when(F.col("_m.n") > 0, F.col("_m.mean")).alias("mean"), F.col("_m.m2").alias("m2"))
+def merged_moments(moments: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Moments of unions of few groups: deviations inside the groups, and of their means from the mean of all (parallel variance)."""
+    every = Window.partitionBy(*by)
+    mean = F.try_divide(F.sum("total").over(every), F.sum("n").over(every))
+    apart = F.try_divide(F.col("total"), F.col("n")) - F.col("_mean")
+    # the aggregate keeps the window's partitioning: one shuffle of the finer rows
+    return (moments.withColumn("_mean", mean).groupBy(*by)
+            .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum(F.col("m2") + F.col("n") * apart * apart).alias("m2")))
 
 
 def multi_grain(df: DataFrame, grains: Sequence[str] = ("hour", "day", "week", "month"),
@@ -132,7 +126,7 @@ def multi_grain(df: DataFrame, grains: Sequence[str] = ("hour", "day", "week", "
 
     Readings are aggregated once, to the finest grain needed; coarser periods
     merge the moments of the next finer ones (hour -> day -> week and month),
-    so no reading is copied per grain.
+    so no reading is copied per grain, and sums are those of the readings.
     """
     made: dict[str, DataFrame] = {}
     wanted = list(grains)
@@ -154,7 +148,7 @@ def multi_grain(df: DataFrame, grains: Sequence[str] = ("hour", "day", "week", "
 
     out = None
     for g in wanted:
-        x = at(g).select(F.lit(g).alias("grain"), "period", *series, "mean",
+        x = at(g).select(F.lit(g).alias("grain"), "period", *series, F.try_divide(F.col("total"), F.col("n")).alias("mean"),
                          F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std"), "n")
         out = x if out is None else out.unionByName(x)
     return out
