@@ -23,9 +23,11 @@ def edges(spark):
 
 
 @pytest.fixture(scope="session")
-def edge_dir(edges, tmp_path_factory):
+def edge_dir(spark, edges, tmp_path_factory):
     """The edge rows, and an empty table, as documents."""
     top = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame([(1, "some item")], "item_id long, text string").write.parquet(f"{top}/empty/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{top}/empty/labels.parquet")
     edges.repartition(3).write.parquet(f"{top}/edge/documents.parquet")
     edges.limit(0).write.parquet(f"{top}/empty/documents.parquet")
     return str(top)
@@ -463,7 +465,7 @@ def test_top_k_over_many_pages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     frame = con.execute(ORACLE[name]).df()
     got = QUERIES[name](spark, SF)
