@@ -4,7 +4,6 @@ driver from file headers/metadata, never from collected data."""
 from __future__ import annotations
 
 import csv
-import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,9 @@ from sensorlake.functions.text import basename, strip_bom
 from sensorlake.functions.time import kelvin_to_c, lenient_double, lenient_ts
 from sensorlake.operators.merge import upsert
 from sensorlake.operators.reshape import FROM_POINT
+from sensorlake.operators.util import bounded_broadcast
 from sensorlake.schemas import FACT, PUBLIC, PUBLIC_COLS, REGISTRY, SEEDS, SERIES_KEY, WEATHER
+from sensorlake.session import scratch_path
 
 
 class MissingColumns(ValueError):
@@ -45,18 +46,50 @@ def load_seq(file, mtime, place) -> F.Column:
     return F.struct(mtime.cast("timestamp_ntz").alias("at"), basename(file).alias("file"), place.alias("place")).alias("load_seq")
 
 
+ORIGIN = ("_file", "_mtime", "_line")
+
+
+def first_lines(lines: DataFrame, comment: str | None = None) -> DataFrame:
+    """(file, header): the first line of each file of a text read that is neither blank nor a comment.
+
+    A scan that keeps one line a file. Spark has no reader that stops inside
+    a split (a Python stage that returns early still gets the whole split
+    sent), so this reads the text once.
+    """
+    x = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("id"))
+    x = x.filter((F.col("block") == 0) & (F.trim("value") != ""))
+    if comment:
+        x = x.filter(~F.col("value").startswith(comment))
+    return x.groupBy("file").agg(F.regexp_replace(F.min_by("value", "id"), "\r$", "").alias("header"))
+
+
+def header_names(header: str, sep: str = ",", rename: Mapping[str, str] | None = None) -> list[str]:
+    """Column names of a header line. Blank names become ``_c<place>``; a name that occurs before (in any case) or
+    is one of ``ORIGIN`` gets its place appended, so every column can be told apart."""
+    names, seen = [], set(ORIGIN)
+    for i, n in enumerate(next(csv.reader([header.removeprefix("\ufeff")], delimiter=sep))):
+        n = (rename or {}).get(n, n) or f"_c{i}"
+        while n.lower() in seen:
+            n = f"{n}_{i}"
+        seen.add(n.lower())
+        names.append(n)
+    return names
+
+
 def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequence[str] = (), comment: str | None = None,
                 sep: str = ",", glob: str | None = None, recursive: bool = False, rename: Mapping[str, str] | None = None,
                 skip_corrupt: bool = False) -> DataFrame:
     """CSV files with a header each, columns as text, bound by name file by file.
 
-    Spark applies one header to all files of a read, so files are grouped by
-    their own header line first (a scan that keeps one line per file). One
-    header: one read of the path. Several: each group is read with its own
-    header and all are united by name. A file without a ``required`` column
-    (after ``rename``) raises with its path. File paths reach the driver only
-    if headers differ. ``_file``, ``_mtime`` and ``_line`` tell where a row
-    comes from.
+    Spark binds columns by place, so the header of each file is looked up
+    first (``first_lines``). All files are then read in one scan. One header:
+    its names are the schema. Several: columns are read by place and each
+    name takes, for a row's file, the place it has in that file's header;
+    files and headers meet in a join, and only the different headers reach
+    the driver. A file without a ``required`` column
+    (after ``rename``) raises with its path. ``_file``, ``_mtime`` and
+    ``_line`` tell where a row comes from.
     """
     def reader():
         r = spark.read.option("recursiveFileLookup", recursive)
@@ -65,34 +98,44 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
         return r.option("pathGlobFilter", glob) if glob else r
 
     paths = [path] if isinstance(path, str) else list(path)
-    lines = reader().text(paths).select("value", F.col("_metadata.file_path").alias("file"),
-                                        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
-    lines = lines.filter((F.col("block") == 0) & (F.trim("value") != ""))
-    if comment:
-        lines = lines.filter(~F.col("value").startswith(comment))
-    first = lines.groupBy("file").agg(F.regexp_replace(F.min_by("value", "id"), "\r$", "").alias("header"))
-    groups = first.groupBy("header").agg(F.count("*").alias("n"), F.min("file").alias("file")).orderBy("header").collect()
-    frames = []
-    for g in groups:
-        names = next(csv.reader([g["header"].removeprefix("\ufeff")], delimiter=sep))
-        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)])
-        r = reader().schema(schema).option("header", True).option("sep", sep)
-        r = r.option("comment", comment) if comment else r
-        own = paths if len(groups) == 1 else [x["file"] for x in first.filter(F.col("header") == g["header"]).select("file").collect()]
-        df = r.csv(own)
-        df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime"),
-                       place_in_file().alias("_line"))
-        df = df.withColumnsRenamed(dict(rename)) if rename else df
-        require_columns(df, required, g["file"])
-        frames.append(df)
-    if not frames:
+    heads = first_lines(reader().text(paths), comment)
+    one_file = {g["header"]: g["file"] for g in heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("header").collect()}
+    layouts = {h: header_names(h, sep, rename) for h in one_file}
+    for h, names in layouts.items():
+        missing = [c for c in required if c not in names]
+        if missing:
+            raise MissingColumns(f"{one_file[h]}: missing columns {missing}")
+    if not layouts:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in required]
                                                       + [T.StructField("_file", T.StringType()), T.StructField("_mtime", T.TimestampType()),
                                                          T.StructField("_line", T.LongType())]))
-    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
-
 
-ORIGIN = ("_file", "_mtime", "_line")
+    def rows(columns: Sequence[str]) -> DataFrame:
+        r = reader().schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("header", True).option("sep", sep)
+        r = r.option("comment", comment) if comment else r
+        return r.csv(paths).select("*", F.col("_metadata.file_path").alias("_file"),
+                                   F.col("_metadata.file_modification_time").alias("_mtime"), place_in_file().alias("_line"))
+
+    if len(layouts) == 1:
+        return rows(next(iter(layouts.values())))
+    kinds = spark.createDataFrame([(h, i) for i, h in enumerate(layouts)], "header string, layout int")
+    heads_path = scratch_path(spark, "file-headers")                # one row a file
+    heads.join(F.broadcast(kinds), "header").select(F.col("file").alias("_head_file"), "layout").write.parquet(heads_path)
+    heads = spark.read.schema("_head_file string, layout int").parquet(heads_path)
+    x = rows([f"c{i}" for i in range(max(map(len, layouts.values())))])
+    x = x.join(bounded_broadcast(heads), F.col("_file") == F.col("_head_file"))
+    spelling: dict[str, str] = {}                   # names of two files match in any case, as in a union by name
+    for n in (n for names in layouts.values() for n in names):
+        spelling.setdefault(n.lower(), n)
+    places = [{n.lower(): k for k, n in enumerate(names)} for names in layouts.values()]
+    columns = []
+    for low, name in spelling.items():
+        value = F.lit(None).cast("string")
+        for i, own in enumerate(places):
+            if low in own:
+                value = F.when(F.col("layout") == i, F.col(f"c{own[low]}")).otherwise(value)
+        columns.append(value.alias(name))
+    return x.select(*columns, *ORIGIN)
 
 
 def read_wide(spark: SparkSession, path: str, sep: str = ",", origin: bool = False) -> DataFrame:

@@ -118,3 +118,30 @@ def test_reload_exports_later_line_wins_inside_a_file(spark, tmpdir_path):
                                        "2024-01-01T00:00:00Z,nonadditive,L,A,t,3\n")
     rows = src.reload_exports(spark, f"{tmpdir_path}/x").collect()
     assert [r["data_value"] for r in rows] == [3.0]
+
+
+def test_files_of_different_headers_comments_and_blank_lines(spark, tmpdir_path):
+    write(f"{tmpdir_path}/long.csv", "# note\n\nb,a\n" + "".join(f"{i},{-i}\n" for i in range(5000)))
+    write(f"{tmpdir_path}/short.csv", "a,c,A\n1,2,3\n")
+    write(f"{tmpdir_path}/blank.csv", "\n\n")
+    df = src.csv_by_name(spark, tmpdir_path, comment="#")
+    rows = {(r["_file"].rsplit("/", 1)[1], r["b"], r["c"], r["A_2"]) for r in df.collect()}
+    assert rows == {("long.csv", str(i), None, None) for i in range(5000)} | {("short.csv", None, "2", "3")}
+
+
+def test_several_headers_are_one_scan_without_a_list_of_files(spark, tmpdir_path):
+    for i in range(30):
+        write(f"{tmpdir_path}/f{i}.csv", ("x,y\n{0},{1}\n" if i % 2 else "y,X\n{1},{0}\n").format(i, i + 100))
+    df = src.csv_by_name(spark, tmpdir_path)
+    assert sorted((int(r["x"]), int(r["y"])) for r in df.collect()) == [(i, i + 100) for i in range(30)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] csv") == 1 and "] text" not in plan
+
+
+def test_names_that_clash_are_told_apart(spark, tmpdir_path):
+    write(f"{tmpdir_path}/a.csv", "_file,v,v,\n1,2,3,4\n")
+    df = src.csv_by_name(spark, tmpdir_path)
+    assert df.columns == ["_file_0", "v", "v_2", "_c3", "_file", "_mtime", "_line"]
+    assert tuple(df.drop(*src.ORIGIN).first()) == ("1", "2", "3", "4")
+    with pytest.raises(src.MissingColumns, match="a.csv"):
+        src.csv_by_name(spark, tmpdir_path, required=["w"])
