@@ -77,14 +77,17 @@ def fct_sensor_readings(staged: DataFrame, dims: Sequence[tuple[DataFrame, Seque
 
 
 def scd2(changes: DataFrame, key: Sequence[str], attrs: Sequence[str], time_col: str = "time",
-         bucket: str = "month", cut_lineage: bool = True) -> DataFrame:
+         bucket: str = "month", cut_lineage: bool = False) -> DataFrame:
     """effective_from / effective_to intervals per key; consecutive
     observations with unchanged attributes collapse into one version.
 
     Several observations of one key at the same instant: the greatest
     attribute set (field by field) is taken. Both neighbour lookups use
     ``carry_forward`` (bucketed windows plus a per-bucket carry), so a key
-    with a very long history is never sorted in one task.
+    with a very long history is never sorted in one task. No job runs while
+    the plan is built: the summary branches repeat the exchange of the rows,
+    which adaptive execution runs once. ``cut_lineage`` stores the windowed
+    frames instead.
     """
     key = list(key)
     a = F.struct(*[F.col(c) for c in attrs])

@@ -122,3 +122,18 @@ def test_as_at_small_dimension_leaves_readings_in_place_and_large_one_is_buckete
     plan = plan_of(small)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
     check_bucketed(plan_of(large))
+
+
+def test_scd2_runs_no_job_while_planning_and_shares_its_exchanges(spark):
+    from sensorlake.operators.star import scd2
+    changes = spark.range(3000).selectExpr("id % 50 AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(id % 700) AS time", "id % 3 AS a")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-scd2", "planning only")
+    try:
+        df = scd2(changes, ["k"], ["a"])
+        assert not tracker.getJobIdsForGroup("plan-scd2")
+        lazy = sorted(map(tuple, df.collect()))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+    assert lazy == sorted(map(tuple, scd2(changes, ["k"], ["a"], cut_lineage=True).collect()))
