@@ -1,13 +1,19 @@
-"""SimHash near-duplicates through a radius-one neighbourhood join on whole fingerprints.
-
-An entry is a point at most one bit from a 64-bit fingerprint: itself and
-its 64 neighbours. Two fingerprints differ in at most two bits exactly if
-they share an entry, so a fetch gives matches only and a group of copies
-never becomes pairs: an entry has at most 65 fingerprints, chained one to
-the next. This stands in for a multi-index by segments, whose tables
-would fetch every pair that agrees in a segment. Every link is still
-verified by its complete distance. For a distance of one, neighbours
-fetch fingerprints only. Distances above two are an error.
+"""SimHash near-duplicates by multi-index hashing.
+
+A 64-bit fingerprint has two segments of 32 bits, each with a table
+(segment, value) -> fingerprints. If two fingerprints differ in at most
+two bits, the upper halves differ in at most one bit, or the lower halves
+are equal. So a probe enumerates the ball of radius one in the upper
+segment and the value itself in the lower one, fetches the fingerprints
+of these table entries, and verifies the complete distance. Of two upper
+halves that differ in one bit, the one without the bit reaches the other,
+so balls hold set bits only.
+
+Distinct fingerprints of one family can crowd into one table entry, where
+a fetch would form all pairs. Entries of more than ``LARGE_ENTRY``
+fingerprints are therefore not fetched: everything that probes one goes
+through ``neighbourhood_links``, an exact way whose entries hold at most
+65 fingerprints whatever the data. Distances above two are an error.
 
 Copies collapse before anything is enumerated (one row per fingerprint),
 and components are found by large-star / small-star contraction over
@@ -33,6 +39,9 @@ SEED = 42
 BITS = 64
 #: Contract of this operator: words in a shingle, differing bits of a link.
 SHINGLE_WORDS, MAX_BITS = 3, 2
+#: Table entries of more distinct fingerprints are worked off by whole fingerprints.
+LARGE_ENTRY = 256
+SEGMENT_BITS = 32
 
 
 def fingerprint_of(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -78,6 +87,44 @@ def _flips(fp):
     return [fp.bitwiseXOR(F.lit(m).cast("long")) for m in masks]
 
 
+def _segments(fp):
+    """Table keys of a fingerprint: its upper half, and its lower half with a mark above the 32 bits."""
+    upper = F.shiftrightunsigned(fp, SEGMENT_BITS)
+    lower = fp.bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1).cast("long"))
+    return upper, lower.bitwiseOR(F.lit(1 << SEGMENT_BITS).cast("long"))
+
+
+def _ball(value):
+    """Values with one more bit set than a segment's value (null where the bit is set already)."""
+    bits = [F.lit(1 << b).cast("long") for b in range(SEGMENT_BITS)]
+    return [F.when(value.bitwiseAND(b) == 0, value.bitwiseOR(b)) for b in bits]
+
+
+def _verified(near: DataFrame, max_bits: int) -> DataFrame:
+    return near.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def neighbourhood_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Links whose closure joins all pairs within one or two bits, by whole fingerprints.
+
+    An entry is a fingerprint or one with one bit flipped. Two fingerprints
+    share an entry exactly if they differ in at most two bits; the at most
+    65 fingerprints of an entry are chained one to the next. For one bit,
+    the neighbours fetch fingerprints.
+    """
+    fp = F.col("fp")
+    if max_bits == 1:
+        probe = prints.select(fp.alias("a"), F.explode(F.array(*_flips(fp))).alias("key"))
+        near = probe.join(prints.select(fp.alias("b")), F.col("key") == F.col("b"))
+    else:
+        from pyspark.sql import Window
+        entries = prints.select(fp, F.explode(F.array(fp, *_flips(fp))).alias("key"))
+        by_key = Window.partitionBy("key").orderBy("fp")
+        near = entries.select(F.lag("fp").over(by_key).alias("a"), fp.alias("b")).where(F.col("a").isNotNull())
+    return _verified(near, max_bits)
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Verified links (a, b) between distinct fingerprints whose closure joins all pairs within ``max_bits``.
 
@@ -89,16 +136,18 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits == 0:
         return spark.createDataFrame([], "a long, b long")
     fp = F.col("fp")
-    if max_bits == 1:
-        probe = prints.select(fp.alias("a"), F.explode(F.array(*_flips(fp))).alias("key"))
-        near = probe.join(prints.select(fp.alias("b")), F.col("key") == F.col("b")).where("a < b")
-    else:
-        from pyspark.sql import Window
-        entries = prints.select(fp, F.explode(F.array(fp, *_flips(fp))).alias("key"))
-        # at most 65 fingerprints lie within one bit of a key: the window is never large
-        by_key = Window.partitionBy("key").orderBy("fp")
-        near = entries.select(F.lag("fp").over(by_key).alias("a"), fp.alias("b")).where(F.col("a").isNotNull())
-    return near.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b").distinct()
+    upper, lower = _segments(fp)
+    # one differing bit leaves one half as it is, so a distance of one needs no ball
+    probed = [upper, lower, *(_ball(upper) if max_bits == 2 else [])]
+    tables = prints.select(fp.alias("b"), F.explode(F.array(upper, lower)).alias("key"))
+    probes = prints.select(fp.alias("a"), F.explode(F.array(*probed)).alias("key")).where(F.col("key").isNotNull())
+    large = staged(tables.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LARGE_ENTRY).select("key"), "large-entries")
+    if large.isEmpty():
+        return _verified(probes.join(tables, "key"), max_bits).distinct()
+    fetched = _verified(probes.join(tables.join(large, "key", "left_anti"), "key"), max_bits)
+    # a pair that meets in a large entry: both sides probe it
+    crowded = staged(probes.join(large, "key", "left_semi").select(F.col("a").alias("fp")).distinct(), "crowded")
+    return fetched.union(neighbourhood_links(crowded, max_bits)).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -110,6 +110,35 @@ def test_links_have_no_parameter_without_effect(spark):
     assert {x & (1 << 64) - 1 for x in near} == {5 ^ 1 << b for b in range(64)}
 
 
+@pytest.mark.parametrize("bits", [1, 2])
+@pytest.mark.parametrize("limit", [0, 2, 8])
+def test_crowded_table_entries_lose_no_link(spark, bits, limit, monkeypatch):
+    """Families that share a half: entries beyond the limit are worked off by whole fingerprints."""
+    monkeypatch.setattr(simhash, "LARGE_ENTRY", limit)
+    draw = random.Random(bits)
+    fps = {draw.getrandbits(64) for _ in range(20)} | {0, (1 << 64) - 1}
+    for half in (0, 32):
+        keep = draw.getrandbits(32) << 32 - half
+        family = [keep | draw.getrandbits(32) << half for _ in range(6)]
+        for _ in range(60):
+            family.append(draw.choice(family) ^ 1 << half + draw.randrange(32))
+        fps |= set(family) | {f ^ 1 << draw.randrange(64) for f in family[:20]}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), bits).collect()
+    assert len(got) == len(set(map(tuple, got)))
+    near = lambda f, g: ((f ^ g) & (1 << 64) - 1).bit_count() <= bits      # noqa: E731
+    assert all(near(r["a"], r["b"]) and r["a"] < r["b"] for r in got)
+
+    def classes(pairs):
+        group = {f: f for f in signed}
+        for f, g in pairs:
+            old, new = max(group[f], group[g]), min(group[f], group[g])
+            group = {k: new if v == old else v for k, v in group.items()}
+        return group
+
+    assert classes(map(tuple, got)) == classes((f, g) for f in signed for g in signed if f < g and near(f, g))
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
     assert {tuple(r) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(301)}
