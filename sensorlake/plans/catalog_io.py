@@ -430,6 +430,21 @@ def q_schema_diff(spark, d):
     return mg.schema_diff(spark, PUBLIC, ev)
 
 
+@register("schema_diff_files", "SELECT DISTINCT event_type AS file_name, \"column\", issue, severity FROM events, (VALUES (FALSE, 'source', 'missing', "
+          "'error'), (FALSE, 'note', 'unexpected', 'warn'), (TRUE, 'measurement', 'missing', 'error')) AS t(user_events, \"column\", issue, "
+          "severity) WHERE user_events = (event_type IN ('click', 'view'))")
+def q_schema_diff_files(spark, d):
+    """U04 over stored files: one CSV file an event type, in two layouts, against the public columns."""
+    ev = table(spark, d, "events").select(F.col("ts").alias("time"), F.lit("x").alias("location"), F.col("event_type").alias("data_key"),
+                                          F.col("value").alias("data_value"), F.col("event_type").alias("type"))
+    path = scratch_path(spark, "schema-files")
+    user = F.col("type").isin("click", "view")
+    for own, name in ((ev.filter(user).withColumn("source", F.lit("A")), "user"),
+                      (ev.filter(~user).withColumn("measurement", F.lit("m")).withColumn("note", F.lit("n")), "other")):
+        own.repartition("type").write.partitionBy("type").option("header", True).csv(f"{path}/{name}")
+    return src.header_diff(spark, path, src.PUBLIC_COLS, recursive=True).drop("file")
+
+
 # ---------------------------------------------------------------- entry 2 end to end
 @register("indoor_facts", drops_sql(
     "SELECT * FROM (SELECT time, location, data_key, data_value FROM (SELECT make_timestamp(y, month, day, hh, mi, ss) AS "

@@ -138,6 +138,25 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
     return x.select(*columns, *ORIGIN)
 
 
+def header_diff(spark: SparkSession, path: str | Sequence[str], expected: Sequence[str], comment: str | None = None, sep: str = ",",
+                glob: str | None = None, recursive: bool = False, extra_severity: str = "warn") -> DataFrame:
+    """U04 over stored files: (file, file_name, column, issue, severity) of every CSV file whose header differs from ``expected``.
+
+    Headers are compared once for each different one and joined back to their
+    files. A file without a header line (empty, blank) is not listed.
+    """
+    r = spark.read.option("recursiveFileLookup", recursive)
+    heads = first_lines((r.option("pathGlobFilter", glob) if glob else r).text([path] if isinstance(path, str) else list(path)), comment)
+    rows = []
+    for g in heads.select("header").distinct().collect():
+        names = header_names(g["header"], sep)
+        rows += [(g["header"], c, "missing", "error") for c in expected if c not in names]
+        rows += [(g["header"], c, "unexpected", extra_severity) for c in names if c not in expected]
+    issues = spark.createDataFrame(rows, "header string, column string, issue string, severity string")
+    return heads.join(F.broadcast(issues), "header").select(
+        "file", logical_file_name(F.col("file")).alias("file_name"), "column", "issue", "severity")
+
+
 def read_wide(spark: SparkSession, path: str, sep: str = ",", origin: bool = False) -> DataFrame:
     """CSV with header; every column as text, bound by name per file; column set discovered at read.
 

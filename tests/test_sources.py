@@ -145,3 +145,15 @@ def test_names_that_clash_are_told_apart(spark, tmpdir_path):
     assert tuple(df.drop(*src.ORIGIN).first()) == ("1", "2", "3", "4")
     with pytest.raises(src.MissingColumns, match="a.csv"):
         src.csv_by_name(spark, tmpdir_path, required=["w"])
+
+
+def test_header_diff_names_every_file_that_differs(spark, tmpdir_path):
+    write(f"{tmpdir_path}/a.csv", "x,y\n1,2\n")
+    write(f"{tmpdir_path}/b.csv", "# c\ny,x\n1,2\n")
+    write(f"{tmpdir_path}/c.csv", "x,z,z\n1,2,3\n")
+    write(f"{tmpdir_path}/d.csv", "x\n")
+    write(f"{tmpdir_path}/e.csv", "\n")
+    got = {tuple(r) for r in src.header_diff(spark, tmpdir_path, ["x", "y"], comment="#").drop("file").collect()}
+    assert got == {("c.csv", "y", "missing", "error"), ("c.csv", "z", "unexpected", "warn"), ("c.csv", "z_2", "unexpected", "warn"),
+                   ("d.csv", "y", "missing", "error")}
+    assert src.header_diff(spark, f"{tmpdir_path}/a.csv", ["y", "x"]).count() == 0
