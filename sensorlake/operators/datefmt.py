@@ -17,6 +17,7 @@ where some do are numbered again, inside the parsing scan.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -274,14 +275,15 @@ def _tokens(lines: DataFrame) -> DataFrame:
              .withColumn("had_both", F.col("temp").isNull() & F.col("rh").isNull()))
 
 
-def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine", header_lines: int = 2):
+def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine", header_lines: int = 2, keep: Sequence[str] = ()):
     """Valid lines -> (Datetime, Temperature_Celsius, Relative_Humidity(%), Location).
 
     Day/month follow the file's decided format; null tokens become NULL;
     rows with both measures NULL are dropped; non-numeric measures and
     impossible timestamps (month > 12, 31/02, 99:99) go to quarantine (or
     fail the job with ``on_bad='fail'``). Files whose format is not
-    DMY/MDY are not parsed. Returns (good, quarantine).
+    DMY/MDY are not parsed. ``keep`` names columns of ``lines`` that go into
+    both results. Returns (good, quarantine).
     """
     from sensorlake.session import scratch_path
     spark = lines.sparkSession
@@ -313,7 +315,8 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
         from sensorlake.sources.files import load_seq
         place = F.col("block") + F.col("line_id").bitwiseAND((1 << 33) - 1)
         cols.append(load_seq(F.col("file"), F.col("mtime"), place))
-    quarantine = x.filter(bad).select("file", "line_id", "text", reason.alias("reason"))
+    cols += keep
+    quarantine = x.filter(bad).select("file", "line_id", "text", reason.alias("reason"), *keep)
     if on_bad == "fail":
         # the assertion is the only predicate, so it is evaluated on every row
         # (NULL when it holds); a bad row fails the job

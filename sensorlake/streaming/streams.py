@@ -30,7 +30,10 @@ def with_event_time(df: DataFrame, time_col: str = "time", delay: str = "1 hour"
 def run_available_now(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
                       mode: str = "append", foreach_batch: Callable[[DataFrame, int], None] | None = None,
                       partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Process everything available now, then stop (the daily job as a stream)."""
+    """Process everything available now, then stop (the daily job as a stream).
+
+    A ``foreach_batch`` with a ``finish`` gets it called once, after the last micro-batch.
+    """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -40,6 +43,8 @@ def run_available_now(df: DataFrame, checkpoint: str, *, path: str | None = None
             w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
+    if hasattr(foreach_batch, "finish"):
+        foreach_batch.finish(df.sparkSession)
     return q
 
 
@@ -56,33 +61,61 @@ def stream_drops(spark: SparkSession, path: str, archive_dir: str | None = None,
                                F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def drops_batch_writer(out_path: str, today, strict: bool = True, default: str = "DMY",
-                       header_lines: int = 2) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body for T01: each micro-batch holds whole files, so the
-    batch detection and parsing (D01/D02) run on it unchanged."""
-    def run(batch: DataFrame, epoch: int) -> None:
+class DropsWriter:
+    """foreachBatch body for T01 and the parsing that follows it.
+
+    A micro-batch only stores its lines (one partition per micro-batch,
+    overwritten on a retry), so its cost does not hold the planning of the
+    whole detection. ``finish`` detects and parses (D01/D02) all stored lines
+    that are not parsed yet in one job: each micro-batch holds whole files, so
+    the files of many are independent. A run that ends before ``finish``
+    leaves its lines stored, and the next ``finish`` parses them.
+    """
+
+    def __init__(self, out_path: str, today, strict: bool = True, default: str = "DMY", header_lines: int = 2):
+        self.base = out_path.rstrip("/")
+        self.today, self.strict, self.default, self.header_lines = today, strict, default, header_lines
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
         from sensorlake.functions.text import strip_bom
-        from sensorlake.session import materialize, scratch_path
-        from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops
         from sensorlake.sources.files import logical_file_name
         lines = batch.select("file", logical_file_name(F.col("file")).alias("file_name"), "block",
                              F.monotonically_increasing_id().alias("line_id"),
                              strip_bom(F.regexp_replace("value", "\r$", "")).alias("text"))
-        # written once: detection and parsing see the same lines, and the source files may be archived meanwhile
-        staging = scratch_path(lines.sparkSession, "drop-lines")
-        lines.write.parquet(staging)
-        lines = lines.sparkSession.read.schema(lines.schema).parquet(staging)
-        dec = materialize(detect_date_format(lines, today, strict, default, header_lines=header_lines))    # one row per file
-        good, quarantine = parse_drops(lines, dec, header_lines=header_lines)
-        undecided = dec.filter(~F.col("fmt").isin(*FORMATS))
-        # one partition per micro-batch, overwritten on a retry: a re-executed
-        # batch (foreachBatch is at-least-once) cannot duplicate rows; lines and
-        # files that were not parsed are kept beside the output
-        base = out_path.rstrip("/")
-        for frame, path in ((good, base), (quarantine, f"{base}_quarantine"), (undecided, f"{base}_undecided")):
-            (frame.withColumn("_batch", F.lit(epoch)).write.mode("overwrite")
-                  .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path))
-    return run
+        self._write(lines.withColumn("_batch", F.lit(epoch)), "_lines")
+
+    def _write(self, frame: DataFrame, suffix: str = "") -> None:
+        # a re-executed batch (foreachBatch is at-least-once) or ``finish`` cannot duplicate rows
+        (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch")
+              .parquet(self.base + suffix))
+
+    def finish(self, spark: SparkSession) -> None:
+        """Stored lines -> output; lines and files that were not parsed are kept beside it."""
+        from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops
+        from sensorlake.session import materialize
+        from sensorlake.sources.sinks import stored
+        lines = stored(spark, f"{self.base}_lines")
+        if lines is None:
+            return
+        done = stored(spark, f"{self.base}_parsed")
+        if done is not None:
+            lines = lines.join(F.broadcast(done.select("_batch")), "_batch", "left_anti")      # one row per micro-batch
+        # a path may come again in a later micro-batch, as another file
+        x = lines.withColumn("file", F.concat_ws("\n", F.col("_batch").cast("string"), "file"))
+        batch, path = F.substring_index("file", "\n", 1).cast("int"), F.expr("substring(file, locate('\n', file) + 1)")
+        dec = materialize(detect_date_format(x, self.today, self.strict, self.default, header_lines=self.header_lines))
+        good, quarantine = parse_drops(x, dec, header_lines=self.header_lines, keep=("_batch",))
+        undecided = dec.filter(~F.col("fmt").isin(*FORMATS)).withColumn("_batch", batch)
+        # the hint gathers a batch's rows, so the tasks do not leave a file each in every batch
+        self._write(good.hint("rebalance", "_batch"))
+        self._write(quarantine.withColumn("file", path).hint("rebalance", "_batch"), "_quarantine")
+        self._write(undecided.withColumn("file", path), "_undecided")
+        self._write(dec.select(batch.alias("_batch")).distinct().withColumn("parsed", F.lit(True)), "_parsed")
+
+
+def drops_batch_writer(out_path: str, today, strict: bool = True, default: str = "DMY", header_lines: int = 2) -> DropsWriter:
+    """foreachBatch body for T01; ``run_available_now`` calls its ``finish`` when the stream has ended."""
+    return DropsWriter(out_path, today, strict, default, header_lines)
 
 
 # ---------------------------------------------------------------- T02

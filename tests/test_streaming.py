@@ -1,6 +1,7 @@
 """Stream = batch, and late data handling."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -74,3 +75,43 @@ def test_batch_writers_are_idempotent_on_retry(spark):
     first = sorted(map(tuple, spark.read.parquet(out).collect()))
     w(batch, 0)
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == first
+
+
+def test_drops_are_parsed_together_after_the_micro_batches(spark, tmpdir_path, monkeypatch):
+    """Micro-batches only store their lines: detection is planned once, whatever the number of files."""
+    from sensorlake.operators import datefmt
+    calls, detect = [], datefmt.detect_date_format
+    monkeypatch.setattr(datefmt, "detect_date_format", lambda *a, **k: calls.append(1) or detect(*a, **k))
+    src, out, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+    os.makedirs(src)
+
+    def drop(k, lines):
+        with open(f"{src}/Logger_00{k:02X}_x.csv", "w") as f:
+            f.write("h\nh\n" + "".join(f"{x}\n" for x in lines))
+
+    def run():
+        stream = st.stream_drops(spark, src, archive_dir=f"{tmpdir_path}/done", max_files=1)
+        st.run_available_now(stream, ck, foreach_batch=st.drops_batch_writer(out, "2024-03-31"))
+        return spark.read.parquet(out)
+
+    for k in range(3):
+        drop(k, [f"{13 + k}/03/2024,01:00,{k},40", "14/03/2024,02:00,abc,41"])
+    drop(3, ["garbage"])
+    rows_ = run()
+    assert len(calls) == 1
+    assert sorted((str(r["Datetime"]), r["Temperature_Celsius"], r["Location"]) for r in rows_.collect()) == [
+        (f"2024-03-{13 + k} 01:00:00", float(k), f"{k:04X}") for k in range(3)]
+    bad = spark.read.parquet(f"{out}_quarantine").collect()
+    assert len(bad) == 3 and all(r["file"].startswith("file:") and r["reason"] == "non_numeric" for r in bad)
+    assert [r["file"].rsplit("/", 1)[1] for r in spark.read.parquet(f"{out}_undecided").collect()] == ["Logger_0003_x.csv"]
+    drop(4, ["17/03/2024,01:00,9,40"])          # a later run parses what is new only
+    assert run().count() == 4 and len(calls) == 2
+    # lines of a run that ended before it parsed are parsed by the next, once
+    writer = st.drops_batch_writer(out, "2024-03-31")
+    late = spark.createDataFrame([("file:/in/Logger_0009_x.csv", 0, x) for x in ("h", "h", "18/03/2024,01:00,9,40")],
+                                 "file string, block long, value string").coalesce(1)
+    writer(late, 99)
+    writer(late, 99)
+    st.drops_batch_writer(out, "2024-03-31").finish(spark)
+    st.drops_batch_writer(out, "2024-03-31").finish(spark)
+    assert spark.read.parquet(out).count() == 5
