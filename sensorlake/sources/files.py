@@ -50,9 +50,11 @@ ORIGIN = ("_file", "_mtime", "_line")
 
 
 def first_lines(lines: DataFrame, comment: str | None = None) -> DataFrame:
-    """(file, header): the first line of each file of a text read that is neither blank nor a comment.
+    """(file, line): hash of the first line of each file of a text read that is neither blank nor a comment.
 
-    A scan that keeps one line a file. Spark has no reader that stops inside
+    A scan that keeps two numbers a file: with the line itself the aggregate
+    would sort every line in its task. ``header_lines`` has the text of the
+    few different ones. Spark has no reader that stops inside
     a split (a Python stage that returns early still gets the whole split
     sent), so this reads the text once.
     """
@@ -61,7 +63,16 @@ def first_lines(lines: DataFrame, comment: str | None = None) -> DataFrame:
     x = x.filter((F.col("block") == 0) & (F.trim("value") != ""))
     if comment:
         x = x.filter(~F.col("value").startswith(comment))
-    return x.groupBy("file").agg(F.regexp_replace(F.min_by("value", "id"), "\r$", "").alias("header"))
+    return x.groupBy("file").agg(F.min_by(F.xxhash64("value"), "id").alias("line"))
+
+
+def header_lines(lines: DataFrame, heads: DataFrame) -> list[tuple[str, int, str]]:
+    """(header, hash, smallest file) of each different line of ``first_lines``, sorted; one short read for each, up to that line."""
+    out = []
+    for g in heads.groupBy("line").agg(F.min("file").alias("file")).collect():
+        own = lines.filter((F.col("_metadata.file_path") == g["file"]) & (F.xxhash64("value") == g["line"]))
+        out.append((own.select(F.regexp_replace("value", "\r$", "")).first()[0], g["line"], g["file"]))
+    return sorted(out)
 
 
 def header_names(header: str, sep: str = ",", rename: Mapping[str, str] | None = None) -> list[str]:
@@ -98,13 +109,14 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
         return r.option("pathGlobFilter", glob) if glob else r
 
     paths = [path] if isinstance(path, str) else list(path)
-    heads = first_lines(reader().text(paths), comment)
-    one_file = {g["header"]: g["file"] for g in heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("header").collect()}
-    layouts = {h: header_names(h, sep, rename) for h in one_file}
-    for h, names in layouts.items():
-        missing = [c for c in required if c not in names]
+    text = reader().text(paths)
+    heads = first_lines(text, comment)
+    found = header_lines(text, heads)
+    layouts = {h: header_names(h, sep, rename) for h, _, _ in found}
+    for h, _, file in found:
+        missing = [c for c in required if c not in layouts[h]]
         if missing:
-            raise MissingColumns(f"{one_file[h]}: missing columns {missing}")
+            raise MissingColumns(f"{file}: missing columns {missing}")
     if not layouts:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in required]
                                                       + [T.StructField("_file", T.StringType()), T.StructField("_mtime", T.TimestampType()),
@@ -118,9 +130,9 @@ def csv_by_name(spark: SparkSession, path: str | Sequence[str], required: Sequen
 
     if len(layouts) == 1:
         return rows(next(iter(layouts.values())))
-    kinds = spark.createDataFrame([(h, i) for i, h in enumerate(layouts)], "header string, layout int")
+    kinds = spark.createDataFrame([(line, list(layouts).index(h)) for h, line, _ in found], "line long, layout int")
     heads_path = scratch_path(spark, "file-headers")                # one row a file
-    heads.join(F.broadcast(kinds), "header").select(F.col("file").alias("_head_file"), "layout").write.parquet(heads_path)
+    heads.join(F.broadcast(kinds), "line").select(F.col("file").alias("_head_file"), "layout").write.parquet(heads_path)
     heads = spark.read.schema("_head_file string, layout int").parquet(heads_path)
     x = rows([f"c{i}" for i in range(max(map(len, layouts.values())))])
     x = x.join(bounded_broadcast(heads), F.col("_file") == F.col("_head_file"))
@@ -146,14 +158,15 @@ def header_diff(spark: SparkSession, path: str | Sequence[str], expected: Sequen
     files. A file without a header line (empty, blank) is not listed.
     """
     r = spark.read.option("recursiveFileLookup", recursive)
-    heads = first_lines((r.option("pathGlobFilter", glob) if glob else r).text([path] if isinstance(path, str) else list(path)), comment)
+    text = (r.option("pathGlobFilter", glob) if glob else r).text([path] if isinstance(path, str) else list(path))
+    heads = first_lines(text, comment)
     rows = []
-    for g in heads.select("header").distinct().collect():
-        names = header_names(g["header"], sep)
-        rows += [(g["header"], c, "missing", "error") for c in expected if c not in names]
-        rows += [(g["header"], c, "unexpected", extra_severity) for c in names if c not in expected]
-    issues = spark.createDataFrame(rows, "header string, column string, issue string, severity string")
-    return heads.join(F.broadcast(issues), "header").select(
+    for header, line, _ in header_lines(text, heads):
+        names = header_names(header, sep)
+        rows += [(line, c, "missing", "error") for c in expected if c not in names]
+        rows += [(line, c, "unexpected", extra_severity) for c in names if c not in expected]
+    issues = spark.createDataFrame(rows, "line long, column string, issue string, severity string")
+    return heads.join(F.broadcast(issues), "line").select(
         "file", logical_file_name(F.col("file")).alias("file_name"), "column", "issue", "severity")
 
 

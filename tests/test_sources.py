@@ -157,3 +157,17 @@ def test_header_diff_names_every_file_that_differs(spark, tmpdir_path):
     assert got == {("c.csv", "y", "missing", "error"), ("c.csv", "z", "unexpected", "warn"), ("c.csv", "z_2", "unexpected", "warn"),
                    ("d.csv", "y", "missing", "error")}
     assert src.header_diff(spark, f"{tmpdir_path}/a.csv", ["y", "x"]).count() == 0
+
+
+def test_header_scan_sorts_no_lines(spark, tmpdir_path):
+    """The first line of each file is found by an aggregate of numbers; one over the lines themselves would sort them all."""
+    for k, head in enumerate(("a,b", "b,a", "a,b")):
+        write(f"{tmpdir_path}/in put/f{k}.csv", f"\n# note\n{head}\n" + "1,2\n" * 50)
+    lines = spark.read.text(f"{tmpdir_path}/in put")
+    heads = src.first_lines(lines, "#")
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+    found = src.header_lines(lines, heads)
+    assert [(h, f.rsplit("/", 1)[1]) for h, _, f in found] == [("a,b", "f0.csv"), ("b,a", "f1.csv")]
+    rows = src.csv_by_name(spark, f"{tmpdir_path}/in put", comment="#").groupBy("a", "b").count().collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", 100), ("2", "1", 50)]
