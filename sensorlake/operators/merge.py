@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake.schemas import FACT_COLS
+from sensorlake.session import scratch_path
 
 
 def _conformed(df: DataFrame, cols: Sequence[str], types: Mapping[str, str] | None) -> DataFrame:
@@ -30,15 +31,21 @@ def merge_history(new: DataFrame, old: DataFrame, cols: Sequence[str] = FACT_COL
     ``incremental=True`` is for a history that is this operator's own earlier
     output (already distinct): only the months the load touches are
     deduplicated with it, all other months pass through without a shuffle.
-    The result does not depend on the size of either side.
+    The load is computed once, when this is called: its distinct rows are
+    stored, since its months are looked up first. The result does not depend
+    on the size of either side.
     """
     types = {value_col: value_type}
     n = _conformed(new, cols, types)
     o = _conformed(old, cols, types)
     if not incremental:
         return n.unionByName(o).distinct()
-    month = F.coalesce(F.date_format(time_col, "yyyy-MM"), F.lit(""))      # facts without a time are a month of their own
-    touched = n.select(month.alias("_touched")).distinct()
+    load = scratch_path(n.sparkSession, "merge-load")
+    n.distinct().write.parquet(load)
+    n = n.sparkSession.read.schema(n.schema).parquet(load)
+    # a month as a number, which costs less than its text; facts without a time are a month of their own
+    month = F.coalesce(F.year(time_col) * 12 + F.month(time_col), F.lit(-1))
+    touched = F.broadcast(n.select(month.alias("_touched")).distinct())
     same = month == F.col("_touched")
     again = n.unionByName(o.join(touched, same, "left_semi")).distinct()
     return again.unionByName(o.join(touched, same, "left_anti"))

@@ -13,6 +13,7 @@ from sensorlake.operators.aggregates import resample
 from sensorlake.plans.flows import tag_points, ventilation_fact
 from sensorlake.plans.registry import register
 from sensorlake.plans.tables import AS_OF, table
+from sensorlake.session import scratch_path
 
 # ---------------------------------------------------------------- fixtures
 # The wide export is lineitem: `date` + one text column per signal.
@@ -312,13 +313,20 @@ def q_merge_history(spark, d):
     return mg.merge_history(facts, old_fact(spark, d))
 
 
+def stored_history(spark, facts):
+    """Distinct facts as a table that is stored, which the daily form reads."""
+    path = scratch_path(spark, "history")
+    facts.write.parquet(path)
+    return spark.read.schema(facts.schema).parquet(path)
+
+
 @register("merge_history_incremental", "SELECT * FROM " + MAPPED_SQL + " a UNION SELECT * FROM " + OLD_FACT_SQL + " b")
 def q_merge_history_incremental(spark, d):
     """The daily form: the stored history is already distinct, so only the months
     of the new facts are deduplicated with it."""
     narrow = rs.wide_to_narrow(rs.all_to_string(wide(spark, d)), ids=["date"])
     facts = jn.map_signals(narrow, signal_map(spark)).withColumn("time", strict_ts("time"))
-    history = mg.merge_history(old_fact(spark, d), old_fact(spark, d).limit(0))   # a stored, distinct history
+    history = stored_history(spark, mg.merge_history(old_fact(spark, d), old_fact(spark, d).limit(0)))
     return mg.merge_history(facts, history, incremental=True)
 
 
@@ -329,7 +337,7 @@ def q_merge_history_overlap(spark, d):
     facts = jn.map_signals(narrow, signal_map(spark)).withColumn("time", strict_ts("time"))
     split = F.coalesce(F.dayofmonth("time"), F.lit(0))
     new = facts.filter(split <= 20)
-    history = facts.filter(split > 10).distinct()
+    history = stored_history(spark, facts.filter(split > 10).distinct())
     return mg.merge_history(new.unionByName(new), history, incremental=True)
 
 
