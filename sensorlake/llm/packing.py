@@ -41,7 +41,9 @@ MEMO_WORDS = 800_000
 # Letters and numbers below U+0250, as the tokenizer's own pattern classifies them.
 _L = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 _N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
-_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+_WORD = re.compile(rf"[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_N}]|[^\s{_L}{_N}]+")
+#: The same for lower-cased ASCII.
+_ASCII_WORD = re.compile(r"[a-z]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-z0-9]+", re.ASCII)
 #: Capitals up to U+024F with a lower case beyond it: words are lowered first, so these are outside as well.
 _FAR = "".join(c for c in map(chr, range(0xa1, 0x250)) if max(c.lower()) > "ɏ")
 #: Anything outside printable Latin text is left to the tokenizer library as a whole.
@@ -49,6 +51,21 @@ _OTHER = re.compile(rf"[^\t-\r\x20-\x7e\xa1-ɏ]|[{_FAR}]")
 _PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F)])
 
 
+class _Memo(dict):
+    """ids of words; a word of the older generation moves over, an unknown one gets an empty buffer in ``new``, filled later."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self.older, self.new = older, {}
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        raw = self.older.get(word)
+        if raw is None:
+            return self.new.setdefault(word, bytearray())
+        self[word] = raw
+        return raw
+
+
 class WordTokenizer:
     """ids of whole texts; remembers the ids of words, which the tokenizer encodes independently."""
 
@@ -59,8 +76,7 @@ class WordTokenizer:
         self.lib = Tokenizer.from_file(path)
         # texts that hold the string of an added token go to the library whole
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values() if t.content]
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = _Memo({})
         vocabulary = self.lib.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)     # tokens that end a word
         for token, i in vocabulary.items():
@@ -86,23 +102,24 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        # plain ASCII cannot be outside, so only the rest of a text is looked at
-        rest = [t.encode().translate(None, _PLAIN) for t in texts]
-        split = [None if r and _OTHER.search(r.decode()) or any(a in t for a in self.added) else _WORD.findall(t.lower())
-                 for t, r in zip(texts, rest)]
         if len(self.memo) > MEMO_WORDS:
-            self.older, self.memo = self.memo, {}
-        memo, older = self.memo, self.older
-        found = [None if words is None else list(map(memo.get, words)) for words in split]
-        open_ = [i for i, f in enumerate(found) if f is not None and None in f]
-        if open_:
-            missing = {w for i in open_ for w, x in zip(split[i], found[i]) if x is None}
-            # asked word by word: a difference with keys() would walk through all remembered words
-            memo.update((w, older[w]) for w in missing if w in older)
-            self._learn([w for w in missing if w not in older])
-            for i in open_:
-                found[i] = [memo[w] if x is None else x for w, x in zip(split[i], found[i])]
-        return [self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0]) if f is None else b"".join(f) for t, f in zip(texts, found)]
+            self.memo.older = {}
+            self.memo = _Memo(self.memo)
+        get, new = self.memo.__getitem__, self.memo.new
+        found = []
+        for t in texts:
+            # plain ASCII cannot be outside, so only the rest of a text is looked at
+            rest = t.encode().translate(None, _PLAIN)
+            if rest and _OTHER.search(rest.decode()) or any(a in t for a in self.added):
+                found.append([self._raw(self.lib.encode_batch([t], add_special_tokens=False)[0])])
+            else:
+                found.append(list(map(get, (_WORD if rest else _ASCII_WORD).findall(t.lower()))))
+        if new:
+            self._learn(list(new))
+            for word, raw in new.items():
+                raw += self.memo[word]
+            new.clear()
+        return [b"".join(f) for f in found]
 
 
 _LOADED: dict[str, WordTokenizer] = {}

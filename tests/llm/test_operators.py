@@ -593,3 +593,24 @@ def test_labels_and_spans_equal_a_plain_version(spark, edge_dir):
         labels, spans, best = _plain_license(t)
         r = got[i]
         assert (r["labels"], [tuple(x) for x in r["spans"] or []]) == (labels, spans) and r["score"] == pytest.approx(best)
+
+
+def test_words_of_a_block_are_learnt_together_and_filled_in_place():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    lib, tok = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    plain = lambda t: np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()     # noqa: E731
+    asked, learn = [], tok._learn
+    tok._learn = lambda new: asked.extend(new) or learn(new)
+    texts = ["zzyx qwrt, zzyx don't 42", "qwrt Zzyx", "", "it's ÀÉ zzyx naïve ǅ", "see <|endoftext|> zzyx", "漢字 zzyx", "fresh'word"]
+    for block in (texts, texts[::-1]):
+        assert tok.encode(block) == [plain(t) for t in block]
+        assert not tok.memo.new
+    assert asked.count("zzyx") == asked.count("qwrt") == 1
+    # words of the older generation move over without being learnt again, generations before it are let go
+    for _ in range(3):
+        tok.memo.older = {}
+        tok.memo = packing._Memo(tok.memo)
+        before = len(asked)
+        assert tok.encode(texts) == [plain(t) for t in texts] and len(asked) == before
