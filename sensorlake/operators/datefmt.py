@@ -275,16 +275,8 @@ def _tokens(lines: DataFrame) -> DataFrame:
              .withColumn("had_both", F.col("temp").isNull() & F.col("rh").isNull()))
 
 
-def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine", header_lines: int = 2, keep: Sequence[str] = ()):
-    """Valid lines -> (Datetime, Temperature_Celsius, Relative_Humidity(%), Location).
-
-    Day/month follow the file's decided format; null tokens become NULL;
-    rows with both measures NULL are dropped; non-numeric measures and
-    impossible timestamps (month > 12, 31/02, 99:99) go to quarantine (or
-    fail the job with ``on_bad='fail'``). Files whose format is not
-    DMY/MDY are not parsed. ``keep`` names columns of ``lines`` that go into
-    both results. Returns (good, quarantine).
-    """
+def _parsed(lines: DataFrame, decisions: DataFrame, header_lines: int):
+    """(rows of ``parse_drops`` before they are told apart, whether a row is bad, its reason, columns of a good row by name)."""
     from sensorlake.session import scratch_path
     spark = lines.sparkSession
     path = scratch_path(spark, "drop-decisions")        # one row per file, read by several branches
@@ -309,13 +301,27 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     bad = F.coalesce(bad_num, F.lit(False)) | F.col("Datetime").isNull()
     reason = F.when(F.col("month") > 12, "month_gt_12").when(F.col("Datetime").isNull(), "bad_timestamp") \
         .when(bad_num, "non_numeric")
-    cols = ["Datetime", F.col("temp").cast("double").alias("Temperature_Celsius"),
-            F.col("rh").cast("double").alias("Relative_Humidity(%)"), "Location"]
+    cols = {"Datetime": F.col("Datetime"), "Temperature_Celsius": F.col("temp").cast("double"),
+            "Relative_Humidity(%)": F.col("rh").cast("double"), "Location": F.col("Location")}
     if "mtime" in lines.columns:            # lines that know their origin give rows that do
         from sensorlake.sources.files import load_seq
         place = F.col("block") + F.col("line_id").bitwiseAND((1 << 33) - 1)
-        cols.append(load_seq(F.col("file"), F.col("mtime"), place))
-    cols += keep
+        cols["load_seq"] = load_seq(F.col("file"), F.col("mtime"), place)
+    return x, bad, reason, cols
+
+
+def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantine", header_lines: int = 2, keep: Sequence[str] = ()):
+    """Valid lines -> (Datetime, Temperature_Celsius, Relative_Humidity(%), Location).
+
+    Day/month follow the file's decided format; null tokens become NULL;
+    rows with both measures NULL are dropped; non-numeric measures and
+    impossible timestamps (month > 12, 31/02, 99:99) go to quarantine (or
+    fail the job with ``on_bad='fail'``). Files whose format is not
+    DMY/MDY are not parsed. ``keep`` names columns of ``lines`` that go into
+    both results. Returns (good, quarantine).
+    """
+    x, bad, reason, cols = _parsed(lines, decisions, header_lines)
+    cols = [c.alias(name) for name, c in cols.items()] + list(keep)
     quarantine = x.filter(bad).select("file", "line_id", "text", reason.alias("reason"), *keep)
     if on_bad == "fail":
         # the assertion is the only predicate, so it is evaluated on every row
@@ -326,6 +332,19 @@ def parse_drops(lines: DataFrame, decisions: DataFrame, on_bad: str = "quarantin
     return good, quarantine
 
 
+def parse_drops_once(lines: DataFrame, decisions: DataFrame, header_lines: int = 2, keep: Sequence[str] = ()):
+    """``parse_drops`` for callers that read both results: the lines are parsed once, the rows stored and told apart."""
+    from sensorlake.session import scratch_path
+    x, bad, reason, cols = _parsed(lines, decisions, header_lines)
+    place = ("file", "line_id", "text")
+    path = scratch_path(lines.sparkSession, "drop-rows")
+    x.select(bad.alias("_bad"), *[F.when(~bad, c).alias(name) for name, c in cols.items()],
+             *[F.when(bad, F.col(c)).alias(c) for c in place], reason.alias("reason"), *keep).write.parquet(path)
+    rows = lines.sparkSession.read.parquet(path)
+    return (rows.filter(~F.col("_bad")).select(*[F.col(f"`{name}`") for name in cols], *keep),
+            rows.filter("_bad").select(*place, "reason", *keep))
+
+
 def sensor_health(lines: DataFrame) -> DataFrame:
     """Per sensor file -- input data lines (K14), valid lines, rows with any
     null token, rows with both (the "check batteries" case), rows kept."""

@@ -7,10 +7,11 @@ no shift) before the watermark and back afterwards.
 
 from __future__ import annotations
 
+import contextlib
 import functools
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,12 +28,45 @@ def with_event_time(df: DataFrame, time_col: str = "time", delay: str = "1 hour"
     return df.withColumn(EVENT_TS, F.col(time_col).cast("timestamp")).withWatermark(EVENT_TS, delay)
 
 
+#: Listing many folders: few tasks for all of them, none for the files of a micro-batch (the default is a task a path).
+LISTING = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "64",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+}
+#: Many micro-batches: the list of the files seen, which grows with the stream, is rewritten less often, and archiving
+#: keeps pace with them.
+MANY_BATCHES = LISTING | {
+    "spark.sql.streaming.fileSource.log.compactInterval": "100",
+    "spark.sql.streaming.fileSource.cleaner.numThreads": "4",
+}
+#: On a local file system the default manager starts a process for each look at a link; both rename without a guard there.
+LOCAL_CHECKPOINT = {"spark.sql.streaming.checkpointFileManagerClass":
+                    "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """``conf`` holds for as long as the block runs; a stream that starts in it keeps what concerns its micro-batches."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def run_available_now(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
                       mode: str = "append", foreach_batch: Callable[[DataFrame, int], None] | None = None,
                       partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Process everything available now, then stop (the daily job as a stream).
 
-    A ``foreach_batch`` with a ``finish`` gets it called once, after the last micro-batch.
+    A ``foreach_batch`` with a ``finish`` gets it called once, after the last micro-batch; its ``settings`` hold
+    during the micro-batches.
     """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None:
@@ -41,8 +75,10 @@ def run_available_now(df: DataFrame, checkpoint: str, *, path: str | None = None
         w = w.format(fmt).option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
+    local = LOCAL_CHECKPOINT if checkpoint.startswith(("/", "file:")) else {}
+    with settings(df.sparkSession, MANY_BATCHES | local | getattr(foreach_batch, "settings", {})):
+        q = w.start()
+        q.awaitTermination()
     if hasattr(foreach_batch, "finish"):
         foreach_batch.finish(df.sparkSession)
     return q
@@ -57,8 +93,9 @@ def stream_drops(spark: SparkSession, path: str, archive_dir: str | None = None,
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.text(path).select(F.col("_metadata.file_path").alias("file"),
-                               F.col("_metadata.file_block_start").alias("block"), "value")
+    with settings(spark, LISTING):
+        lines = r.text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
 class DropsWriter:
@@ -72,17 +109,26 @@ class DropsWriter:
     leaves its lines stored, and the next ``finish`` parses them.
     """
 
+    #: Few tasks a micro-batch while its files are small, so few files are stored.
+    settings = {"spark.sql.files.minPartitionNum": "4", "spark.sql.files.openCostInBytes": "512k",
+                "spark.sql.files.maxPartitionBytes": "32m"}
+
     def __init__(self, out_path: str, today, strict: bool = True, default: str = "DMY", header_lines: int = 2):
         self.base = out_path.rstrip("/")
         self.today, self.strict, self.default, self.header_lines = today, strict, default, header_lines
 
-    def __call__(self, batch: DataFrame, epoch: int) -> None:
+    @functools.cached_property
+    def stored_line(self) -> list[Column]:
         from sensorlake.functions.text import strip_bom
         from sensorlake.sources.files import logical_file_name
-        lines = batch.select("file", logical_file_name(F.col("file")).alias("file_name"), "block",
-                             F.monotonically_increasing_id().alias("line_id"),
-                             strip_bom(F.regexp_replace("value", "\r$", "")).alias("text"))
-        self._write(lines.withColumn("_batch", F.lit(epoch)), "_lines")
+        return [F.col("file"), logical_file_name(F.col("file")).alias("file_name"), F.col("block"),
+                F.monotonically_increasing_id().alias("line_id"),
+                strip_bom(F.regexp_replace("value", "\r$", "")).alias("text")]
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        # a micro-batch's folder, overwritten as a whole: the plan is the same for every micro-batch
+        (batch.select(*self.stored_line).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False)
+              .parquet(f"{self.base}_lines/_batch={epoch}"))
 
     def _write(self, frame: DataFrame, suffix: str = "") -> None:
         # a re-executed batch (foreachBatch is at-least-once) or ``finish`` cannot duplicate rows
@@ -91,8 +137,13 @@ class DropsWriter:
 
     def finish(self, spark: SparkSession) -> None:
         """Stored lines -> output; lines and files that were not parsed are kept beside it."""
-        from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops
-        from sensorlake.session import materialize
+        # tasks share the folders of the micro-batches, however little is in them
+        with settings(spark, LISTING | {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}):
+            self._finish(spark)
+
+    def _finish(self, spark: SparkSession) -> None:
+        from sensorlake.operators.datefmt import FORMATS, detect_date_format, parse_drops_once
+        from sensorlake.session import materialize, scratch_path
         from sensorlake.sources.sinks import stored
         lines = stored(spark, f"{self.base}_lines")
         if lines is None:
@@ -100,17 +151,22 @@ class DropsWriter:
         done = stored(spark, f"{self.base}_parsed")
         if done is not None:
             lines = lines.join(F.broadcast(done.select("_batch")), "_batch", "left_anti")      # one row per micro-batch
+        # detection and parsing read the lines several times: the small files of the micro-batches are opened once
+        together = scratch_path(spark, "drop-lines")
+        lines.write.parquet(together)
+        lines = spark.read.schema(lines.schema).parquet(together)
         # a path may come again in a later micro-batch, as another file
         x = lines.withColumn("file", F.concat_ws("\n", F.col("_batch").cast("string"), "file"))
         batch, path = F.substring_index("file", "\n", 1).cast("int"), F.expr("substring(file, locate('\n', file) + 1)")
         dec = materialize(detect_date_format(x, self.today, self.strict, self.default, header_lines=self.header_lines))
-        good, quarantine = parse_drops(x, dec, header_lines=self.header_lines, keep=("_batch",))
+        good, quarantine = parse_drops_once(x, dec, header_lines=self.header_lines, keep=("_batch",))
         undecided = dec.filter(~F.col("fmt").isin(*FORMATS)).withColumn("_batch", batch)
         # the hint gathers a batch's rows, so the tasks do not leave a file each in every batch
         self._write(good.hint("rebalance", "_batch"))
         self._write(quarantine.withColumn("file", path).hint("rebalance", "_batch"), "_quarantine")
         self._write(undecided.withColumn("file", path), "_undecided")
-        self._write(dec.select(batch.alias("_batch")).distinct().withColumn("parsed", F.lit(True)), "_parsed")
+        parsed = dec.select(batch.alias("_batch")).distinct().withColumn("parsed", F.lit(True))
+        self._write(parsed.repartition(16, "_batch"), "_parsed")
 
 
 def drops_batch_writer(out_path: str, today, strict: bool = True, default: str = "DMY", header_lines: int = 2) -> DropsWriter:
